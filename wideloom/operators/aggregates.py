@@ -70,33 +70,109 @@ def full_price_average(name: str, pay: Column, total: Column) -> Measure:
     return Measure(name, build)
 
 
+@dataclass(frozen=True)
+class Section:
+    """Rows of one section of a source (``predicate``; None = all rows) and
+    its measures.  ``require`` names a member-level condition applied when the
+    tenant is attached (see ``plans.sections.attach_tenant``)."""
+    measures: tuple
+    predicate: Column | None = None
+    require: str = "none"
+
+
+def sectioned_aggregate(df: DataFrame, keys: Sequence[str], sections: dict[str, Section],
+                        prefilter: Column | None = None) -> DataFrame:
+    """Several sections of one source in a single scan and a single shuffle.
+
+    Each section sees only the rows matching its predicate (conditional
+    aggregates), ``has_<section>`` says whether a key has any such row, and the
+    section's measures are NULL where it has none -- exactly what separate
+    per-section queries followed by a keyed full merge would give, but with
+    one partial+final aggregate instead of one per section.
+    """
+    rows = df.filter(prefilter) if prefilter is not None else df
+    aggs, finals = [], []
+    for name, sec in sections.items():
+        inside = sec.predicate if sec.predicate is not None else F.lit(True)
+        n = f"__n_{name}"
+        aggs.append(F.count(F.when(inside, F.lit(1))).alias(n))
+        finals.append((F.col(n) > 0).alias(f"has_{name}"))
+        for m in sec.measures:
+            aggs.append(m.build(inside).alias(m.name))
+            finals.append(F.when(F.col(n) > 0, F.col(m.name)).alias(m.name))
+    return rows.groupBy(*keys).agg(*aggs).select(*keys, *finals)
+
+
+def window_sections(date_col: str, asof: AsOf, plan: dict[str, Sequence[Measure]],
+                    prefix: str = "w") -> dict[str, Section]:
+    """Look-back windows as sections: window name -> rows dated on/after its
+    inclusive lower bound (and on/before the as-of day when ``asof.upper``)."""
+    d = F.col(date_col)
+    out = {}
+    for w, measures in plan.items():
+        pred = d >= F.lit(asof.lower_bound(w))
+        if asof.upper:
+            pred = pred & (d <= F.lit(asof.day))
+        out[f"{prefix}{w}"] = Section(tuple(measures), pred)
+    return out
+
+
 def windowed_totals(df: DataFrame, keys: Sequence[str], date_col: str, asof: AsOf,
                     plan: dict[str, Sequence[Measure]]) -> DataFrame:
     """All look-back windows of one source in a single scan and one shuffle.
 
     ``plan`` maps a window name (see ``params.WINDOWS``) to its measures.  The
-    scan is limited to the widest window (pushed to the reader as a
-    ``>=`` filter on the date column); each measure only sees the rows of its
-    own window.  A window in which a key has no row yields NULL measures, which
-    is what a separate per-window query followed by a keyed merge would give.
+    scan is limited to the widest window (pushed to the reader as a ``>=``
+    filter on the date column); each measure only sees the rows of its own
+    window.  A window in which a key has no row yields NULL measures, which is
+    what a separate per-window query followed by a keyed merge would give.
     """
-    bounds = {w: asof.lower_bound(w) for w in plan}
-    widest = min(bounds.values())
-    d = F.col(date_col)
-    rows = df.filter(d >= F.lit(widest))
-    if asof.upper:
-        rows = rows.filter(d <= F.lit(asof.day))
-    aggs, finals = [], []
-    for w, measures in plan.items():
-        inside = d >= F.lit(bounds[w])
-        present = f"__n_{w}"
-        aggs.append(F.count(F.when(inside, F.lit(1))).alias(present))
-        for m in measures:
-            aggs.append(m.build(inside).alias(m.name))
-            finals.append(F.when(F.col(present) > 0, F.col(m.name)).alias(m.name))
-    out = rows.groupBy(*keys).agg(*aggs)
-    # a key present only in wider windows keeps NULLs for the narrower ones
-    return out.select(*keys, *finals)
+    secs = window_sections(date_col, asof, plan)
+    widest = min(asof.lower_bound(w) for w in plan)
+    out = sectioned_aggregate(df, keys, secs, prefilter=F.col(date_col) >= F.lit(widest))
+    return out.select(*keys, *[m.name for ms in plan.values() for m in ms])
+
+
+def min_of(name: str, expr: Column) -> Measure:
+    return Measure(name, lambda inside: F.min(F.when(inside, expr)))
+
+
+def max_of(name: str, expr: Column) -> Measure:
+    return Measure(name, lambda inside: F.max(F.when(inside, expr)))
+
+
+def attr_at_first(name: str, date: Column, attr: Column) -> Measure:
+    """Attribute on the first date; ties on the date go to the smallest attribute."""
+    s = F.struct(date.alias("d"), attr.alias("a"))
+    return Measure(name, lambda inside: F.min(F.when(inside, s))["a"])
+
+
+def attr_at_last(name: str, date: Column, attr: Column) -> Measure:
+    """Attribute on the last date; ties on the date go to the largest attribute."""
+    s = F.struct(date.alias("d"), attr.alias("a"))
+    return Measure(name, lambda inside: F.max(F.when(inside, s))["a"])
+
+
+def days_since_first(name: str, asof: AsOf, date: Column) -> Measure:
+    return Measure(name, lambda inside: F.datediff(F.lit(asof.day), F.min(F.when(inside, date))))
+
+
+def days_since_last(name: str, asof: AsOf, date: Column) -> Measure:
+    return Measure(name, lambda inside: F.datediff(F.lit(asof.day), F.max(F.when(inside, date))))
+
+
+def pct_of(name: str, num: Column, den: Column) -> Measure:
+    """round(100 * sum(num) / sum(den), 2), 0 when sum(den) = 0."""
+    return Measure(name, lambda inside: guarded_pct(F.sum(F.when(inside, num)), F.sum(F.when(inside, den))))
+
+
+def flag_of(name: str, expr: Column, yes: str = "Y", no: str = "N") -> Measure:
+    """yes when sum(expr) > 0."""
+    return Measure(name, lambda inside: F.when(F.sum(F.when(inside, expr)) > 0, F.lit(yes)).otherwise(F.lit(no)))
+
+
+def rounded(m: Measure, scale: int) -> Measure:
+    return Measure(m.name, lambda inside: F.round(m.build(inside), scale))
 
 
 def lifecycle(df: DataFrame, keys: Sequence[str], date_col: str,

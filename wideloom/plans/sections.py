@@ -1,22 +1,32 @@
-"""The wide-table sections, each one DataFrame keyed by (tenant_id, member_id).
-
-Every fact section aggregates by ``member_id`` first and attaches the tenant
-afterwards (``attach_tenant``): the join then sees at most one row per member
-instead of every fact row, and the aggregate's hash partitioning on
-``member_id`` is reused by the join.  Member-level filters of the original
-sections (member number present, etc.) are applied on the member side of that
-join.
+"""The wide-table sections.
+
+Sections are grouped by the physical source they read.  Each source is
+aggregated once per member (``sectioned_aggregate``): the order lines carry
+the order lifecycle and the five order windows, the orders table carries the
+registration day and the stored-value sections, the activity log carries
+points, coupons, message activity and the channel signal.  Only the top-N
+item section needs its own (member, item) grain.
+
+Facts are keyed by ``member_id``; the tenant is a property of the member and
+is attached after aggregation (``attach_tenant``), so the join sees at most
+one row per member and reuses the aggregate's partitioning.  Member-level
+filters of the original sections (member number present, ...) are applied on
+the member side of that join.
+
+The single-section functions at the bottom serve the per-section queries;
+``plans.wide_build`` combines the source passes for the full profile.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import not_empty
 from ..operators import aggregates as A
+from ..operators.aggregates import Section
 from ..operators.flags import existence_flag
 from ..operators.topn import top_n_pivot
 from ..params import EVENT_ASOF, ORDER_ASOF, AsOf
@@ -25,45 +35,178 @@ from ..sources import bindings as B
 KEYS = ["tenant_id", "member_id"]
 
 
+def member_requirement(require: str) -> Column:
+    """Member-side condition of a section, over the member key table."""
+    if require == "member_no":
+        return F.col("member_no").isNotNull()
+    if require == "member_no_nonempty":
+        return not_empty(F.col("member_no"))
+    return F.lit(True)
+
+
 def attach_tenant(spark: SparkSession, d: str, df: DataFrame, require: str = "none") -> DataFrame:
     """Inner-join member-keyed rows to the member key table.
 
     require: "none" | "member_no" (not null) | "member_no_nonempty" (not null, not '').
     Rows whose tenant or member is null (no business key) are dropped.
     """
-    k = B.member_keys(spark, d)
-    if require == "member_no":
-        k = k.filter(F.col("member_no").isNotNull())
-    elif require == "member_no_nonempty":
-        k = k.filter(not_empty(F.col("member_no")))
+    k = B.member_keys(spark, d).filter(member_requirement(require))
     k = k.filter(F.col("tenant_id").isNotNull() & F.col("member_id").isNotNull()).select("member_id", "tenant_id")
     rest = [c for c in df.columns if c not in KEYS]
     return df.join(k, on="member_id", how="inner").select(*KEYS, *rest)
 
 
-def _slot_lines(spark: SparkSession, d: str, asof: AsOf) -> DataFrame:
+def single_section(spark: SparkSession, d: str, rows: DataFrame, name: str, sec: Section,
+                   prefilter: Column | None = None) -> DataFrame:
+    """One section as its own query: keys that have rows in it, tenant attached."""
+    out = A.sectioned_aggregate(rows, ["member_id"], {name: sec}, prefilter)
+    out = out.filter(F.col(f"has_{name}")).drop(f"has_{name}")
+    return attach_tenant(spark, d, out, sec.require)
+
+
+# -- order lines: lifecycle + windows -------------------------------------------
+
+def slot_lines(spark: SparkSession, d: str, asof: AsOf) -> DataFrame:
     return B.order_lines(spark, d).filter(F.col("time_type") == asof.slot)
 
 
-# -- member sections ---------------------------------------------------------
+ORDER_WINDOWS = ("30D", "90D", "120D", "180D", "360D")
 
-def member_base(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame:
-    m = B.members(spark, d).filter(
-        (F.col("member_status") != B.INACTIVE_SEGMENT)
-        & (F.col("member_no") != "none") & F.col("member_no").isNotNull()
-        & F.col("tenant_id").isNotNull() & F.col("member_id").isNotNull())
-    m = m.join(B.member_register(spark, d), on="member_id", how="left")
-    wanted = B.channels(spark, d).filter(F.col("channel_no") == B.CHANNEL_WANTED)
-    m = existence_flag(m, wanted, ["member_id"], "IS_ENTER_WECHAT")
+
+def order_line_sections(asof: AsOf) -> dict[str, Section]:
+    date = F.col("orderdate")
+    pay, total = F.col("pay_amount"), F.col("total_amount")
+    plat, shop = F.col("platform_discount_amount"), F.col("shop_discount_amount")
+    life = Section((
+        A.min_of("FIRST_ORDER_TIME", date),
+        A.max_of("LST_ORDER_TIME", date),
+        A.sum_of("ORDER_NUM", F.col("order_num")),
+        A.rounded(A.sum_of("ORDER_AMOUNT", pay), 2),
+        A.sum_pair("ORDER_DISCOUNT", plat, shop, scale=2),
+        A.attr_at_first("FIRST_ORDER_SHOPID", date, F.col("shop_id")),
+        A.attr_at_last("LST_ORDER_SHOPID", date, F.col("shop_id")),
+        A.days_since_first("FIRST_ORDER_INTRVL", asof, date),
+        A.days_since_last("LST_ORDER_INTRVL", asof, date),
+    ), require="member_no")
+
+    def sums(w: str) -> list[A.Measure]:
+        return [A.sum_of(f"LST_ORDER_NUM_{w}", F.col("order_num")),
+                A.sum_of(f"LST_ORDER_AMOUNT_{w}", pay),
+                A.sum_pair(f"LST_ORDER_DISC_{w}", plat, shop)]
+
+    def fpa(w: str) -> A.Measure:
+        return A.full_price_average(f"FULL_AVERAGE_PRICE_{w}", pay, total)
+
+    plan = {"30D": sums("30D") + [fpa("30D")], "90D": sums("90D") + [fpa("90D")],
+            "120D": [fpa("120D")], "180D": sums("180D"), "360D": sums("360D") + [fpa("360D")]}
+    return {"order_lifecycle": life, **A.window_sections("orderdate", asof, plan, prefix="order_")}
+
+
+# -- orders table: registration + stored value ---------------------------------
+
+RECHARGE_WINDOWS = ("30D", "90D", "180D", "360D")
+
+
+def order_table_sections(asof: AsOf) -> dict[str, Section]:
+    date = F.col("ds_dt")
+    a, b = F.col("actual_pay_amt"), F.col("back_pay_amt")
+    recharge = F.col("is_recharge")
+    life = Section((
+        A.min_of("FIRST_CHARGE_TIME", date),
+        A.max_of("LAST_CHARGE_TIME", date),
+        A.days_since_last("LAST_CHARGE_DAYS", asof, date),
+        A.row_sum_coalesced("TOTAL_CHARGE_AMOUNT", a, b, scale=2),
+    ), recharge, require="member_no_nonempty")
+    out = {"register": Section((A.min_of("register_time", date),)),
+           "recharge_lifecycle": life}
+    plan = {w: [A.row_sum_coalesced(f"LAST_CHARGE_AMOUNT_{w}", a, b, scale=2)] for w in RECHARGE_WINDOWS}
+    for name, sec in A.window_sections("ds_dt", asof, plan, prefix="recharge_").items():
+        out[name] = Section(sec.measures, sec.predicate & recharge)
+    return out
+
+
+# -- activity log: points, coupons, messages, channel ---------------------------
+
+def event_sections(asof: AsOf) -> dict[str, Section]:
+    t, amt = F.col("event_type"), F.col("amount")
+    recv, used = F.col("received_coupon_cnt"), F.col("used_coupon_cnt")
+    zero = F.lit(0).cast("decimal(18,2)")
+
+    def points(kind: str) -> Column:
+        return F.when(t == kind, amt).otherwise(zero)
+
+    def ones(kind: str) -> Column:
+        return F.when(t == kind, F.lit(1)).otherwise(F.lit(0)).cast("long")
+
+    recent15 = F.col("ds_dt") >= F.lit(asof.lower_bound("15D"))
+    return {
+        "points_totals": Section((
+            A.sum_of("EXCHANGE_POINTS", points("purchase")), A.sum_of("GET_POINTS", points("click")),
+            A.sum_of("EXPIRED_POINTS", points("error")), A.sum_of("CLEAR_POINTS", points("view")),
+            A.sum_of("YH_POINTS_COUNT", ones("purchase")), A.sum_of("GET_POINTS_COUNT", ones("click")))),
+        "typed_event_total": Section((A.sum_of("ACTIVITIES_POINT_COUNT", amt),), t == B.POINT_TYPE_WANTED),
+        "coupon_lifetime": Section((
+            A.sum_of("TOTAL_RECEIVED_COUPON", recv), A.sum_of("TOTAL_USED_COUNPON", used),
+            A.pct_of("TOTAL_USED_COUNPON_PERCENT", used, recv))),
+        "coupon_recent": Section((
+            A.sum_of("LAST_RECEVIED_COUPON_15D", recv), A.sum_of("LAST_USED_COUPON_15D", used),
+            A.pct_of("LAST_USED_COUPON_PERCENT_15D", used, recv),
+            A.flag_of("LAST_RECEIVED_COUPON_15D_FLG", recv), A.flag_of("LAST_USED_COUPON_15D_FLG", used),
+        ), recent15, require="member_no"),
+        "coupon_valid": Section((A.count_rows("VALID_COUNPON_CNT"),),
+                                (F.col("coupon_status") == B.COUPON_VALID_STATUS)
+                                & (F.col("invalid_date") >= F.lit(asof.day)), require="member_no"),
+        # signals used by the member-side sections
+        "recent_message": Section((), F.to_date("create_time") >= F.lit(asof.lower_bound("1D"))),
+        "channel_signup": Section((), t == B.CHANNEL_WANTED),
+    }
+
+
+# -- top-N items -----------------------------------------------------------------
+
+TOP_CODES = ["LST_ORDITEM_ITEMCODE_1ST_360D", "LST_ORDITEM_ITEMCODE_2ST_360D", "LST_ORDITEM_ITEMCODE_3ST_360D"]
+TOP_NAMES = ["LST_ORDITEM_ITEMNAME_1ST_360D", "LST_ORDITEM_ITEMNAME_2ST_360D", "LST_ORDITEM_ITEMNAME_3ST_360D"]
+
+
+def top_items_by_member(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame:
+    lines = slot_lines(spark, d, asof).filter(
+        (F.col("orderdate") >= F.lit(asof.day - dt.timedelta(days=360)))
+        & F.col("item_code").isNotNull() & (F.col("item_code") != 0))
+    return top_n_pivot(lines, ["member_id"], "item_code", "item_num", 3, TOP_CODES,
+                       dim=B.items(spark, d), value_names=TOP_NAMES)
+
+
+# -- member side -------------------------------------------------------------------
+
+def member_frame(spark: SparkSession, d: str) -> DataFrame:
+    """Members with the shop organisation attached (left join on store and tenant)."""
     shop = B.shops(spark, d).withColumnRenamed("code", "store_code")
-    m = m.join(shop, on=["store_code", "tenant_id"], how="left")
+    return B.members(spark, d).join(shop, on=["store_code", "tenant_id"], how="left")
+
+
+def member_base_pred() -> Column:
+    return ((F.col("member_status") != B.INACTIVE_SEGMENT) & (F.col("member_no") != "none")
+            & F.col("member_no").isNotNull() & F.col("tenant_id").isNotNull() & F.col("member_id").isNotNull())
+
+
+def member_flag_pred() -> Column:
+    return (F.col("member_no") != "none") & F.col("member_no").isNotNull() & F.col("tenant_id").isNotNull()
+
+
+def active_flag_pred() -> Column:
+    return (F.col("member_status") != B.INACTIVE_SEGMENT) & F.col("tenant_id").isNotNull()
+
+
+def member_base_columns(asof: AsOf) -> list[Column]:
+    """Member-base columns over a member frame carrying ``register_time`` and
+    ``has_channel_signup``."""
     day = F.lit(asof.day)
     b = F.col("birthday")
     age = F.floor(F.coalesce(((F.year(day) - F.year(b)) * 12 + F.month(day) - F.month(b)) / F.lit(12),
                              F.lit(0)))
     phone = F.col("phone")
-    return m.select(
-        *KEYS,
+    reg = F.col("register_time")
+    return [
         F.col("user_name").alias("USER_NAME"),
         F.col("member_status").alias("MEMBER_STATUS"),
         age.cast("long").alias("AGE"),
@@ -71,176 +214,127 @@ def member_base(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFra
         F.substring(phone, 1, 3).alias("PHONE_SEGMENT"),
         F.when(not_empty(phone), F.lit("Y")).otherwise(F.lit("N")).alias("PHONE_FLG"),
         b.alias("BIRTHDAY"),
-        F.when(F.col("self_regist_flag") == 1, F.col("register_time")).alias("REGISTER_TIME"),
-        F.when(F.col("register_time").isNotNull(), F.datediff(day, F.col("register_time"))).alias("REGISTER_DAYS"),
+        F.when(F.col("self_regist_flag") == 1, reg).alias("REGISTER_TIME"),
+        F.when(reg.isNotNull(), F.datediff(day, reg)).alias("REGISTER_DAYS"),
         F.col("member_no").alias("MEMBER_NO"),
         F.col("store_code").alias("STORE_CODE"),
-        F.col("IS_ENTER_WECHAT"),
+        F.when(F.coalesce(F.col("has_channel_signup"), F.lit(False)), F.lit("Y")).otherwise(F.lit("N"))
+         .alias("IS_ENTER_WECHAT"),
         F.col("org_id").alias("STORE_ORG_ID"),
         F.col("org_name").alias("STORE_ORG_NAME"),
-    )
+    ]
+
+
+MEMBER_BASE_COLUMNS = ["USER_NAME", "MEMBER_STATUS", "AGE", "PHONE_NUMBER", "PHONE_SEGMENT", "PHONE_FLG",
+                       "BIRTHDAY", "REGISTER_TIME", "REGISTER_DAYS", "MEMBER_NO", "STORE_CODE",
+                       "IS_ENTER_WECHAT", "STORE_ORG_ID", "STORE_ORG_NAME"]
+
+
+def active_flag_column() -> Column:
+    return F.when(F.coalesce(F.col("has_recent_message"), F.lit(False)), F.lit("Y")).otherwise(F.lit("N")) \
+        .alias("IS_MP_ACITIVE_USER")
+
+
+# -- single-section queries --------------------------------------------------------
+
+def member_base(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame:
+    m = member_frame(spark, d).filter(member_base_pred())
+    reg = B.member_register(spark, d)
+    signup = B.channels(spark, d).filter(F.col("channel_no") == B.CHANNEL_WANTED)
+    m = existence_flag(m.join(reg, on="member_id", how="left"), signup, ["member_id"], "__signup")
+    m = m.withColumn("has_channel_signup", F.col("__signup") == "Y")
+    return m.select(*KEYS, *member_base_columns(asof))
 
 
 def member_flag(spark: SparkSession, d: str) -> DataFrame:
-    m = B.members(spark, d).filter((F.col("member_no") != "none") & F.col("member_no").isNotNull()
-                                   & F.col("tenant_id").isNotNull())
+    m = B.members(spark, d).filter(member_flag_pred())
     return m.select(*KEYS, F.col("member_flg").alias("MEMBER_FLG"))
 
 
 def active_flag(spark: SparkSession, d: str, asof: AsOf = EVENT_ASOF) -> DataFrame:
-    m = B.members(spark, d).filter((F.col("member_status") != B.INACTIVE_SEGMENT)
-                                   & F.col("tenant_id").isNotNull()).select(*KEYS)
-    recent = B.message_rows(spark, d).filter(
-        F.to_date("create_time") >= F.lit(asof.lower_bound("1D")))
+    m = B.members(spark, d).filter(active_flag_pred()).select(*KEYS)
+    recent = B.message_rows(spark, d).filter(F.to_date("create_time") >= F.lit(asof.lower_bound("1D")))
     out = existence_flag(m, recent, ["member_id"], "IS_MP_ACITIVE_USER")
     return out.select(*KEYS, "IS_MP_ACITIVE_USER")
 
 
-# -- order sections ----------------------------------------------------------
-
 def order_lifecycle(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame:
-    lines = _slot_lines(spark, d, asof)
-    out = A.lifecycle(
-        lines, ["member_id"], "orderdate",
-        measures=[A.sum_of("ORDER_NUM", F.col("order_num")),
-                  A.Measure("ORDER_AMOUNT", lambda inside: F.round(F.sum(F.col("pay_amount")), 2)),
-                  A.sum_pair("ORDER_DISCOUNT", F.col("platform_discount_amount"),
-                             F.col("shop_discount_amount"), scale=2)],
-        first_last=("shop_id", "FIRST_ORDER_SHOPID", "LST_ORDER_SHOPID"),
-        first_name="FIRST_ORDER_TIME", last_name="LST_ORDER_TIME", asof=asof,
-        interval_names=("FIRST_ORDER_INTRVL", "LST_ORDER_INTRVL"))
-    return attach_tenant(spark, d, out, "member_no")
-
-
-def _order_window_plan() -> dict[str, list[A.Measure]]:
-    pay, total = F.col("pay_amount"), F.col("total_amount")
-    plat, shop = F.col("platform_discount_amount"), F.col("shop_discount_amount")
-
-    def sums(w: str) -> list[A.Measure]:
-        return [A.sum_of(f"LST_ORDER_NUM_{w}", F.col("order_num")),
-                A.sum_of(f"LST_ORDER_AMOUNT_{w}", pay),
-                A.sum_pair(f"LST_ORDER_DISC_{w}", plat, shop)]
-
-    def fpa(w: str) -> A.Measure:
-        return A.full_price_average(f"FULL_AVERAGE_PRICE_{w}", pay, total)
-
-    return {
-        "30D": sums("30D") + [fpa("30D")],
-        "90D": sums("90D") + [fpa("90D")],
-        "120D": [fpa("120D")],
-        "180D": sums("180D"),
-        "360D": sums("360D") + [fpa("360D")],
-    }
+    sec = order_line_sections(asof)["order_lifecycle"]
+    return single_section(spark, d, slot_lines(spark, d, asof), "order_lifecycle", sec)
 
 
 def order_windows(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame:
-    out = A.windowed_totals(_slot_lines(spark, d, asof), ["member_id"], "orderdate", asof,
-                            _order_window_plan())
+    """The five order windows of one member in one row (NULL where a window is empty)."""
+    secs = {k: v for k, v in order_line_sections(asof).items() if k != "order_lifecycle"}
+    widest = min(asof.lower_bound(w) for w in ORDER_WINDOWS)
+    out = A.sectioned_aggregate(slot_lines(spark, d, asof), ["member_id"], secs,
+                                prefilter=F.col("orderdate") >= F.lit(widest))
+    out = out.drop(*[f"has_{k}" for k in secs])
     return attach_tenant(spark, d, out)
 
 
 def full_price_average(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame:
     """All-time full-price average per member, with the count of full-price lines."""
-    lines = _slot_lines(spark, d, asof)
     pay, total = F.col("pay_amount"), F.col("total_amount")
     full = ~F.coalesce(pay < total, F.lit(False))
-    m = A.full_price_average("FULL_AVERAGE_PRICE", pay, total)
-    out = lines.groupBy("member_id").agg(
-        F.count(F.when(full, F.lit(1))).alias("FULL_PRICE_LINES"),
-        m.build(F.lit(True)).alias(m.name))
-    return attach_tenant(spark, d, out)
-
-
-TOP_CODES = ["LST_ORDITEM_ITEMCODE_1ST_360D", "LST_ORDITEM_ITEMCODE_2ST_360D", "LST_ORDITEM_ITEMCODE_3ST_360D"]
-TOP_NAMES = ["LST_ORDITEM_ITEMNAME_1ST_360D", "LST_ORDITEM_ITEMNAME_2ST_360D", "LST_ORDITEM_ITEMNAME_3ST_360D"]
+    sec = Section((A.Measure("FULL_PRICE_LINES", lambda inside: F.count(F.when(inside & full, F.lit(1)))),
+                   A.full_price_average("FULL_AVERAGE_PRICE", pay, total)))
+    return single_section(spark, d, slot_lines(spark, d, asof), "fpa", sec)
 
 
 def top_items(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame:
-    lines = _slot_lines(spark, d, asof).filter(
-        (F.col("orderdate") >= F.lit(asof.day - dt.timedelta(days=360)))
-        & F.col("item_code").isNotNull() & (F.col("item_code") != 0))
-    out = top_n_pivot(lines, ["member_id"], "item_code", "item_num", 3, TOP_CODES,
-                      dim=B.items(spark, d), value_names=TOP_NAMES)
-    return attach_tenant(spark, d, out)
+    return attach_tenant(spark, d, top_items_by_member(spark, d, asof))
 
 
-# -- points and coupons --------------------------------------------------------
+def _event_section(spark: SparkSession, d: str, name: str, asof: AsOf = EVENT_ASOF) -> DataFrame:
+    return single_section(spark, d, B.event_facts(spark, d), name, event_sections(asof)[name])
+
 
 def points_totals(spark: SparkSession, d: str) -> DataFrame:
-    p = B.point_rows(spark, d)
-    out = p.groupBy("member_id").agg(
-        F.sum("exchange_points").alias("EXCHANGE_POINTS"),
-        F.sum("get_points").alias("GET_POINTS"),
-        F.sum("expired_points").alias("EXPIRED_POINTS"),
-        F.sum("clear_points").alias("CLEAR_POINTS"),
-        F.sum("yh_points_count").alias("YH_POINTS_COUNT"),
-        F.sum("get_points_count").alias("GET_POINTS_COUNT"))
-    return attach_tenant(spark, d, out)
+    return _event_section(spark, d, "points_totals")
 
 
 def typed_event_total(spark: SparkSession, d: str) -> DataFrame:
-    out = A.filtered_total(B.point_type_rows(spark, d), ["member_id"],
-                           F.col("point_change_type") == B.POINT_TYPE_WANTED,
-                           F.col("points_cnt"), "ACTIVITIES_POINT_COUNT")
-    return attach_tenant(spark, d, out)
+    return _event_section(spark, d, "typed_event_total")
 
 
 def coupon_lifetime(spark: SparkSession, d: str) -> DataFrame:
-    out = A.totals_with_ratio(B.coupon_rows(spark, d), ["member_id"],
-                              F.col("used_coupon_cnt"), F.col("received_coupon_cnt"),
-                              "TOTAL_USED_COUNPON", "TOTAL_RECEIVED_COUPON", "TOTAL_USED_COUNPON_PERCENT")
-    return attach_tenant(spark, d, out)
+    return _event_section(spark, d, "coupon_lifetime")
 
 
 def coupon_recent(spark: SparkSession, d: str, asof: AsOf = EVENT_ASOF) -> DataFrame:
-    rows = B.coupon_rows(spark, d).filter(F.col("ds_dt") >= F.lit(asof.lower_bound("15D")))
-    out = A.totals_with_ratio(rows, ["member_id"], F.col("used_coupon_cnt"), F.col("received_coupon_cnt"),
-                              "LAST_USED_COUPON_15D", "LAST_RECEVIED_COUPON_15D",
-                              "LAST_USED_COUPON_PERCENT_15D",
-                              flags={"LAST_RECEIVED_COUPON_15D_FLG": "LAST_RECEVIED_COUPON_15D",
-                                     "LAST_USED_COUPON_15D_FLG": "LAST_USED_COUPON_15D"})
-    return attach_tenant(spark, d, out, "member_no")
+    return _event_section(spark, d, "coupon_recent", asof)
 
 
 def coupon_valid(spark: SparkSession, d: str, asof: AsOf = EVENT_ASOF) -> DataFrame:
-    pred = (F.col("coupon_status") == B.COUPON_VALID_STATUS) & (F.to_date("invalid_time") >= F.lit(asof.day))
-    out = A.filtered_count(B.coupon_flow(spark, d), ["member_id"], pred, "VALID_COUNPON_CNT")
-    return attach_tenant(spark, d, out, "member_no")
-
+    return _event_section(spark, d, "coupon_valid", asof)
 
-# -- recharge ------------------------------------------------------------------
 
 def recharge_lifecycle(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame:
-    out = A.lifecycle(
-        B.recharge_rows(spark, d), ["member_id"], "ds_dt",
-        measures=[A.row_sum_coalesced("TOTAL_CHARGE_AMOUNT", F.col("actual_pay_amt"),
-                                      F.col("back_pay_amt"), scale=2)],
-        first_name="FIRST_CHARGE_TIME", last_name="LAST_CHARGE_TIME", asof=asof,
-        interval_names=(None, "LAST_CHARGE_DAYS"))
-    return attach_tenant(spark, d, out, "member_no_nonempty")
+    sec = order_table_sections(asof)["recharge_lifecycle"]
+    return single_section(spark, d, B.order_facts(spark, d), "recharge_lifecycle", sec,
+                          prefilter=F.col("is_recharge"))
 
 
 def recharge_windows(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame:
-    a, b = F.col("actual_pay_amt"), F.col("back_pay_amt")
-    plan = {w: [A.row_sum_coalesced(f"LAST_CHARGE_AMOUNT_{w}", a, b, scale=2)]
-            for w in ("30D", "90D", "180D", "360D")}
-    out = A.windowed_totals(B.recharge_rows(spark, d), ["member_id"], "ds_dt", asof, plan)
+    secs = {k: v for k, v in order_table_sections(asof).items() if k.startswith("recharge_") and k != "recharge_lifecycle"}
+    widest = min(asof.lower_bound(w) for w in RECHARGE_WINDOWS)
+    out = A.sectioned_aggregate(B.order_facts(spark, d), ["member_id"], secs,
+                                prefilter=F.col("is_recharge") & (F.col("ds_dt") >= F.lit(widest)))
+    out = out.drop(*[f"has_{k}" for k in secs])
     return attach_tenant(spark, d, out)
 
 
-# Section name -> builder, in the load order of the original job.
+# Section names of the wide profile, in the load order of the original job.
+WIDE_SECTIONS = ["member_base", "member_flag", "order_lifecycle", "order_windows", "top_items",
+                 "points_totals", "typed_event_total", "coupon_lifetime", "coupon_recent", "coupon_valid",
+                 "recharge_lifecycle", "recharge_windows", "active_flag"]
+
 SECTIONS = {
-    "member_base": member_base,
-    "member_flag": member_flag,
-    "order_lifecycle": order_lifecycle,
-    "order_windows": order_windows,
-    "top_items": top_items,
-    "points_totals": points_totals,
-    "typed_event_total": typed_event_total,
-    "coupon_lifetime": coupon_lifetime,
-    "coupon_recent": coupon_recent,
-    "coupon_valid": coupon_valid,
-    "recharge_lifecycle": recharge_lifecycle,
-    "recharge_windows": recharge_windows,
+    "member_base": member_base, "member_flag": member_flag, "order_lifecycle": order_lifecycle,
+    "order_windows": order_windows, "top_items": top_items, "points_totals": points_totals,
+    "typed_event_total": typed_event_total, "coupon_lifetime": coupon_lifetime,
+    "coupon_recent": coupon_recent, "coupon_valid": coupon_valid,
+    "recharge_lifecycle": recharge_lifecycle, "recharge_windows": recharge_windows,
     "active_flag": active_flag,
 }

@@ -114,6 +114,41 @@ def _events(spark: SparkSession, d: str, *cols: str) -> DataFrame:
     return read_table(spark, d, "events", *cols)
 
 
+def event_facts(spark: SparkSession, d: str) -> DataFrame:
+    """The user activity log seen as all of its warehouse tables at once.
+
+    Points, point types, coupon receive/use, coupon flow, message log and
+    member channel all live in the one ``events`` table of the test data; a
+    single binding lets every section over it share one scan and one
+    aggregation (see ``plans.sections``).
+    """
+    e = _events(spark, d, "user_id", "event_type", "value", "ts")
+    t = F.col("event_type")
+    return e.select(
+        F.col("user_id").alias("member_id"),
+        t.alias("event_type"),
+        dec("value").alias("amount"),
+        F.to_date("ts").alias("ds_dt"),
+        F.col("ts").alias("create_time"),
+        F.when(t == "view", F.lit(1)).otherwise(F.lit(0)).cast("long").alias("received_coupon_cnt"),
+        F.when(t == "click", F.lit(1)).otherwise(F.lit(0)).cast("long").alias("used_coupon_cnt"),
+        F.when(t == "signup", F.lit(COUPON_VALID_STATUS)).otherwise(F.lit("20")).alias("coupon_status"),
+        F.date_add(F.to_date("ts"), COUPON_VALID_DAYS).alias("invalid_date"),
+    )
+
+
+def order_facts(spark: SparkSession, d: str) -> DataFrame:
+    """The orders table seen as registration history and stored-value
+    recharges (urgent orders; the 10 % bonus exists only for status 'P')."""
+    o = read_table(spark, d, "orders", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                   "o_orderpriority")
+    actual = dec("o_totalprice")
+    back = F.when(F.col("o_orderstatus") == RECHARGE_BACK_STATUS, actual * F.lit(0.1).cast("decimal(1,1)"))
+    return o.select(F.col("o_custkey").alias("member_id"), F.to_date("o_orderdate").alias("ds_dt"),
+                    (F.col("o_orderpriority") == RECHARGE_PRIORITY).alias("is_recharge"),
+                    actual.alias("actual_pay_amt"), back.alias("back_pay_amt"))
+
+
 def point_rows(spark: SparkSession, d: str) -> DataFrame:
     """Points fact: the event value lands in the column of its type."""
     e = _events(spark, d, "user_id", "event_type", "value")
