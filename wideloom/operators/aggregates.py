@@ -8,6 +8,8 @@ map task before it is exchanged.
 
 from __future__ import annotations
 
+import decimal
+
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -141,14 +143,40 @@ def max_of(name: str, expr: Column) -> Measure:
     return Measure(name, lambda inside: F.max(F.when(inside, expr)))
 
 
-def attr_at_first(name: str, date: Column, attr: Column) -> Measure:
+_DAY_SHIFT = 2 ** 31      # unix_date(date) + shift >= 0
+_ATTR_SHIFT = 2 ** 63     # long attribute + shift >= 0
+_ATTR_SPAN = 2 ** 64
+
+
+def _big(n: int) -> Column:
+    return F.lit(decimal.Decimal(n)).cast("decimal(38,0)")
+
+
+def _day_attr_key(date: Column, attr: Column) -> Column:
+    """(date, long attribute) packed into one DECIMAL(38,0) that orders like the
+    pair.  min/max over it keeps a fixed-width aggregation buffer, so the
+    aggregate stays hash-based (a struct buffer would force a sort-based
+    aggregate over the whole fact input)."""
+    hi = ((F.unix_date(date).cast("decimal(38,0)") + _big(_DAY_SHIFT)) * _big(_ATTR_SPAN)).cast("decimal(38,0)")
+    return (hi + attr.cast("decimal(38,0)") + _big(_ATTR_SHIFT)).cast("decimal(38,0)")
+
+
+def _attr_of_key(key: Column) -> Column:
+    return (F.pmod(key, _big(_ATTR_SPAN)) - _big(_ATTR_SHIFT)).cast("long")
+
+
+def attr_at_first(name: str, date: Column, attr: Column, integral: bool = True) -> Measure:
     """Attribute on the first date; ties on the date go to the smallest attribute."""
+    if integral:
+        return Measure(name, lambda inside: _attr_of_key(F.min(F.when(inside, _day_attr_key(date, attr)))))
     s = F.struct(date.alias("d"), attr.alias("a"))
     return Measure(name, lambda inside: F.min(F.when(inside, s))["a"])
 
 
-def attr_at_last(name: str, date: Column, attr: Column) -> Measure:
+def attr_at_last(name: str, date: Column, attr: Column, integral: bool = True) -> Measure:
     """Attribute on the last date; ties on the date go to the largest attribute."""
+    if integral:
+        return Measure(name, lambda inside: _attr_of_key(F.max(F.when(inside, _day_attr_key(date, attr)))))
     s = F.struct(date.alias("d"), attr.alias("a"))
     return Measure(name, lambda inside: F.max(F.when(inside, s))["a"])
 

@@ -86,13 +86,29 @@ def upsert_latest(batches: Sequence[DataFrame]) -> DataFrame:
         F.max("ts").alias("ts"), F.max_by("value", order).alias("value")).select(*CELL_COLUMNS)
 
 
-def cells_to_wide(cells: DataFrame, columns: Sequence[tuple[str, str]], key_name: str = "ROW_KEY") -> DataFrame:
+def latest_cells(cells: DataFrame) -> DataFrame:
+    """Newest cell per (row_key, cf, col) -- the single-batch form of
+    ``upsert_latest``."""
+    return upsert_latest([cells])
+
+
+def cells_to_wide(cells: DataFrame, columns: Sequence[tuple[str, str]], key_name: str = "ROW_KEY",
+                  deduplicated: bool = False) -> DataFrame:
     """Declared ``(family, column)`` pairs back into one string row per key,
     newest cell winning; undeclared cells are ignored and declared columns
-    without a cell are null.  A conditional aggregate per declared column
-    (the explicit form of ``pivot`` with a fixed value list)."""
-    aggs = []
-    for cf, col in columns:
-        hit = (F.col("cf") == cf) & (F.col("col") == col)
-        aggs.append(F.max_by(F.col("value"), F.when(hit, F.col("ts"))).alias(col))
-    return cells.groupBy(F.col("row_key").alias(key_name)).agg(*aggs)
+    without a cell are null.
+
+    After newest-wins deduplication a row key holds at most one cell per
+    declared column, so gathering a row's cells into a map is bounded by the
+    catalog width (never by the data volume); the declared columns are then
+    plain map lookups.  This keeps the aggregation hash-based, where one
+    conditional ``max_by`` per column would force a sort-based aggregate with
+    a hundred-plus string buffers.
+    """
+    latest = cells if deduplicated else latest_cells(cells)
+    wanted = F.array(*[F.lit(f"{cf}\u0001{col}") for cf, col in columns])
+    key = F.concat_ws("\u0001", "cf", "col")
+    rows = latest.filter(F.array_contains(wanted, key))
+    m = rows.groupBy(F.col("row_key").alias(key_name)).agg(
+        F.map_from_entries(F.collect_list(F.struct(key.alias("k"), F.col("value").alias("v")))).alias("__m"))
+    return m.select(key_name, *[F.col("__m")[f"{cf}\u0001{col}"].alias(col) for cf, col in columns])

@@ -71,7 +71,7 @@ def cells_upsert_latest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cells_to_wide(spark: SparkSession, d: str) -> DataFrame:
-    return C.cells_to_wide(W.upserted_cells(spark, d), W.declared_columns(), ROW_KEY)
+    return C.cells_to_wide(W.upserted_cells(spark, d), W.declared_columns(), ROW_KEY, deduplicated=True)
 
 
 QUERIES: dict[str, Query] = {

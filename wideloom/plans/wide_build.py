@@ -39,20 +39,30 @@ def source_passes(spark: SparkSession, d: str, order_asof: AsOf = ORDER_ASOF,
 
 
 def wide_sections(spark: SparkSession, d: str, order_asof: AsOf = ORDER_ASOF,
-                  event_asof: AsOf = EVENT_ASOF, names: Iterable[str] | None = None
-                  ) -> tuple[DataFrame, dict[str, str]]:
+                  event_asof: AsOf = EVENT_ASOF, names: Iterable[str] | None = None,
+                  merge: str = "spine") -> tuple[DataFrame, dict[str, str]]:
     """The merged profile and its presence map (column -> has_<section>).
 
-    Plan: the source passes are merged by ``member_id`` (union + one group-by,
-    no join chain), then joined once to the member frame, which brings the
-    tenant, the member-side sections and the member-level filters.  ``names``
-    limits the profile to some sections (a partial reload).
+    Plan: the member frame (tenant, member-side sections, member-level
+    filters) is the spine; each source pass joins it on ``member_id``.  Fact
+    rows of members missing from the member table have no business key and
+    drop out, exactly as with an inner tenant join per section.  ``merge =
+    "union"`` instead merges the passes by union + group-by first (the generic
+    ``merge_sections``), then joins the member frame once.  ``names`` limits
+    the profile to some sections (a partial reload).
     """
     passes = source_passes(spark, d, order_asof, event_asof)
-    facts = merge_sections({k: v[0] for k, v in passes.items()}, ["member_id"], markers=False)
-    members = S.member_frame(spark, d)
-    wide = members.join(facts, on="member_id", how="left").filter(
-        F.col("tenant_id").isNotNull() & F.col("member_id").isNotNull())
+    members = S.member_frame(spark, d).filter(F.col("tenant_id").isNotNull() & F.col("member_id").isNotNull())
+    if merge == "union":
+        facts = merge_sections({k: v[0] for k, v in passes.items()}, ["member_id"], markers=False)
+        wide = members.join(facts, on="member_id", how="left")
+    else:
+        # member spine: every pass holds one row per member and is already
+        # hash-partitioned on member_id by its own aggregate, so each left join
+        # reuses that partitioning; only the member frame is shuffled.
+        wide = members
+        for frame, _ in passes.values():
+            wide = wide.join(frame, on="member_id", how="left")
 
     def has(name: str) -> Column:
         return F.coalesce(F.col(f"has_{name}"), F.lit(False))
@@ -125,5 +135,5 @@ def declared_columns() -> list[tuple[str, str]]:
 
 
 def exported(spark: SparkSession, d: str) -> DataFrame:
-    wide = C.cells_to_wide(upserted_cells(spark, d), declared_columns(), ROW_KEY)
+    wide = C.cells_to_wide(upserted_cells(spark, d), declared_columns(), ROW_KEY, deduplicated=True)
     return typed_export(wide, CATALOG)
