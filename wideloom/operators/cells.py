@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CELL_COLUMNS = ["row_key", "cf", "col", "ts", "value"]
+CELL_SCHEMA = "row_key string, cf string, col string, ts long, value string"
 
 
 def cell_text(c: Column, dtype: T.DataType, date_format: str = "yyyy-MM-dd") -> Column:
