@@ -7,6 +7,8 @@ are computed with integer arithmetic (half-up), never by rounding a double.
 
 from __future__ import annotations
 
+import decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,23 @@ def dec(c: Column | str) -> Column:
     return c.cast(MONEY)
 
 
+def to_units(c: Column | str, scale: int) -> Column:
+    """Amount -> integer count of 10^-scale units (fixed point, exact).
+
+    Aggregations sum these as LONG: a hash aggregate over longs is several
+    times faster than over DECIMAL, whose sum buffers above 18 digits are
+    held as BigDecimal.  Convert back once per output row (``from_units``)."""
+    c = F.col(c) if isinstance(c, str) else c
+    # nearest unit; exact for source amounts with at most ``scale`` decimals
+    return F.floor(c.cast("double") * F.lit(float(10 ** scale)) + F.lit(0.5)).cast("long")
+
+
+def from_units(units: Column, scale: int) -> Column:
+    """Integer units -> exact DECIMAL(38, scale)."""
+    step = F.lit(decimal.Decimal(1).scaleb(-scale)).cast(T.DecimalType(scale + 1, scale))
+    return (units.cast(T.DecimalType(38, 0)) * step).cast(T.DecimalType(38, scale))
+
+
 def ratio_or_zero(num: Column, den: Column) -> Column:
     """num / den as DOUBLE, 0 when den is 0 or null (guarded divide)."""
     return F.when(F.coalesce(den, F.lit(0)) == 0, F.lit(0.0)).otherwise(

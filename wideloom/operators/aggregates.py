@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import guarded_pct
+from ..functions.numeric import from_units, guarded_pct
 from ..params import AsOf
 
 # A measure turns "row is inside the window" into an aggregate column.
@@ -55,7 +55,12 @@ def row_sum_coalesced(name: str, a: Column, b: Column, scale: int | None = None)
     return Measure(name, build)
 
 
-def full_price_average(name: str, pay: Column, total: Column) -> Measure:
+def money(m: Measure, unit_scale: int) -> Measure:
+    """A measure over fixed-point LONG units, returned as exact DECIMAL."""
+    return Measure(m.name, lambda inside: from_units(m.build(inside), unit_scale))
+
+
+def full_price_average(name: str, pay: Column, total: Column, unit_scale: int | None = None) -> Measure:
     """Average paid amount over full-price rows (not pay < total).
 
     A null comparison counts as full price, so a row with null pay enters the
@@ -67,6 +72,8 @@ def full_price_average(name: str, pay: Column, total: Column) -> Measure:
     def build(inside: Column) -> Column:
         sel = inside & full
         num = F.coalesce(F.sum(F.when(sel, pay)), F.lit(0))
+        if unit_scale is not None:
+            num = from_units(num, unit_scale)
         cnt = F.count(F.when(sel, F.lit(1)))
         return F.when(cnt > 0, num.cast("double") / cnt.cast("double")).otherwise(F.lit(0.0))
     return Measure(name, build)

@@ -75,14 +75,21 @@ ORDER_WINDOWS = ("30D", "90D", "120D", "180D", "360D")
 
 def order_line_sections(asof: AsOf) -> dict[str, Section]:
     date = F.col("orderdate")
-    pay, total = F.col("pay_amount"), F.col("total_amount")
-    plat, shop = F.col("platform_discount_amount"), F.col("shop_discount_amount")
+    pay, total = F.col("pay_u4"), F.col("total_u4")
+    plat, shop = F.col("platform_discount_u4"), F.col("shop_discount_u4")
+
+    def amount(name: str) -> A.Measure:
+        return A.money(A.sum_of(name, pay), 4)
+
+    def discount(name: str) -> A.Measure:
+        return A.money(A.sum_pair(name, plat, shop), 4)
+
     life = Section((
         A.min_of("FIRST_ORDER_TIME", date),
         A.max_of("LST_ORDER_TIME", date),
         A.sum_of("ORDER_NUM", F.col("order_num")),
-        A.rounded(A.sum_of("ORDER_AMOUNT", pay), 2),
-        A.sum_pair("ORDER_DISCOUNT", plat, shop, scale=2),
+        A.rounded(amount("ORDER_AMOUNT"), 2),
+        A.rounded(discount("ORDER_DISCOUNT"), 2),
         A.attr_at_first("FIRST_ORDER_SHOPID", date, F.col("shop_id")),
         A.attr_at_last("LST_ORDER_SHOPID", date, F.col("shop_id")),
         A.days_since_first("FIRST_ORDER_INTRVL", asof, date),
@@ -91,11 +98,11 @@ def order_line_sections(asof: AsOf) -> dict[str, Section]:
 
     def sums(w: str) -> list[A.Measure]:
         return [A.sum_of(f"LST_ORDER_NUM_{w}", F.col("order_num")),
-                A.sum_of(f"LST_ORDER_AMOUNT_{w}", pay),
-                A.sum_pair(f"LST_ORDER_DISC_{w}", plat, shop)]
+                amount(f"LST_ORDER_AMOUNT_{w}"),
+                discount(f"LST_ORDER_DISC_{w}")]
 
     def fpa(w: str) -> A.Measure:
-        return A.full_price_average(f"FULL_AVERAGE_PRICE_{w}", pay, total)
+        return A.full_price_average(f"FULL_AVERAGE_PRICE_{w}", pay, total, unit_scale=4)
 
     plan = {"30D": sums("30D") + [fpa("30D")], "90D": sums("90D") + [fpa("90D")],
             "120D": [fpa("120D")], "180D": sums("180D"), "360D": sums("360D") + [fpa("360D")]}
@@ -109,17 +116,22 @@ RECHARGE_WINDOWS = ("30D", "90D", "180D", "360D")
 
 def order_table_sections(asof: AsOf) -> dict[str, Section]:
     date = F.col("ds_dt")
-    a, b = F.col("actual_pay_amt"), F.col("back_pay_amt")
+    a, b = F.col("actual_u3"), F.col("back_u3")
     recharge = F.col("is_recharge")
+
+    def charged(name: str) -> A.Measure:
+        # one null policy for every window: coalesce each part per row
+        return A.rounded(A.money(A.row_sum_coalesced(name, a, b), 3), 2)
+
     life = Section((
         A.min_of("FIRST_CHARGE_TIME", date),
         A.max_of("LAST_CHARGE_TIME", date),
         A.days_since_last("LAST_CHARGE_DAYS", asof, date),
-        A.row_sum_coalesced("TOTAL_CHARGE_AMOUNT", a, b, scale=2),
+        charged("TOTAL_CHARGE_AMOUNT"),
     ), recharge, require="member_no_nonempty")
     out = {"register": Section((A.min_of("register_time", date),)),
            "recharge_lifecycle": life}
-    plan = {w: [A.row_sum_coalesced(f"LAST_CHARGE_AMOUNT_{w}", a, b, scale=2)] for w in RECHARGE_WINDOWS}
+    plan = {w: [charged(f"LAST_CHARGE_AMOUNT_{w}")] for w in RECHARGE_WINDOWS}
     for name, sec in A.window_sections("ds_dt", asof, plan, prefix="recharge_").items():
         out[name] = Section(sec.measures, sec.predicate & recharge)
     return out
@@ -128,12 +140,14 @@ def order_table_sections(asof: AsOf) -> dict[str, Section]:
 # -- activity log: points, coupons, messages, channel ---------------------------
 
 def event_sections(asof: AsOf) -> dict[str, Section]:
-    t, amt = F.col("event_type"), F.col("amount")
+    t, amt = F.col("event_type"), F.col("amount_u2")
     recv, used = F.col("received_coupon_cnt"), F.col("used_coupon_cnt")
-    zero = F.lit(0).cast("decimal(18,2)")
 
     def points(kind: str) -> Column:
-        return F.when(t == kind, amt).otherwise(zero)
+        return F.when(t == kind, amt).otherwise(F.lit(0).cast("long"))
+
+    def cents(m: A.Measure) -> A.Measure:
+        return A.money(m, 2)
 
     def ones(kind: str) -> Column:
         return F.when(t == kind, F.lit(1)).otherwise(F.lit(0)).cast("long")
@@ -141,10 +155,10 @@ def event_sections(asof: AsOf) -> dict[str, Section]:
     recent15 = F.col("ds_dt") >= F.lit(asof.lower_bound("15D"))
     return {
         "points_totals": Section((
-            A.sum_of("EXCHANGE_POINTS", points("purchase")), A.sum_of("GET_POINTS", points("click")),
-            A.sum_of("EXPIRED_POINTS", points("error")), A.sum_of("CLEAR_POINTS", points("view")),
+            cents(A.sum_of("EXCHANGE_POINTS", points("purchase"))), cents(A.sum_of("GET_POINTS", points("click"))),
+            cents(A.sum_of("EXPIRED_POINTS", points("error"))), cents(A.sum_of("CLEAR_POINTS", points("view"))),
             A.sum_of("YH_POINTS_COUNT", ones("purchase")), A.sum_of("GET_POINTS_COUNT", ones("click")))),
-        "typed_event_total": Section((A.sum_of("ACTIVITIES_POINT_COUNT", amt),), t == B.POINT_TYPE_WANTED),
+        "typed_event_total": Section((cents(A.sum_of("ACTIVITIES_POINT_COUNT", amt)),), t == B.POINT_TYPE_WANTED),
         "coupon_lifetime": Section((
             A.sum_of("TOTAL_RECEIVED_COUPON", recv), A.sum_of("TOTAL_USED_COUNPON", used),
             A.pct_of("TOTAL_USED_COUNPON_PERCENT", used, recv))),
@@ -275,10 +289,10 @@ def order_windows(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataF
 
 def full_price_average(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame:
     """All-time full-price average per member, with the count of full-price lines."""
-    pay, total = F.col("pay_amount"), F.col("total_amount")
+    pay, total = F.col("pay_u4"), F.col("total_u4")
     full = ~F.coalesce(pay < total, F.lit(False))
     sec = Section((A.Measure("FULL_PRICE_LINES", lambda inside: F.count(F.when(inside & full, F.lit(1)))),
-                   A.full_price_average("FULL_AVERAGE_PRICE", pay, total)))
+                   A.full_price_average("FULL_AVERAGE_PRICE", pay, total, unit_scale=4)))
     return single_section(spark, d, slot_lines(spark, d, asof), "fpa", sec)
 
 

@@ -6,7 +6,8 @@ stands for.  Facts are keyed by ``member_id`` alone: the tenant is a property
 of the member, attached after aggregation (see ``plans.sections``), which
 keeps the large fact shuffles free of the member table.
 
-Money columns are DECIMAL(18,2) (``dec``); derived amounts stay DECIMAL.
+Money columns are fixed-point LONG units (``to_units``) with the scale in
+the column name; sections turn totals back into exact DECIMAL.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numeric import dec
+from ..functions.numeric import to_units
 from .tables import read_table
 
 # Fixed values of the bindings.
@@ -82,22 +83,24 @@ def shops(spark: SparkSession, d: str) -> DataFrame:
 def order_lines(spark: SparkSession, d: str) -> DataFrame:
     """Order fact at line grain: lineitem joined to its order.
 
-    pay = total * (1 - discount); platform discount = total * discount;
-    shop discount = total * tax; slot = line status.
+    Amounts are fixed-point LONG units (``to_units``): ``*_u2`` in cents,
+    ``*_u4`` in 1/10000.  pay = total * (1 - discount); platform discount =
+    total * discount; shop discount = total * tax; slot = line status.
     """
     l = read_table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
                    "l_extendedprice", "l_discount", "l_tax", "l_linestatus")
     o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     j = l.join(o, l.l_orderkey == o.o_orderkey, "inner")
-    total = dec("l_extendedprice")
+    total = to_units("l_extendedprice", 2)
+    disc = to_units("l_discount", 2)
     return j.select(
         F.col("o_custkey").alias("member_id"),
         F.to_date("o_orderdate").alias("orderdate"),
         F.lit(1).cast("long").alias("order_num"),
-        total.alias("total_amount"),
-        (total * (F.lit(1) - dec("l_discount"))).alias("pay_amount"),
-        (total * dec("l_discount")).alias("platform_discount_amount"),
-        (total * dec("l_tax")).alias("shop_discount_amount"),
+        (total * F.lit(100)).alias("total_u4"),
+        (total * (F.lit(100) - disc)).alias("pay_u4"),
+        (total * disc).alias("platform_discount_u4"),
+        (total * to_units("l_tax", 2)).alias("shop_discount_u4"),
         F.col("l_suppkey").alias("shop_id"),
         F.col("l_partkey").alias("item_code"),
         F.col("l_quantity").alias("item_num"),
@@ -120,14 +123,15 @@ def event_facts(spark: SparkSession, d: str) -> DataFrame:
     Points, point types, coupon receive/use, coupon flow, message log and
     member channel all live in the one ``events`` table of the test data; a
     single binding lets every section over it share one scan and one
-    aggregation (see ``plans.sections``).
+    aggregation (see ``plans.sections``).  ``amount_u2`` is the event value in
+    cents.
     """
     e = _events(spark, d, "user_id", "event_type", "value", "ts")
     t = F.col("event_type")
     return e.select(
         F.col("user_id").alias("member_id"),
         t.alias("event_type"),
-        dec("value").alias("amount"),
+        to_units("value", 2).alias("amount_u2"),
         F.to_date("ts").alias("ds_dt"),
         F.col("ts").alias("create_time"),
         F.when(t == "view", F.lit(1)).otherwise(F.lit(0)).cast("long").alias("received_coupon_cnt"),
@@ -139,76 +143,15 @@ def event_facts(spark: SparkSession, d: str) -> DataFrame:
 
 def order_facts(spark: SparkSession, d: str) -> DataFrame:
     """The orders table seen as registration history and stored-value
-    recharges (urgent orders; the 10 % bonus exists only for status 'P')."""
+    recharges (urgent orders; the 10 % bonus exists only for status 'P').
+    ``actual_u3`` / ``back_u3`` are in 1/1000 so the bonus stays exact."""
     o = read_table(spark, d, "orders", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                    "o_orderpriority")
-    actual = dec("o_totalprice")
-    back = F.when(F.col("o_orderstatus") == RECHARGE_BACK_STATUS, actual * F.lit(0.1).cast("decimal(1,1)"))
+    actual = to_units("o_totalprice", 2)
+    back = F.when(F.col("o_orderstatus") == RECHARGE_BACK_STATUS, actual)  # cents * 0.1 = actual in 1/1000
     return o.select(F.col("o_custkey").alias("member_id"), F.to_date("o_orderdate").alias("ds_dt"),
                     (F.col("o_orderpriority") == RECHARGE_PRIORITY).alias("is_recharge"),
-                    actual.alias("actual_pay_amt"), back.alias("back_pay_amt"))
-
-
-def point_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Points fact: the event value lands in the column of its type."""
-    e = _events(spark, d, "user_id", "event_type", "value")
-    v = dec("value")
-    zero = F.lit(0).cast("decimal(18,2)")
-
-    def pick(kind: str):
-        return F.when(F.col("event_type") == kind, v).otherwise(zero)
-
-    def one(kind: str):
-        return F.when(F.col("event_type") == kind, F.lit(1)).otherwise(F.lit(0)).cast("long")
-
-    return e.select(
-        F.col("user_id").alias("member_id"),
-        pick("purchase").alias("exchange_points"),
-        pick("click").alias("get_points"),
-        pick("error").alias("expired_points"),
-        pick("view").alias("clear_points"),
-        one("purchase").alias("yh_points_count"),
-        one("click").alias("get_points_count"),
-    )
-
-
-def point_type_rows(spark: SparkSession, d: str) -> DataFrame:
-    e = _events(spark, d, "user_id", "event_type", "value")
-    return e.select(F.col("user_id").alias("member_id"), F.col("event_type").alias("point_change_type"),
-                    dec("value").alias("points_cnt"))
-
-
-def coupon_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Coupon receive/use fact: a view receives one coupon, a click uses one."""
-    e = _events(spark, d, "user_id", "event_type", "ts")
-    return e.select(
-        F.col("user_id").alias("member_id"),
-        F.when(F.col("event_type") == "view", F.lit(1)).otherwise(F.lit(0)).cast("long").alias("received_coupon_cnt"),
-        F.when(F.col("event_type") == "click", F.lit(1)).otherwise(F.lit(0)).cast("long").alias("used_coupon_cnt"),
-        F.to_date("ts").alias("ds_dt"),
-    )
-
-
-def coupon_flow(spark: SparkSession, d: str) -> DataFrame:
-    """Coupon flow: signups are status '10'; a coupon is valid 15 days."""
-    e = _events(spark, d, "user_id", "event_type", "ts")
-    return e.select(
-        F.col("user_id").alias("member_id"),
-        F.when(F.col("event_type") == "signup", F.lit(COUPON_VALID_STATUS)).otherwise(F.lit("20")).alias("coupon_status"),
-        F.timestamp_add("DAY", F.lit(COUPON_VALID_DAYS), F.col("ts")).alias("invalid_time"),
-    )
-
-
-def recharge_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Stored-value recharges: urgent orders; the bonus part (10 %) exists only
-    for status 'P' and is null otherwise."""
-    o = read_table(spark, d, "orders", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
-                   "o_orderpriority")
-    o = o.filter(F.col("o_orderpriority") == RECHARGE_PRIORITY)
-    actual = dec("o_totalprice")
-    back = F.when(F.col("o_orderstatus") == RECHARGE_BACK_STATUS, actual * F.lit(0.1).cast("decimal(1,1)"))
-    return o.select(F.col("o_custkey").alias("member_id"), F.to_date("o_orderdate").alias("ds_dt"),
-                    actual.alias("actual_pay_amt"), back.alias("back_pay_amt"))
+                    (actual * F.lit(10)).alias("actual_u3"), back.alias("back_u3"))
 
 
 def message_rows(spark: SparkSession, d: str) -> DataFrame:
