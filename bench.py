@@ -57,32 +57,45 @@ def chained_full_joins(spark, d) -> DataFrame:
     return to_plain(out)
 
 
+def timed(build) -> float:
+    """Construction + execution; construction counts because some queries
+    write eagerly and because planning is part of the cost."""
+    t = time.perf_counter()
+    df = build()
+    build_s = time.perf_counter() - t
+    return build_s + run(df)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus))
     # warm-up pass on the smallest tables: JIT and the generated-code cache
-    # are shared with the timed pass (same plans, other data), untimed
+    # are shared with the timed passes (same plans, other data); untimed
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
     if os.path.isdir(warm_dir):
         for q in QUERIES.values():
             run(q(spark, warm_dir))
-    times: dict[str, float] = {}
-    for name, q in QUERIES.items():
-        t = time.perf_counter()
-        df = q(spark, sf_dir)  # construction is timed too (some queries write eagerly)
-        build = time.perf_counter() - t
-        times[name] = round(build + run(df), 3)
-    baselines = {
-        "order_windows_five_queries": round(run(five_window_queries(spark, sf_dir)), 3),
-        "wide_profile_chained_full_joins": round(run(chained_full_joins(spark, sf_dir)), 3),
-    }
+    jobs = {name: (lambda q=q: q(spark, sf_dir)) for name, q in QUERIES.items()}
+    jobs["baseline:order_windows_five_queries"] = lambda: five_window_queries(spark, sf_dir)
+    jobs["baseline:wide_profile_chained_full_joins"] = lambda: chained_full_joins(spark, sf_dir)
+    best: dict[str, float] = {}
+    for _ in range(repeats):  # best of N: the local VM has noisy JIT/GC pauses
+        for name, build in jobs.items():
+            best[name] = min(best.get(name, float("inf")), timed(build))
+    times = {k: round(v, 3) for k, v in best.items() if not k.startswith("baseline:")}
+    baselines = {k.split(":", 1)[1]: round(v, 3) for k, v in best.items() if k.startswith("baseline:")}
     headline = sum(times[q] for q in HEADLINE)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(headline, 3), "unit": "sec",
         "queries": times, "total_all_queries": round(sum(times.values()), 3),
-        "baseline_shapes": baselines, "headline": HEADLINE, "sf": sf, "cpus": int(cpus),
+        "baseline_shapes": baselines,
+        "speedup_vs_baseline_shapes": {
+            "order_windows": round(baselines["order_windows_five_queries"] / times["order_windows"], 2),
+            "wide_profile": round(baselines["wide_profile_chained_full_joins"] / times["wide_profile"], 2)},
+        "headline": HEADLINE, "sf": sf, "cpus": int(cpus), "repeats": repeats,
     }))
 
 
