@@ -66,15 +66,17 @@ def to_plain(df: DataFrame) -> DataFrame:
     """Presentation: DECIMAL -> DOUBLE, DATE -> 'yyyy-MM-dd' text, integral
     types -> BIGINT.  Used at the edge of registered queries so results compare
     across engines without type-system differences."""
-    cols = []
+    from .sqltext import project, q
+    pairs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        t = f.dataType
+        c, t = q(f.name), f.dataType
         if isinstance(t, T.DecimalType):
-            c = c.cast("double")
+            e = f"CAST({c} AS DOUBLE)"
         elif isinstance(t, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
+            e = f"date_format({c}, 'yyyy-MM-dd')"
         elif isinstance(t, (T.ByteType, T.ShortType, T.IntegerType)):
-            c = c.cast("long")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            e = f"CAST({c} AS BIGINT)"
+        else:
+            e = c
+        pairs.append((f.name, e))
+    return project(df, pairs)

@@ -13,23 +13,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.sqltext import project, q, s
+
 CELL_COLUMNS = ["row_key", "cf", "col", "ts", "value"]
 CELL_SCHEMA = "row_key string, cf string, col string, ts long, value string"
 
 
-def cell_text(c: Column, dtype: T.DataType, date_format: str = "yyyy-MM-dd") -> Column:
-    """Canonical cell text of a typed value (null stays null here)."""
+def cell_text_sql(ref: str, dtype: T.DataType, date_format: str = "yyyy-MM-dd") -> str:
+    """SQL of the canonical cell text of a typed value (null stays null here)."""
     if isinstance(dtype, T.StringType):
-        return c
+        return ref
     if isinstance(dtype, T.DateType):
-        return F.date_format(c, date_format)
+        return f"date_format({ref}, {s(date_format)})"
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        return f"date_format({ref}, 'yyyy-MM-dd HH:mm:ss')"
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return c.cast(T.DecimalType(38, 6)).cast("string")
+        return f"CAST(CAST({ref} AS DECIMAL(38,6)) AS STRING)"
     if isinstance(dtype, T.BooleanType):
-        return F.when(c, F.lit("true")).when(~c, F.lit("false"))
-    return c.cast("string")  # integral and decimal types print as plain text
+        return f"CASE WHEN {ref} THEN 'true' WHEN NOT {ref} THEN 'false' END"
+    return f"CAST({ref} AS STRING)"  # integral and decimal types print as plain text
+
+
+def cell_text(c: str, dtype: T.DataType, date_format: str = "yyyy-MM-dd") -> Column:
+    """Column form of ``cell_text_sql`` for one named column."""
+    return F.expr(cell_text_sql(q(c), dtype, date_format))
 
 
 def wide_to_cells(wide: DataFrame, key: str, families: Mapping[str, str], ts: int,
@@ -47,16 +54,16 @@ def wide_to_cells(wide: DataFrame, key: str, families: Mapping[str, str], ts: in
     presence = presence or {}
     dtypes = {f.name: f.dataType for f in wide.schema.fields}
     names = sorted(c for c in families if c in dtypes and c != key)
-    values = []
+    pairs = [("row_key", q(key))]
     for n in names:
-        text = F.coalesce(cell_text(F.col(n), dtypes[n], date_formats.get(n, "yyyy-MM-dd")), F.lit(""))
+        text = f"coalesce({cell_text_sql(q(n), dtypes[n], date_formats.get(n, 'yyyy-MM-dd'))}, '')"
         if n in presence:
-            text = F.when(F.col(presence[n]), text)
-        values.append(text.alias(n))
-    staged = wide.filter(F.col(key).isNotNull()).select(F.col(key).alias("row_key"), *values)
+            text = f"CASE WHEN {q(presence[n])} THEN {text} END"
+        pairs.append((n, text))
+    staged = project(wide.filter(F.col(key).isNotNull()), pairs)
     long = staged.unpivot(["row_key"], names, "col", "value").filter(F.col("value").isNotNull())
-    fam = F.create_map(*[x for n in names for x in (F.lit(n), F.lit(families[n]))])
-    return long.select("row_key", F.element_at(fam, F.col("col")).alias("cf"), "col",
+    fam = "map(" + ", ".join(f"{s(n)}, {s(families[n])}" for n in names) + ")"
+    return long.select("row_key", F.expr(f"element_at({fam}, col)").alias("cf"), "col",
                        F.lit(ts).cast("long").alias("ts"), "value")
 
 
@@ -107,9 +114,9 @@ def cells_to_wide(cells: DataFrame, columns: Sequence[tuple[str, str]], key_name
     a hundred-plus string buffers.
     """
     latest = cells if deduplicated else latest_cells(cells)
-    wanted = F.array(*[F.lit(f"{cf}\u0001{col}") for cf, col in columns])
-    key = F.concat_ws("\u0001", "cf", "col")
-    rows = latest.filter(F.array_contains(wanted, key))
+    wanted = "array(" + ", ".join(s(f"{cf}:{col}") for cf, col in columns) + ")"
+    key = F.concat_ws(":", "cf", "col")
+    rows = latest.filter(F.expr(f"array_contains({wanted}, concat_ws(':', cf, col))"))
     m = rows.groupBy(F.col("row_key").alias(key_name)).agg(
         F.map_from_entries(F.collect_list(F.struct(key.alias("k"), F.col("value").alias("v")))).alias("__m"))
-    return m.select(key_name, *[F.col("__m")[f"{cf}\u0001{col}"].alias(col) for cf, col in columns])
+    return project(m, [(key_name, q(key_name))] + [(col, f"__m[{s(cf + ':' + col)}]") for cf, col in columns])

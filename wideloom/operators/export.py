@@ -7,36 +7,43 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sqltext import project, q
 
-def typed_value(c: Column, kind: str, default_zero: bool = False) -> Column:
-    """Cell text -> exported type.  '' and unparsable text become null (never an
-    error), integer kinds keep the integer part of a decimal text, and
-    ``default_zero`` turns a missing value into 0."""
-    text = F.nullif(c, F.lit(""))
+
+def typed_value_sql(ref: str, kind: str, default_zero: bool = False) -> str:
+    """SQL of cell text -> exported type.  '' and unparsable text become null
+    (never an error), integer kinds keep the integer part of a decimal text,
+    and ``default_zero`` turns a missing value into 0."""
+    text = f"nullif({ref}, '')"
     if kind == "string":
-        out = c
+        out = ref
     elif kind in ("tinyint", "int"):
-        out = text.try_cast("decimal(38,10)").try_cast(kind)
+        out = f"try_cast(try_cast({text} AS DECIMAL(38,10)) AS {kind.upper()})"
     elif kind == "double":
-        out = text.try_cast("double")
+        out = f"try_cast({text} AS DOUBLE)"
     elif kind == "date":
-        out = text.try_cast("date")
+        out = f"try_cast({text} AS DATE)"
     elif kind == "ymd":
-        out = F.date_format(F.try_to_date(text, "yyyyMMdd"), "yyyy-MM-dd")
+        out = f"date_format(try_to_date({text}, 'yyyyMMdd'), 'yyyy-MM-dd')"
     else:
         raise ValueError(f"unknown export kind {kind!r}")
     if default_zero:
-        zero = F.lit(0).cast(kind) if kind in ("tinyint", "int") else F.lit(0.0)
-        out = F.coalesce(out, zero)
+        zero = f"CAST(0 AS {kind.upper()})" if kind in ("tinyint", "int") else "CAST(0 AS DOUBLE)"
+        out = f"coalesce({out}, {zero})"
     return out
 
 
+def typed_value(name: str, kind: str, default_zero: bool = False) -> Column:
+    """Column form of ``typed_value_sql`` for one named column."""
+    return F.expr(typed_value_sql(q(name), kind, default_zero))
+
+
 def typed_export(wide: DataFrame, catalog: Sequence) -> DataFrame:
     """Select every catalog column, in catalog order, cast to its export type.
     Catalog columns missing from ``wide`` are exported as typed nulls/defaults."""
     have = set(wide.columns)
-    cols = []
+    pairs = []
     for spec in catalog:
-        src = F.col(spec.name) if spec.name in have else F.lit(None).cast("string")
-        cols.append(typed_value(src, spec.kind, spec.default_zero).alias(spec.name))
-    return wide.select(*cols)
+        ref = q(spec.name) if spec.name in have else "CAST(NULL AS STRING)"
+        pairs.append((spec.name, typed_value_sql(ref, spec.kind, spec.default_zero)))
+    return project(wide, pairs)

@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import row_key
+from ..functions.sqltext import project, q
 from ..operators import aggregates as A
 from ..operators import cells as C
 from ..operators.aggregates import Section
@@ -23,19 +23,56 @@ from .catalog import BY_NAME, CATALOG, ROW_KEY, VALUE_COLUMNS
 SIGNALS = {"register", "recent_message", "channel_signup"}
 
 
+# Plans of the source passes per (session, folder, as-of days): a pass is an
+# immutable DataFrame, so every query of one run (profile, cells, export)
+# shares the same plan object instead of rebuilding thousands of expressions
+# on the driver.  Execution is not cached.
+_PASS_PLANS: dict[tuple, tuple[DataFrame, dict]] = {}
+
+
+def _pass(spark: SparkSession, key: tuple, make) -> tuple[DataFrame, dict]:
+    k = (id(spark),) + key
+    hit = _PASS_PLANS.get(k)
+    if hit is None or hit[0].sparkSession is not spark:
+        hit = make()
+        _PASS_PLANS[k] = hit
+    return hit
+
+
 def source_passes(spark: SparkSession, d: str, order_asof: AsOf = ORDER_ASOF,
-                  event_asof: AsOf = EVENT_ASOF) -> dict[str, tuple[DataFrame, dict]]:
-    """One aggregation per physical source: name -> (member-keyed frame, sections)."""
-    ol = S.order_line_sections(order_asof)
-    ot = S.order_table_sections(order_asof)
-    ev = S.event_sections(event_asof)
-    return {
-        "order_lines": (A.sectioned_aggregate(S.slot_lines(spark, d, order_asof), ["member_id"], ol), ol),
-        "order_table": (A.sectioned_aggregate(B.order_facts(spark, d), ["member_id"], ot), ot),
-        "events": (A.sectioned_aggregate(B.event_facts(spark, d), ["member_id"], ev), ev),
-        "top_items": (S.top_items_by_member(spark, d, order_asof).withColumn("has_top_items", F.lit(True)),
-                      {"top_items": Section(tuple(A.Measure(c, None) for c in S.TOP_CODES + S.TOP_NAMES))}),
-    }
+                  event_asof: AsOf = EVENT_ASOF, wanted: set[str] | None = None
+                  ) -> dict[str, tuple[DataFrame, dict]]:
+    """One aggregation per physical source: name -> (member-keyed frame, sections).
+    ``wanted`` (section names) skips passes none of whose sections are needed."""
+    def order_lines():
+        ol = S.order_line_sections(order_asof)
+        return A.sectioned_aggregate(S.slot_lines(spark, d, order_asof), ["member_id"], ol), ol
+
+    def order_table():
+        ot = S.order_table_sections(order_asof)
+        return A.sectioned_aggregate(B.order_facts(spark, d), ["member_id"], ot), ot
+
+    def events():
+        ev = S.event_sections(event_asof)
+        return A.sectioned_aggregate(B.event_facts(spark, d), ["member_id"], ev), ev
+
+    def top_items():
+        frame = S.top_items_by_member(spark, d, order_asof).withColumn("has_top_items", F.lit(True))
+        return frame, {"top_items": Section(tuple(A.Measure(c, None) for c in S.TOP_CODES + S.TOP_NAMES))}
+
+    makers = {"order_lines": (order_lines, (d, order_asof)), "order_table": (order_table, (d, order_asof)),
+              "events": (events, (d, event_asof)), "top_items": (top_items, (d, order_asof))}
+    # sections each pass serves (member-side sections read signals of two passes)
+    serves = {"order_lines": {"order_lifecycle"} | {f"order_{w}" for w in S.ORDER_WINDOWS},
+              "order_table": {"recharge_lifecycle", "member_base"} | {f"recharge_{w}" for w in S.RECHARGE_WINDOWS},
+              "events": {"points_totals", "typed_event_total", "coupon_lifetime", "coupon_recent",
+                         "coupon_valid", "member_base", "active_flag"},
+              "top_items": {"top_items"}}
+    out = {}
+    for name, (make, key) in makers.items():
+        if wanted is None or serves[name] & wanted:
+            out[name] = _pass(spark, (name,) + key, make)
+    return out
 
 
 def wide_sections(spark: SparkSession, d: str, order_asof: AsOf = ORDER_ASOF,
@@ -51,7 +88,7 @@ def wide_sections(spark: SparkSession, d: str, order_asof: AsOf = ORDER_ASOF,
     ``merge_sections``), then joins the member frame once.  ``names`` limits
     the profile to some sections (a partial reload).
     """
-    passes = source_passes(spark, d, order_asof, event_asof)
+    passes = source_passes(spark, d, order_asof, event_asof, set(names) if names is not None else None)
     members = S.member_frame(spark, d).filter(F.col("tenant_id").isNotNull() & F.col("member_id").isNotNull())
     if merge == "union":
         facts = merge_sections({k: v[0] for k, v in passes.items()}, ["member_id"], markers=False)
@@ -72,32 +109,38 @@ def wide_sections(spark: SparkSession, d: str, order_asof: AsOf = ORDER_ASOF,
         "member_flag": S.member_flag_pred(),
         "active_flag": S.active_flag_pred(),
     }
-    section_cols = {
-        "member_base": list(zip(S.MEMBER_BASE_COLUMNS, S.member_base_columns(order_asof))),
-        "member_flag": [("MEMBER_FLG", F.col("member_flg"))],
-        "active_flag": [("IS_MP_ACITIVE_USER", S.active_flag_column())],
+    # member-side values are computed under private names (the member frame
+    # uses lower-case names that would clash with the catalog names)
+    derived = {f"__mb_{n}": c for n, c in zip(S.MEMBER_BASE_COLUMNS, S.member_base_columns(order_asof))}
+    derived["__mf"] = F.col("member_flg")
+    derived["__af"] = S.active_flag_column()
+    section_cols: dict[str, list[tuple[str, str]]] = {
+        "member_base": [(n, f"__mb_{n}") for n in S.MEMBER_BASE_COLUMNS],
+        "member_flag": [("MEMBER_FLG", "__mf")],
+        "active_flag": [("IS_MP_ACITIVE_USER", "__af")],
     }
     for _, (frame, secs) in passes.items():
         for name, sec in secs.items():
             if name in SIGNALS:
                 continue
             presence[name] = has(name) & S.member_requirement(sec.require)
-            section_cols[name] = [(m.name, F.col(m.name)) for m in sec.measures]
+            section_cols[name] = [(m.name, m.name) for m in sec.measures]
     wanted = list(names) if names is not None else list(presence)
-    cols, pres_map = [], {}
+    staged = wide.select("*", *[c.alias(n) for n, c in derived.items()],
+                         *[presence[n].alias(f"__p_{n}") for n in wanted])
+    pairs = [("tenant_id", "tenant_id"), ("member_id", "member_id"),
+             (ROW_KEY, "concat(CAST(tenant_id AS STRING), '_', CAST(member_id AS STRING))")]
+    pres_map = {}
     for name in wanted:
         flag = f"has_{name}"
-        cols.append(presence[name].alias(flag))
-        for col_name, expr in section_cols[name]:
-            cols.append(F.when(presence[name], expr).alias(col_name))
+        pairs.append((flag, q(f"__p_{name}")))
+        for col_name, src in section_cols[name]:
+            pairs.append((col_name, f"CASE WHEN {q(f'__p_{name}')} THEN {q(src)} END"))
             pres_map[col_name] = flag
     if "member_base" in wanted:
         pres_map["MEMBER_ID"] = pres_map["TENANT_ID"] = "has_member_base"
-    keyed = wide.select(*S.KEYS, row_key(F.col("tenant_id"), F.col("member_id")).alias(ROW_KEY), *cols)
-    any_present = F.lit(False)
-    for name in wanted:
-        any_present = any_present | F.col(f"has_{name}")
-    return keyed.filter(any_present), pres_map
+    keyed = project(staged, pairs)
+    return keyed.filter(F.expr(" OR ".join(q(f"has_{n}") for n in wanted))), pres_map
 
 
 def wide_profile(spark: SparkSession, d: str, order_asof: AsOf = ORDER_ASOF,
