@@ -114,9 +114,9 @@ def cells_to_wide(cells: DataFrame, columns: Sequence[tuple[str, str]], key_name
     a hundred-plus string buffers.
     """
     latest = cells if deduplicated else latest_cells(cells)
-    wanted = "array(" + ", ".join(s(f"{cf}:{col}") for cf, col in columns) + ")"
+    wanted = ", ".join(s(f"{cf}:{col}") for cf, col in columns)
     key = F.concat_ws(":", "cf", "col")
-    rows = latest.filter(F.expr(f"array_contains({wanted}, concat_ws(':', cf, col))"))
+    rows = latest.filter(F.expr(f"concat_ws(':', cf, col) IN ({wanted})"))  # hashed set lookup
     m = rows.groupBy(F.col("row_key").alias(key_name)).agg(
         F.map_from_entries(F.collect_list(F.struct(key.alias("k"), F.col("value").alias("v")))).alias("__m"))
     return project(m, [(key_name, q(key_name))] + [(col, f"__m[{s(cf + ':' + col)}]") for cf, col in columns])
