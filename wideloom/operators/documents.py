@@ -108,9 +108,13 @@ def partition_value(value_text: Column, kind: str, out_format: str, in_format: s
     return reformat_date_text(value_text, in_format or "yyyy-MM-dd HH:mm:ss", out_format)
 
 
-def field_ignore_case(doc_text: Column, name: str) -> Column:
-    """Top-level field of a JSON text matched case-insensitively, as text."""
-    m = F.from_json(doc_text, T.MapType(T.StringType(), T.StringType()))
+def field_ignore_case(doc: Column, name: str, parsed: bool = False) -> Column:
+    """Top-level field matched case-insensitively, as text.  ``doc`` is JSON
+    text, or (``parsed=True``) an already parsed VARIANT document."""
+    if parsed:
+        m = F.try_variant_get(doc, "$", "map<string,string>")
+    else:
+        m = F.from_json(doc, T.MapType(T.StringType(), T.StringType()))
     hit = F.map_filter(m, lambda k, _v: F.lower(k) == F.lit(name.lower()))
     return F.try_element_at(F.map_values(hit), F.lit(1))
 
@@ -120,15 +124,21 @@ def project_documents(docs: DataFrame, doc_col: str, mapping: Mapping,
                       partition_in_format: str | None = None,
                       keep: Sequence[str] = ()) -> DataFrame:
     """Documents (JSON text column) -> rows of the mapping's schema (plus
-    ``keep`` columns in front).  Row-local: no shuffle."""
-    v = F.try_parse_json(F.col(doc_col))
+    ``keep`` columns in front).  Row-local: no shuffle.
+
+    The document is parsed once into a VARIANT in its own projection (Catalyst
+    keeps it separate because several fields read it) and every field is a
+    path lookup into that value."""
+    parsed = docs.select(*keep, F.col(doc_col).alias("__doc"), F.try_parse_json(F.col(doc_col)).alias("__v"))
+    v = F.col("__v")
     cols = [F.col(k) for k in keep]
     for f in mapping.fields:
         cols.append(field_value(v, f.source, f.target_type).cast(TYPE_NAMES[f.target_type]).alias(f.target))
-    part = partition_value(field_ignore_case(F.col(doc_col), partition_source), partition_kind,
+    # a plain map parse of the text is cheaper here than casting the VARIANT
+    part = partition_value(field_ignore_case(F.col("__doc"), partition_source), partition_kind,
                            partition_format, partition_in_format)
     cols.append(part.alias(mapping.partition))
-    return docs.select(*cols)
+    return parsed.select(*cols)
 
 
 def last_with_key(rows: DataFrame, keys: Sequence[str], order_col: str, value_cols: Sequence[str],
