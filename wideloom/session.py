@@ -44,13 +44,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the operator of the cluster sets it to a shared file
     system; we only fill it in when it is unset (local runs and tests).
     """
-    sc = spark.sparkContext
-    current = sc.getConf().get(CHECKPOINT_KEY, None)
-    if not current:
-        current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a driver-side context
+        sc = None
+    current = spark.conf.get(CHECKPOINT_KEY, None)
+    if not current and sc is not None:
+        current = sc.getConf().get(CHECKPOINT_KEY, None) or sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="wideloom-ckpt-")
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current.rstrip("/")
 
