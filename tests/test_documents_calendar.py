@@ -74,3 +74,34 @@ def test_calendar_between_from_frame(spark):
     assert CAL.calendar_between(b, "lo", "hi", "range").count() == 3
     r = spark.createDataFrame([(dt.date(2021, 10, 3), dt.date(2021, 10, 1))], "lo date, hi date")
     assert CAL.calendar_between(r, "lo", "hi", "range").count() == 0
+
+
+CONFIG = """
+#target table
+hivePartitionName=dt
+hivePartitionFormatter=yyyy-MM-dd
+es2HivePartitionName=createdtime
+es2HivePartitionFormatter=timestamp
+esColumnList=\\
+createdtime long,\\
+maptest.name string
+
+#  maptest.id string,\\
+hiveColumnList=\\
+createdtime long,\\
+name string
+"""
+
+
+def test_config_file_and_json_lines(spark, tmp_path):
+    from wideloom.sources.documents import load_config, read_json_documents
+    mapping, part = load_config(CONFIG)
+    assert mapping.schema.fieldNames() == ["createdtime", "name", "dt"]
+    assert part == {"partition_source": "createdtime", "partition_kind": "timestamp", "partition_format": "yyyy-MM-dd"}
+    f = tmp_path / "docs.json"
+    f.write_text('{"createdtime":1633651200000,"maptest":[{"name":"a"},{"id":"1"},{"name":"b"}]}\n\n'
+                 '{"CreatedTime":1633737600000,"maptest":[]}\n')
+    rows = project_documents(read_json_documents(spark, str(f)), "doc", mapping, **part).collect()
+    got = sorted((tuple(r) for r in rows), key=lambda t: t[2])
+    # exact-name fields (the second document spells CreatedTime) vs case-insensitive partition field
+    assert got == [(1633651200000, "b", "2021-10-08"), (None, None, "2021-10-09")]
