@@ -35,8 +35,8 @@ def to_units(c: Column | str, scale: int) -> Column:
 
 def from_units(units: Column, scale: int) -> Column:
     """Integer units -> exact DECIMAL(38, scale)."""
-    step = F.lit(decimal.Decimal(1).scaleb(-scale)).cast(T.DecimalType(scale + 1, scale))
-    return (units.cast(T.DecimalType(38, 0)) * step).cast(T.DecimalType(38, scale))
+    step = F.expr(f"CAST('{decimal.Decimal(1).scaleb(-scale)}' AS DECIMAL({scale + 1},{scale}))")
+    return (units.cast("decimal(38,0)") * step).cast(f"decimal(38,{scale})")
 
 
 def ratio_or_zero(num: Column, den: Column) -> Column:

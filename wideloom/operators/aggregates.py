@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import from_units, guarded_pct
+from ..functions.sqltext import project, q
 from ..params import AsOf
 
 # A measure turns "row is inside the window" into an aggregate column.
@@ -100,16 +101,17 @@ def sectioned_aggregate(df: DataFrame, keys: Sequence[str], sections: dict[str,
     one partial+final aggregate instead of one per section.
     """
     rows = df.filter(prefilter) if prefilter is not None else df
-    aggs, finals = [], []
+    aggs, finals = [], [(k, q(k)) for k in keys]
+    one = F.lit(1)
     for name, sec in sections.items():
         inside = sec.predicate if sec.predicate is not None else F.lit(True)
         n = f"__n_{name}"
-        aggs.append(F.count(F.when(inside, F.lit(1))).alias(n))
-        finals.append((F.col(n) > 0).alias(f"has_{name}"))
+        aggs.append(F.count(F.when(inside, one)).alias(n))
+        finals.append((f"has_{name}", f"{q(n)} > 0"))
         for m in sec.measures:
             aggs.append(m.build(inside).alias(m.name))
-            finals.append(F.when(F.col(n) > 0, F.col(m.name)).alias(m.name))
-    return rows.groupBy(*keys).agg(*aggs).select(*keys, *finals)
+            finals.append((m.name, f"CASE WHEN {q(n)} > 0 THEN {q(m.name)} END"))
+    return project(rows.groupBy(*keys).agg(*aggs), finals)
 
 
 def window_sections(date_col: str, asof: AsOf, plan: dict[str, Sequence[Measure]],
