@@ -20,8 +20,9 @@ def test_store_round_trip_equals_in_memory_chain(spark):
     store, table = os.path.join(root, "cells"), os.path.join(root, "export")
     jobs.build_job(spark, SF_SMALL, store, W.EARLIER_ORDER_ASOF, W.EARLIER_EVENT_ASOF, ts=W.TS_FIRST)
     jobs.build_job(spark, SF_SMALL, store, sections=W.REFRESHED, ts=W.TS_SECOND)
-    jobs.export_job(spark, store, table)
+    jobs.export_job(spark, store, table, view="wide_export")
     written = spark.read.parquet(table)
+    assert spark.sql("select count(*) c from global_temp.wide_export").first().c == written.count()
     assert written.columns == [c.name for c in jobs.CATALOG]
     assert _rows(written) == _rows(W.exported(spark, SF_SMALL))
     # a re-run of the export replaces the table, it does not add to it

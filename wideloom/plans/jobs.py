@@ -50,9 +50,14 @@ def export_frame(spark: SparkSession, store: str) -> DataFrame:
     return typed_export(cells_to_wide(latest, declared_columns(), ROW_KEY, deduplicated=True), CATALOG)
 
 
-def export_job(spark: SparkSession, store: str, table: str) -> None:
-    """Overwrite the export table with the typed rows of the store."""
-    overwrite_table(export_frame(spark, store), table)
+def export_job(spark: SparkSession, store: str, table: str, view: str | None = None) -> None:
+    """Overwrite the export table with the typed rows of the store.  ``view``
+    also registers the rows as a global temporary view (``global_temp.<view>``)
+    for SQL users of the same application."""
+    rows = export_frame(spark, store)
+    if view:
+        rows.createOrReplaceGlobalTempView(view)
+    overwrite_table(rows, table)
 
 
 def main(argv: list[str]) -> None:

@@ -30,6 +30,13 @@ SIGNALS = {"register", "recent_message", "channel_signup"}
 _PASS_PLANS: dict[tuple, tuple[DataFrame, dict]] = {}
 
 
+def forget_plans() -> None:
+    """Drop memoized plans and relations (after source tables were rewritten)."""
+    from ..sources.tables import forget_tables
+    _PASS_PLANS.clear()
+    forget_tables()
+
+
 def _pass(spark: SparkSession, key: tuple, make) -> tuple[DataFrame, dict]:
     k = (id(spark),) + key
     hit = _PASS_PLANS.get(k)
