@@ -81,14 +81,22 @@ def cells_sorted(cells: DataFrame, partitions: int | None = None) -> DataFrame:
     return ordered.withColumn("pos", F.row_number().over(w))
 
 
-def upsert_latest(batches: Sequence[DataFrame]) -> DataFrame:
+def upsert_latest(batches: Sequence[DataFrame], cluster_by_row: bool = True) -> DataFrame:
     """Newest wins per (row_key, cf, col): the cell with the highest ts, then
     the later batch on equal ts.  Cells not rewritten by a later batch survive.
-    Partial aggregation keeps a hot row key from concentrating before the shuffle."""
+
+    A load writes each (row_key, cf, col) once, so a map-side partial
+    aggregate has nothing to combine; instead the union is clustered by
+    ``row_key`` once, which serves this aggregate and any later per-row step
+    (``cells_to_wide``) without a second shuffle.  A row key holds at most
+    one cell per column and load, so no partition can be dominated by one key.
+    """
     tagged = None
     for i, b in enumerate(batches):
         t = b.select(*CELL_COLUMNS).withColumn("__batch", F.lit(i))
         tagged = t if tagged is None else tagged.unionByName(t)
+    if cluster_by_row:
+        tagged = tagged.repartition("row_key")
     order = F.struct(F.col("ts"), F.col("__batch"))
     return tagged.groupBy("row_key", "cf", "col").agg(
         F.max("ts").alias("ts"), F.max_by("value", order).alias("value")).select(*CELL_COLUMNS)
