@@ -192,10 +192,17 @@ def top_items_by_member(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) ->
 
 # -- member side -------------------------------------------------------------------
 
-def member_frame(spark: SparkSession, d: str) -> DataFrame:
-    """Members with the shop organisation attached (left join on store and tenant)."""
+def member_frame(spark: SparkSession, d: str, with_shop: bool = True) -> DataFrame:
+    """Members with the shop organisation attached (left join on store and tenant).
+
+    The store code has few distinct values per tenant, so this join meets hot
+    keys on a large member table; AQE's skew handling splits the oversized
+    member-side partitions (the shop side has one row per key)."""
+    m = B.members(spark, d)
+    if not with_shop:
+        return m.withColumn("org_id", F.lit(None).cast("int")).withColumn("org_name", F.lit(None).cast("string"))
     shop = B.shops(spark, d).withColumnRenamed("code", "store_code")
-    return B.members(spark, d).join(shop, on=["store_code", "tenant_id"], how="left")
+    return m.join(shop, on=["store_code", "tenant_id"], how="left")
 
 
 def member_base_pred() -> Column:

@@ -96,7 +96,11 @@ def wide_sections(spark: SparkSession, d: str, order_asof: AsOf = ORDER_ASOF,
     the profile to some sections (a partial reload).
     """
     passes = source_passes(spark, d, order_asof, event_asof, set(names) if names is not None else None)
-    members = S.member_frame(spark, d).filter(F.col("tenant_id").isNotNull() & F.col("member_id").isNotNull())
+    # the shop organisation is only read by member_base; a partial reload
+    # without it skips the customer-to-shop join (and its two shuffles)
+    need_shop = names is None or "member_base" in set(names)
+    members = S.member_frame(spark, d) if need_shop else S.member_frame(spark, d, with_shop=False)
+    members = members.filter(F.col("tenant_id").isNotNull() & F.col("member_id").isNotNull())
     if merge == "union":
         facts = merge_sections({k: v[0] for k, v in passes.items()}, ["member_id"], markers=False)
         wide = members.join(facts, on="member_id", how="left")
