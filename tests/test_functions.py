@@ -45,10 +45,11 @@ def test_session_timezone_does_not_matter(spark):
 
 
 def test_to_plain_types(spark):
-    df = spark.sql("select cast(1.25 as decimal(18,2)) a, date'2021-10-08' b, cast(3 as int) c, 'x' s")
+    df = spark.sql("select cast(1.25 as decimal(18,2)) a, date'2021-10-08' b, cast(3 as int) c, 'x' s, "
+                   "cast(7 as int) member_id")
     p = to_plain(df)
-    assert [f.dataType.simpleString() for f in p.schema.fields] == ["double", "string", "bigint", "string"]
-    assert tuple(p.first()) == (1.25, "2021-10-08", 3, "x")
+    assert [f.dataType.simpleString() for f in p.schema.fields] == ["double", "string", "double", "string", "bigint"]
+    assert tuple(p.first()) == (1.25, "2021-10-08", 3.0, "x", 7)
 
 
 def test_asof_params():

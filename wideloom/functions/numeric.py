@@ -62,10 +62,16 @@ def exact_div(a: Column, b: Column) -> Column:
     return (whole / b.cast(T.DecimalType(38, 0))).cast("long")
 
 
+# Never-null identifiers keep BIGINT; every other integral measure is
+# presented as DOUBLE (exact below 2**53) so a column that holds NULLs has
+# the same representation on every engine's client side.
+KEY_COLUMNS = frozenset({"tenant_id", "member_id", "doc_id", "conv_id", "ts", "pos"})
+
+
 def to_plain(df: DataFrame) -> DataFrame:
-    """Presentation: DECIMAL -> DOUBLE, DATE -> 'yyyy-MM-dd' text, integral
-    types -> BIGINT.  Used at the edge of registered queries so results compare
-    across engines without type-system differences."""
+    """Presentation at the edge of registered queries: DECIMAL -> DOUBLE, DATE
+    -> 'yyyy-MM-dd' text, integral measures -> DOUBLE, identifiers -> BIGINT,
+    so results compare across engines without type-system differences."""
     from .sqltext import project, q
     pairs = []
     for f in df.schema.fields:
@@ -74,8 +80,8 @@ def to_plain(df: DataFrame) -> DataFrame:
             e = f"CAST({c} AS DOUBLE)"
         elif isinstance(t, T.DateType):
             e = f"date_format({c}, 'yyyy-MM-dd')"
-        elif isinstance(t, (T.ByteType, T.ShortType, T.IntegerType)):
-            e = f"CAST({c} AS BIGINT)"
+        elif isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+            e = f"CAST({c} AS BIGINT)" if f.name in KEY_COLUMNS else f"CAST({c} AS DOUBLE)"
         else:
             e = c
         pairs.append((f.name, e))

@@ -248,13 +248,14 @@ WIDE_ORDER = ["member_base", "member_flag", "order_lifecycle", "order_30D", "ord
 
 
 def plain(col: str, kind: str) -> str:
-    """Presentation cast of a typed column (DECIMAL->DOUBLE, DATE->text, ints->BIGINT)."""
+    """Presentation cast of a typed column (DECIMAL->DOUBLE, DATE->text,
+    integral measures->DOUBLE; identifiers stay BIGINT, see to_plain)."""
     if kind == "dec":
         return f"CAST({col} AS DOUBLE)"
     if kind in ("date", "ymd"):
         return f"CAST({col} AS VARCHAR)"
     if kind == "int":
-        return f"CAST({col} AS BIGINT)"
+        return f"CAST({col} AS DOUBLE)"
     return col
 
 
@@ -397,9 +398,9 @@ def _export_expr(name: str, kind: str, zero: bool) -> str:
         e = f"strftime(TRY_STRPTIME({t}, '%Y%m%d'), '%Y-%m-%d')"
     if zero:
         e = f"COALESCE({e}, 0)"
-    # presentation: integers as BIGINT, dates as text
+    # presentation: integral measures as DOUBLE, dates as text
     if kind in ("tinyint", "int"):
-        e = f"CAST({e} AS BIGINT)"
+        e = f"CAST({e} AS DOUBLE)"
     elif kind == "date":
         e = f"CAST({e} AS VARCHAR)"
     return f"{e} AS {name}"
@@ -414,9 +415,9 @@ def typed_export_query() -> str:
 # -- documents, calendar, bounds ------------------------------------------------
 
 DOC_PROJECT = """
-SELECT event_id AS doc_id, CAST(epoch_us(ts) // 1000 AS BIGINT) AS createdtime,
+SELECT event_id AS doc_id, CAST(epoch_us(ts) // 1000 AS DOUBLE) AS createdtime,
        CASE WHEN value > 100 THEN props ELSE event_type END AS name,
-       CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS BIGINT) AS k,
+       CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS DOUBLE) AS k,
        event_type AS kind, strftime(ts, '%Y-%m-%d') AS dt
 FROM events"""
 
@@ -426,7 +427,7 @@ SELECT event_id AS doc_id, strftime(ts, '%Y-%m-%d') AS PART_FROM_MILLIS, strftim
 FROM events"""
 
 DOC_LIST_LAST = """
-SELECT conv_id, count(*) AS N_ITEMS,
+SELECT conv_id, CAST(count(*) AS DOUBLE) AS N_ITEMS,
        arg_max(role, turn) FILTER (WHERE role IS NOT NULL) AS LAST_ROLE,
        arg_max(text, turn) FILTER (WHERE text IS NOT NULL) AS LAST_TEXT
 FROM conversations GROUP BY conv_id"""
@@ -457,25 +458,25 @@ _MODE1 = ("(CASE WHEN isoyear(d) < year(d) THEN 0 WHEN isoyear(d) > year(d) THEN
 
 DATE_DIM_BY_COUNT = f"""
 SELECT strftime(d, '%Y-%m-%d') AS cdate, strftime(d, '%Y') || '年' || strftime(d, '%m') || '月' || strftime(d, '%d') || '日' AS date_name,
-       strftime(d, '%Y') AS cyear, strftime(d, '%Y') || '年' AS year_name, CAST(quarter(d) AS BIGINT) AS cquarter,
+       strftime(d, '%Y') AS cyear, strftime(d, '%Y') || '年' AS year_name, CAST(quarter(d) AS DOUBLE) AS cquarter,
        strftime(d, '%Y') || '年' || quarter(d) || '季度' AS quarter_name, strftime(d, '%m') AS cmonth,
        strftime(d, '%Y') || '年' || strftime(d, '%m') || '月' AS month_name,
-       CAST({_MODE1} AS BIGINT) AS cweek, '第' || ({_MODE1}) || '周' AS week_name,
+       CAST({_MODE1} AS DOUBLE) AS cweek, '第' || ({_MODE1}) || '周' AS week_name,
        CAST(isodow(d) AS VARCHAR) AS week_day, {_WEEKDAY} AS week_day_name
 FROM {_DAYS}"""
 
 DATE_DIM_BY_RANGE = f"""
 SELECT strftime(d, '%Y-%m-%d') AS cdate, strftime(d, '%Y') || '年' || month(d) || '月' || day(d) || '日' AS date_name,
-       strftime(d, '%Y') AS cyear, strftime(d, '%Y') || '年' AS year_name, CAST(quarter(d) AS BIGINT) AS cquarter,
-       strftime(d, '%Y') || '年' || quarter(d) || '季度' AS quarter_name, CAST(month(d) AS BIGINT) AS cmonth,
+       strftime(d, '%Y') AS cyear, strftime(d, '%Y') || '年' AS year_name, CAST(quarter(d) AS DOUBLE) AS cquarter,
+       strftime(d, '%Y') || '年' || quarter(d) || '季度' AS quarter_name, CAST(month(d) AS DOUBLE) AS cmonth,
        strftime(d, '%Y') || '年' || month(d) || '月' AS month_name,
-       CAST(week(d) AS BIGINT) AS cweek, '第' || week(d) || '周' AS week_name,
+       CAST(week(d) AS DOUBLE) AS cweek, '第' || week(d) || '周' AS week_name,
        CAST(isodow(d) AS VARCHAR) AS week_day, {_WEEKDAY} AS week_day_name
 FROM {_DAYS}"""
 
 FULL_PRICE_AVERAGE = f"""
 SELECT CAST(k.tenant_id AS BIGINT) AS tenant_id, CAST(s.member_id AS BIGINT) AS member_id,
-       count(*) FILTER (WHERE {FULL}) AS FULL_PRICE_LINES, {_fpa()} AS FULL_AVERAGE_PRICE
+       CAST(count(*) FILTER (WHERE {FULL}) AS DOUBLE) AS FULL_PRICE_LINES, {_fpa()} AS FULL_AVERAGE_PRICE
 FROM slot_lines s JOIN keys_all k USING (member_id) GROUP BY k.tenant_id, s.member_id"""
 
 
