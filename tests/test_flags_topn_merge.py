@@ -55,3 +55,26 @@ def test_member_columns(spark):
     assert [(r.PHONE_FLG, r.PHONE_SEGMENT) for r in out] == [("N", None), ("N", ""), ("Y", "138")]  # F9
     assert [r.AGE for r in out] == [0, 30, 31]  # F10
     assert {r.IS_ENTER_WECHAT for r in out} == {"N"}
+
+
+def test_salted_lookup_join_equals_plain_join(spark):
+    from wideloom.operators.joins import salted_lookup_join
+    big = spark.createDataFrame([(i, 0 if i % 3 else i % 7, 1) for i in range(3000)], "member_id long, code long, t int")
+    small = spark.createDataFrame([(0, 1, "hot"), (1, 1, "a"), (2, 1, "b"), (5, 2, "other tenant")],
+                                  "code long, t int, name string")
+    cols = ["member_id", "code", "t", "name"]
+    plain = sorted(tuple(r) for r in big.join(small, ["code", "t"], "left").select(*cols).collect())
+    salted = salted_lookup_join(big, small, ["code", "t"], ["member_id"], buckets=8)
+    assert sorted(tuple(r) for r in salted.select(*cols).collect()) == plain
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        # shuffled join (the shape of a large run): the hot key spreads over several tasks
+        spread = salted_lookup_join(big, small, ["code", "t"], ["member_id"], buckets=8) \
+            .filter("code = 0").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert spread > 1

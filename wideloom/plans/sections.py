@@ -28,11 +28,13 @@ from ..functions.text import not_empty
 from ..operators import aggregates as A
 from ..operators.aggregates import Section
 from ..operators.flags import existence_flag
+from ..operators.joins import salted_lookup_join
 from ..operators.topn import top_n_pivot
 from ..params import EVENT_ASOF, ORDER_ASOF, AsOf
 from ..sources import bindings as B
 
 KEYS = ["tenant_id", "member_id"]
+SHOP_SALT_BUCKETS = 16  # spread of one store's members over join tasks
 
 
 def member_requirement(require: str) -> Column:
@@ -195,14 +197,14 @@ def top_items_by_member(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) ->
 def member_frame(spark: SparkSession, d: str, with_shop: bool = True) -> DataFrame:
     """Members with the shop organisation attached (left join on store and tenant).
 
-    The store code has few distinct values per tenant, so this join meets hot
-    keys on a large member table; AQE's skew handling splits the oversized
-    member-side partitions (the shop side has one row per key)."""
+    The store code has few distinct values per tenant, so one store can hold a
+    large share of all members: the join is salted over the member id
+    (``salted_lookup_join``) and the shop side is replicated per salt."""
     m = B.members(spark, d)
     if not with_shop:
         return m.withColumn("org_id", F.lit(None).cast("int")).withColumn("org_name", F.lit(None).cast("string"))
     shop = B.shops(spark, d).withColumnRenamed("code", "store_code")
-    return m.join(shop, on=["store_code", "tenant_id"], how="left")
+    return salted_lookup_join(m, shop, ["store_code", "tenant_id"], ["member_id"], SHOP_SALT_BUCKETS)
 
 
 def member_base_pred() -> Column:
