@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import op2_packing, op7_quality
+from . import op2_packing, op5_superminhash, op7_quality
 
 QUERIES = {
     "op2_packing": op2_packing.op2_packing,
+    "op5_superminhash": op5_superminhash.op5_superminhash,
     "op7_quality": op7_quality.op7_quality,
 }
 
