@@ -164,13 +164,10 @@ def _pieces(slices: int):
 
 # --- the filter -----------------------------------------------------------------------------
 
-def _positions(keys: np.ndarray, level: int, size: np.ndarray | int) -> Iterator[np.ndarray]:
-    """Bit numbers of one level's entry, hash function by hash function (double hashing)."""
+def _hashes(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """First hash and step of one level's entry (double hashing)."""
     h = mix64(keys + np.uint64((level + 1) * 0xD1342543DE82EF95 % (1 << 64)))
-    step = mix64(h) | np.uint64(1)
-    for _ in range(HASHES):
-        yield h % np.uint64(size) if np.isscalar(size) else h % size
-        h = h + step
+    return h, mix64(h) | np.uint64(1)
 
 
 def build_slice(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -184,8 +181,10 @@ def build_slice(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.nd
         while len(keys):
             stay = top > level
             keys, top = keys[stay], top[stay]
-            for at in _positions(keys, level, size):
-                bits[at] = True
+            h, step = _hashes(keys, level)
+            for _ in range(HASHES):
+                bits[h % np.uint64(size)] = True
+                h = h + step
             level += 1
     return np.packbits(bits)
 
@@ -210,32 +209,17 @@ class Shard:
         live = np.nonzero(self.start[p] >= 0)[0]
         level = 0
         while len(live):
+            h, step = _hashes(keys[live], level)
             start, size = self.start[p[live]], self.size[p[live]]
-            for at in _positions(keys[live], level, size):
-                at = at.astype(np.int64) + start
+            for _ in range(HASHES):
+                at = (h % size).astype(np.int64) + start
                 hit = (self.bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-                live, start, size, at_next = live[hit], start[hit], size[hit], hit
-                if not at_next.all():
-                    break
-            else:
-                level += 1
-                top[live] = level
-                continue
-            # some keys missed: probe the remaining ones of this level again from its start
-            live = self._all_hit(keys, p, live, level)
+                live, h, step, start, size = (x[hit] for x in (live, h, step, start, size))
+                h = h + step
             level += 1
             top[live] = level
         return top
 
-    def _all_hit(self, keys: np.ndarray, p: np.ndarray, live: np.ndarray, level: int) -> np.ndarray:
-        for k in range(HASHES):
-            if not len(live):
-                break
-            h = mix64(keys[live] + np.uint64((level + 1) * 0xD1342543DE82EF95 % (1 << 64)))
-            at = ((h + np.uint64(k) * (mix64(h) | np.uint64(1))) % self.size[p[live]]).astype(np.int64) + self.start[p[live]]
-            live = live[(self.bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1]
-        return live
-
 
 REDUCED = "kind tinyint, chunk long, p int, a binary, b binary, c binary, d binary"
 SUMS, SLICE = 3, 4
