@@ -1,8 +1,8 @@
 """Toxicity from the nearest labelled examples.
 
 Fit, on at most ``MAX_EXAMPLES`` labelled rows (by hash order of their id): terms
-whose presence depends on the label (chi-squared of at least ``CHI2``, the
-``MAX_TERMS`` strongest), their TF-IDF vectors of unit length, and an inverted
+that toxic rows hold at least ``LIFT`` times as often as others (chi-squared of at least
+``CHI2``, the ``MAX_TERMS`` strongest), their TF-IDF vectors of unit length, and an inverted
 index over the examples in blocks of ``BLOCK`` with the largest weight of every term in
 every block.  Everything is bounded by these parameters, so it is broadcast.
 
@@ -35,6 +35,7 @@ from .common import id_crc32, map_batches, read_table
 MAX_EXAMPLES = 20_000
 MAX_TERMS = 2048
 CHI2 = 15.0
+LIFT = 3.0
 MIN_DF = 5
 K = 25
 BLOCK = 128
@@ -76,6 +77,7 @@ def _choose_terms(examples: DataFrame) -> dict[str, float]:
     cross = a * (total - t - (df - a)) - (t - a) * (df - a)
     chi2 = total * cross * cross / (t * (total - t) * df * (total - df) + F.lit(1e-9))
     rows = (c.groupBy("term").agg(F.sum("df").alias("df"), F.sum("toxic").alias("toxic")).filter(df >= MIN_DF)
+            .filter(a * (total - t) >= LIFT * (df - a) * t)
             .withColumn("chi2", chi2).filter(F.col("chi2") >= CHI2).orderBy(F.desc("chi2"), "term").limit(MAX_TERMS)
             .select("term", "df").collect())
     return {r["term"]: float(np.log(n / r["df"])) + 1.0 for r in rows}
