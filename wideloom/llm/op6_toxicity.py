@@ -38,8 +38,8 @@ CHI2 = 15.0
 LIFT = 3.0
 MIN_DF = 5
 K = 25
-BLOCK = 128
-CALIBRATION = 4000   # examples whose own votes calibrate the scores
+BLOCK = 1024
+CALIBRATION = 1500   # examples whose own votes calibrate the scores
 _EDGES = ".,;:!?\"'()[]{}*#%&$<>|-_"
 
 
