@@ -4,7 +4,7 @@ Training counts word n-grams (orders 1 and 2) exactly: every block of texts is
 aggregated in its task, the pieces go to reducers by n-gram hash, and reducer p
 builds slice p of the filter.  An n-gram of count c enters the filter once for
 each level up to the highest threshold of ``thresholds()`` that c reaches; the
-thresholds are exact for small counts and grow by ``RATIO`` above.  A count is
+thresholds are whole numbers that grow by ``UNI_RATIO`` or ``PAIR_RATIO``.  A count is
 read back by repeated membership probes, level after level until one misses.
 
 The model interpolates the orders (v: the token before w; the end of a text
@@ -48,27 +48,29 @@ from pyspark.sql import functions as F
 from .common import chain64, map_batches, materialize, mix64, read_table
 from .shingles import word_hashes
 
-HASHES = 12                  # hash functions per entry: false positives 2**-12 at half load
-RATIO = 1.05                 # growth of the count levels
+HASHES = 8                   # hash functions per entry: false positives 2**-8 at half load
+UNI_RATIO = 1.05             # growth of the count levels of tokens
+PAIR_RATIO = 1.6             # and of word pairs
 CUTOFF = 2                   # least count of a word pair that the filter holds
 SHARE = 0.15                 # weight of the pair order
 MAX_BROADCAST = 192 << 20    # bytes of filter in one broadcast
-BLOCK_TEXT = 6 << 20         # characters aggregated at once in a task
+BLOCK_TEXT = 4 << 20         # characters aggregated at once in a task
+SCORE_TEXT = 2 << 20         # characters scored at once
 REDUCER_TEXT = 16 << 20      # bytes of text per reducer
 
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word holds a line feed
 _UNIGRAM = np.uint64(0x5851F42D4C957F2D)
 
 
-def thresholds(first: int) -> np.ndarray:
+def thresholds(first: int, ratio: float) -> np.ndarray:
     """Least count of each level."""
     out = [first]
     while out[-1] < 1 << 48:
-        out.append(max(out[-1] + 1, int(np.ceil(out[-1] * RATIO))))
+        out.append(max(out[-1] + 1, int(np.ceil(out[-1] * ratio))))
     return np.array(out, dtype=np.int64)
 
 
-UNI_LEVELS, PAIR_LEVELS = thresholds(1), thresholds(CUTOFF)
+UNI_LEVELS, PAIR_LEVELS = thresholds(1, UNI_RATIO), thresholds(CUTOFF, PAIR_RATIO)
 
 
 def is_held_out(doc_id: int | None) -> bool:
@@ -99,13 +101,13 @@ HEADER, TOKENS, PAIRS = range(3)
 PIECES = "p int, kind tinyint, chunk long, a binary, b binary, c binary, d binary"
 
 
-def _blocks(batches: Iterator[tuple[list, ...]]) -> Iterator[list[tuple]]:
+def _blocks(batches: Iterator[tuple[list, ...]], most: int) -> Iterator[list[tuple]]:
     block, size = [], 0
     for ids, texts in batches:
         for row in zip(ids, texts):
             block.append(row)
             size += len(row[1] or "")
-            if size >= BLOCK_TEXT:
+            if size >= most:
                 yield block
                 block, size = [], 0
     if block:
@@ -120,7 +122,7 @@ def _pieces(slices: int):
     """Aggregate each block and deal its n-grams out to the reducers."""
     def run(batches: Iterator[tuple[list, ...]]) -> Iterator[tuple]:
         base, no = TaskContext.get().partitionId() << 32, 0
-        for block in _blocks(batches):
+        for block in _blocks(batches, BLOCK_TEXT):
             chunk, no = base + no, no + 1
             docs = [tokens_of(t) for _, t in block]
             train = np.array([not is_held_out(i) for i, _ in block])
@@ -342,7 +344,7 @@ class BloomModel:
         shared = [spark.sparkContext.broadcast(self.load(g)) for g in groups[:1]]
         if len(groups) == 1:
             def whole(batches: Iterator[tuple[list, ...]]) -> Iterator[tuple]:
-                for block in _blocks(batches):
+                for block in _blocks(batches, SCORE_TEXT):
                     uni, pair = _levels(shared[0].value, block)
                     yield ([i for i, _ in block], [_signed(_text_hash(t)) for _, t in block],
                            [log10_score(u, p, n, v) for u, p in zip(uni, pair)])
@@ -354,7 +356,7 @@ class BloomModel:
             held = shared[0] if k == 0 else spark.sparkContext.broadcast(self.load(group))
 
             def part(batches: Iterator[tuple[list, ...]], held=held) -> Iterator[tuple]:
-                for block in _blocks(batches):
+                for block in _blocks(batches, SCORE_TEXT):
                     uni, pair = _levels(held.value, block)
                     yield ([i for i, _ in block], [_signed(_text_hash(t)) for _, t in block],
                            [np.concatenate([u, p]).tobytes() for u, p in zip(uni, pair)])
