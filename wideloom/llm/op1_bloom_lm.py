@@ -340,6 +340,8 @@ class BloomModel:
         """``(id, text_hash, score)`` for every row."""
         source = docs.select(F.col(id_col).cast("long"), text)
         spark, groups = docs.sparkSession, self.shards(limit)
+        if not groups:  # an empty table
+            return spark.createDataFrame([], "id long, text_hash long, score double")
         n, v = self.n, self.v
         shared = [spark.sparkContext.broadcast(self.load(g)) for g in groups[:1]]
         if len(groups) == 1:
