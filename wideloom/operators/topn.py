@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import salted_lookup_join
+
 
 def top_n_pivot(df: DataFrame, keys: Sequence[str], item: str, measure: str, n: int,
                 code_names: Sequence[str], dim: DataFrame | None = None,
@@ -30,7 +32,8 @@ def top_n_pivot(df: DataFrame, keys: Sequence[str], item: str, measure: str, n:
     ranked = totals.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n)
     if dim is not None and value_names:
         d = dim.select(F.col(dim_key).alias(item), F.col(dim_value).alias("__name"))
-        ranked = ranked.join(d, on=item, how="left")
+        # a best-seller ranks for a large share of the keys: spread it by key
+        ranked = salted_lookup_join(ranked, d, [item], salt_by=list(keys))
     aggs = []
     for i in range(n):
         aggs.append(F.max(F.when(F.col("__rn") == i + 1, F.col(item))).alias(code_names[i]))

@@ -30,7 +30,7 @@ class AsOf:
     day: dt.date
     slot: str = "00"
     upper: bool = False
-    windows: dict = field(default_factory=lambda: dict(WINDOWS), hash=False, compare=False)
+    windows: dict = field(default_factory=lambda: dict(WINDOWS), hash=False)
 
     def lower_bound(self, name: str) -> dt.date:
         unit, amount = self.windows[name]

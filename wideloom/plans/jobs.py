@@ -61,11 +61,11 @@ def export_job(spark: SparkSession, store: str, table: str, view: str | None = N
 
 
 def main(argv: list[str]) -> None:
-    from ..session import build_session
-    spark = build_session()
+    # master, shuffle partitions and the like come from spark-submit
+    spark = SparkSession.builder.appName("wideloom").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if argv[0] == "build":
-        asof = resolve_asof(argv[3:]) if len(argv) > 3 else ORDER_ASOF
-        ts = build_job(spark, argv[1], argv[2], order_asof=asof)
+        asof = resolve_asof(argv[3:])  # one day and slot for the whole run; yesterday without arguments
+        ts = build_job(spark, argv[1], argv[2], order_asof=asof, event_asof=asof)
         print(f"appended load ts={ts} as of {asof.day} slot {asof.slot}")
     elif argv[0] == "export":
         export_job(spark, argv[1], argv[2])

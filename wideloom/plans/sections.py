@@ -310,7 +310,8 @@ def top_items(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame
 
 
 def _event_section(spark: SparkSession, d: str, name: str, asof: AsOf = EVENT_ASOF) -> DataFrame:
-    return single_section(spark, d, B.event_facts(spark, d), name, event_sections(asof)[name])
+    sec = event_sections(asof)[name]
+    return single_section(spark, d, B.event_facts(spark, d), name, sec, prefilter=sec.predicate)
 
 
 def points_totals(spark: SparkSession, d: str) -> DataFrame:

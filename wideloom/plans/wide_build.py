@@ -23,29 +23,6 @@ from .catalog import BY_NAME, CATALOG, ROW_KEY, VALUE_COLUMNS
 SIGNALS = {"register", "recent_message", "channel_signup"}
 
 
-# Plans of the source passes per (session, folder, as-of days): a pass is an
-# immutable DataFrame, so every query of one run (profile, cells, export)
-# shares the same plan object instead of rebuilding thousands of expressions
-# on the driver.  Execution is not cached.
-_PASS_PLANS: dict[tuple, tuple[DataFrame, dict]] = {}
-
-
-def forget_plans() -> None:
-    """Drop memoized plans and relations (after source tables were rewritten)."""
-    from ..sources.tables import forget_tables
-    _PASS_PLANS.clear()
-    forget_tables()
-
-
-def _pass(spark: SparkSession, key: tuple, make) -> tuple[DataFrame, dict]:
-    k = (id(spark),) + key
-    hit = _PASS_PLANS.get(k)
-    if hit is None or hit[0].sparkSession is not spark:
-        hit = make()
-        _PASS_PLANS[k] = hit
-    return hit
-
-
 def source_passes(spark: SparkSession, d: str, order_asof: AsOf = ORDER_ASOF,
                   event_asof: AsOf = EVENT_ASOF, wanted: set[str] | None = None
                   ) -> dict[str, tuple[DataFrame, dict]]:
@@ -67,8 +44,7 @@ def source_passes(spark: SparkSession, d: str, order_asof: AsOf = ORDER_ASOF,
         frame = S.top_items_by_member(spark, d, order_asof).withColumn("has_top_items", F.lit(True))
         return frame, {"top_items": Section(tuple(A.Measure(c, None) for c in S.TOP_CODES + S.TOP_NAMES))}
 
-    makers = {"order_lines": (order_lines, (d, order_asof)), "order_table": (order_table, (d, order_asof)),
-              "events": (events, (d, event_asof)), "top_items": (top_items, (d, order_asof))}
+    makers = {"order_lines": order_lines, "order_table": order_table, "events": events, "top_items": top_items}
     # sections each pass serves (member-side sections read signals of two passes)
     serves = {"order_lines": {"order_lifecycle"} | {f"order_{w}" for w in S.ORDER_WINDOWS},
               "order_table": {"recharge_lifecycle", "member_base"} | {f"recharge_{w}" for w in S.RECHARGE_WINDOWS},
@@ -76,9 +52,9 @@ def source_passes(spark: SparkSession, d: str, order_asof: AsOf = ORDER_ASOF,
                          "coupon_valid", "member_base", "active_flag"},
               "top_items": {"top_items"}}
     out = {}
-    for name, (make, key) in makers.items():
+    for name, make in makers.items():
         if wanted is None or serves[name] & wanted:
-            out[name] = _pass(spark, (name,) + key, make)
+            out[name] = make()
     return out
 
 

@@ -52,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current and sc is not None:
         current = sc.getConf().get(CHECKPOINT_KEY, None) or sc.getCheckpointDir()
     if not current:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="wideloom-ckpt-")
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(current)

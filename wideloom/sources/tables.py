@@ -7,21 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table_path
 
-# Base relations per (session, path): resolving a Parquet relation lists the
-# files and reads a footer, which is driver time every section would repeat.
-_RELATIONS: dict[tuple[int, str], DataFrame] = {}
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    path = table_path(sf_dir, name)
-    key = (id(spark), path)
-    df = _RELATIONS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _RELATIONS[key] = df
+    """Resolved anew on every call, so files added since are seen."""
+    df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
-
-
-def forget_tables() -> None:
-    """Drop cached relations (after the files under a path were rewritten)."""
-    _RELATIONS.clear()
