@@ -40,7 +40,7 @@ def map_batches(df: DataFrame, schema: str | StructType,
     arrow = to_arrow_schema(struct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = (tuple(c.to_pylist() for c in b.columns) for b in batches if b.num_rows)
+        columns = (tuple(c.to_pylist() for c in part.columns) for b in batches for part in slices(b))
         for out in fn(columns):
             arrays = [v.cast(f.type) if isinstance(v, pa.Array) else pa.array(v, type=f.type, from_pandas=False)
                       for v, f in zip(out, arrow)]
@@ -50,6 +50,24 @@ def map_batches(df: DataFrame, schema: str | StructType,
     return df.mapInArrow(run, struct)
 
 
+ROWS = 2048  # rows of a batch that are Python objects at once
+
+
+def slices(batch: pa.RecordBatch | pa.Array) -> Iterator:
+    for start in range(0, len(batch), ROWS):
+        yield batch.slice(start, ROWS)
+
+
+def struct_rows(fields: pa.StructType, row: Callable[..., tuple], *columns: pa.Array) -> pa.Array:
+    """A struct array of ``row(...)`` for each row of parallel arrays."""
+    parts = []
+    for part in zip(*map(slices, columns)):
+        rows = [row(*x) for x in zip(*(c.to_pylist() for c in part))]
+        parts.append(pa.StructArray.from_arrays([pa.array(v, type=f.type) for v, f in zip(zip(*rows), fields)],
+                                                fields=list(fields)))
+    return pa.concat_arrays(parts) if parts else pa.array([], type=fields)
+
+
 def _struct(ddl: str) -> StructType:
     return StructType.fromDDL(ddl)
 

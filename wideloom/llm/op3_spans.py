@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chain64, map_batches, read_table
+from .common import chain64, map_batches, read_table, struct_rows
 
 RUN = 3
 MIN_RUN_WORDS = 12
@@ -110,10 +110,11 @@ def _cut(text: str | None, starts: list[int] | None) -> tuple[str | None, int]:
     return "\n".join(lines), len(gone)
 
 
+_LEFT = pa.struct([("text", pa.string()), ("n_removed", pa.int64())])
+
+
 def _cut_all(texts: pa.Array, starts: pa.Array) -> pa.Array:
-    rows = [_cut(t, s) for t, s in zip(texts.to_pylist(), starts.to_pylist())]
-    return pa.StructArray.from_arrays([pa.array([t for t, _ in rows], type=pa.string()),
-                                       pa.array([n for _, n in rows], type=pa.int64())], names=["text", "n_removed"])
+    return struct_rows(_LEFT, _cut, texts, starts)
 
 
 def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",

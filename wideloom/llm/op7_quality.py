@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, struct_rows
 
 # ASCII white space (bytes 0x20 and 0x09-0x0D), symbols, marks.
 BLANKS = " \t\n\v\f\r"
@@ -109,10 +109,7 @@ def assess(text: str | None) -> tuple:
 
 
 def _assess(texts: pa.Array) -> pa.Array:
-    rows = [assess(t) for t in texts.to_pylist()]
-    return pa.StructArray.from_arrays(
-        [pa.array(v, type=f.type) for v, f in zip(zip(*rows) if rows else [[]] * FIELDS.num_fields, FIELDS)],
-        fields=list(FIELDS))
+    return struct_rows(FIELDS, assess, texts)
 
 
 def line_first_quality(df: DataFrame, text: str = "text", out: str = "line_quality") -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialize, read_table
+from .common import map_batches, materialize, read_table, struct_rows
 
 BLANKS = " \t\v\f\r"  # fixed values: ASCII white space but the line feed
 MIN_LINES = 3
@@ -97,6 +97,9 @@ def repeated_line_runs(lines: DataFrame, min_lines: int) -> DataFrame:
     return pairs.join(first, ["x", "y"]).filter("NOT (id = first.id AND at = first.at)").select("id", "at")
 
 
+_LEFT = pa.struct([("text", pa.string()), ("n_removed", pa.int64())])
+
+
 def _drop_lines(text: str | None, whole: bool | None, starts: list[int] | None, min_lines: int
                 ) -> tuple[str | None, int]:
     if text is None or not (whole or starts):
@@ -132,9 +135,7 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "
     joined = docs.join(marks, docs[id_col].cast("long") == marks["_marked"], "left")
 
     def drop_all(texts: pa.Array, whole: pa.Array, starts: pa.Array) -> pa.Array:
-        rows = [_drop_lines(*r, min_lines) for r in zip(texts.to_pylist(), whole.to_pylist(), starts.to_pylist())]
-        return pa.StructArray.from_arrays([pa.array([t for t, _ in rows], type=pa.string()),
-                                           pa.array([n for _, n in rows], type=pa.int64())], names=["text", "n_removed"])
+        return struct_rows(_LEFT, lambda *row: _drop_lines(*row, min_lines), texts, whole, starts)
 
     drop = F.arrow_udf(drop_all, "text string, n_removed long").asNondeterministic()  # evaluated once
     return joined.withColumn(out, drop(F.col(text), "_whole", "_at")).drop("_marked", "_whole", "_at")
