@@ -36,6 +36,7 @@ def map_batches(df: DataFrame, schema: str | StructType,
     ``fn`` gets an iterator of tuples (one Python list per column of ``df``)
     and yields tuples (one list or array per column of ``schema``).
     """
+    small_batches(df.sparkSession)
     struct = schema if isinstance(schema, StructType) else _struct(schema)
     arrow = to_arrow_schema(struct)
 
@@ -46,11 +47,25 @@ def map_batches(df: DataFrame, schema: str | StructType,
                       for v, f in zip(out, arrow)]
             if len(arrays[0]):
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        pa.default_memory_pool().release_unused()  # the worker outlives the task
 
     return df.mapInArrow(run, struct)
 
 
 ROWS = 2048  # rows of a batch that are Python objects at once
+BYTES = 16 << 20  # of an Arrow batch between the JVM and Python, but for one larger row
+
+#: session settings that bound the Arrow batches, which both sides hold outside the JVM heap
+BATCH_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": BYTES}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by ``BATCH_LIMITS``; a tighter bound stays.
+    Batch sizes never change a result."""
+    for key, most in BATCH_LIMITS.items():
+        now = spark.conf.get(key, None)
+        if not (now and now.isdigit() and 0 < int(now) <= most):
+            spark.conf.set(key, str(most))
 
 
 def slices(batch: pa.RecordBatch | pa.Array) -> Iterator:

@@ -212,6 +212,7 @@ def pack_texts(df: DataFrame, id_col: str, text: str, tokenizer: str, end_id: in
                 yield tuple(zip(*rows))
         if rows := pack(last=True):
             yield tuple(zip(*rows))
+        bpe.cache.clear()  # the worker outlives the task
 
     return map_batches(df.select(id_col, text), PIECES.replace("doc_id long", f"`{id_col}` long", 1), run)
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chain64, map_batches, read_table, struct_rows
+from .common import chain64, map_batches, read_table, small_batches, struct_rows
 
 RUN = 3
 MIN_RUN_WORDS = 12
@@ -125,6 +125,7 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "
     marks = (repeated_runs(docs, id_col, text).groupBy("id").agg(F.collect_set("at").alias("_starts"))
              .withColumnRenamed("id", "_marked"))
     joined = docs.join(marks, docs[id_col].cast("long") == marks["_marked"], "left")
+    small_batches(docs.sparkSession)
     cut = F.arrow_udf(_cut_all, "text string, n_removed long").asNondeterministic()  # evaluated once
     return joined.withColumn(out, cut(F.col(text), F.col("_starts"))).drop("_marked", "_starts")
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, struct_rows
+from .common import read_table, small_batches, struct_rows
 
 # ASCII white space (bytes 0x20 and 0x09-0x0D), symbols, marks.
 BLANKS = " \t\n\v\f\r"
@@ -116,6 +116,7 @@ def line_first_quality(df: DataFrame, text: str = "text", out: str = "line_quali
     """``df`` with a struct column ``out``: the counts, ``base_failed``, the
     verdict ``kept`` and the cleaned ``text``.  A column of ``df`` that is
     named ``out`` is replaced; choose another name to keep it."""
+    small_batches(df.sparkSession)
     # marked so that a filter on the verdict doesn't evaluate it a second time
     return df.withColumn(out, F.arrow_udf(_assess, DDL).asNondeterministic()(F.col(text)))
 

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialize, read_table, struct_rows
+from .common import map_batches, materialize, read_table, small_batches, struct_rows
 
 BLANKS = " \t\v\f\r"  # fixed values: ASCII white space but the line feed
 MIN_LINES = 3
@@ -137,6 +137,7 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "
     def drop_all(texts: pa.Array, whole: pa.Array, starts: pa.Array) -> pa.Array:
         return struct_rows(_LEFT, lambda *row: _drop_lines(*row, min_lines), texts, whole, starts)
 
+    small_batches(docs.sparkSession)
     drop = F.arrow_udf(drop_all, "text string, n_removed long").asNondeterministic()  # evaluated once
     return joined.withColumn(out, drop(F.col(text), "_whole", "_at")).drop("_marked", "_whole", "_at")
 
