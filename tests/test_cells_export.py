@@ -18,7 +18,16 @@ def test_wide_to_cells_presence_and_text(spark):
     cells = C.wide_to_cells(df, "rk", {"d": "EXT", "x": "EXT", "t": "EXT", "s": "ST"}, 1,
                             date_formats={"t": "yyyyMMdd"}, presence={"s": "has_s"})
     got = {r.col: r.value for r in cells.collect()}
-    assert got == {"d": "12.5000", "x": "10000000.000000", "t": "20211008"}  # no cell for an absent section
+    assert got == {"d": "12.5000", "x": "1.0E7", "t": "20211008"}  # no cell for an absent section
+
+
+def test_doubles_come_back_from_cells_unchanged(spark):
+    values = [10 / 3, 1e-7, -0.1, 1e300, 0.0, 123456789.123456789]
+    wide = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "ROW_KEY string, D double")
+    cells = C.wide_to_cells(wide, "ROW_KEY", {"D": "EXT"}, ts=1)
+    back = typed_export(C.cells_to_wide(cells, [("EXT", "D")]), [ColumnSpec("ROW_KEY", "rowkey", "string"),
+                                                                 ColumnSpec("D", "EXT", "double")])
+    assert [r.D for r in back.orderBy("ROW_KEY").collect()] == values
 
 
 def test_upsert_newest_wins(spark):

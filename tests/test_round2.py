@@ -6,7 +6,10 @@ import types
 import pytest
 
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 from wideloom import session
+from wideloom.functions.numeric import guarded_pct, to_units
+from wideloom.operators import aggregates as A
 from wideloom.params import AsOf
 from wideloom.plans import jobs
 from wideloom.plans.registry import QUERIES
@@ -50,3 +53,28 @@ def test_job_uses_one_asof_for_all_sources(monkeypatch, spark, args, day, slot):
     monkeypatch.setattr(jobs, "build_job", lambda *a, **k: seen.update(k) or 0)
     jobs.main(["build", "in", "out", *args])
     assert seen["order_asof"] == seen["event_asof"] == AsOf(day, slot)
+
+
+def test_finer_amounts_are_refused_not_rounded(spark):
+    df = spark.sql("SELECT * FROM VALUES (0.07D), (1.1D), (12345678901.23D), (-0.29D), (CAST(NULL AS DOUBLE)) t(x)")
+    assert [r.u for r in df.select(to_units("x", 2).alias("u")).collect()] == [7, 110, 1234567890123, -29, None]
+    for text in ("0.004D", "double('NaN')", "1e-7D"):
+        with pytest.raises(Exception, match="more than 2 decimals"):
+            spark.sql(f"SELECT {text} AS x").select(to_units("x", 2)).collect()
+
+
+def test_guarded_pct_keeps_decimals(spark):
+    df = spark.sql("SELECT * FROM VALUES (0.5D, 1.5D), (1.0D, 8.0D), (0.25D, 0.0D), (1e12D, 3e12D) t(n, d)")
+    got = [str(r.p) for r in df.select(guarded_pct(F.col("n"), F.col("d")).alias("p")).collect()]
+    assert got == ["33.33", "12.50", "0.00", "33.33"]
+
+
+@pytest.mark.parametrize("integral", [True, False])
+def test_first_and_last_attribute_may_be_null(spark, integral):
+    df = spark.sql("SELECT * FROM VALUES (1, DATE'2021-01-01', NULL), (1, DATE'2021-02-01', 7L), (2, DATE'2021-01-01', 5L), "
+                   "(2, DATE'2021-02-01', NULL), (3, DATE'2021-01-01', NULL), (3, DATE'2021-01-01', -4L), "
+                   "(3, DATE'2021-01-01', 9223372036854775807L), (4, NULL, 3L) t(k, d, a)")
+    secs = {"s": A.Section((A.attr_at_first("f", F.col("d"), F.col("a"), integral),
+                            A.attr_at_last("l", F.col("d"), F.col("a"), integral)))}
+    got = {r.k: (r.f, r.l) for r in A.sectioned_aggregate(df, ["k"], secs).collect()}
+    assert got == {1: (None, 7), 2: (5, None), 3: (-4, 2 ** 63 - 1), 4: (None, None)}

@@ -27,10 +27,15 @@ def to_units(c: Column | str, scale: int) -> Column:
 
     Aggregations sum these as LONG: a hash aggregate over longs is several
     times faster than over DECIMAL, whose sum buffers above 18 digits are
-    held as BigDecimal.  Convert back once per output row (``from_units``)."""
+    held as BigDecimal.  Convert back once per output row (``from_units``).
+    An amount with more than ``scale`` decimals is an error, never rounded."""
     c = F.col(c) if isinstance(c, str) else c
-    # nearest unit; exact for source amounts with at most ``scale`` decimals
-    return F.floor(c.cast("double") * F.lit(float(10 ** scale)) + F.lit(0.5)).cast("long")
+    scaled = c.cast("double") * F.lit(float(10 ** scale))
+    units = F.floor(scaled + F.lit(0.5))
+    # beyond what a double's own error explains (NaN and infinity too)
+    finer = F.abs(scaled - units) > F.abs(units) * F.lit(1e-15) + F.lit(1e-9)
+    refused = F.raise_error(F.concat(F.lit(f"amount with more than {scale} decimals: "), c.cast("string")))
+    return F.when(finer, refused.cast("long")).otherwise(units.cast("long"))
 
 
 def from_units(units: Column, scale: int) -> Column:
@@ -46,20 +51,19 @@ def ratio_or_zero(num: Column, den: Column) -> Column:
 
 
 def guarded_pct(num: Column, den: Column) -> Column:
-    """round(100 * num / den, 2) half-up for non-negative integer counts,
-    0 when den is 0; returned as DECIMAL(20,2) computed exactly."""
-    n = num.cast("long")
-    d = den.cast("long")
+    """round(100 * num / den, 2) half-up for non-negative totals of up to six
+    decimals, 0 when den is 0; returned as DECIMAL(20,2) computed exactly."""
+    n = num.cast(T.DecimalType(30, 6))
+    d = den.cast(T.DecimalType(30, 6))
     hundredths = exact_div(F.lit(20000) * n + d, F.lit(2) * d)
     q = F.when(F.coalesce(d, F.lit(0)) == 0, F.lit(0).cast("long")).otherwise(hundredths)
     return (q.cast(T.DecimalType(20, 0)) * F.lit(0.01).cast(T.DecimalType(2, 2))).cast(T.DecimalType(20, 2))
 
 
 def exact_div(a: Column, b: Column) -> Column:
-    """Floor division of non-negative longs, exact: the remainder is removed
+    """Floor division of non-negative decimals, exact: the remainder is removed
     first so the decimal quotient is an integer and needs no rounding."""
-    whole = (a - F.pmod(a, b)).cast(T.DecimalType(38, 0))
-    return (whole / b.cast(T.DecimalType(38, 0))).cast("long")
+    return ((a - F.pmod(a, b)) / b).cast("long")
 
 
 # Never-null identifiers keep BIGINT; every other integral measure is

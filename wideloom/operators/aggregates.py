@@ -154,40 +154,49 @@ def max_of(name: str, expr: Column) -> Measure:
 
 _DAY_SHIFT = 2 ** 31      # unix_date(date) + shift >= 0
 _ATTR_SHIFT = 2 ** 63     # long attribute + shift >= 0
-_ATTR_SPAN = 2 ** 64
+_ATTR_SPAN = 2 ** 65      # one bit more than a long: null has a code of its own
+_NULL_LAST = 2 ** 64
 
 
 def _big(n: int) -> Column:
     return F.lit(decimal.Decimal(n)).cast("decimal(38,0)")
 
 
-def _day_attr_key(date: Column, attr: Column) -> Column:
+def _day_attr_key(date: Column, attr: Column, shift: int, null_code: int) -> Column:
     """(date, long attribute) packed into one DECIMAL(38,0) that orders like the
-    pair.  min/max over it keeps a fixed-width aggregation buffer, so the
-    aggregate stays hash-based (a struct buffer would force a sort-based
-    aggregate over the whole fact input)."""
+    pair, a null attribute as ``null_code``.  min/max over it keeps a
+    fixed-width aggregation buffer, so the aggregate stays hash-based (a struct
+    buffer would force a sort-based aggregate over the whole fact input)."""
     hi = ((F.unix_date(date).cast("decimal(38,0)") + _big(_DAY_SHIFT)) * _big(_ATTR_SPAN)).cast("decimal(38,0)")
-    return (hi + attr.cast("decimal(38,0)") + _big(_ATTR_SHIFT)).cast("decimal(38,0)")
+    code = F.coalesce((attr.cast("decimal(38,0)") + _big(shift)).cast("decimal(38,0)"), _big(null_code))
+    return (hi + code).cast("decimal(38,0)")
 
 
-def _attr_of_key(key: Column) -> Column:
-    return (F.pmod(key, _big(_ATTR_SPAN)) - _big(_ATTR_SHIFT)).cast("long")
+def _attr_of_key(key: Column, shift: int, null_code: int) -> Column:
+    code = F.pmod(key, _big(_ATTR_SPAN))
+    return F.when(code != _big(null_code), (code - _big(shift)).cast("long"))
 
 
 def attr_at_first(name: str, date: Column, attr: Column, integral: bool = True) -> Measure:
-    """Attribute on the first date; ties on the date go to the smallest attribute."""
+    """Attribute on the first date; ties on the date go to the smallest
+    attribute, null only where that date has no other."""
     if integral:
-        return Measure(name, lambda inside: _attr_of_key(F.min(F.when(inside, _day_attr_key(date, attr)))))
-    s = F.struct(date.alias("d"), attr.alias("a"))
-    return Measure(name, lambda inside: F.min(F.when(inside, s))["a"])
+        codes = (_ATTR_SHIFT, _NULL_LAST)
+        return Measure(name, lambda inside: _attr_of_key(F.min(F.when(inside & date.isNotNull(),
+                                                                      _day_attr_key(date, attr, *codes))), *codes))
+    s = F.struct(date.alias("d"), attr.isNull().alias("n"), attr.alias("a"))
+    return Measure(name, lambda inside: F.min(F.when(inside & date.isNotNull(), s))["a"])
 
 
 def attr_at_last(name: str, date: Column, attr: Column, integral: bool = True) -> Measure:
-    """Attribute on the last date; ties on the date go to the largest attribute."""
+    """Attribute on the last date; ties on the date go to the largest
+    attribute, null only where that date has no other."""
     if integral:
-        return Measure(name, lambda inside: _attr_of_key(F.max(F.when(inside, _day_attr_key(date, attr)))))
-    s = F.struct(date.alias("d"), attr.alias("a"))
-    return Measure(name, lambda inside: F.max(F.when(inside, s))["a"])
+        codes = (_ATTR_SHIFT + 1, 0)
+        return Measure(name, lambda inside: _attr_of_key(F.max(F.when(inside & date.isNotNull(),
+                                                                      _day_attr_key(date, attr, *codes))), *codes))
+    s = F.struct(date.alias("d"), attr.isNotNull().alias("n"), attr.alias("a"))
+    return Measure(name, lambda inside: F.max(F.when(inside & date.isNotNull(), s))["a"])
 
 
 def days_since_first(name: str, asof: AsOf, date: Column) -> Measure:

@@ -1,8 +1,9 @@
 """Codec between wide rows and key-value cells ``(row_key, cf, col, ts, value)``.
 
 Cells are strings: null and '' are both stored as '' (so a present-but-null
-value is distinguishable from an absent cell), numbers are written as plain
-decimal text (never scientific notation) and dates in the column's format.
+value is distinguishable from an absent cell), integral and decimal numbers are
+written as plain text, doubles in full (text that reads back as the same
+double) and dates in the column's format.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ def cell_text_sql(ref: str, dtype: T.DataType, date_format: str = "yyyy-MM-dd")
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return f"date_format({ref}, 'yyyy-MM-dd HH:mm:ss')"
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return f"CAST(CAST({ref} AS DECIMAL(38,6)) AS STRING)"
+        return f"CAST({ref} AS STRING)"  # every digit: reads back as the same value
     if isinstance(dtype, T.BooleanType):
         return f"CASE WHEN {ref} THEN 'true' WHEN NOT {ref} THEN 'false' END"
     return f"CAST({ref} AS STRING)"  # integral and decimal types print as plain text

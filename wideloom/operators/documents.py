@@ -144,10 +144,10 @@ def project_documents(docs: DataFrame, doc_col: str, mapping: Mapping,
 def last_with_key(rows: DataFrame, keys: Sequence[str], order_col: str, value_cols: Sequence[str],
                   names: Sequence[str] | None = None) -> DataFrame:
     """Grouped form of ``list_last`` for lists stored one element per row:
-    per key, each value from the highest-ordered element that carries it.
+    per key, each value of the highest-ordered element.  Every row carries all
+    columns, so an explicit null in the last element wins, as in ``list_last``.
     ``max_by`` is partially aggregated, so a very long list (a hot key) never
     has to be gathered into one task."""
     names = names or value_cols
-    aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order_col))).alias(n)
-            for c, n in zip(value_cols, names)]
+    aggs = [F.max_by(c, order_col).alias(n) for c, n in zip(value_cols, names)]
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("N_ITEMS"), *aggs)

@@ -260,10 +260,8 @@ def plain(col: str, kind: str) -> str:
 
 
 def cell_text(col: str, kind: str) -> str:
-    if kind in ("int", "dec"):
+    if kind in ("int", "dec", "dbl"):
         return f"CAST({col} AS VARCHAR)"
-    if kind == "dbl":
-        return f"CAST(CAST({col} AS DECIMAL(38,6)) AS VARCHAR)"
     if kind == "date":
         return f"strftime({col}, '%Y-%m-%d')"
     if kind == "ymd":
@@ -427,10 +425,10 @@ SELECT event_id AS doc_id, strftime(ts, '%Y-%m-%d') AS PART_FROM_MILLIS, strftim
 FROM events"""
 
 DOC_LIST_LAST = """
-SELECT conv_id, CAST(count(*) AS DOUBLE) AS N_ITEMS,
-       arg_max(role, turn) FILTER (WHERE role IS NOT NULL) AS LAST_ROLE,
-       arg_max(text, turn) FILTER (WHERE text IS NOT NULL) AS LAST_TEXT
-FROM conversations GROUP BY conv_id"""
+SELECT conv_id, CAST(n AS DOUBLE) AS N_ITEMS, role AS LAST_ROLE, text AS LAST_TEXT
+FROM (SELECT *, count(*) OVER (PARTITION BY conv_id) AS n,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC NULLS LAST) AS back FROM conversations)
+WHERE back = 1"""
 
 ASOF_BOUNDS = """
 SELECT CAST(d AS VARCHAR) AS AS_OF, CAST(d - 1 AS VARCHAR) AS BOUND_1D, CAST(d - 15 AS VARCHAR) AS BOUND_15D,

@@ -35,7 +35,7 @@ def members(spark: SparkSession, d: str) -> DataFrame:
                    "c_acctbal", "c_mktsegment")
     birthday = F.when(F.col("c_custkey") % 11 == 0, F.lit(None).cast("date")).otherwise(
         F.date_add(F.lit(BIRTHDAY_BASE).cast("date"), ((F.col("c_custkey") * 37) % 18000).cast("int")))
-    phone = F.when(F.col("c_acctbal") < 0, F.lit("")).otherwise(F.substring("c_name", 10, 1 << 20))
+    phone = F.when(F.col("c_acctbal") < 0, F.lit("")).otherwise(F.expr("substr(c_name, 10)"))
     return c.select(
         F.col("c_custkey").alias("member_id"),
         F.col("c_nationkey").alias("tenant_id"),
