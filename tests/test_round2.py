@@ -13,6 +13,7 @@ from wideloom.operators import aggregates as A
 from wideloom.params import AsOf
 from wideloom.plans import jobs
 from wideloom.plans.registry import QUERIES
+from wideloom.sources.sinks import overwrite_partitions, read_back
 from wideloom.sources.tables import read_table
 
 
@@ -78,3 +79,12 @@ def test_first_and_last_attribute_may_be_null(spark, integral):
                             A.attr_at_last("l", F.col("d"), F.col("a"), integral)))}
     got = {r.k: (r.f, r.l) for r in A.sectioned_aggregate(df, ["k"], secs).collect()}
     assert got == {1: (None, 7), 2: (5, None), 3: (-4, 2 ** 63 - 1), 4: (None, None)}
+
+
+def test_partitioned_write_has_few_files(spark, tmp_path):
+    rows = spark.range(3000, numPartitions=8).selectExpr("id", "CAST(id % 30 AS STRING) AS dt")
+    for _ in range(2):  # the second write replaces the first
+        overwrite_partitions(rows, f"{tmp_path}/t", ["dt"], files=2)
+    assert read_back(spark, f"{tmp_path}/t").count() == 3000
+    assert len(list(tmp_path.glob("t/dt=*"))) == 30
+    assert len(list(tmp_path.glob("t/dt=*/*.parquet"))) <= 60

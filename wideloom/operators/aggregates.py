@@ -1,5 +1,5 @@
 """Grouped measures: one-pass look-back windows, lifecycle (first/last),
-totals with guarded ratios, and filtered totals.
+totals with guarded ratios.
 
 All of these are plain ``groupBy().agg()`` plans, so Spark runs a partial
 (map-side) aggregate before the shuffle: a hot key collapses to one row per
@@ -264,12 +264,3 @@ def totals_with_ratio(df: DataFrame, keys: Sequence[str], num: Column, den: Colu
         out = out.withColumn(flag, F.when(F.col(total) > 0, F.lit("Y")).otherwise(F.lit("N")))
     return out
 
-
-def filtered_total(df: DataFrame, keys: Sequence[str], predicate: Column,
-                   value: Column, name: str) -> DataFrame:
-    """sum(value) over rows matching ``predicate`` (keys without a match drop out)."""
-    return df.filter(predicate).groupBy(*keys).agg(F.sum(value).alias(name))
-
-
-def filtered_count(df: DataFrame, keys: Sequence[str], predicate: Column, name: str) -> DataFrame:
-    return df.filter(predicate).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))

@@ -1,4 +1,4 @@
-"""Table sinks: whole-table overwrite and partition-wise overwrite/append.
+"""Table sinks: whole-table overwrite and partition-wise overwrite.
 
 Paths should live on shared storage (see ``session.shared_path``); every
 write is a Spark job whose tasks commit through the output committer, so a
@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -18,14 +19,19 @@ def overwrite_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
-    """Replace only the partitions present in ``df`` (dynamic overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_cols).parquet(path))
+def clustered(df: DataFrame, partition_cols: Sequence[str], files: int) -> DataFrame:
+    """Rows of one table partition in at most ``files`` tasks, so a write makes
+    at most that many files for it.  The salt is a hash of the row: a re-run
+    task deals the same rows alike, and a large partition is still split."""
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(files))
+    return df.repartition(*partition_cols, salt)
 
 
-def append_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
-    df.write.mode("append").partitionBy(*partition_cols).parquet(path)
+def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], files: int = 4) -> None:
+    """Replace only the partitions present in ``df`` (dynamic overwrite), with
+    at most ``files`` files for each."""
+    (clustered(df, partition_cols, files).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_cols).parquet(path))
 
 
 def read_back(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
