@@ -3,6 +3,7 @@
 Writing: payload digest and length are Spark expressions; of equal payloads of
 at least ``MIN_REVISIT`` bytes the least page_id is the response (an aggregation
 that combines in the map tasks, so one very common payload is a row per task).
+Revisits are found on ids and digests alone, salted; payloads are shuffled once.
 Every record is one text row; Spark's text sink writes them, with the record
 separator of the format between them, into gzip archives of about
 ``ARCHIVE_BYTES`` of payload below the shared folder.
@@ -32,6 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import salted_lookup_join
 from ..session import shared_path
 from .common import map_batches, materialize, read_table
 
@@ -41,16 +43,20 @@ EPOCH = 1_704_067_200        # 2024-01-01: capture time of page 0, one second pe
 CRLF = "\r\n"
 
 
-def describe(pages: DataFrame) -> DataFrame:
-    """page_id, url, payload with its length, digest and record type."""
+def describe(pages: DataFrame, files: int) -> DataFrame:
+    """page_id, url, payload with its length, digest and the page it refers to, in
+    ``files`` partitions.  Payloads move once: revisits are found on ids and digests."""
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), "url",
                      F.coalesce("html", F.lit("")).alias("payload"))
     p = p.withColumns({"payload_bytes": F.octet_length("payload").cast("long"),
                        "payload_digest": F.sha2(F.col("payload").cast("binary"), 256)})
-    first = (p.filter(F.col("payload_bytes") >= MIN_REVISIT).groupBy("payload_digest")
-             .agg(F.min("page_id").alias("first"), F.count("*").alias("c")).filter("c > 1").drop("c"))
-    return (p.join(first, "payload_digest", "left")
-            .withColumn("refers_to", F.when(F.col("page_id") > F.col("first"), F.col("first"))).drop("first"))
+    ids = p.select("page_id", "payload_digest", "payload_bytes").filter(
+        F.col("page_id").isNotNull() & (F.col("payload_bytes") >= MIN_REVISIT)).drop("payload_bytes").distinct()
+    ids = materialize(ids, "digests")  # read twice below
+    first = ids.groupBy("payload_digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("c")).filter("c > 1")
+    revisits = salted_lookup_join(ids, first.drop("c"), ["payload_digest"], ["page_id"], how="inner").filter("page_id > refers_to")
+    keys = ["page_id", "payload_digest"]
+    return p.repartition(files, *keys).join(revisits.hint("shuffle_hash"), keys, "left")
 
 
 def records(described: DataFrame) -> DataFrame:
@@ -82,7 +88,7 @@ def records(described: DataFrame) -> DataFrame:
 def write_archives(pages: DataFrame, path: str) -> None:
     size = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
     files = max(1, -(-size // ARCHIVE_BYTES))
-    (records(describe(pages)).repartition(files, F.xxhash64("page_id")).select("value")
+    (records(describe(pages, files)).select("value")
      .write.option("lineSep", CRLF + CRLF).option("compression", "gzip").text(path))
 
 
