@@ -5,7 +5,7 @@ at least ``MIN_REVISIT`` bytes the least page_id is the response (an aggregation
 that combines in the map tasks, so one very common payload is a row per task).
 Revisits are found on ids and digests alone, salted; payloads are shuffled once.
 Every record is one text row; Spark's text sink writes them, with the record
-separator of the format between them, into gzip archives of about
+separator of the format between them, into gzip archives of at most about
 ``ARCHIVE_BYTES`` of payload below the shared folder.
 
 Reading: each archive is parsed in one task by the records' own lengths, response
@@ -87,7 +87,8 @@ def records(described: DataFrame) -> DataFrame:
 
 def write_archives(pages: DataFrame, path: str) -> None:
     size = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    files = max(1, -(-size // ARCHIVE_BYTES))
+    # with fewer than the session's partitions the join would shuffle the payloads again
+    files = max(-(-size // ARCHIVE_BYTES), int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     (records(describe(pages, files)).select("value")
      .write.option("lineSep", CRLF + CRLF).option("compression", "gzip").text(path))
 
