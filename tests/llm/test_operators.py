@@ -188,6 +188,58 @@ def test_span_dedup_matches_brute_force(docs, rows):
         assert (gone > 0) == (removed[i] > 0) and (removed[i] > 0 or got[i]["text"] == t)
 
 
+def test_passages_put_mid_sentence_are_removed(spark):
+    rng = random.Random(11)
+
+    def prose(n: int) -> str:
+        return " ".join(rng.choice(WORDS) + rng.choice(WORDS) + ("." if rng.random() < 0.08 else "") for _ in range(n))
+
+    def unmarked(n: int) -> str:
+        return " ".join(rng.choice(WORDS) + rng.choice(WORDS) for _ in range(n))
+
+    texts, copied = [], 0
+    for n in [*range(50, 62), 80, 120, 200]:
+        for make in (prose, unmarked):
+            passage = make(n)
+            # an own word on either side: the copy is the passage and no more
+            texts += [f"{make(rng.randint(0, 90))} l{len(texts)}a {passage} r{len(texts)}a {make(rng.randint(0, 60))}",
+                      f"{make(rng.randint(0, 90))} l{len(texts)}b {passage}  r{len(texts)}b\n{make(rng.randint(0, 60))}"]
+            copied += n
+    short = " ".join(f"s{k}" for k in range(20))
+    texts += [f"{unmarked(20)} x {short} y {unmarked(9)}", f"{unmarked(31)} z {short} w {unmarked(9)}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["span_dedup"]["text"] for r in op3_spans.remove_repeated_spans(docs).collect()}
+    seen: set = set()
+    for i, t in enumerate(texts):
+        words, gone = t.split(), set()
+        for k in range(len(words) - 49):
+            window = tuple(words[k:k + 50])
+            gone |= set(range(k, k + 50)) if window in seen else set()
+            seen.add(window)
+        assert got[i].split() == [w for k, w in enumerate(words) if k not in gone], i
+        copied -= len(gone)
+    assert copied == 0
+
+
+def test_every_repeated_window_holds_an_equal_anchor():
+    rng = random.Random(12)
+    passage = " ".join(rng.choice(WORDS) for _ in range(50))
+    texts = [" ".join([*rng.choices(WORDS, k=rng.randint(0, 70)), passage, *rng.choices(WORDS, k=rng.randint(0, 70))])
+             for _ in range(200)]
+    first = set()
+    for t in texts:
+        at, one, two = op3_spans.anchor_hashes(t)
+        start = next(k for k in range(len(t.split())) if t.split()[k:k + 50] == passage.split())
+        inside = (at >= start) & (at <= start + 34)
+        found = frozenset(zip((at[inside] - start).tolist(), one[inside].tolist(), two[inside].tolist()))
+        a, *_ = op3_spans.window_hashes(t, at.tolist())
+        assert a.tolist() == list(range(len(t.split()) - 49))
+        first = first & found if first else found
+    assert first
+    at, *_ = op3_spans.anchor_hashes("same " * 130)
+    assert at.tolist() == list(range(115)) and not len(op3_spans.anchor_hashes("same " * 49)[0])
+
+
 # --- 4: sentencepiece
 
 def test_sentencepiece_parity_on_whole_texts(docs, rows):

@@ -8,10 +8,19 @@ A text is a sequence of sentences: a sentence ends at a word that ends in
 aggregation, and every sentence that lies in a repeated run other than the run's
 first occurrence (least id, then place) is removed.
 
-Only hashes and places are shuffled for the search.  The aggregation combines in
-the map tasks, so a passage that a third of all documents hold is one row per
-task; the join back is one row against many and is split by adaptive execution.
-The texts move once, to meet the places removed from them.
+A copy that stands mid-sentence shares few sentences with its source, so passages
+of ``COPY_WORDS`` words are looked for wherever they start: every word of a
+repeated window of that many words, other than the window's first occurrence, is
+removed too.  Not every window is shuffled: each holds at least one anchor, an
+``ANCHOR_WORDS``-word piece of least hash among the window's pieces, which depends
+on nothing outside the window.  Equal windows have equal anchors, so only windows
+around a repeated anchor are hashed, and the result is that of all windows.
+
+Only hashes and places are shuffled for the search, but for the texts that hold a
+repeated anchor.  The aggregation combines in the map tasks, so a passage that a
+third of all documents hold is one row per task; the join back is one row against
+many and is split by adaptive execution.  The texts move to meet their repeated
+anchors, and to meet the places removed from them.
 
 Edge cases: a null text stays null, an empty one empty, with no sentences; a null
 id is never searched and stays as it is; rows with one id are one document; a
@@ -29,11 +38,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chain64, map_batches, read_table, small_batches, struct_rows
+from .common import chain64, map_batches, materialize, mix64, read_table, small_batches, struct_rows
 
 RUN = 3
 MIN_RUN_WORDS = 12
 MAX_WORDS = 16
+COPY_WORDS = 50      # a repeated passage of so many words goes wherever it starts
+ANCHOR_WORDS = 16
 
 _MORE = rf"(?:[^\S\n]++\S++){{0,{MAX_WORDS - 1}}}"
 _SENTENCE = re.compile(rf"\S++{_MORE}?(?:(?<=[.!?])|(?<=[.!?][\"')\]”]))(?!\S)|\S++{_MORE}")
@@ -59,45 +70,140 @@ def run_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (at, chain64(*(one[i:n + i] for i in range(RUN)))[at], chain64(*(two[i:n + i] for i in reversed(range(RUN))))[at])
 
 
+def _word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hash of each word, as ``_WORD`` finds them."""
+    words = text.split() if text else []
+    if len(words) < COPY_WORDS:
+        return np.empty(0, dtype=np.uint64)
+    raw = " ".join(words).encode("utf-8", "surrogatepass").split(b" ")
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, raw), dtype=np.uint64, count=len(raw))
+
+
+_BASES = (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93)  # odd
+
+
+def _windows(x: np.ndarray, n: int, base: int) -> np.ndarray:
+    """Hash of every ``n`` consecutive word hashes: a polynomial modulo 2**64."""
+    def powers(b: int) -> np.ndarray:
+        p = np.full(len(x) + 1, b, dtype=np.uint64)
+        p[0] = 1
+        return np.cumprod(p, dtype=np.uint64)
+
+    y = mix64(x ^ np.uint64(base))
+    total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(y * powers(pow(base, -1, 1 << 64))[:-1], dtype=np.uint64)])
+    return mix64((total[n:] - total[:-n]) * powers(base)[:len(x) - n + 1])
+
+
+def _least(h: np.ndarray, n: int) -> np.ndarray:
+    """Least of every ``n`` consecutive values."""
+    k = 1
+    while 2 * k <= n:
+        h = np.minimum(h[:-k], h[k:])
+        k *= 2
+    return np.minimum(h[:len(h) - (n - k)], h[n - k:]) if n > k else h
+
+
+def anchor_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word and two 64-bit hashes of every piece that is the least of a
+    window's pieces."""
+    x = _word_hashes(text)
+    if not len(x):
+        return x, x, x
+    one, two = (_windows(x, ANCHOR_WORDS, b) for b in _BASES)
+    n = COPY_WORDS - ANCHOR_WORDS + 1  # pieces of a window
+    edge = np.zeros(n - 1, dtype=np.uint64)
+    largest = ~_least(~np.concatenate([edge, _least(one, n), edge]), n)  # of the least values of a piece's windows
+    at = np.nonzero(largest == one)[0]
+    return at, one[at], two[at]
+
+
+def window_hashes(text: str | None, anchors: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word and two 64-bit hashes of every window that holds one of the anchors."""
+    x = _word_hashes(text)
+    if not len(x):
+        return x, x, x
+    near = np.asarray(anchors)[:, None] - np.arange(COPY_WORDS - ANCHOR_WORDS + 1)
+    at = np.unique(near[(near >= 0) & (near <= len(x) - COPY_WORDS)])
+    return at, *(_windows(x, COPY_WORDS, b)[at] for b in _BASES)
+
+
+def _hashed(rows: Iterator[tuple]) -> Iterator[tuple]:
+    """Columns of ``_PLACES`` from (id, word, at, h, g), some 100,000 rows at once."""
+    def joined(parts: list[tuple]) -> tuple:
+        i, word, at, a, b = (np.concatenate(x) for x in zip(*parts))
+        return (i.astype(np.int64), word.astype(bool), at.astype(np.int32), a.astype(np.uint64).view(np.int64),
+                b.astype(np.uint64).view(np.int64))
+
+    parts: list[tuple] = []
+    n = 0
+    for i, word, at, a, b in rows:
+        parts.append((np.full(len(at), i), np.full(len(at), word), at, a, b))
+        n += len(at)
+        if n > 100_000:
+            yield joined(parts)
+            parts, n = [], 0
+    if n:
+        yield joined(parts)
+
+
+_PLACES = "id long, word boolean, at int, h long, g long"
+
+
 def _runs(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Hashes of the runs of sentences, and (``word``) of the anchors."""
     def run(batches: Iterator[tuple[list, ...]]) -> Iterator[tuple]:
         for ids, texts in batches:
-            parts: list[tuple] = []
-            rows = 0
-            for i, t in zip(ids, texts):
-                at, a, b = run_hashes(t)
-                parts.append((np.full(len(at), i), at, a, b))
-                rows += len(at)
-                if rows > 100_000:
-                    yield _joined(parts)
-                    parts, rows = [], 0
-            if rows:
-                yield _joined(parts)
-
-    def _joined(parts: list[tuple]) -> tuple:
-        i, at, a, b = (np.concatenate(x) for x in zip(*parts))
-        return i.astype(np.int64), at.astype(np.int32), a.astype(np.uint64).view(np.int64), b.astype(np.uint64).view(np.int64)
+            yield from _hashed((i, word, *f(t)) for i, t in zip(ids, texts)
+                               for word, f in ((False, run_hashes), (True, anchor_hashes)))
 
     kept = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).filter("id IS NOT NULL")
-    return map_batches(kept, "id long, at int, h long, g long", run)
+    return map_batches(kept, _PLACES, run)
+
+
+def _repeated(places: DataFrame) -> DataFrame:
+    """``places`` whose hash occurs again, with its first place."""
+    key = ["word", "h", "g"]
+    first = (places.groupBy(*key).agg(F.min(F.struct("id", "at")).alias("first"), F.count("*").alias("c"))
+             .filter("c > 1").select(*key, "first"))
+    return places.join(first, key)
+
+
+def repeated_places(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(id, word, at)``: first sentence of every run, or (``word``) first word of
+    every window, that occurred before."""
+    late = "NOT (id = first.id AND at = first.at)"
+    found = materialize(_repeated(_runs(docs, id_col, text)).filter(f"word OR {late}").select("id", "word", "at"), "runs")
+    anchors = found.filter("word").groupBy("id").agg(F.collect_set("at").alias("anchors"))
+    kept = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
+
+    def run(batches: Iterator[tuple[list, ...]]) -> Iterator[tuple]:
+        for ids, texts, near in batches:
+            yield from _hashed((i, True, *window_hashes(t, a)) for i, t, a in zip(ids, texts, near))
+
+    windows = materialize(map_batches(kept.join(anchors, "id").select("id", "text", "anchors"), _PLACES, run), "windows")
+    return found.filter("NOT word").unionByName(_repeated(windows).filter(late).select("id", "word", "at"))
 
 
-def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(id, at)``: first sentence of every run that occurred before."""
-    runs = _runs(docs, id_col, text)
-    first = (runs.groupBy("h", "g").agg(F.min(F.struct("id", "at")).alias("first"), F.count("*").alias("c"))
-             .filter("c > 1").select("h", "g", "first"))
-    return (runs.join(first, ["h", "g"]).filter("NOT (id = first.id AND at = first.at)").select("id", "at"))
+_WORD = re.compile(r"\S+")
 
 
-def _cut(text: str | None, starts: list[int] | None) -> tuple[str | None, int]:
-    if text is None or not starts:
+def _cut(text: str | None, starts: list[int] | None, windows: list[int] | None = None) -> tuple[str | None, int]:
+    """The text without the runs and windows that start there, and how many of
+    its sentences are gone whole."""
+    if text is None or not (starts or windows):
         return text, 0
     spans = sentences(text)
-    gone = sorted({s + i for s in starts for i in range(RUN)})
+    words = [m.span() for m in _WORD.finditer(text)]
+    sentence = np.searchsorted([a for a, _ in spans], [a for a, _ in words], side="right") - 1
+    dead = np.zeros(len(spans), dtype=bool)
+    for s in starts or []:
+        dead[s:s + RUN] = True
+    gone = dead[sentence]
+    for w in windows or []:
+        gone[w:w + COPY_WORDS] = True
     out, end = [], 0
-    for k in gone:
-        a, b = spans[k]
+    for k in np.nonzero(gone)[0]:
+        a, b = words[k]
         while b < len(text) and text[b].isspace() and text[b] != "\n":
             b += 1
         out.append(text[end:max(a, end)])
@@ -107,27 +213,31 @@ def _cut(text: str | None, starts: list[int] | None) -> tuple[str | None, int]:
     had = text.split("\n")
     if len(lines) == len(had):  # a line that lost all its sentences goes with its line end
         lines = [new.rstrip() if new != old else new for new, old in zip(lines, had) if new.strip() or not old.strip()]
-    return "\n".join(lines), len(gone)
+    return "\n".join(lines), len(spans) - len(np.unique(sentence[~gone]))
 
 
 _LEFT = pa.struct([("text", pa.string()), ("n_removed", pa.int64())])
 
 
-def _cut_all(texts: pa.Array, starts: pa.Array) -> pa.Array:
-    return struct_rows(_LEFT, _cut, texts, starts)
+def _cut_all(texts: pa.Array, starts: pa.Array, windows: pa.Array) -> pa.Array:
+    return struct_rows(_LEFT, _cut, texts, starts, windows)
 
 
 def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                           out: str = "span_dedup") -> DataFrame:
     """``docs`` with a struct column ``out``: the remaining ``text`` and
-    ``n_removed``, the number of sentences removed.  A column named ``out`` is
+    ``n_removed``, the number of sentences removed whole (a passage that went
+    mid-sentence leaves the rest of its sentences).  A column named ``out`` is
     replaced."""
-    marks = (repeated_runs(docs, id_col, text).groupBy("id").agg(F.collect_set("at").alias("_starts"))
+    at = F.col("at")
+    marks = (repeated_places(docs, id_col, text).groupBy("id")
+             .agg(F.collect_set(F.when(~F.col("word"), at)).alias("_starts"),
+                  F.collect_set(F.when(F.col("word"), at)).alias("_windows"))
              .withColumnRenamed("id", "_marked"))
     joined = docs.join(marks, docs[id_col].cast("long") == marks["_marked"], "left")
     small_batches(docs.sparkSession)
     cut = F.arrow_udf(_cut_all, "text string, n_removed long").asNondeterministic()  # evaluated once
-    return joined.withColumn(out, cut(F.col(text), F.col("_starts"))).drop("_marked", "_starts")
+    return joined.withColumn(out, cut(F.col(text), "_starts", "_windows")).drop("_marked", "_starts", "_windows")
 
 
 def op3_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,6 +253,6 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     q = remove_repeated_spans(docs)
     left = F.col("span_dedup.text")
     return (q.filter("span_dedup.n_removed = 0 OR trim(span_dedup.text) <> ''")
-            .withColumns({"text": left, "n_chars": F.when(F.col("span_dedup.n_removed") > 0, F.length(left).cast("long"))
+            .withColumns({"text": left, "n_chars": F.when(left != F.col("text"), F.length(left).cast("long"))
                           .otherwise(F.col("n_chars"))})
             .select(*docs.columns))
