@@ -423,6 +423,25 @@ def test_ann_recall_scores_and_ties(spark):
     assert set(got.query_id) == set(range(0, 2500, 20)) and hits / (125 * 20) >= 0.9
 
 
+def test_ann_gives_k_neighbours_to_outliers_and_lists_of_one_vector(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(12, 32))
+    x = np.concatenate([centres[rng.integers(0, 12, 2400)] + 0.2 * rng.normal(size=(2400, 32)), rng.normal(size=(600, 32))])
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    base = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    got = op10_posting_ann.nearest(base, base.filter("id >= 2400 OR id % 20 = 0"), 20).toPandas()
+    n = got.groupby("query_id").size()
+    assert set(n.index) == set(range(0, 2400, 20)) | set(range(2400, 3000)) and (n == 20).all()
+    c = np.eye(200) * 10.0  # lists of one vector each, the last one with 5
+    graph, sizes = op10_posting_ann.Graph(c), np.array([1] * 199 + [5])
+    found = [[7], [3]]
+    ids, dist = graph.search(c[[7, 3]])
+    for need in (1, 21, 150, 1000):
+        lists = op10_posting_ann.widened(graph, c[[7, 3]], ids, dist, list(found), sizes, need)
+        assert all(f[0] == g[0] and len(set(f)) == len(f) for f, g in zip(lists, found))
+        assert all(sizes[f].sum() >= min(need, sizes.sum()) for f in lists)
+
+
 # --- all: empty tables, clashing names
 
 def test_empty_tables(spark, empty, tmp_path):

@@ -6,7 +6,10 @@ broadcast (at most ``MAX_LISTS`` centroids).  Index: every vector goes to the li
 of its nearest centroid, and a boundary vector is replicated to each further
 list, up to ``REPLICAS``, whose centroid is at most ``REPLICA_RATIO`` times as far.
 Search: a beam search on the graph orders the centroids of a query, and
-distance-ratio pruning keeps those within ``PROBE_RATIO`` of the nearest.
+distance-ratio pruning keeps those within ``PROBE_RATIO`` of the nearest.  A query
+whose lists hold fewer than k + 1 vectors, replicas not counted (it may be its own
+centroid, at distance 0), goes on in centroid order until they hold enough, to all
+lists if need be, and is pruned by the distance that it has reached.
 
 Largest inner product becomes least distance by one more component,
 sqrt(M^2 - |x|^2) with M the largest norm, 0 for queries.  Scores are inner
@@ -21,8 +24,7 @@ a task holds one block of either side.
 
 Edge cases: vectors that are null, zero, hold a null or non-finite component, or
 have another length than most take no part, as query or as candidate; null ids
-neither; fewer candidates than k: all of them that the visited lists hold, and
-with no more than ``EXACT_BELOW`` vectors there is one list, so the search is
+neither; fewer candidates than k: all of them; with no more than ``EXACT_BELOW`` vectors there is one list, so the search is
 exact; empty input, no rows.  Rows with one id are candidates each.
 """
 
@@ -136,8 +138,28 @@ def within_ratio(ids: np.ndarray, dist: np.ndarray, ratio: float, most: int) ->
     return [i[o].tolist() for i, o in zip(ids[:, :most], ok)]
 
 
-def _lists(vectors: DataFrame, graph, norm: float, query: bool) -> DataFrame:
-    """``(id, v, list)``: the lists of each vector."""
+def widened(graph: Graph, x: np.ndarray, ids: np.ndarray, dist: np.ndarray, found: list[list[int]],
+            sizes: np.ndarray, need: int) -> list[list[int]]:
+    """``found``, with further lists for the rows whose lists hold fewer than ``need`` vectors."""
+    for row, lists in enumerate(found):
+        if sizes[lists].sum() >= need:
+            continue
+        near, d = ids[row], dist[row]
+        near, d = near[np.isfinite(d)], d[np.isfinite(d)]
+        if sizes[near].sum() < need:  # beyond the beam
+            d = np.sqrt(((graph.c - x[row]) ** 2).sum(1))
+            near = np.argsort(d, kind="stable")
+            d = d[near]
+        enough = min(int(np.searchsorted(np.cumsum(sizes[near]), need)) + 1, len(near))
+        ratio = int(np.searchsorted(d, PROBE_RATIO * d[enough - 1], side="right"))
+        found[row] = near[:max(enough, min(ratio, BEAM))].tolist()
+    return found
+
+
+def _lists(vectors: DataFrame, graph, norm: float, sizes: np.ndarray | None = None, need: int = 0) -> DataFrame:
+    """``(id, v, list, own)``: the lists of each vector, ``own`` the nearest; with
+    ``sizes``, the lists that a query visits, of ``need`` vectors at least."""
+    query = sizes is not None
     shared = vectors.sparkSession.sparkContext.broadcast(graph)
     ratio, most = (PROBE_RATIO, BEAM) if query else (REPLICA_RATIO, REPLICAS)
 
@@ -146,11 +168,15 @@ def _lists(vectors: DataFrame, graph, norm: float, query: bool) -> DataFrame:
             for s in range(0, len(ids), 512):
                 x = np.array(vecs[s:s + 512], dtype=np.float64)
                 more = np.zeros(len(x)) if query else np.sqrt(np.maximum(norm ** 2 - (x ** 2).sum(1), 0))
-                found = within_ratio(*shared.value.search(np.column_stack([x, more])), ratio, most)
-                rows = [(i, v, c) for i, v, f in zip(ids[s:s + 512], vecs[s:s + 512], found) for c in f]
+                x = np.column_stack([x, more])
+                near, dist = shared.value.search(x)
+                found = within_ratio(near, dist, ratio, most)
+                if query:
+                    found = widened(shared.value, x, near, dist, found, sizes, need)
+                rows = [(i, v, c, c == f[0]) for i, v, f in zip(ids[s:s + 512], vecs[s:s + 512], found) for c in f]
                 yield tuple(zip(*rows))
 
-    return map_batches(vectors.select("id", "v"), "id long, v array<double>, list int", run)
+    return map_batches(vectors.select("id", "v"), "id long, v array<double>, list int, own boolean", run)
 
 
 def _best(k: int):
@@ -192,8 +218,11 @@ def nearest(base: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         x = np.column_stack([x, np.sqrt(np.maximum(norm ** 2 - (x ** 2).sum(1), 0))])
         lists = 1 if n <= EXACT_BELOW else min(MAX_LISTS, n // VECTORS_PER_LIST, len(x))
         graph = Graph(kmeans(x, lists))
-    posts = materialize(_lists(few, graph, norm, query=False), "posts")
-    visits = materialize(_lists(asked, graph, norm, query=True), "visits")
+    posts = materialize(_lists(few, graph, norm), "posts")
+    sizes = np.zeros(len(graph.c), dtype=np.int64)  # at most MAX_LISTS
+    for r in posts.filter("own").groupBy("list").agg(F.count("*").alias("n")).collect():
+        sizes[r["list"]] = r["n"]
+    visits = materialize(_lists(asked, graph, norm, sizes, k + 1), "visits")
     # at most MAX_LISTS rows: how many blocks either side of a list has
     blocks = (posts.groupBy("list").agg(F.ceil(F.count("*") / LIST_ROWS).cast("int").alias("p_blocks"))
               .join(visits.groupBy("list").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("q_blocks")), "list"))
