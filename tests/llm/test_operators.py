@@ -133,6 +133,19 @@ def test_filter_never_reads_less_than_the_level_it_holds():
     assert (got >= want).all() and (got == want).mean() > 0.97
 
 
+def test_filter_holds_every_word_pair_with_its_level(docs, rows):
+    model, _ = op1_bloom_lm.train(docs)
+    keys = np.concatenate([op1_bloom_lm.pair_keys(op1_bloom_lm.tokens_of(t)) for i, t, *_ in rows
+                           if not op1_bloom_lm.is_held_out(i)])
+    keys, counts = np.unique(keys, return_counts=True)
+    got = model.load(sorted(model.bytes)).levels(keys)
+    low = op1_bloom_lm.PAIR_LEVELS[np.maximum(got, 1) - 1]
+    assert (counts == 1).sum() > 100 and (got > 0).all()
+    assert (low >= counts / 1.05 - 1e-9).all() and (low > counts).mean() < 0.01
+    other = op1_bloom_lm.mix64(np.arange(200_000, dtype=np.uint64))
+    assert (model.load(sorted(model.bytes)).levels(other) > 0).mean() < 0.001
+
+
 # --- 2: packing
 
 def test_packing_places_every_id_once(docs, rows):

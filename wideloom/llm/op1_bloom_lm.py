@@ -16,8 +16,7 @@ stands before its first word)
 where c(w) and c(v w) are read as their level's lower bound and c(v) as its upper
 bound, so the probabilities add up to at most 1 but for false positives
 (2**-HASHES a probe).  ``share(v)`` is ``SHARE``, and 0 after tokens that training has
-seen less than ``CUTOFF`` times.  Word pairs below the usual count cut-off ``CUTOFF``
-stay at the lower order.
+never seen.  Every word pair enters the filter, from count 1 on.
 
 The filter is broadcast.  Its size follows the training data, so it is sent in
 shards of at most ``MAX_BROADCAST`` bytes; with more than one shard every pass
@@ -48,12 +47,11 @@ from pyspark.sql import functions as F
 from .common import chain64, map_batches, materialize, mix64, read_table
 from .shingles import word_hashes
 
-HASHES = 8                   # hash functions per entry: false positives 2**-8 at half load
+HASHES = 12                  # hash functions per entry: false positives 2**-12 at half load
 UNI_RATIO = 1.05             # growth of the count levels of tokens
-PAIR_RATIO = 1.6             # and of word pairs
-CUTOFF = 2                   # least count of a word pair that the filter holds
+PAIR_RATIO = 1.05            # and of word pairs
 SHARE = 0.15                 # weight of the pair order
-MAX_BROADCAST = 192 << 20    # bytes of filter in one broadcast
+MAX_BROADCAST = 64 << 20     # bytes of filter in one broadcast
 BLOCK_TEXT = 4 << 20         # characters aggregated at once in a task
 SCORE_TEXT = 2 << 20         # characters scored at once
 REDUCER_TEXT = 16 << 20      # bytes of text per reducer
@@ -70,7 +68,7 @@ def thresholds(first: int, ratio: float) -> np.ndarray:
     return np.array(out, dtype=np.int64)
 
 
-UNI_LEVELS, PAIR_LEVELS = thresholds(1, UNI_RATIO), thresholds(CUTOFF, PAIR_RATIO)
+UNI_LEVELS, PAIR_LEVELS = thresholds(1, UNI_RATIO), thresholds(1, PAIR_RATIO)
 
 
 def is_held_out(doc_id: int | None) -> bool:
@@ -260,7 +258,7 @@ def _reduce(table: pa.Table) -> pa.Table:
     if pairs:
         uniq, at = np.unique(np.concatenate([np.frombuffer(r[2], dtype=np.uint64) for r in pairs]), return_inverse=True)
         count = np.bincount(at, weights=np.concatenate([np.frombuffer(r[3], dtype="<u4") for r in pairs])).astype(np.int64)
-        parts.append((uniq[count >= CUTOFF], count[count >= CUTOFF], PAIR_LEVELS))
+        parts.append((uniq, count, PAIR_LEVELS))
     out.append((SLICE, p, p, build_slice(parts).tobytes(), np.array([n_train, n_known], dtype="<i8").tobytes(), None, None))
     types = [pa.int8(), pa.int64(), pa.int32()] + [pa.binary()] * 4
     return pa.Table.from_arrays([pa.array(v, type=t) for v, t in zip(zip(*out), types)],
@@ -296,7 +294,7 @@ def log10_score(uni: np.ndarray, pair: np.ndarray, n: int, v: int) -> float:
     base = (low + 1) / (n + v + 1)
     before = np.concatenate([high[-1:], high[:-1]])  # the end stands before the first word
     c = np.where(pair > 0, PAIR_LEVELS[np.maximum(pair, 1) - 1], 0)
-    share = np.where(before >= CUTOFF, SHARE, 0.0)
+    share = np.where(before > 0, SHARE, 0.0)
     seen = np.minimum(c / np.maximum(before, 1), 1.0)
     return float(np.log10(share * seen + (1 - share) * base).sum())
 
