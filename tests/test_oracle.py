@@ -2,11 +2,15 @@
 
 import math
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
 from conftest import SF_SMALL
 
+import __spark_entry__ as E
+
 from wideloom.oracle import oracle_sql
 from wideloom.plans.registry import QUERIES
 
@@ -46,6 +50,25 @@ def test_query_matches_oracle(spark, con, name):
     assert got == _rows(cols, res.fetchall())
 
 
+def test_entry_lists_queries_and_sql():
+    names, sql = set(E.queries()), set(E.oracle_sql())
+    assert set(QUERIES) <= names and sql <= names
+
+
+def test_entry_without_the_optional_package():
+    """With the training-data package gone the entry module loads and keeps the rest,
+    whether or not the pipeline module is still there."""
+    code = ("import importlib.util as u, sys\n"
+            "find = u.find_spec\n"
+            "u.find_spec = lambda n, *a: None if n == 'wideloom.llm' else find(n, *a)\n"
+            "sys.modules['wideloom.llm'] = None\n"
+            "import __spark_entry__ as E\n"
+            "from wideloom.plans.registry import QUERIES\n"
+            "assert set(E.queries()) == set(E.oracle_sql()) == set(QUERIES)\n")
+    done = subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(E.__file__), capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "ROW_KEY" in df.columns
