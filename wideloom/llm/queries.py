@@ -13,6 +13,7 @@ from . import (
     op8_line_runs,
     op9_warc,
     op10_posting_ann,
+    op11_winnowing,
 )
 
 QUERIES = {
@@ -26,10 +27,12 @@ QUERIES = {
     "op8_line_runs": op8_line_runs.op8_line_runs,
     "op9_warc": op9_warc.op9_warc,
     "op10_posting_ann": op10_posting_ann.op10_posting_ann,
+    "op11_winnowing": op11_winnowing.op11_winnowing,
 }
 
 ORACLES = {
     "op7_quality": op7_quality.ORACLE,
     "op8_line_runs": op8_line_runs.ORACLE,
     "op9_warc": op9_warc.ORACLE,
+    "op11_winnowing": op11_winnowing.ORACLE,
 }
