@@ -14,6 +14,8 @@ from . import (
     op9_warc,
     op10_posting_ann,
     op11_winnowing,
+    op12_divergence,
+    op13_fp_search,
 )
 
 QUERIES = {
@@ -28,6 +30,8 @@ QUERIES = {
     "op9_warc": op9_warc.op9_warc,
     "op10_posting_ann": op10_posting_ann.op10_posting_ann,
     "op11_winnowing": op11_winnowing.op11_winnowing,
+    "op12_divergence": op12_divergence.op12_divergence,
+    "op13_fp_search": op13_fp_search.op13_fp_search,
 }
 
 ORACLES = {
@@ -35,4 +39,6 @@ ORACLES = {
     "op8_line_runs": op8_line_runs.ORACLE,
     "op9_warc": op9_warc.ORACLE,
     "op11_winnowing": op11_winnowing.ORACLE,
+    "op12_divergence": op12_divergence.ORACLE,
+    "op13_fp_search": op13_fp_search.ORACLE,
 }
