@@ -7,7 +7,8 @@ words, the least hash is kept.  Equal spans of t words keep equal hashes, so two
 that share a window surely share a fingerprint; most other places never leave their row.
 
 1. Fingerprints of the items; fingerprints of the documents, each with the run of window
-   starts that it stands for; those that the items hold too remain (``hits``).
+   starts that it stands for and the words of these windows.  Those that the items hold too
+   remain, next to one row for each document, and are written: texts are read once.
 2. Every hit is extended to the whole windows it stands for, and these are compared word
    by word with the items' windows.  Touching windows merge into spans.
 3. Windows that the same items hold get one set id, and documents that hold the same sets
@@ -53,8 +54,9 @@ def let(name: str, value: str, body: str) -> str:
 
 
 def prints_sql(words: str, lengths: list[int], takes: str = "true") -> str:
-    """SQL of an array of (t, fp, first, last) for a text's words: a fingerprint and the window
-    starts that it stands for, for every window length t.  ``takes``: condition on t."""
+    """SQL of an array of (t, fp, first, last, span) for a text's words: a fingerprint, the window
+    starts that it stands for and the words of these windows, for every window length t.
+    ``takes``: condition on t."""
     parts = []
     for t in lengths:
         k = (t + 1) // 2
@@ -63,7 +65,8 @@ def prints_sql(words: str, lengths: list[int], takes: str = "true") -> str:
         near = ", ".join(f"get(g, s + {j})" for j in range(w))
         least = f"transform(sequence(0, size(g) - {w}), s -> least({near}))" if w > 1 else "g"
         runs = (f"transform(p, (s, j) -> named_struct('t', {t}, 'fp', get(m, s), 'first', s, "
-                f"'last', coalesce(get(p, j + 1), size(m)) - 1))")
+                f"'last', coalesce(get(p, j + 1), size(m)) - 1, 'span', "
+                f"array_join(slice({words}, s + 1, coalesce(get(p, j + 1), size(m)) - 1 - s + {t}), ' ')))")
         starts = "filter(sequence(0, size(m) - 1), s -> s = 0 OR get(m, s) <> get(m, s - 1))"
         some = let("g", f"transform(sequence(0, size(h) - {k}), i -> xxhash64({t}, {grams}))",
                    let("m", least, let("p", starts, runs)))
@@ -103,17 +106,16 @@ def leaks(docs: DataFrame, items: Items) -> tuple[DataFrame, DataFrame]:
     words, merged) and signature (null without a hit); per signature the sorted ids of its items."""
     key = [F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64("text", F.lit(1), "doc_id").alias("k2")]
     texts = docs.select("doc_id", "text", *key)
-    prints = F.expr(prints_sql(words_sql("text"), items.lengths))
-    found = texts.select("k1", "k2", F.explode(prints).alias("p")).select("k1", "k2", "p.*")
-    found = found.join(few(items.prints), "fp", "left_semi")
-    hits = materialize(found.groupBy("k1", "k2").agg(F.collect_set(F.struct("t", "first", "last")).alias("hits")),
-                       "op11-hits")
-    cut = ("flatten(transform(hits, x -> transform(sequence(x.first, x.last), s -> named_struct("
-           "'start', s, 'stop', s + x.t, 'win', array_join(slice(words, s + 1, x.t), ' ')))))")
-    read = let("words", words_sql("text"), f"named_struct('n_words', cast(size(words) AS bigint), 'cuts', {cut})")
-    base = texts.join(hits, ["k1", "k2"], "left").select("k1", "k2", "doc_id", F.expr(read).alias("r"))
-    base = materialize(base.select("k1", "k2", "doc_id", "r.*"), "op11-base")
-    cuts = base.filter("cuts IS NOT NULL").select("k1", "k2", F.explode("cuts").alias("c")).select("k1", "k2", "c.*")
+    # one more element for every document, which no join drops: its number of words
+    whole = "array(named_struct('t', 0, 'fp', k1, 'first', size(words), 'last', 0, 'span', ''))"
+    read = let("words", words_sql("text"), f"concat({whole}, {prints_sql('words', items.lengths)})")
+    found = texts.select("k1", "k2", "doc_id", F.explode(F.expr(read)).alias("p")).select("k1", "k2", "doc_id", "p.*")
+    found = found.join(few(items.prints.withColumn("held", F.lit(True))), "fp", "left").filter("held OR t = 0")
+    found = materialize(found.drop("fp", "held"), "op11-hits")
+    base = found.filter("t = 0").select("k1", "k2", "doc_id", F.col("first").cast("long").alias("n_words"))
+    cut = let("w", "split(span, ' ')", "transform(sequence(0, last - first), i -> named_struct("
+                                       "'start', first + i, 'stop', first + i + t, 'win', array_join(slice(w, i + 1, t), ' ')))")
+    cuts = found.filter("t > 0").select("k1", "k2", F.explode(F.expr(cut)).alias("c")).select("k1", "k2", "c.*")
     windows = items.windows
     if windows.count() <= BROADCAST_ROWS:
         same = cuts.join(F.broadcast(windows), "win")
@@ -135,7 +137,7 @@ def leaks(docs: DataFrame, items: Items) -> tuple[DataFrame, DataFrame]:
     listed = found.groupBy("g1", "g2").agg(F.first("sets").alias("sets"))
     listed = listed.select("g1", "g2", F.explode("sets").alias("set")).join(items.members, "set")
     listed = listed.groupBy("g1", "g2").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    return base.drop("cuts").join(found.drop("sets"), ["k1", "k2"], "left"), listed
+    return base.join(found.drop("sets"), ["k1", "k2"], "left"), listed
 
 
 def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
