@@ -42,10 +42,10 @@ def five_window_queries(spark, d) -> DataFrame:
     secs = {k: v for k, v in S.order_line_sections(ORDER_ASOF).items() if k != "order_lifecycle"}
     out = None
     for name, sec in secs.items():
-        one = A.sectioned_aggregate(S.slot_lines(spark, d, ORDER_ASOF).filter(sec.predicate), ["member_id"],
+        one = A.sectioned_aggregate(S.keyed(S.slot_lines(spark, d, ORDER_ASOF)).filter(sec.predicate), S.KEYS,
                                     {name: A.Section(sec.measures)}).drop(f"has_{name}")
-        out = one if out is None else out.join(one, "member_id", "full_outer")
-    return to_plain(S.attach_tenant(spark, d, out))
+        out = one if out is None else out.join(one, S.KEYS, "full_outer")
+    return to_plain(out)
 
 
 def chained_full_joins(spark, d) -> DataFrame:

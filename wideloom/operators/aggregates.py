@@ -83,11 +83,11 @@ def full_price_average(name: str, pay: Column, total: Column, unit_scale: int |
 @dataclass(frozen=True)
 class Section:
     """Rows of one section of a source (``predicate``; None = all rows) and
-    its measures.  ``require`` names a member-level condition applied when the
-    tenant is attached (see ``plans.sections.attach_tenant``)."""
+    its measures.  ``scan``: a weaker condition that a reader can evaluate, where
+    the whole predicate keeps its date bound from the scan."""
     measures: tuple
     predicate: Column | None = None
-    require: str = "none"
+    scan: Column | None = None
 
 
 def sectioned_aggregate(df: DataFrame, keys: Sequence[str], sections: dict[str, Section],

@@ -11,6 +11,7 @@ Every large-side row still meets exactly the dimension rows of its key.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -30,3 +31,10 @@ def salted_lookup_join(large: DataFrame, small: DataFrame, on: Sequence[str], sa
     big = large.withColumn(salt, F.pmod(F.xxhash64(*[F.col(c) for c in salt_by]), F.lit(buckets)).cast("int"))
     reps = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     return big.join(reps, on=[*on, salt], how=how).drop(salt)
+
+
+def snapshot(dim: DataFrame, day_col: str, day: dt.date) -> DataFrame:
+    """Rows of a dimension kept as one full snapshot a day, as they were on ``day``.  A key that
+    snapshot lacks was not listed that day: an older snapshot never stands in for it.  The
+    filter is on the snapshot column alone, so a table partitioned by it reads one partition."""
+    return dim.filter(F.col(day_col) == F.lit(day)).drop(day_col)

@@ -12,7 +12,7 @@ from .joins import salted_lookup_join
 
 def top_n_pivot(df: DataFrame, keys: Sequence[str], item: str, measure: str, n: int,
                 code_names: Sequence[str], dim: DataFrame | None = None,
-                dim_key: str = "code", dim_value: str = "name",
+                dim_key: str = "code", dim_value: str = "name", dim_on: Sequence[str] = (),
                 value_names: Sequence[str] = (), tie_ascending: bool = True) -> DataFrame:
     """Rank items per key by total ``measure`` (desc, ties by item), keep the
     first ``n`` and spread them over ``code_names[i]`` / ``value_names[i]``.
@@ -23,7 +23,8 @@ def top_n_pivot(df: DataFrame, keys: Sequence[str], item: str, measure: str, n:
     task) -> join the item dimension only for the n survivors -> conditional
     max per rank.  ``dim`` is joined without a broadcast hint: its size grows
     with the data, and AQE broadcasts it only when runtime statistics show it
-    is small.
+    is small.  ``dim_on``: keys that the dimension shares with ``keys`` (a tenant), matched
+    together with the item.
     """
     assert len(code_names) == n and (not value_names or len(value_names) == n)
     totals = df.groupBy(*keys, item).agg(F.sum(measure).alias("__qty"))
@@ -31,9 +32,9 @@ def top_n_pivot(df: DataFrame, keys: Sequence[str], item: str, measure: str, n:
     w = Window.partitionBy(*keys).orderBy(*order)
     ranked = totals.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n)
     if dim is not None and value_names:
-        d = dim.select(F.col(dim_key).alias(item), F.col(dim_value).alias("__name"))
+        d = dim.select(*dim_on, F.col(dim_key).alias(item), F.col(dim_value).alias("__name"))
         # a best-seller ranks for a large share of the keys: spread it by key
-        ranked = salted_lookup_join(ranked, d, [item], salt_by=list(keys))
+        ranked = salted_lookup_join(ranked, d, [*dim_on, item], salt_by=list(keys))
     aggs = []
     for i in range(n):
         aggs.append(F.max(F.when(F.col("__rn") == i + 1, F.col(item))).alias(code_names[i]))

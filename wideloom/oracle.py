@@ -28,39 +28,48 @@ def _months_back(day: dt.date, months: int) -> str:
 
 BINDINGS = """
 members AS (
-  SELECT c_custkey AS member_id, c_nationkey AS tenant_id, c_name AS member_no, c_name AS user_name,
+  SELECT c_custkey AS member_id, (c_custkey // 10) % 25 AS tenant_id,
+         CASE WHEN c_custkey % 19 = 0 THEN 'none' WHEN c_custkey % 23 <> 0 THEN c_name END AS member_no, c_name AS user_name,
          c_mktsegment AS member_status, c_custkey % 10 AS store_code,
          CASE WHEN c_acctbal < 0 THEN '' ELSE substr(c_name, 10) END AS phone,
          CASE WHEN c_custkey % 11 = 0 THEN NULL
               ELSE DATE '1950-01-01' + CAST((c_custkey * 37) % 18000 AS INTEGER) END AS birthday,
          c_nationkey % 2 AS self_regist_flag, c_mktsegment AS member_flg
   FROM customer),
+orders_at AS (
+  SELECT *, (o_custkey // 10 + CASE WHEN o_orderkey % 8 = 3 THEN 1 ELSE 0 END) % 25 AS tenant_id, o_custkey AS member_id,
+         CASE WHEN o_custkey % 17 = 0 THEN NULL WHEN o_custkey % 13 = 0 THEN '' ELSE 'M' || o_custkey END AS member_no
+  FROM orders WHERE o_custkey IS NOT NULL AND o_orderkey IS NOT NULL),
 order_lines AS (
-  SELECT o.o_custkey AS member_id, CAST(o.o_orderdate AS DATE) AS orderdate, CAST(1 AS BIGINT) AS order_num,
+  SELECT o.tenant_id, o.member_id, o.member_no, CAST(o.o_orderdate AS DATE) AS orderdate, CAST(1 AS BIGINT) AS order_num,
          CAST(l.l_extendedprice AS DECIMAL(18,2)) AS total_amount,
          CAST(l.l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l.l_discount AS DECIMAL(18,2))) AS pay_amount,
          CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(l.l_discount AS DECIMAL(18,2)) AS platform_discount_amount,
          CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(l.l_tax AS DECIMAL(18,2)) AS shop_discount_amount,
          l.l_suppkey AS shop_id, l.l_partkey AS item_code, l.l_quantity AS item_num, l.l_linestatus AS time_type
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+  FROM lineitem l JOIN orders_at o ON l.l_orderkey = o.o_orderkey),
 slot_lines AS (SELECT * FROM order_lines WHERE time_type = 'F'),
 recharge AS (
-  SELECT o_custkey AS member_id, CAST(o_orderdate AS DATE) AS ds_dt,
+  SELECT tenant_id, member_id, member_no, CAST(o_orderdate AS DATE) AS ds_dt,
          CAST(o_totalprice AS DECIMAL(18,2)) AS actual_pay_amt,
          CASE WHEN o_orderstatus = 'P' THEN CAST(o_totalprice AS DECIMAL(18,2)) * CAST(0.1 AS DECIMAL(1,1)) END AS back_pay_amt
-  FROM orders WHERE o_orderpriority = '1-URGENT'),
+  FROM orders_at WHERE o_orderpriority = '1-URGENT'),
 ev AS (
-  SELECT user_id AS member_id, event_type, CAST(value AS DECIMAL(18,2)) AS amount, CAST(ts AS DATE) AS ds_dt,
+  SELECT (user_id // 10 + CASE WHEN event_id % 8 = 3 THEN 1 ELSE 0 END) % 25 AS tenant_id, user_id AS member_id,
+         CASE WHEN user_id % 17 = 0 THEN NULL WHEN user_id % 13 = 0 THEN '' ELSE 'M' || user_id END AS member_no,
+         event_type, CAST(value AS DECIMAL(18,2)) AS amount, CAST(ts AS DATE) AS ds_dt,
          CASE WHEN event_type = 'view' THEN 1 ELSE 0 END AS received_coupon_cnt,
          CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS used_coupon_cnt
-  FROM events),
+  FROM events WHERE user_id IS NOT NULL AND event_id IS NOT NULL),
 shops AS (
   SELECT s.s_suppkey AS code, s.s_nationkey AS tenant_id, n.n_regionkey AS org_id, n.n_name AS org_name
   FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey),
-keys_all AS (SELECT c_custkey AS member_id, c_nationkey AS tenant_id FROM customer
-             WHERE c_custkey IS NOT NULL AND c_nationkey IS NOT NULL),
-keys_no AS (SELECT member_id, tenant_id FROM keys_all JOIN (SELECT c_custkey AS member_id FROM customer WHERE c_name IS NOT NULL) USING (member_id)),
-keys_nonempty AS (SELECT member_id, tenant_id FROM keys_all JOIN (SELECT c_custkey AS member_id FROM customer WHERE c_name IS NOT NULL AND c_name <> '') USING (member_id))
+items AS (
+  SELECT p_partkey AS code, t.tenant_id, v.ds_dt, v.name
+  FROM part, (SELECT unnest(range(0, 25)) AS tenant_id) t,
+       LATERAL (SELECT DATE '2001-03-15' AS ds_dt, CASE WHEN p_partkey % 11 <> 1 THEN 'former ' || p_name END AS name
+                UNION ALL SELECT DATE '2001-06-15', CASE WHEN p_partkey % 11 <> 2 THEN p_name END) v
+  WHERE v.name IS NOT NULL AND (t.tenant_id + p_partkey) % 7 <> 0)
 """
 
 
@@ -92,8 +101,8 @@ def order_window_sql(day: dt.date, months: int, w: str, sums: bool, fpa: bool) -
                  f"COALESCE(sum(platform_discount_amount), 0) + COALESCE(sum(shop_discount_amount), 0) AS LST_ORDER_DISC_{w}"]
     if fpa:
         cols.append(f"{_fpa()} AS FULL_AVERAGE_PRICE_{w}")
-    return (f"SELECT k.tenant_id, s.member_id, {', '.join(cols)} FROM slot_lines s JOIN keys_all k USING (member_id) "
-            f"WHERE orderdate >= {_months_back(day, months)} GROUP BY k.tenant_id, s.member_id")
+    return (f"SELECT tenant_id, member_id, {', '.join(cols)} FROM slot_lines "
+            f"WHERE orderdate >= {_months_back(day, months)} GROUP BY tenant_id, member_id")
 
 
 ORDER_WINDOW_SPECS = [("30D", 1, True, True), ("90D", 3, True, True), ("120D", 4, False, True),
@@ -102,10 +111,10 @@ RECHARGE_WINDOW_SPECS = [("30D", 1), ("90D", 3), ("180D", 6), ("360D", 12)]
 
 
 def recharge_window_sql(day: dt.date, months: int, w: str) -> str:
-    return (f"SELECT k.tenant_id, r.member_id, "
+    return (f"SELECT tenant_id, member_id, "
             f"round(sum(COALESCE(actual_pay_amt, 0) + COALESCE(back_pay_amt, 0)), 2) AS LAST_CHARGE_AMOUNT_{w} "
-            f"FROM recharge r JOIN keys_all k USING (member_id) WHERE ds_dt >= {_months_back(day, months)} "
-            f"GROUP BY k.tenant_id, r.member_id")
+            f"FROM recharge WHERE ds_dt >= {_months_back(day, months)} "
+            f"GROUP BY tenant_id, member_id")
 
 
 def section_sql(order_day: dt.date = ORDER_DAY, event_day: dt.date = EVENT_DAY) -> dict[str, str]:
@@ -120,12 +129,13 @@ def section_sql(order_day: dt.date = ORDER_DAY, event_day: dt.date = EVENT_DAY)
              CASE WHEN m.self_regist_flag = 1 THEN r.reg END AS REGISTER_TIME,
              CASE WHEN r.reg IS NOT NULL THEN date_diff('day', r.reg, {od}) END AS REGISTER_DAYS,
              m.member_no AS MEMBER_NO, m.store_code AS STORE_CODE,
-             CASE WHEN EXISTS (SELECT 1 FROM events e WHERE e.user_id = m.member_id AND e.event_type = 'signup')
+             CASE WHEN EXISTS (SELECT 1 FROM ev e WHERE e.tenant_id = m.tenant_id AND e.member_id = m.member_id
+                               AND e.event_type = 'signup')
                   THEN 'Y' ELSE 'N' END AS IS_ENTER_WECHAT,
              sh.org_id AS STORE_ORG_ID, sh.org_name AS STORE_ORG_NAME
       FROM members m
-      LEFT JOIN (SELECT o_custkey AS member_id, min(CAST(o_orderdate AS DATE)) AS reg FROM orders GROUP BY o_custkey) r
-        ON r.member_id = m.member_id
+      LEFT JOIN (SELECT tenant_id, member_id, min(CAST(o_orderdate AS DATE)) AS reg FROM orders_at GROUP BY tenant_id, member_id) r
+        ON r.member_id = m.member_id AND r.tenant_id = m.tenant_id
       LEFT JOIN shops sh ON sh.code = m.store_code AND sh.tenant_id = m.tenant_id
       WHERE m.member_status <> 'MACHINERY' AND m.member_no <> 'none' AND m.member_no IS NOT NULL
         AND m.tenant_id IS NOT NULL AND m.member_id IS NOT NULL"""
@@ -134,74 +144,76 @@ def section_sql(order_day: dt.date = ORDER_DAY, event_day: dt.date = EVENT_DAY)
       WHERE member_no <> 'none' AND member_no IS NOT NULL AND tenant_id IS NOT NULL"""
     out["active_flag"] = f"""
       SELECT m.tenant_id, m.member_id,
-             CASE WHEN EXISTS (SELECT 1 FROM events e WHERE e.user_id = m.member_id
-                               AND CAST(e.ts AS DATE) >= {ed} - 1) THEN 'Y' ELSE 'N' END AS IS_MP_ACITIVE_USER
+             CASE WHEN EXISTS (SELECT 1 FROM ev e WHERE e.tenant_id = m.tenant_id AND e.member_id = m.member_id
+                               AND e.ds_dt >= {ed} - 1) THEN 'Y' ELSE 'N' END AS IS_MP_ACITIVE_USER
       FROM members m WHERE m.member_status <> 'MACHINERY' AND m.tenant_id IS NOT NULL"""
     out["order_lifecycle"] = f"""
-      WITH t AS (SELECT member_id, min(orderdate) AS f, max(orderdate) AS l, sum(order_num) AS n,
+      WITH n AS (SELECT * FROM slot_lines WHERE member_no IS NOT NULL),
+           t AS (SELECT tenant_id, member_id, min(orderdate) AS f, max(orderdate) AS l, sum(order_num) AS n,
                         round(sum(pay_amount), 2) AS amt,
                         round(COALESCE(sum(platform_discount_amount), 0) + COALESCE(sum(shop_discount_amount), 0), 2) AS disc
-                 FROM slot_lines GROUP BY member_id),
-           fs AS (SELECT t.member_id, min(s.shop_id) AS shop FROM t JOIN slot_lines s
-                    ON s.member_id = t.member_id AND s.orderdate = t.f GROUP BY t.member_id),
-           ls AS (SELECT t.member_id, max(s.shop_id) AS shop FROM t JOIN slot_lines s
-                    ON s.member_id = t.member_id AND s.orderdate = t.l GROUP BY t.member_id)
-      SELECT k.tenant_id, t.member_id, t.f AS FIRST_ORDER_TIME, t.l AS LST_ORDER_TIME, t.n AS ORDER_NUM,
+                 FROM n GROUP BY tenant_id, member_id),
+           fs AS (SELECT t.tenant_id, t.member_id, min(s.shop_id) AS shop FROM t JOIN n s
+                    ON s.tenant_id = t.tenant_id AND s.member_id = t.member_id AND s.orderdate = t.f GROUP BY ALL),
+           ls AS (SELECT t.tenant_id, t.member_id, max(s.shop_id) AS shop FROM t JOIN n s
+                    ON s.tenant_id = t.tenant_id AND s.member_id = t.member_id AND s.orderdate = t.l GROUP BY ALL)
+      SELECT tenant_id, member_id, t.f AS FIRST_ORDER_TIME, t.l AS LST_ORDER_TIME, t.n AS ORDER_NUM,
              t.amt AS ORDER_AMOUNT, t.disc AS ORDER_DISCOUNT, fs.shop AS FIRST_ORDER_SHOPID,
              ls.shop AS LST_ORDER_SHOPID, date_diff('day', t.f, {od}) AS FIRST_ORDER_INTRVL,
              date_diff('day', t.l, {od}) AS LST_ORDER_INTRVL
-      FROM t JOIN keys_no k USING (member_id) JOIN fs USING (member_id) JOIN ls USING (member_id)"""
+      FROM t JOIN fs USING (tenant_id, member_id) JOIN ls USING (tenant_id, member_id)"""
     for w, months, sums, fpa in ORDER_WINDOW_SPECS:
         out[f"order_{w}"] = order_window_sql(order_day, months, w, sums, fpa)
     out["top_items"] = f"""
-      WITH q AS (SELECT member_id, item_code, sum(item_num) AS qty FROM slot_lines
+      WITH q AS (SELECT tenant_id, member_id, item_code, sum(item_num) AS qty FROM slot_lines
                  WHERE orderdate >= {od} - 360 AND item_code IS NOT NULL AND item_code <> 0
-                 GROUP BY member_id, item_code),
-           r AS (SELECT *, row_number() OVER (PARTITION BY member_id ORDER BY qty DESC, item_code ASC) AS rn FROM q),
-           t AS (SELECT r.member_id, r.rn, r.item_code, p.p_name FROM r LEFT JOIN part p ON p.p_partkey = r.item_code
+                 GROUP BY tenant_id, member_id, item_code),
+           r AS (SELECT *, row_number() OVER (PARTITION BY tenant_id, member_id ORDER BY qty DESC, item_code ASC) AS rn FROM q),
+           t AS (SELECT r.tenant_id, r.member_id, r.rn, r.item_code, p.name AS p_name FROM r
+                 LEFT JOIN items p ON p.code = r.item_code AND p.tenant_id = r.tenant_id AND p.ds_dt = {od}
                  WHERE r.rn <= 3)
-      SELECT k.tenant_id, t.member_id,
+      SELECT tenant_id, member_id,
              max(CASE WHEN rn = 1 THEN item_code END) AS LST_ORDITEM_ITEMCODE_1ST_360D,
              max(CASE WHEN rn = 2 THEN item_code END) AS LST_ORDITEM_ITEMCODE_2ST_360D,
              max(CASE WHEN rn = 3 THEN item_code END) AS LST_ORDITEM_ITEMCODE_3ST_360D,
              max(CASE WHEN rn = 1 THEN p_name END) AS LST_ORDITEM_ITEMNAME_1ST_360D,
              max(CASE WHEN rn = 2 THEN p_name END) AS LST_ORDITEM_ITEMNAME_2ST_360D,
              max(CASE WHEN rn = 3 THEN p_name END) AS LST_ORDITEM_ITEMNAME_3ST_360D
-      FROM t JOIN keys_all k USING (member_id) GROUP BY k.tenant_id, t.member_id"""
+      FROM t GROUP BY tenant_id, member_id"""
     out["points_totals"] = """
-      SELECT k.tenant_id, e.member_id,
+      SELECT tenant_id, member_id,
              sum(CASE WHEN event_type = 'purchase' THEN amount ELSE 0 END) AS EXCHANGE_POINTS,
              sum(CASE WHEN event_type = 'click' THEN amount ELSE 0 END) AS GET_POINTS,
              sum(CASE WHEN event_type = 'error' THEN amount ELSE 0 END) AS EXPIRED_POINTS,
              sum(CASE WHEN event_type = 'view' THEN amount ELSE 0 END) AS CLEAR_POINTS,
              sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS YH_POINTS_COUNT,
              sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS GET_POINTS_COUNT
-      FROM ev e JOIN keys_all k USING (member_id) GROUP BY k.tenant_id, e.member_id"""
+      FROM ev GROUP BY tenant_id, member_id"""
     out["typed_event_total"] = """
-      SELECT k.tenant_id, e.member_id, sum(amount) AS ACTIVITIES_POINT_COUNT
-      FROM ev e JOIN keys_all k USING (member_id) WHERE event_type = 'error' GROUP BY k.tenant_id, e.member_id"""
+      SELECT tenant_id, member_id, sum(amount) AS ACTIVITIES_POINT_COUNT
+      FROM ev WHERE event_type = 'error' GROUP BY tenant_id, member_id"""
     out["coupon_lifetime"] = f"""
-      SELECT k.tenant_id, e.member_id, sum(received_coupon_cnt) AS TOTAL_RECEIVED_COUPON,
+      SELECT tenant_id, member_id, sum(received_coupon_cnt) AS TOTAL_RECEIVED_COUPON,
              sum(used_coupon_cnt) AS TOTAL_USED_COUNPON,
              {_pct('sum(used_coupon_cnt)', 'sum(received_coupon_cnt)')} AS TOTAL_USED_COUNPON_PERCENT
-      FROM ev e JOIN keys_all k USING (member_id) GROUP BY k.tenant_id, e.member_id"""
+      FROM ev GROUP BY tenant_id, member_id"""
     out["coupon_recent"] = f"""
       SELECT tenant_id, member_id, rcv AS LAST_RECEVIED_COUPON_15D, usd AS LAST_USED_COUPON_15D,
              {_pct('usd', 'rcv')} AS LAST_USED_COUPON_PERCENT_15D,
              CASE WHEN rcv > 0 THEN 'Y' ELSE 'N' END AS LAST_RECEIVED_COUPON_15D_FLG,
              CASE WHEN usd > 0 THEN 'Y' ELSE 'N' END AS LAST_USED_COUPON_15D_FLG
-      FROM (SELECT k.tenant_id, e.member_id, sum(received_coupon_cnt) AS rcv, sum(used_coupon_cnt) AS usd
-            FROM ev e JOIN keys_no k USING (member_id) WHERE ds_dt >= {ed} - 15
-            GROUP BY k.tenant_id, e.member_id)"""
+      FROM (SELECT tenant_id, member_id, sum(received_coupon_cnt) AS rcv, sum(used_coupon_cnt) AS usd
+            FROM ev WHERE member_no IS NOT NULL AND ds_dt >= {ed} - 15
+            GROUP BY tenant_id, member_id)"""
     out["coupon_valid"] = f"""
-      SELECT k.tenant_id, e.member_id, count(*) AS VALID_COUNPON_CNT
-      FROM ev e JOIN keys_no k USING (member_id)
-      WHERE event_type = 'signup' AND ds_dt + 15 >= {ed} GROUP BY k.tenant_id, e.member_id"""
+      SELECT tenant_id, member_id, count(*) AS VALID_COUNPON_CNT
+      FROM ev
+      WHERE member_no IS NOT NULL AND event_type = 'signup' AND ds_dt + 15 >= {ed} GROUP BY tenant_id, member_id"""
     out["recharge_lifecycle"] = f"""
-      SELECT k.tenant_id, r.member_id, min(ds_dt) AS FIRST_CHARGE_TIME, max(ds_dt) AS LAST_CHARGE_TIME,
+      SELECT tenant_id, member_id, min(ds_dt) AS FIRST_CHARGE_TIME, max(ds_dt) AS LAST_CHARGE_TIME,
              date_diff('day', max(ds_dt), {od}) AS LAST_CHARGE_DAYS,
              round(sum(COALESCE(actual_pay_amt, 0) + COALESCE(back_pay_amt, 0)), 2) AS TOTAL_CHARGE_AMOUNT
-      FROM recharge r JOIN keys_nonempty k USING (member_id) GROUP BY k.tenant_id, r.member_id"""
+      FROM recharge WHERE member_no IS NOT NULL AND member_no <> '' GROUP BY tenant_id, member_id"""
     for w, months in RECHARGE_WINDOW_SPECS:
         out[f"recharge_{w}"] = recharge_window_sql(order_day, months, w)
     return out
@@ -473,9 +485,9 @@ SELECT strftime(d, '%Y-%m-%d') AS cdate, strftime(d, '%Y') || '年' || month(d)
 FROM {_DAYS}"""
 
 FULL_PRICE_AVERAGE = f"""
-SELECT CAST(k.tenant_id AS BIGINT) AS tenant_id, CAST(s.member_id AS BIGINT) AS member_id,
+SELECT CAST(tenant_id AS BIGINT) AS tenant_id, CAST(member_id AS BIGINT) AS member_id,
        CAST(count(*) FILTER (WHERE {FULL}) AS DOUBLE) AS FULL_PRICE_LINES, {_fpa()} AS FULL_AVERAGE_PRICE
-FROM slot_lines s JOIN keys_all k USING (member_id) GROUP BY k.tenant_id, s.member_id"""
+FROM slot_lines GROUP BY tenant_id, member_id"""
 
 
 def oracle_sql() -> dict[str, str]:

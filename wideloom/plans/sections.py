@@ -7,11 +7,9 @@ registration day and the stored-value sections, the activity log carries
 points, coupons, message activity and the channel signal.  Only the top-N
 item section needs its own (member, item) grain.
 
-Facts are keyed by ``member_id``; the tenant is a property of the member and
-is attached after aggregation (``attach_tenant``), so the join sees at most
-one row per member and reuses the aggregate's partitioning.  Member-level
-filters of the original sections (member number present, ...) are applied on
-the member side of that join.
+Facts are keyed by (tenant, member), as they carry them; rows without either
+have no business key and drop out.  Conditions on the member number are those of
+the fact row.
 
 The single-section functions at the bottom serve the per-section queries;
 ``plans.wide_build`` combines the source passes for the full profile.
@@ -28,7 +26,7 @@ from ..functions.text import not_empty
 from ..operators import aggregates as A
 from ..operators.aggregates import Section
 from ..operators.flags import existence_flag
-from ..operators.joins import salted_lookup_join
+from ..operators.joins import salted_lookup_join, snapshot
 from ..operators.topn import top_n_pivot
 from ..params import EVENT_ASOF, ORDER_ASOF, AsOf
 from ..sources import bindings as B
@@ -37,33 +35,14 @@ KEYS = ["tenant_id", "member_id"]
 SHOP_SALT_BUCKETS = 16  # spread of one store's members over join tasks
 
 
-def member_requirement(require: str) -> Column:
-    """Member-side condition of a section, over the member key table."""
-    if require == "member_no":
-        return F.col("member_no").isNotNull()
-    if require == "member_no_nonempty":
-        return not_empty(F.col("member_no"))
-    return F.lit(True)
+def keyed(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("tenant_id").isNotNull() & F.col("member_id").isNotNull())
 
 
-def attach_tenant(spark: SparkSession, d: str, df: DataFrame, require: str = "none") -> DataFrame:
-    """Inner-join member-keyed rows to the member key table.
-
-    require: "none" | "member_no" (not null) | "member_no_nonempty" (not null, not '').
-    Rows whose tenant or member is null (no business key) are dropped.
-    """
-    k = B.member_keys(spark, d).filter(member_requirement(require))
-    k = k.filter(F.col("tenant_id").isNotNull() & F.col("member_id").isNotNull()).select("member_id", "tenant_id")
-    rest = [c for c in df.columns if c not in KEYS]
-    return df.join(k, on="member_id", how="inner").select(*KEYS, *rest)
-
-
-def single_section(spark: SparkSession, d: str, rows: DataFrame, name: str, sec: Section,
-                   prefilter: Column | None = None) -> DataFrame:
-    """One section as its own query: keys that have rows in it, tenant attached."""
-    out = A.sectioned_aggregate(rows, ["member_id"], {name: sec}, prefilter)
-    out = out.filter(F.col(f"has_{name}")).drop(f"has_{name}")
-    return attach_tenant(spark, d, out, sec.require)
+def single_section(rows: DataFrame, name: str, sec: Section, prefilter: Column | None = None) -> DataFrame:
+    """One section as its own query: keys that have rows in it."""
+    out = A.sectioned_aggregate(keyed(rows), KEYS, {name: sec}, prefilter)
+    return out.filter(F.col(f"has_{name}")).drop(f"has_{name}")
 
 
 # -- order lines: lifecycle + windows -------------------------------------------
@@ -96,7 +75,7 @@ def order_line_sections(asof: AsOf) -> dict[str, Section]:
         A.attr_at_last("LST_ORDER_SHOPID", date, F.col("shop_id")),
         A.days_since_first("FIRST_ORDER_INTRVL", asof, date),
         A.days_since_last("LST_ORDER_INTRVL", asof, date),
-    ), require="member_no")
+    ), F.col("member_no").isNotNull())
 
     def sums(w: str) -> list[A.Measure]:
         return [A.sum_of(f"LST_ORDER_NUM_{w}", F.col("order_num")),
@@ -130,12 +109,12 @@ def order_table_sections(asof: AsOf) -> dict[str, Section]:
         A.max_of("LAST_CHARGE_TIME", date),
         A.days_since_last("LAST_CHARGE_DAYS", asof, date),
         charged("TOTAL_CHARGE_AMOUNT"),
-    ), recharge, require="member_no_nonempty")
+    ), recharge & not_empty(F.col("member_no")))
     out = {"register": Section((A.min_of("register_time", date),)),
            "recharge_lifecycle": life}
     plan = {w: [charged(f"LAST_CHARGE_AMOUNT_{w}")] for w in RECHARGE_WINDOWS}
     for name, sec in A.window_sections("ds_dt", asof, plan, prefix="recharge_").items():
-        out[name] = Section(sec.measures, sec.predicate & recharge)
+        out[name] = Section(sec.measures, sec.predicate & recharge, scan=sec.predicate)
     return out
 
 
@@ -155,6 +134,7 @@ def event_sections(asof: AsOf) -> dict[str, Section]:
         return F.when(t == kind, F.lit(1)).otherwise(F.lit(0)).cast("long")
 
     recent15 = F.col("ds_dt") >= F.lit(asof.lower_bound("15D"))
+    known = F.col("member_no").isNotNull()
     return {
         "points_totals": Section((
             cents(A.sum_of("EXCHANGE_POINTS", points("purchase"))), cents(A.sum_of("GET_POINTS", points("click"))),
@@ -168,10 +148,11 @@ def event_sections(asof: AsOf) -> dict[str, Section]:
             A.sum_of("LAST_RECEVIED_COUPON_15D", recv), A.sum_of("LAST_USED_COUPON_15D", used),
             A.pct_of("LAST_USED_COUPON_PERCENT_15D", used, recv),
             A.flag_of("LAST_RECEIVED_COUPON_15D_FLG", recv), A.flag_of("LAST_USED_COUPON_15D_FLG", used),
-        ), recent15, require="member_no"),
+        ), recent15 & known, scan=recent15),
         "coupon_valid": Section((A.count_rows("VALID_COUNPON_CNT"),),
-                                (F.col("coupon_status") == B.COUPON_VALID_STATUS)
-                                & (F.col("invalid_date") >= F.lit(asof.day)), require="member_no"),
+                                (F.col("coupon_status") == B.COUPON_VALID_STATUS) & known
+                                # not yet invalid on the day; the bound on the event day reaches the scan
+                                & (F.col("ds_dt") >= F.lit(asof.day - dt.timedelta(days=B.COUPON_VALID_DAYS)))),
         # signals used by the member-side sections
         "recent_message": Section((), F.to_date("create_time") >= F.lit(asof.lower_bound("1D"))),
         "channel_signup": Section((), t == B.CHANNEL_WANTED),
@@ -184,12 +165,14 @@ TOP_CODES = ["LST_ORDITEM_ITEMCODE_1ST_360D", "LST_ORDITEM_ITEMCODE_2ST_360D", "
 TOP_NAMES = ["LST_ORDITEM_ITEMNAME_1ST_360D", "LST_ORDITEM_ITEMNAME_2ST_360D", "LST_ORDITEM_ITEMNAME_3ST_360D"]
 
 
-def top_items_by_member(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame:
-    lines = slot_lines(spark, d, asof).filter(
+def top_items(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame:
+    """The three items a member bought most in 360 days, named as the tenant's snapshot of the
+    as-of day names them (null where it lists no such item)."""
+    lines = keyed(slot_lines(spark, d, asof)).filter(
         (F.col("orderdate") >= F.lit(asof.day - dt.timedelta(days=360)))
         & F.col("item_code").isNotNull() & (F.col("item_code") != 0))
-    return top_n_pivot(lines, ["member_id"], "item_code", "item_num", 3, TOP_CODES,
-                       dim=B.items(spark, d), value_names=TOP_NAMES)
+    return top_n_pivot(lines, KEYS, "item_code", "item_num", 3, TOP_CODES, dim=snapshot(B.items(spark, d), "ds_dt", asof.day),
+                       dim_on=["tenant_id"], value_names=TOP_NAMES)
 
 
 # -- member side -------------------------------------------------------------------
@@ -253,6 +236,10 @@ MEMBER_BASE_COLUMNS = ["USER_NAME", "MEMBER_STATUS", "AGE", "PHONE_NUMBER", "PHO
                        "IS_ENTER_WECHAT", "STORE_ORG_ID", "STORE_ORG_NAME"]
 
 
+#: sections whose rows are the member table's
+MEMBER_SECTIONS = {"member_base", "member_flag", "active_flag"}
+
+
 def active_flag_column() -> Column:
     return F.when(F.coalesce(F.col("has_recent_message"), F.lit(False)), F.lit("Y")).otherwise(F.lit("N")) \
         .alias("IS_MP_ACITIVE_USER")
@@ -262,9 +249,9 @@ def active_flag_column() -> Column:
 
 def member_base(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame:
     m = member_frame(spark, d).filter(member_base_pred())
-    reg = B.member_register(spark, d)
-    signup = B.channels(spark, d).filter(F.col("channel_no") == B.CHANNEL_WANTED)
-    m = existence_flag(m.join(reg, on="member_id", how="left"), signup, ["member_id"], "__signup")
+    reg = single_section(B.order_facts(spark, d), "register", order_table_sections(asof)["register"])
+    signup = keyed(B.channels(spark, d)).filter(F.col("channel_no") == B.CHANNEL_WANTED)
+    m = existence_flag(m.join(reg, on=KEYS, how="left"), signup, KEYS, "__signup")
     m = m.withColumn("has_channel_signup", F.col("__signup") == "Y")
     return m.select(*KEYS, *member_base_columns(asof))
 
@@ -276,24 +263,23 @@ def member_flag(spark: SparkSession, d: str) -> DataFrame:
 
 def active_flag(spark: SparkSession, d: str, asof: AsOf = EVENT_ASOF) -> DataFrame:
     m = B.members(spark, d).filter(active_flag_pred()).select(*KEYS)
-    recent = B.message_rows(spark, d).filter(F.to_date("create_time") >= F.lit(asof.lower_bound("1D")))
-    out = existence_flag(m, recent, ["member_id"], "IS_MP_ACITIVE_USER")
+    recent = keyed(B.message_rows(spark, d)).filter(F.to_date("create_time") >= F.lit(asof.lower_bound("1D")))
+    out = existence_flag(m, recent, KEYS, "IS_MP_ACITIVE_USER")
     return out.select(*KEYS, "IS_MP_ACITIVE_USER")
 
 
 def order_lifecycle(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame:
     sec = order_line_sections(asof)["order_lifecycle"]
-    return single_section(spark, d, slot_lines(spark, d, asof), "order_lifecycle", sec)
+    return single_section(slot_lines(spark, d, asof), "order_lifecycle", sec)
 
 
 def order_windows(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame:
     """The five order windows of one member in one row (NULL where a window is empty)."""
     secs = {k: v for k, v in order_line_sections(asof).items() if k != "order_lifecycle"}
     widest = min(asof.lower_bound(w) for w in ORDER_WINDOWS)
-    out = A.sectioned_aggregate(slot_lines(spark, d, asof), ["member_id"], secs,
+    out = A.sectioned_aggregate(keyed(slot_lines(spark, d, asof)), KEYS, secs,
                                 prefilter=F.col("orderdate") >= F.lit(widest))
-    out = out.drop(*[f"has_{k}" for k in secs])
-    return attach_tenant(spark, d, out)
+    return out.drop(*[f"has_{k}" for k in secs])
 
 
 def full_price_average(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame:
@@ -302,16 +288,12 @@ def full_price_average(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) ->
     full = ~F.coalesce(pay < total, F.lit(False))
     sec = Section((A.Measure("FULL_PRICE_LINES", lambda inside: F.count(F.when(inside & full, F.lit(1)))),
                    A.full_price_average("FULL_AVERAGE_PRICE", pay, total, unit_scale=4)))
-    return single_section(spark, d, slot_lines(spark, d, asof), "fpa", sec)
-
-
-def top_items(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame:
-    return attach_tenant(spark, d, top_items_by_member(spark, d, asof))
+    return single_section(slot_lines(spark, d, asof), "fpa", sec)
 
 
 def _event_section(spark: SparkSession, d: str, name: str, asof: AsOf = EVENT_ASOF) -> DataFrame:
     sec = event_sections(asof)[name]
-    return single_section(spark, d, B.event_facts(spark, d), name, sec, prefilter=sec.predicate)
+    return single_section(B.event_facts(spark, d), name, sec, prefilter=sec.predicate)
 
 
 def points_totals(spark: SparkSession, d: str) -> DataFrame:
@@ -336,17 +318,16 @@ def coupon_valid(spark: SparkSession, d: str, asof: AsOf = EVENT_ASOF) -> DataFr
 
 def recharge_lifecycle(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame:
     sec = order_table_sections(asof)["recharge_lifecycle"]
-    return single_section(spark, d, B.order_facts(spark, d), "recharge_lifecycle", sec,
+    return single_section(B.order_facts(spark, d), "recharge_lifecycle", sec,
                           prefilter=F.col("is_recharge"))
 
 
 def recharge_windows(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame:
     secs = {k: v for k, v in order_table_sections(asof).items() if k.startswith("recharge_") and k != "recharge_lifecycle"}
     widest = min(asof.lower_bound(w) for w in RECHARGE_WINDOWS)
-    out = A.sectioned_aggregate(B.order_facts(spark, d), ["member_id"], secs,
+    out = A.sectioned_aggregate(keyed(B.order_facts(spark, d)), KEYS, secs,
                                 prefilter=F.col("is_recharge") & (F.col("ds_dt") >= F.lit(widest)))
-    out = out.drop(*[f"has_{k}" for k in secs])
-    return attach_tenant(spark, d, out)
+    return out.drop(*[f"has_{k}" for k in secs])
 
 
 # Section names of the wide profile, in the load order of the original job.

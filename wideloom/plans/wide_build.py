@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,102 +21,83 @@ from ..sources import bindings as B
 from . import sections as S
 from .catalog import BY_NAME, CATALOG, ROW_KEY, VALUE_COLUMNS
 
-# Internal signals computed by the source passes but not sections of their own.
-SIGNALS = {"register", "recent_message", "channel_signup"}
+# Signals that member-side sections read from the source passes; not sections of their own.
+SIGNALS_OF = {"member_base": ("register", "channel_signup"), "active_flag": ("recent_message",)}
+SIGNALS = {s for ss in SIGNALS_OF.values() for s in ss}
 
 
 def source_passes(spark: SparkSession, d: str, order_asof: AsOf = ORDER_ASOF,
                   event_asof: AsOf = EVENT_ASOF, wanted: set[str] | None = None
                   ) -> dict[str, tuple[DataFrame, dict]]:
-    """One aggregation per physical source: name -> (member-keyed frame, sections).
-    ``wanted`` (section names) skips passes none of whose sections are needed."""
-    def order_lines():
-        ol = S.order_line_sections(order_asof)
-        return A.sectioned_aggregate(S.slot_lines(spark, d, order_asof), ["member_id"], ol), ol
-
-    def order_table():
-        ot = S.order_table_sections(order_asof)
-        return A.sectioned_aggregate(B.order_facts(spark, d), ["member_id"], ot), ot
-
-    def events():
-        ev = S.event_sections(event_asof)
-        return A.sectioned_aggregate(B.event_facts(spark, d), ["member_id"], ev), ev
-
-    def top_items():
-        frame = S.top_items_by_member(spark, d, order_asof).withColumn("has_top_items", F.lit(True))
-        return frame, {"top_items": Section(tuple(A.Measure(c, None) for c in S.TOP_CODES + S.TOP_NAMES))}
-
-    makers = {"order_lines": order_lines, "order_table": order_table, "events": events, "top_items": top_items}
-    # sections each pass serves (member-side sections read signals of two passes)
-    serves = {"order_lines": {"order_lifecycle"} | {f"order_{w}" for w in S.ORDER_WINDOWS},
-              "order_table": {"recharge_lifecycle", "member_base"} | {f"recharge_{w}" for w in S.RECHARGE_WINDOWS},
-              "events": {"points_totals", "typed_event_total", "coupon_lifetime", "coupon_recent",
-                         "coupon_valid", "member_base", "active_flag"},
-              "top_items": {"top_items"}}
-    out = {}
-    for name, make in makers.items():
-        if wanted is None or serves[name] & wanted:
-            out[name] = make()
-    return out
+    """One aggregation per physical source: name -> (frame keyed by tenant and member, its
+    sections).  With ``wanted`` (section names) a pass computes only those and the
+    signals they read, reads only rows that one of them takes in, and is left out if none is."""
+    need = None if wanted is None else wanted | {s for w in wanted for s in SIGNALS_OF.get(w, ())}
+
+    def one_pass(facts: Callable[[], DataFrame], sections: dict[str, Section]) -> tuple[DataFrame, dict] | None:
+        some = {k: v for k, v in sections.items() if need is None or k in need}
+        if not some:
+            return None
+        predicates = [s.predicate if s.scan is None else s.scan for s in some.values()]
+        prefilter = None if need is None or any(p is None for p in predicates) else reduce(or_, predicates)
+        return A.sectioned_aggregate(S.keyed(facts()), S.KEYS, some, prefilter), some
+
+    out = {"order_lines": one_pass(lambda: S.slot_lines(spark, d, order_asof), S.order_line_sections(order_asof)),
+           "order_table": one_pass(lambda: B.order_facts(spark, d), S.order_table_sections(order_asof)),
+           "events": one_pass(lambda: B.event_facts(spark, d), S.event_sections(event_asof))}
+    if need is None or "top_items" in need:
+        frame = S.top_items(spark, d, order_asof).withColumn("has_top_items", F.lit(True))
+        out["top_items"] = frame, {"top_items": Section(tuple(A.Measure(c, None) for c in S.TOP_CODES + S.TOP_NAMES))}
+    return {k: v for k, v in out.items() if v is not None}
 
 
 def wide_sections(spark: SparkSession, d: str, order_asof: AsOf = ORDER_ASOF,
-                  event_asof: AsOf = EVENT_ASOF, names: Iterable[str] | None = None,
-                  merge: str = "spine") -> tuple[DataFrame, dict[str, str]]:
+                  event_asof: AsOf = EVENT_ASOF, names: Iterable[str] | None = None
+                  ) -> tuple[DataFrame, dict[str, str]]:
     """The merged profile and its presence map (column -> has_<section>).
 
-    Plan: the member frame (tenant, member-side sections, member-level
-    filters) is the spine; each source pass joins it on ``member_id``.  Fact
-    rows of members missing from the member table have no business key and
-    drop out, exactly as with an inner tenant join per section.  ``merge =
-    "union"`` instead merges the passes by union + group-by first (the generic
-    ``merge_sections``), then joins the member frame once.  ``names`` limits
-    the profile to some sections (a partial reload).
+    The member table and every source pass are merged by (tenant, member) as
+    equals (``merge_sections``): a member without facts and a key that only
+    facts know each get their row, and one member id at two tenants gets two.
+    The passes are partitioned by the key already; only the member side is
+    shuffled for it.  ``names`` limits the profile to some sections (a partial
+    reload).
     """
-    passes = source_passes(spark, d, order_asof, event_asof, set(names) if names is not None else None)
+    wanted = None if names is None else list(names)
+    passes = source_passes(spark, d, order_asof, event_asof, None if wanted is None else set(wanted))
     # the shop organisation is only read by member_base; a partial reload
     # without it skips the customer-to-shop join (and its two shuffles)
-    need_shop = names is None or "member_base" in set(names)
-    members = S.member_frame(spark, d) if need_shop else S.member_frame(spark, d, with_shop=False)
-    members = members.filter(F.col("tenant_id").isNotNull() & F.col("member_id").isNotNull())
-    if merge == "union":
-        facts = merge_sections({k: v[0] for k, v in passes.items()}, ["member_id"], markers=False)
-        wide = members.join(facts, on="member_id", how="left")
-    else:
-        # member spine: every pass holds one row per member and is already
-        # hash-partitioned on member_id by its own aggregate, so each left join
-        # reuses that partitioning; only the member frame is shuffled.
-        wide = members
-        for frame, _ in passes.values():
-            wide = wide.join(frame, on="member_id", how="left")
-
-    def has(name: str) -> Column:
-        return F.coalesce(F.col(f"has_{name}"), F.lit(False))
-
-    presence: dict[str, Column] = {
-        "member_base": S.member_base_pred(),
-        "member_flag": S.member_flag_pred(),
-        "active_flag": S.active_flag_pred(),
-    }
-    # member-side values are computed under private names (the member frame
-    # uses lower-case names that would clash with the catalog names)
-    derived = {f"__mb_{n}": c for n, c in zip(S.MEMBER_BASE_COLUMNS, S.member_base_columns(order_asof))}
-    derived["__mf"] = F.col("member_flg")
-    derived["__af"] = S.active_flag_column()
-    section_cols: dict[str, list[tuple[str, str]]] = {
-        "member_base": [(n, f"__mb_{n}") for n in S.MEMBER_BASE_COLUMNS],
-        "member_flag": [("MEMBER_FLG", "__mf")],
-        "active_flag": [("IS_MP_ACITIVE_USER", "__af")],
-    }
-    for _, (frame, secs) in passes.items():
+    frames = {"members": S.keyed(S.member_frame(spark, d, with_shop=wanted is None or "member_base" in wanted))}
+    frames |= {name: frame for name, (frame, _) in passes.items()}
+    if wanted is not None and not S.MEMBER_SECTIONS & set(wanted):
+        del frames["members"]
+    wide = merge_sections(frames, S.KEYS, markers=False)
+    section_cols: dict[str, list[tuple[str, str]]] = {}
+    presence: dict[str, Column] = {}
+    derived: dict[str, Column] = {}
+    if "members" in frames:
+        # signals that a pass left out or has no row for
+        wide = wide.withColumns({f"has_{s}": F.coalesce(F.col(f"has_{s}"), F.lit(False)) if f"has_{s}" in wide.columns
+                                 else F.lit(False) for s in SIGNALS})
+        if "register_time" not in wide.columns:
+            wide = wide.withColumn("register_time", F.lit(None).cast("date"))
+        # member-side values are computed under private names (the member frame
+        # uses lower-case names that would clash with the catalog names)
+        presence |= {"member_base": S.member_base_pred(), "member_flag": S.member_flag_pred(),
+                     "active_flag": S.active_flag_pred()}
+        derived |= {f"__mb_{n}": c for n, c in zip(S.MEMBER_BASE_COLUMNS, S.member_base_columns(order_asof))}
+        derived |= {"__mf": F.col("member_flg"), "__af": S.active_flag_column()}
+        section_cols |= {"member_base": [(n, f"__mb_{n}") for n in S.MEMBER_BASE_COLUMNS],
+                         "member_flag": [("MEMBER_FLG", "__mf")],
+                         "active_flag": [("IS_MP_ACITIVE_USER", "__af")]}
+    for _, secs in passes.values():
         for name, sec in secs.items():
-            if name in SIGNALS:
-                continue
-            presence[name] = has(name) & S.member_requirement(sec.require)
-            section_cols[name] = [(m.name, m.name) for m in sec.measures]
-    wanted = list(names) if names is not None else list(presence)
+            if name not in SIGNALS:
+                presence[name] = F.col(f"has_{name}")
+                section_cols[name] = [(m.name, m.name) for m in sec.measures]
+    wanted = wanted if wanted is not None else list(presence)
     staged = wide.select("*", *[c.alias(n) for n, c in derived.items()],
-                         *[presence[n].alias(f"__p_{n}") for n in wanted])
+                         *[F.coalesce(presence[n], F.lit(False)).alias(f"__p_{n}") for n in wanted])
     pairs = [("tenant_id", "tenant_id"), ("member_id", "member_id"),
              (ROW_KEY, "concat(CAST(tenant_id AS STRING), '_', CAST(member_id AS STRING))")]
     pres_map = {}

@@ -2,9 +2,11 @@
 
 The operators take column names as parameters; these functions only rename
 and derive columns so that every section reads like the warehouse table it
-stands for.  Facts are keyed by ``member_id`` alone: the tenant is a property
-of the member, attached after aggregation (see ``plans.sections``), which
-keeps the large fact shuffles free of the member table.
+stands for.  Every fact carries its own business key: the tenant where it
+happened, the member and the member number as recorded there.  The test
+tables have no such columns, so they are derived from the row: a member's home
+tenant from the id, and one fact in eight happened at the next tenant, where
+the member table does not know the member.
 
 Money columns are fixed-point LONG units (``to_units``) with the scale in
 the column name; sections turn totals back into exact DECIMAL.
@@ -12,7 +14,9 @@ the column name; sections turn totals back into exact DECIMAL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import to_units
@@ -27,6 +31,25 @@ COUPON_VALID_DAYS = 15
 RECHARGE_PRIORITY = "1-URGENT"
 RECHARGE_BACK_STATUS = "P"
 BIRTHDAY_BASE = "1950-01-01"
+TENANTS = 25
+EARLIER_ITEMS_DAY = dt.date(2001, 3, 15)    # snapshots of the item dimension
+ITEMS_DAY = dt.date(2001, 6, 15)
+
+
+def home_tenant(member: str) -> Column:
+    """Tenant that a member belongs to."""
+    return F.expr(f"CAST(pmod(floor({member} / 10), {TENANTS}) AS INT)")
+
+
+def fact_tenant(member: str, row: str) -> Column:
+    """Tenant where a fact happened."""
+    return F.expr(f"CAST(pmod(floor({member} / 10) + CASE WHEN {row} % 8 = 3 THEN 1 ELSE 0 END, {TENANTS}) AS INT)")
+
+
+def fact_member_no(member: str) -> Column:
+    """Member number as a fact records it: null or '' where the channel did not know it."""
+    return F.expr(f"CASE WHEN {member} % 17 = 0 THEN NULL WHEN {member} % 13 = 0 THEN '' "
+                  f"ELSE concat('M', CAST({member} AS STRING)) END")
 
 
 def members(spark: SparkSession, d: str) -> DataFrame:
@@ -36,10 +59,11 @@ def members(spark: SparkSession, d: str) -> DataFrame:
     birthday = F.when(F.col("c_custkey") % 11 == 0, F.lit(None).cast("date")).otherwise(
         F.date_add(F.lit(BIRTHDAY_BASE).cast("date"), ((F.col("c_custkey") * 37) % 18000).cast("int")))
     phone = F.when(F.col("c_acctbal") < 0, F.lit("")).otherwise(F.expr("substr(c_name, 10)"))
+    member_no = F.when(F.col("c_custkey") % 19 == 0, F.lit("none")).when(F.col("c_custkey") % 23 != 0, F.col("c_name"))
     return c.select(
         F.col("c_custkey").alias("member_id"),
-        F.col("c_nationkey").alias("tenant_id"),
-        F.col("c_name").alias("member_no"),
+        home_tenant("c_custkey").alias("tenant_id"),
+        member_no.alias("member_no"),
         F.col("c_name").alias("user_name"),
         F.col("c_mktsegment").alias("member_status"),
         (F.col("c_custkey") % 10).alias("store_code"),
@@ -50,24 +74,9 @@ def members(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def member_keys(spark: SparkSession, d: str) -> DataFrame:
-    """(member_id, tenant_id, member_no): the key table used to attach tenants."""
-    c = read_table(spark, d, "customer", "c_custkey", "c_nationkey", "c_name")
-    return c.select(F.col("c_custkey").alias("member_id"), F.col("c_nationkey").alias("tenant_id"),
-                    F.col("c_name").alias("member_no"))
-
-
-def member_register(spark: SparkSession, d: str) -> DataFrame:
-    """First order day per member (the registration time)."""
-    o = read_table(spark, d, "orders", "o_custkey", "o_orderdate")
-    return o.groupBy(F.col("o_custkey").alias("member_id")).agg(
-        F.min(F.to_date("o_orderdate")).alias("register_time"))
-
-
 def channels(spark: SparkSession, d: str) -> DataFrame:
     """Member channel rows (duplicates kept on purpose)."""
-    e = read_table(spark, d, "events", "user_id", "event_type")
-    return e.select(F.col("user_id").alias("member_id"), F.col("event_type").alias("channel_no"))
+    return event_facts(spark, d).select("tenant_id", "member_id", F.col("event_type").alias("channel_no"))
 
 
 def shops(spark: SparkSession, d: str) -> DataFrame:
@@ -94,7 +103,9 @@ def order_lines(spark: SparkSession, d: str) -> DataFrame:
     total = to_units("l_extendedprice", 2)
     disc = to_units("l_discount", 2)
     return j.select(
+        fact_tenant("o_custkey", "o_orderkey").alias("tenant_id"),
         F.col("o_custkey").alias("member_id"),
+        fact_member_no("o_custkey").alias("member_no"),
         F.to_date("o_orderdate").alias("orderdate"),
         F.lit(1).cast("long").alias("order_num"),
         (total * F.lit(100)).alias("total_u4"),
@@ -109,8 +120,16 @@ def order_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def items(spark: SparkSession, d: str) -> DataFrame:
+    """Item dimension: code and tenant, a full snapshot a day.  Not every tenant lists every
+    item; some items came, went or were renamed between the two snapshots."""
     p = read_table(spark, d, "part", "p_partkey", "p_name")
-    return p.select(F.col("p_partkey").alias("code"), F.col("p_name").alias("name"))
+    snapshots = F.expr(f"""filter(array(
+        struct(DATE'{EARLIER_ITEMS_DAY}' AS ds_dt, CASE WHEN p_partkey % 11 <> 1 THEN concat('former ', p_name) END AS name),
+        struct(DATE'{ITEMS_DAY}' AS ds_dt, CASE WHEN p_partkey % 11 <> 2 THEN p_name END AS name)),
+        x -> x.name IS NOT NULL)""")
+    tenants = F.expr(f"filter(sequence(0, {TENANTS - 1}), t -> (t + p_partkey) % 7 <> 0)")
+    return p.select("p_partkey", F.explode(snapshots).alias("x"), tenants.alias("tenants")).select(
+        F.col("p_partkey").alias("code"), F.explode("tenants").alias("tenant_id"), "x.name", "x.ds_dt")
 
 
 def _events(spark: SparkSession, d: str, *cols: str) -> DataFrame:
@@ -126,10 +145,12 @@ def event_facts(spark: SparkSession, d: str) -> DataFrame:
     aggregation (see ``plans.sections``).  ``amount_u2`` is the event value in
     cents.
     """
-    e = _events(spark, d, "user_id", "event_type", "value", "ts")
+    e = _events(spark, d, "event_id", "user_id", "event_type", "value", "ts")
     t = F.col("event_type")
     return e.select(
+        fact_tenant("user_id", "event_id").alias("tenant_id"),
         F.col("user_id").alias("member_id"),
+        fact_member_no("user_id").alias("member_no"),
         t.alias("event_type"),
         to_units("value", 2).alias("amount_u2"),
         F.to_date("ts").alias("ds_dt"),
@@ -145,18 +166,18 @@ def order_facts(spark: SparkSession, d: str) -> DataFrame:
     """The orders table seen as registration history and stored-value
     recharges (urgent orders; the 10 % bonus exists only for status 'P').
     ``actual_u3`` / ``back_u3`` are in 1/1000 so the bonus stays exact."""
-    o = read_table(spark, d, "orders", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+    o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                    "o_orderpriority")
     actual = to_units("o_totalprice", 2)
     back = F.when(F.col("o_orderstatus") == RECHARGE_BACK_STATUS, actual)  # cents * 0.1 = actual in 1/1000
-    return o.select(F.col("o_custkey").alias("member_id"), F.to_date("o_orderdate").alias("ds_dt"),
+    return o.select(fact_tenant("o_custkey", "o_orderkey").alias("tenant_id"), F.col("o_custkey").alias("member_id"),
+                    fact_member_no("o_custkey").alias("member_no"), F.to_date("o_orderdate").alias("ds_dt"),
                     (F.col("o_orderpriority") == RECHARGE_PRIORITY).alias("is_recharge"),
                     (actual * F.lit(10)).alias("actual_u3"), back.alias("back_u3"))
 
 
 def message_rows(spark: SparkSession, d: str) -> DataFrame:
-    e = _events(spark, d, "user_id", "ts")
-    return e.select(F.col("user_id").alias("member_id"), F.col("ts").alias("create_time"))
+    return event_facts(spark, d).select("tenant_id", "member_id", "create_time")
 
 
 def event_documents(spark: SparkSession, d: str) -> DataFrame:
