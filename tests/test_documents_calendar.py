@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from wideloom.operators import calendar as CAL
 from wideloom.operators.documents import (last_with_key, list_last, parse_mapping, project_documents)
 
-MAPPING = parse_mapping("createdtime long,maptest.name string,maptest.id string,missing int",
-                        "createdtime long,name string,id string,gone int", "dt")
+MAPPING = parse_mapping("sent_ms long,tags.name string,tags.id string,missing int",
+                        "sent_ms long,name string,id string,gone int", "dt")
 
 
 def test_parse_mapping_errors():
@@ -15,21 +15,21 @@ def test_parse_mapping_errors():
         parse_mapping("a long,b string", "a long", "dt")  # F18 different lengths
     with pytest.raises(ValueError):
         parse_mapping("a decimal", "a decimal", "dt")  # F18 unsupported type
-    assert MAPPING.schema.fieldNames() == ["createdtime", "name", "id", "gone", "dt"]
+    assert MAPPING.schema.fieldNames() == ["sent_ms", "name", "id", "gone", "dt"]
 
 
 def test_list_last_wins(spark):
-    docs = [('{"maptest":[{"name":"a"},{"id":"7"}]}',), ('{"maptest":[{"name":"a"},{"name":null}]}',),
-            ('{"maptest":[]}',), ('{"other":1}',), ('{"maptest":{"name":"obj"}}',), ('not json',)]
+    docs = [('{"tags":[{"name":"a"},{"id":"7"}]}',), ('{"tags":[{"name":"a"},{"name":null}]}',),
+            ('{"tags":[]}',), ('{"other":1}',), ('{"tags":{"name":"obj"}}',), ('not json',)]
     df = spark.createDataFrame(docs, "doc string")
-    out = project_documents(df, "doc", MAPPING, "createdtime", "timestamp", "yyyy-MM-dd")
+    out = project_documents(df, "doc", MAPPING, "sent_ms", "timestamp", "yyyy-MM-dd")
     assert [r.name for r in out.collect()] == ["a", None, None, None, "obj", None]  # F16 (+ object path)
 
 
 def test_document_projection(spark):
-    df = spark.createDataFrame([('{"createdtime":1633651200000,"extra":1}',)], "doc string")
-    row = project_documents(df, "doc", MAPPING, "CreatedTime", "timestamp", "yyyy-MM-dd").first()
-    assert row.asDict() == {"createdtime": 1633651200000, "name": None, "id": None, "gone": None,
+    df = spark.createDataFrame([('{"sent_ms":1633651200000,"extra":1}',)], "doc string")
+    row = project_documents(df, "doc", MAPPING, "Sent_MS", "timestamp", "yyyy-MM-dd").first()
+    assert row.asDict() == {"sent_ms": 1633651200000, "name": None, "id": None, "gone": None,
                             "dt": "2021-10-08"}  # extra dropped, partition matched ignoring case
 
 
@@ -77,31 +77,24 @@ def test_calendar_between_from_frame(spark):
 
 
 CONFIG = """
-#target table
-hivePartitionName=dt
-hivePartitionFormatter=yyyy-MM-dd
-es2HivePartitionName=createdtime
-es2HivePartitionFormatter=timestamp
-esColumnList=\\
-createdtime long,\\
-maptest.name string
-
-#  maptest.id string,\\
-hiveColumnList=\\
-createdtime long,\\
-name string
+! shipments by day of departure
+esColumnList : parcel long, stops.depot string, weight double
+hiveColumnList : parcel long, last_depot string, kg double
+hivePartitionName = day
+es2HivePartitionName = left_ms
+es2HivePartitionFormatter = timestamp
 """
 
 
 def test_config_file_and_json_lines(spark, tmp_path):
     from wideloom.sources.documents import load_config, read_json_documents
     mapping, part = load_config(CONFIG)
-    assert mapping.schema.fieldNames() == ["createdtime", "name", "dt"]
-    assert part == {"partition_source": "createdtime", "partition_kind": "timestamp", "partition_format": "yyyy-MM-dd"}
+    assert mapping.schema.fieldNames() == ["parcel", "last_depot", "kg", "day"]
+    assert part == {"partition_source": "left_ms", "partition_kind": "timestamp", "partition_format": "yyyy-MM-dd"}
     f = tmp_path / "docs.json"
-    f.write_text('{"createdtime":1633651200000,"maptest":[{"name":"a"},{"id":"1"},{"name":"b"}]}\n\n'
-                 '{"CreatedTime":1633737600000,"maptest":[]}\n')
+    f.write_text('{"parcel":5,"left_ms":1633651200000,"stops":[{"depot":"a"},{"km":"1"},{"depot":"b"}],"weight":1.5}\n\n'
+                 '{"Left_MS":1633737600000,"Parcel":6,"stops":[]}\n')
     rows = project_documents(read_json_documents(spark, str(f)), "doc", mapping, **part).collect()
-    got = sorted((tuple(r) for r in rows), key=lambda t: t[2])
-    # exact-name fields (the second document spells CreatedTime) vs case-insensitive partition field
-    assert got == [(1633651200000, "b", "2021-10-08"), (None, None, "2021-10-09")]
+    got = sorted((tuple(r) for r in rows), key=lambda t: t[3])
+    # exact-name fields (the second document spells Parcel) vs case-insensitive partition field
+    assert got == [(5, "b", 1.5, "2021-10-08"), (None, None, None, "2021-10-09")]

@@ -25,6 +25,8 @@ def test_store_round_trip_equals_in_memory_chain(spark):
     assert spark.sql("select count(*) c from global_temp.wide_export").first().c == written.count()
     assert written.columns == [c.name for c in jobs.CATALOG]
     assert _rows(written) == _rows(W.exported(spark, SF_SMALL))
+    jobs.build_job(spark, SF_SMALL, store, sections=W.REFRESHED, ts=W.TS_SECOND)  # the same load again
+    assert len(jobs.CellStore(spark, store).entries()) == 2
     # a re-run of the export replaces the table, it does not add to it
     n = written.count()
     jobs.export_job(spark, store, table)

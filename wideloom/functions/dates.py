@@ -56,6 +56,15 @@ def reformat_date_text(text: Column, in_fmt: str, out_fmt: str) -> Column:
     return F.date_format(parsed, out_fmt)
 
 
+def date_text_to_millis(text: Column, in_fmt: str, zone: str = "UTC") -> Column:
+    """Date/time text in ``in_fmt``, read at ``zone``, -> epoch milliseconds; null when unparsable
+    (session zone ignored)."""
+    # parsed and cast in the session zone, which leaves the wall clock as written
+    wall = F.try_to_timestamp(text, F.lit(in_fmt)).cast("timestamp_ntz")
+    utc = wall if zone.upper() == "UTC" else F.convert_timezone(F.lit(zone), F.lit("UTC"), wall)
+    return epoch_millis_of(utc)
+
+
 def mysql_week_plus_one(d: Column) -> Column:
     """Week number with Monday as first day, range 0-53, week 1 being the first
     week with four or more days in the year (MySQL ``%u``), plus one.

@@ -119,6 +119,11 @@ def field_ignore_case(doc: Column, name: str, parsed: bool = False) -> Column:
     return F.try_element_at(F.map_values(hit), F.lit(1))
 
 
+def readable(doc_col: str) -> Column:
+    """The text is a JSON object, whole and well formed."""
+    return F.coalesce(F.schema_of_variant(F.try_parse_json(F.col(doc_col))).startswith("OBJECT"), F.lit(False))
+
+
 def project_documents(docs: DataFrame, doc_col: str, mapping: Mapping,
                       partition_source: str, partition_kind: str, partition_format: str,
                       partition_in_format: str | None = None,

@@ -357,6 +357,9 @@ REFRESHED = ["order_30D", "order_90D", "order_120D", "order_180D", "order_360D",
              "recharge_30D", "recharge_90D", "recharge_180D", "recharge_360D", "coupon_recent", "active_flag"]
 
 
+CORRECTED = ["coupon_recent", "order_30D", "member_flag"]
+
+
 def wide_to_cells_query() -> str:
     ctes, cells = cells_relation(ORDER_DAY, EVENT_DAY, TS_SECOND)
     return _with(cells, ctes)
@@ -393,7 +396,7 @@ def cells_to_wide_query() -> str:
     return _with(body, ctes)
 
 
-def _export_expr(name: str, kind: str, zero: bool) -> str:
+def _typed_expr(name: str, kind: str, zero: bool) -> str:
     t = f"NULLIF({name}, '')"
     if kind == "string":
         e = name
@@ -408,6 +411,11 @@ def _export_expr(name: str, kind: str, zero: bool) -> str:
         e = f"strftime(TRY_STRPTIME({t}, '%Y%m%d'), '%Y-%m-%d')"
     if zero:
         e = f"COALESCE({e}, 0)"
+    return e
+
+
+def _export_expr(name: str, kind: str, zero: bool) -> str:
+    e = _typed_expr(name, kind, zero)
     # presentation: integral measures as DOUBLE, dates as text
     if kind in ("tinyint", "int"):
         e = f"CAST({e} AS DOUBLE)"
@@ -422,10 +430,45 @@ def typed_export_query() -> str:
     return _with(f"SELECT {sel} FROM ({body})", ctes)
 
 
+DUCK_TYPES = ("CASE typeof({c}) WHEN 'TINYINT' THEN 'tinyint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' "
+              "WHEN 'DATE' THEN 'date' WHEN 'VARCHAR' THEN 'string' END")
+
+
+def typed_export_cells_query() -> str:
+    """Each exported value with the column's place, name and type, from the types themselves."""
+    ctes, body = _cells_to_wide_body()
+    typed = ", ".join(f"{_typed_expr(c.name, c.kind, c.default_zero)} AS {c.name}" for c in CATALOG)
+    structs = []
+    for i, c in enumerate(CATALOG, 1):
+        double = c.kind == "double"
+        structs.append(f"{{'pos': {i}, 'name': '{c.name}', 'type': {DUCK_TYPES.format(c=c.name)}, "
+                       f"'text': {'NULL' if double else f'CAST({c.name} AS VARCHAR)'}, "
+                       f"'number': {c.name if double else 'CAST(NULL AS DOUBLE)'}}}")
+    return _with(f"SELECT ROW_KEY, CAST(x.pos AS BIGINT) AS pos, x.name AS name, x.type AS type, x.text AS text, "
+                 f"x.number AS number FROM (SELECT ROW_KEY, unnest([{', '.join(structs)}]) AS x "
+                 f"FROM (SELECT {typed} FROM ({body})))", ctes)
+
+
+def store_export_query() -> str:
+    """Three loads, the last one late: its as-of day lies before the second's and its ts is equal,
+    so the load number decides."""
+    c1, first = cells_relation(EARLIER_ORDER_DAY, EARLIER_EVENT_DAY, TS_FIRST, tag="a_")
+    c2, second = cells_relation(ORDER_DAY, EVENT_DAY, TS_SECOND, REFRESHED, tag="b_")
+    c3, third = cells_relation(EARLIER_ORDER_DAY, EARLIER_EVENT_DAY, TS_SECOND, CORRECTED, tag="c_")
+    loads = " UNION ALL ".join(f"SELECT *, {n} AS load FROM ({x})" for n, x in enumerate((first, second, third), 1))
+    newest = (f"SELECT row_key, cf, col, value FROM (SELECT *, row_number() OVER (PARTITION BY row_key, cf, col "
+              f"ORDER BY ts DESC, load DESC) AS rn FROM ({loads})) WHERE rn = 1")
+    cols = ", ".join(f"max(value) FILTER (WHERE cf = '{c.cf}' AND col = '{c.name}') AS {c.name}"
+                     for c in CATALOG if c.cf != "rowkey")
+    sel = ", ".join(_export_expr(c.name, c.kind, c.default_zero) for c in CATALOG)
+    return _with(f"SELECT {sel} FROM (SELECT row_key AS ROW_KEY, {cols} FROM ({newest}) GROUP BY row_key)",
+                 ",\n".join((c1, c2, c3)))
+
+
 # -- documents, calendar, bounds ------------------------------------------------
 
 DOC_PROJECT = """
-SELECT event_id AS doc_id, CAST(epoch_us(ts) // 1000 AS DOUBLE) AS createdtime,
+SELECT event_id AS doc_id, CAST(epoch_us(ts) // 1000 AS DOUBLE) AS happened_ms,
        CASE WHEN value > 100 THEN props ELSE event_type END AS name,
        CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS DOUBLE) AS k,
        event_type AS kind, strftime(ts, '%Y-%m-%d') AS dt
@@ -433,9 +476,21 @@ FROM events"""
 
 DOC_PARTITION = """
 SELECT event_id AS doc_id, strftime(ts, '%Y-%m-%d') AS PART_FROM_MILLIS, strftime(ts, '%Y-%m-%d %H') AS PART_HOUR,
-       strftime(ts, '%Y%m%d') AS PART_FROM_TEXT
+       strftime(ts, '%Y%m%d') AS PART_FROM_TEXT,
+       CAST((epoch_us(ts) // 1000000 - 8 * 3600) * 1000 AS DOUBLE) AS MILLIS_FROM_TEXT
 FROM events"""
 
+DOC_LOAD = f"""
+SELECT happened_ms, name, k, kind, dt, NULL AS unreadable FROM ({DOC_PROJECT}) WHERE doc_id % 50 <> 7
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, '{{"event": ' || event_id || ', "kind' FROM events WHERE event_id % 50 = 7"""
+
+DOC_APPEND = f"SELECT doc_id, kind AS label, k AS amount, dt AS day FROM ({DOC_PROJECT})"
+
+TABLE_REPLACED = f"""
+SELECT doc_id, upper(kind) AS label, k * 10 AS amount, substr(dt, 1, 7) AS day
+FROM ({DOC_PROJECT}) WHERE CAST(k AS BIGINT) % 2 = 0"""
+
 DOC_LIST_LAST = """
 SELECT conv_id, CAST(n AS DOUBLE) AS N_ITEMS, role AS LAST_ROLE, text AS LAST_TEXT
 FROM (SELECT *, count(*) OVER (PARTITION BY conv_id) AS n,
@@ -507,6 +562,11 @@ def oracle_sql() -> dict[str, str]:
     q["cells_upsert_latest"] = cells_upsert_query()
     q["cells_to_wide"] = cells_to_wide_query()
     q["typed_export"] = typed_export_query()
+    q["typed_export_cells"] = typed_export_cells_query()
+    q["store_export"] = store_export_query()
+    q["doc_load"] = DOC_LOAD
+    q["doc_append"] = DOC_APPEND
+    q["table_replaced"] = TABLE_REPLACED
     q["doc_project"] = DOC_PROJECT
     q["export_overwrite"] = DOC_PROJECT
     q["doc_list_last"] = DOC_LIST_LAST

@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 from ..functions.numeric import to_plain
 from ..operators import calendar as CAL
 from ..operators import cells as C
+from ..operators.export import typed_cells
+from ..sources.cell_store import CellStore
 from ..sources.tables import read_table
 from . import documents_job as D
+from . import jobs
 from . import sections as S
 from . import wide_build as W
 from .catalog import ROW_KEY
@@ -74,6 +77,23 @@ def cells_to_wide(spark: SparkSession, d: str) -> DataFrame:
     return C.cells_to_wide(W.upserted_cells(spark, d), W.declared_columns(), ROW_KEY, deduplicated=True)
 
 
+def typed_export_cells(spark: SparkSession, d: str) -> DataFrame:
+    return typed_cells(W.exported(spark, d), ROW_KEY)
+
+
+def store_export(spark: SparkSession, d: str) -> DataFrame:
+    """Three loads into a cell store, compacted after the second, exported with the third on top.
+    The third is a late correction with the second's ts: its number decides."""
+    path = D.new_table(spark, "cell_store")
+    jobs.build_job(spark, d, path, W.EARLIER_ORDER_ASOF, W.EARLIER_EVENT_ASOF, ts=W.TS_FIRST, load_key="full")
+    jobs.build_job(spark, d, path, sections=W.REFRESHED, ts=W.TS_SECOND, load_key="refresh")
+    store = CellStore(spark, path)
+    store.compact()
+    store.vacuum()
+    jobs.build_job(spark, d, path, W.EARLIER_ORDER_ASOF, W.EARLIER_EVENT_ASOF, W.CORRECTED, W.TS_SECOND, "correction")
+    return jobs.export_frame(spark, path)
+
+
 QUERIES: dict[str, Query] = {
     "order_windows": _plain(S.order_windows),
     "asof_bounds": _plain(asof_bounds),
@@ -100,6 +120,11 @@ QUERIES: dict[str, Query] = {
     "doc_list_last": _plain(D.doc_list_last),
     "doc_partition": _plain(D.doc_partition),
     "export_overwrite": _plain(D.export_overwrite),
+    "doc_load": _plain(D.doc_load),
+    "doc_append": _plain(D.doc_append),
+    "table_replaced": _plain(D.table_replaced),
+    "typed_export_cells": _plain(typed_export_cells),
+    "store_export": _plain(store_export),
     "date_dim_by_count": _plain(date_dim_by_count),
     "date_dim_by_range": _plain(date_dim_by_range),
 }

@@ -134,6 +134,7 @@ EARLIER_ORDER_ASOF = AsOf(dt.date(2001, 3, 15), slot=ORDER_ASOF.slot)
 EARLIER_EVENT_ASOF = AsOf(dt.date(2024, 1, 15), slot=EVENT_ASOF.slot)
 REFRESHED = ["order_30D", "order_90D", "order_120D", "order_180D", "order_360D",
              "recharge_30D", "recharge_90D", "recharge_180D", "recharge_360D", "coupon_recent", "active_flag"]
+CORRECTED = ["coupon_recent", "order_30D", "member_flag"]
 TS_FIRST, TS_SECOND = 1_000, 2_000
 
 
