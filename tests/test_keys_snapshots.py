@@ -102,3 +102,52 @@ def test_partial_reload_without_members_reads_no_member_table(spark):
     wide, presence = W.wide_sections(spark, SF_SMALL, names=["recharge_30D"])
     plan = wide._jdf.queryExecution().executedPlan().toString()
     assert "customer.parquet" not in plan and "lineitem.parquet" not in plan and presence == {"LAST_CHARGE_AMOUNT_30D": "has_recharge_30D"}
+
+
+def test_amounts_of_any_scale_sum_exactly(spark, tmp_path):
+    """Orders whose prices have up to ten decimals next to ordinary ones, through the sections."""
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    from wideloom.functions.numeric import Amount, exact, is_finer, limbs, quick_units
+    from wideloom.operators import aggregates as A
+    values = [0.004, 0.004, 12.34, -0.005, 1e-10, 123456789.12]
+    df = spark.createDataFrame([(1, v) for v in values[:2]] + [(2, v) for v in values] + [(3, None), (4, -0.005)], "k int, x double")
+    df = df.select("k", *limbs("x", 2, quick_units("x", 2), is_finer("x", 2), exact("x")))
+    a = Amount.of("x", 2)
+    out = A.sectioned_aggregate(df, ["k"], {"s": A.Section((A.amount_sum("t", a), A.amount_pair("p", a, a),
+                                                            A.amount_row_sum("r", a, a), A.count_rows("n")))})
+    got = {r.k: (r.t, r.p, r.r) for r in out.collect()}
+    total = sum(Decimal(repr(v)) for v in values)
+    large = spark.createDataFrame([(99999999.9999999,), (20071992547409.91,), (0.07,)], "x double")
+    assert [r[0] for r in large.select(is_finer("x", 2)).collect()] == [True, False, False]
+    assert got[1] == (Decimal("0.008"), Decimal("0.016"), Decimal("0.016"))
+    assert got[2] == (total, 2 * total, 2 * total) and got[4][0] == Decimal("-0.005")
+    assert got[3] == (None, 0, 0)
+    assert df.filter("k = 2").filter("x_lo IS NULL").count() == 2  # ordinary amounts have no second limb
+
+
+@pytest.mark.parametrize("text", ["0.00000000001D", "double('NaN')", "double('Infinity')"])
+def test_amounts_finer_than_the_last_limb_are_refused(spark, text):
+    from wideloom.functions.numeric import exact, is_finer, limbs, quick_units
+    df = spark.sql(f"SELECT {text} AS x")
+    with pytest.raises(Exception, match="more than 10 decimals"):
+        df.select(*limbs("x", 2, quick_units("x", 2), is_finer("x", 2), exact("x"))).collect()
+
+
+def test_fine_amounts_through_the_profile_and_its_cells(spark, tmp_path):
+    from decimal import Decimal
+    for t in ("customer", "supplier", "nation", "part", "events"):
+        (tmp_path / f"{t}.parquet").symlink_to(f"{SF_SMALL}/{t}.parquet")
+    spark.sql("SELECT 1L AS o_orderkey, 20L AS o_custkey, 'P' AS o_orderstatus, 10.004D AS o_totalprice, "
+              "TIMESTAMP_NTZ'2001-06-01 00:00:00' AS o_orderdate, '1-URGENT' AS o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("SELECT 1L AS l_orderkey, 5L AS l_partkey, 1L AS l_suppkey, 2D AS l_quantity, p AS l_extendedprice, 0.125D AS l_discount, "
+              "0D AS l_tax, 'F' AS l_linestatus FROM VALUES (0.004D), (0.004D), (100D) t(p)").write.parquet(f"{tmp_path}/lineitem.parquet")
+    wide, presence = W.wide_sections(spark, str(tmp_path))
+    row = wide.filter("member_id = 20 AND has_order_30D").first()
+    assert row.LST_ORDER_AMOUNT_30D == Decimal("87.507") and row.LST_ORDER_DISC_30D == Decimal("12.501")
+    assert row.ORDER_AMOUNT == Decimal("87.51") and row.TOTAL_CHARGE_AMOUNT == Decimal("11.00")
+    assert row.FULL_AVERAGE_PRICE_30D == 0.0
+    cells = {r.col: r.value for r in W.profile_cells(wide, presence, 1).filter(f"row_key = '{row.ROW_KEY}'").collect()}
+    assert (cells["LST_ORDER_AMOUNT_30D"], cells["LST_ORDER_DISC_30D"]) == ("87.5070", "12.5010")

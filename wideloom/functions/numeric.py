@@ -8,6 +8,7 @@ are computed with integer arithmetic (half-up), never by rounding a double.
 from __future__ import annotations
 
 import decimal
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,80 @@ def dec(c: Column | str) -> Column:
     return c.cast(MONEY)
 
 
+LO_SCALE = 10  # the finest decimal place of an amount
+
+
+@dataclass(frozen=True)
+class Amount:
+    """An exact amount in two LONG limbs: ``hi`` * 10^-scale + ``lo`` * 10^-LO_SCALE.
+
+    Amounts of up to ``scale`` decimals are in ``hi`` alone and have a null ``lo``, so their sums
+    cost what one LONG sum costs; finer ones carry the rest (0 to one unit of ``hi``) in
+    ``lo``.  Limbs are summed apart and put together once per output row."""
+
+    hi: Column
+    lo: Column
+    scale: int
+
+    @staticmethod
+    def of(name: str, scale: int) -> Amount:
+        """The amount that ``limbs`` has stored under ``name``."""
+        return Amount(F.col(f"{name}_u{scale}"), F.col(f"{name}_lo"), scale)
+
+    def where(self, condition: Column, otherwise: int | None = None) -> Amount:
+        hi = F.when(condition, self.hi)
+        return Amount(hi if otherwise is None else hi.otherwise(F.lit(otherwise).cast("long")),
+                      F.when(condition, self.lo), self.scale)
+
+    def less(self, other: Amount) -> Column:
+        zero = F.lit(0).cast("long")
+        return (self.hi < other.hi) | ((self.hi == other.hi) & (F.coalesce(self.lo, zero) < F.coalesce(other.lo, zero)))
+
+
+def is_finer(c: Column | str, scale: int) -> Column:
+    """The amount has more than ``scale`` decimals (or is no number); false for null."""
+    c = F.col(c) if isinstance(c, str) else c
+    # the quotient is the double next to the rounded amount, so any other double was finer
+    return F.coalesce(quick_units(c, scale).cast("double") / F.lit(float(10 ** scale)) != c.cast("double"), F.lit(False))
+
+
+def quick_units(c: Column | str, scale: int) -> Column:
+    """Units of an amount that is not finer than ``scale``."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.floor(c.cast("double") * F.lit(float(10 ** scale)) + F.lit(0.5)).cast("long")
+
+
+def exact(c: Column | str, precision: int = 22) -> Column:
+    """The decimal that the amount is written as, of up to ``LO_SCALE`` decimals."""
+    c = F.col(c) if isinstance(c, str) else c
+    text = c.cast("string")
+    d = text.try_cast("decimal(38,18)")
+    refused = F.raise_error(F.concat(F.lit(f"amount with more than {LO_SCALE} decimals: "), text))
+    kept = d.cast(f"decimal({precision},{LO_SCALE})")
+    return F.when(c.isNotNull(), F.when(d == kept, kept).otherwise(refused.cast(f"decimal({precision},{LO_SCALE})")))
+
+
+def limbs(name: str, scale: int, quick: Column, fine: Column, value: Column) -> list[Column]:
+    """Columns ``<name>_u<scale>`` and ``<name>_lo`` of an amount: ``quick`` units where not
+    ``fine``, else the limbs of the exact decimal ``value`` (evaluated for such rows only)."""
+    v = value.cast("decimal(28,10)")
+    refused = F.raise_error(F.concat(F.lit(f"amount with more than {LO_SCALE} decimals: "), value.cast("string")))
+    v = F.when(v == value, v).otherwise(refused.cast("decimal(28,10)"))
+    whole = F.floor(v, F.lit(scale)).cast(f"decimal({18 + scale},{scale})")
+
+    def units(d: Column, places: int) -> Column:
+        return (d * F.expr(f"CAST({10 ** places} AS DECIMAL({places + 1},0))")).cast("long")
+    return [F.when(fine, units(whole, scale)).otherwise(quick).alias(f"{name}_u{scale}"),
+            F.when(fine, units(v - whole, LO_SCALE)).alias(f"{name}_lo")]
+
+
+def from_limbs(hi: Column, lo: Column, scale: int) -> Column:
+    """Summed limbs -> exact DECIMAL(38, LO_SCALE); null where ``hi`` is."""
+    wide = f"decimal(37,{LO_SCALE})"  # a sum of two has 38 digits
+    rest = F.coalesce(from_units(lo, LO_SCALE).cast(wide), F.lit(0).cast(wide))
+    return (from_units(hi, scale).cast(wide) + rest).cast(f"decimal(38,{LO_SCALE})")
+
+
 def to_units(c: Column | str, scale: int) -> Column:
     """Amount -> integer count of 10^-scale units (fixed point, exact).
 
@@ -30,18 +105,14 @@ def to_units(c: Column | str, scale: int) -> Column:
     held as BigDecimal.  Convert back once per output row (``from_units``).
     An amount with more than ``scale`` decimals is an error, never rounded."""
     c = F.col(c) if isinstance(c, str) else c
-    scaled = c.cast("double") * F.lit(float(10 ** scale))
-    units = F.floor(scaled + F.lit(0.5))
-    # beyond what a double's own error explains (NaN and infinity too)
-    finer = F.abs(scaled - units) > F.abs(units) * F.lit(1e-15) + F.lit(1e-9)
     refused = F.raise_error(F.concat(F.lit(f"amount with more than {scale} decimals: "), c.cast("string")))
-    return F.when(finer, refused.cast("long")).otherwise(units.cast("long"))
+    return F.when(is_finer(c, scale), refused.cast("long")).otherwise(quick_units(c, scale))
 
 
 def from_units(units: Column, scale: int) -> Column:
     """Integer units -> exact DECIMAL(38, scale)."""
     step = F.expr(f"CAST('{decimal.Decimal(1).scaleb(-scale)}' AS DECIMAL({scale + 1},{scale}))")
-    return (units.cast("decimal(38,0)") * step).cast(f"decimal(38,{scale})")
+    return (units.cast("decimal(20,0)") * step).cast(f"decimal(38,{scale})")
 
 
 def ratio_or_zero(num: Column, den: Column) -> Column:

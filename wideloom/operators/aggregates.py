@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import from_units, guarded_pct
+from ..functions.numeric import Amount, from_limbs, guarded_pct
 from ..functions.sqltext import project, q
 from ..params import AsOf
 
@@ -56,25 +56,43 @@ def row_sum_coalesced(name: str, a: Column, b: Column, scale: int | None = None)
     return Measure(name, build)
 
 
-def money(m: Measure, unit_scale: int) -> Measure:
-    """A measure over fixed-point LONG units, returned as exact DECIMAL."""
-    return Measure(m.name, lambda inside: from_units(m.build(inside), unit_scale))
+def amount_sum(name: str, a: Amount) -> Measure:
+    """Exact sum of an amount, limb by limb."""
+    return Measure(name, lambda inside: from_limbs(F.sum(F.when(inside, a.hi)), F.sum(F.when(inside, a.lo)), a.scale))
 
 
-def full_price_average(name: str, pay: Column, total: Column, unit_scale: int | None = None) -> Measure:
+def amount_pair(name: str, a: Amount, b: Amount) -> Measure:
+    """``sum_pair`` of two amounts of one scale."""
+    hi, lo = sum_pair(name, a.hi, b.hi), sum_pair(name, a.lo, b.lo)
+    return Measure(name, lambda inside: from_limbs(hi.build(inside), lo.build(inside), a.scale))
+
+
+def amount_row_sum(name: str, a: Amount, b: Amount) -> Measure:
+    """``row_sum_coalesced`` of two amounts of one scale."""
+    hi, lo = row_sum_coalesced(name, a.hi, b.hi), sum_pair(name, a.lo, b.lo)
+    return Measure(name, lambda inside: from_limbs(hi.build(inside), lo.build(inside), a.scale))
+
+
+def is_full_price(pay: Column | Amount, total: Column | Amount) -> Column:
+    """Not known to be paid below the total."""
+    return ~F.coalesce(pay.less(total) if isinstance(pay, Amount) else pay < total, F.lit(False))
+
+
+def full_price_average(name: str, pay: Column | Amount, total: Column | Amount) -> Measure:
     """Average paid amount over full-price rows (not pay < total).
 
     A null comparison counts as full price, so a row with null pay enters the
     denominator but adds nothing to the numerator; 0 when there is no
     full-price row.
     """
-    full = ~F.coalesce(pay < total, F.lit(False))
+    full = is_full_price(pay, total)
 
     def build(inside: Column) -> Column:
         sel = inside & full
-        num = F.coalesce(F.sum(F.when(sel, pay)), F.lit(0))
-        if unit_scale is not None:
-            num = from_units(num, unit_scale)
+        if isinstance(pay, Amount):
+            num = F.coalesce(amount_sum(name, pay).build(sel), F.lit(0))
+        else:
+            num = F.coalesce(F.sum(F.when(sel, pay)), F.lit(0))
         cnt = F.count(F.when(sel, F.lit(1)))
         return F.when(cnt > 0, num.cast("double") / cnt.cast("double")).otherwise(F.lit(0.0))
     return Measure(name, build)

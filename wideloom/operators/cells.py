@@ -42,22 +42,29 @@ def cell_text(c: str, dtype: T.DataType, date_format: str = "yyyy-MM-dd") -> Col
 
 def wide_to_cells(wide: DataFrame, key: str, families: Mapping[str, str], ts: int,
                   date_formats: Mapping[str, str] | None = None,
-                  presence: Mapping[str, str] | None = None) -> DataFrame:
+                  presence: Mapping[str, str] | None = None,
+                  decimals: Mapping[str, int] | None = None) -> DataFrame:
     """One cell per (row, column) for the columns listed in ``families``.
 
     ``families``: column -> family.  ``presence``: column -> boolean column that
     says whether the section owning the column produced a row for this key
-    (absent sections write no cell).  Columns are taken in name order and all
+    (absent sections write no cell).  ``decimals``: column -> decimal places that
+    its text has where they hold the value; a finer value is written in full.  Columns are taken in name order and all
     cells of one batch carry the same ``ts``.  Rows without a key are dropped.
     Narrow transformation only: no shuffle.
     """
     date_formats = date_formats or {}
+    decimals = decimals or {}
     presence = presence or {}
     dtypes = {f.name: f.dataType for f in wide.schema.fields}
     names = sorted(c for c in families if c in dtypes and c != key)
     pairs = [("row_key", q(key))]
     for n in names:
-        text = f"coalesce({cell_text_sql(q(n), dtypes[n], date_formats.get(n, 'yyyy-MM-dd'))}, '')"
+        text = cell_text_sql(q(n), dtypes[n], date_formats.get(n, "yyyy-MM-dd"))
+        if n in decimals:
+            short = f"CAST({q(n)} AS DECIMAL(38,{decimals[n]}))"
+            text = f"CASE WHEN {short} = {q(n)} THEN CAST({short} AS STRING) ELSE {text} END"
+        text = f"coalesce({text}, '')"
         if n in presence:
             text = f"CASE WHEN {q(presence[n])} THEN {text} END"
         pairs.append((n, text))

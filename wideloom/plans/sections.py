@@ -22,6 +22,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numeric import Amount
 from ..functions.text import not_empty
 from ..operators import aggregates as A
 from ..operators.aggregates import Section
@@ -56,14 +57,13 @@ ORDER_WINDOWS = ("30D", "90D", "120D", "180D", "360D")
 
 def order_line_sections(asof: AsOf) -> dict[str, Section]:
     date = F.col("orderdate")
-    pay, total = F.col("pay_u4"), F.col("total_u4")
-    plat, shop = F.col("platform_discount_u4"), F.col("shop_discount_u4")
+    pay, total, plat, shop = (Amount.of(n, 4) for n in ("pay", "total", "platform_discount", "shop_discount"))
 
     def amount(name: str) -> A.Measure:
-        return A.money(A.sum_of(name, pay), 4)
+        return A.amount_sum(name, pay)
 
     def discount(name: str) -> A.Measure:
-        return A.money(A.sum_pair(name, plat, shop), 4)
+        return A.amount_pair(name, plat, shop)
 
     life = Section((
         A.min_of("FIRST_ORDER_TIME", date),
@@ -83,13 +83,19 @@ def order_line_sections(asof: AsOf) -> dict[str, Section]:
                 discount(f"LST_ORDER_DISC_{w}")]
 
     def fpa(w: str) -> A.Measure:
-        return A.full_price_average(f"FULL_AVERAGE_PRICE_{w}", pay, total, unit_scale=4)
+        return A.full_price_average(f"FULL_AVERAGE_PRICE_{w}", pay, total)
 
     plan = {"30D": sums("30D") + [fpa("30D")], "90D": sums("90D") + [fpa("90D")],
             "120D": [fpa("120D")], "180D": sums("180D"), "360D": sums("360D") + [fpa("360D")]}
     return {"order_lifecycle": life, **A.window_sections("orderdate", asof, plan, prefix="order_")}
 
 
+# decimals that a total is written with at least, as its source amounts have them
+AMOUNT_SCALES = ({f"LST_ORDER_{kind}_{w}": 4 for kind in ("AMOUNT", "DISC") for w in ORDER_WINDOWS}
+                 | {f"{kind}_POINTS": 2 for kind in ("EXCHANGE", "GET", "EXPIRED", "CLEAR")}
+                 | {"ACTIVITIES_POINT_COUNT": 2})
+
+
 # -- orders table: registration + stored value ---------------------------------
 
 RECHARGE_WINDOWS = ("30D", "90D", "180D", "360D")
@@ -97,12 +103,12 @@ RECHARGE_WINDOWS = ("30D", "90D", "180D", "360D")
 
 def order_table_sections(asof: AsOf) -> dict[str, Section]:
     date = F.col("ds_dt")
-    a, b = F.col("actual_u3"), F.col("back_u3")
+    a, b = Amount.of("actual", 3), Amount.of("back", 3)
     recharge = F.col("is_recharge")
 
     def charged(name: str) -> A.Measure:
         # one null policy for every window: coalesce each part per row
-        return A.rounded(A.money(A.row_sum_coalesced(name, a, b), 3), 2)
+        return A.rounded(A.amount_row_sum(name, a, b), 2)
 
     life = Section((
         A.min_of("FIRST_CHARGE_TIME", date),
@@ -121,14 +127,11 @@ def order_table_sections(asof: AsOf) -> dict[str, Section]:
 # -- activity log: points, coupons, messages, channel ---------------------------
 
 def event_sections(asof: AsOf) -> dict[str, Section]:
-    t, amt = F.col("event_type"), F.col("amount_u2")
+    t, amt = F.col("event_type"), Amount.of("amount", 2)
     recv, used = F.col("received_coupon_cnt"), F.col("used_coupon_cnt")
 
-    def points(kind: str) -> Column:
-        return F.when(t == kind, amt).otherwise(F.lit(0).cast("long"))
-
-    def cents(m: A.Measure) -> A.Measure:
-        return A.money(m, 2)
+    def points(name: str, kind: str) -> A.Measure:
+        return A.amount_sum(name, amt.where(t == kind, 0))
 
     def ones(kind: str) -> Column:
         return F.when(t == kind, F.lit(1)).otherwise(F.lit(0)).cast("long")
@@ -137,10 +140,10 @@ def event_sections(asof: AsOf) -> dict[str, Section]:
     known = F.col("member_no").isNotNull()
     return {
         "points_totals": Section((
-            cents(A.sum_of("EXCHANGE_POINTS", points("purchase"))), cents(A.sum_of("GET_POINTS", points("click"))),
-            cents(A.sum_of("EXPIRED_POINTS", points("error"))), cents(A.sum_of("CLEAR_POINTS", points("view"))),
+            points("EXCHANGE_POINTS", "purchase"), points("GET_POINTS", "click"),
+            points("EXPIRED_POINTS", "error"), points("CLEAR_POINTS", "view"),
             A.sum_of("YH_POINTS_COUNT", ones("purchase")), A.sum_of("GET_POINTS_COUNT", ones("click")))),
-        "typed_event_total": Section((cents(A.sum_of("ACTIVITIES_POINT_COUNT", amt)),), t == B.POINT_TYPE_WANTED),
+        "typed_event_total": Section((A.amount_sum("ACTIVITIES_POINT_COUNT", amt),), t == B.POINT_TYPE_WANTED),
         "coupon_lifetime": Section((
             A.sum_of("TOTAL_RECEIVED_COUPON", recv), A.sum_of("TOTAL_USED_COUNPON", used),
             A.pct_of("TOTAL_USED_COUNPON_PERCENT", used, recv))),
@@ -284,10 +287,10 @@ def order_windows(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataF
 
 def full_price_average(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame:
     """All-time full-price average per member, with the count of full-price lines."""
-    pay, total = F.col("pay_u4"), F.col("total_u4")
-    full = ~F.coalesce(pay < total, F.lit(False))
+    pay, total = Amount.of("pay", 4), Amount.of("total", 4)
+    full = A.is_full_price(pay, total)
     sec = Section((A.Measure("FULL_PRICE_LINES", lambda inside: F.count(F.when(inside & full, F.lit(1)))),
-                   A.full_price_average("FULL_AVERAGE_PRICE", pay, total, unit_scale=4)))
+                   A.full_price_average("FULL_AVERAGE_PRICE", pay, total)))
     return single_section(slot_lines(spark, d, asof), "fpa", sec)
 
 

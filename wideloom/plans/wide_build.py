@@ -125,7 +125,7 @@ def profile_cells(wide: DataFrame, presence: dict[str, str], ts: int) -> DataFra
                    .withColumn("TENANT_ID", F.col("tenant_id").cast("string"))
     families = {c: BY_NAME[c].cf for c in presence if c in BY_NAME}
     fmts = {c: BY_NAME[c].cell_date_format for c in families}
-    return C.wide_to_cells(wide, ROW_KEY, families, ts, fmts, presence)
+    return C.wide_to_cells(wide, ROW_KEY, families, ts, fmts, presence, S.AMOUNT_SCALES)
 
 
 # The upsert scenario: a full load at an earlier as-of day, then a later load

@@ -8,8 +8,8 @@ tables have no such columns, so they are derived from the row: a member's home
 tenant from the id, and one fact in eight happened at the next tenant, where
 the member table does not know the member.
 
-Money columns are fixed-point LONG units (``to_units``) with the scale in
-the column name; sections turn totals back into exact DECIMAL.
+Money columns are exact amounts in two LONG limbs (``numeric.Amount``), the
+scale of the first in its name; sections turn totals back into DECIMAL.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numeric import to_units
+from ..functions.numeric import exact, is_finer, limbs, quick_units
 from .tables import read_table
 
 # Fixed values of the bindings.
@@ -92,26 +92,27 @@ def shops(spark: SparkSession, d: str) -> DataFrame:
 def order_lines(spark: SparkSession, d: str) -> DataFrame:
     """Order fact at line grain: lineitem joined to its order.
 
-    Amounts are fixed-point LONG units (``to_units``): ``*_u2`` in cents,
-    ``*_u4`` in 1/10000.  pay = total * (1 - discount); platform discount =
+    Amounts are in limbs, the first in 1/10000.  pay = total * (1 - discount); platform discount =
     total * discount; shop discount = total * tax; slot = line status.
     """
     l = read_table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
                    "l_extendedprice", "l_discount", "l_tax", "l_linestatus")
     o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     j = l.join(o, l.l_orderkey == o.o_orderkey, "inner")
-    total = to_units("l_extendedprice", 2)
-    disc = to_units("l_discount", 2)
+    total, disc, tax = (quick_units(c, 2) for c in ("l_extendedprice", "l_discount", "l_tax"))
+    fine = is_finer("l_extendedprice", 2) | is_finer("l_discount", 2) | is_finer("l_tax", 2)
+    full, rate, tax_rate = exact("l_extendedprice"), exact("l_discount", 14), exact("l_tax", 14)
+    one = F.lit(1).cast("decimal(1,0)")
     return j.select(
         fact_tenant("o_custkey", "o_orderkey").alias("tenant_id"),
         F.col("o_custkey").alias("member_id"),
         fact_member_no("o_custkey").alias("member_no"),
         F.to_date("o_orderdate").alias("orderdate"),
         F.lit(1).cast("long").alias("order_num"),
-        (total * F.lit(100)).alias("total_u4"),
-        (total * (F.lit(100) - disc)).alias("pay_u4"),
-        (total * disc).alias("platform_discount_u4"),
-        (total * to_units("l_tax", 2)).alias("shop_discount_u4"),
+        *limbs("total", 4, total * F.lit(100), fine, full),
+        *limbs("pay", 4, total * (F.lit(100) - disc), fine, full * (one - rate).cast("decimal(14,10)")),
+        *limbs("platform_discount", 4, total * disc, fine, full * rate),
+        *limbs("shop_discount", 4, total * tax, fine, full * tax_rate),
         F.col("l_suppkey").alias("shop_id"),
         F.col("l_partkey").alias("item_code"),
         F.col("l_quantity").alias("item_num"),
@@ -142,8 +143,8 @@ def event_facts(spark: SparkSession, d: str) -> DataFrame:
     Points, point types, coupon receive/use, coupon flow, message log and
     member channel all live in the one ``events`` table of the test data; a
     single binding lets every section over it share one scan and one
-    aggregation (see ``plans.sections``).  ``amount_u2`` is the event value in
-    cents.
+    aggregation (see ``plans.sections``).  ``amount`` is the event value,
+    its first limb in cents.
     """
     e = _events(spark, d, "event_id", "user_id", "event_type", "value", "ts")
     t = F.col("event_type")
@@ -152,7 +153,7 @@ def event_facts(spark: SparkSession, d: str) -> DataFrame:
         F.col("user_id").alias("member_id"),
         fact_member_no("user_id").alias("member_no"),
         t.alias("event_type"),
-        to_units("value", 2).alias("amount_u2"),
+        *limbs("amount", 2, quick_units("value", 2), is_finer("value", 2), exact("value")),
         F.to_date("ts").alias("ds_dt"),
         F.col("ts").alias("create_time"),
         F.when(t == "view", F.lit(1)).otherwise(F.lit(0)).cast("long").alias("received_coupon_cnt"),
@@ -165,15 +166,17 @@ def event_facts(spark: SparkSession, d: str) -> DataFrame:
 def order_facts(spark: SparkSession, d: str) -> DataFrame:
     """The orders table seen as registration history and stored-value
     recharges (urgent orders; the 10 % bonus exists only for status 'P').
-    ``actual_u3`` / ``back_u3`` are in 1/1000 so the bonus stays exact."""
+    The first limb is in 1/1000, which holds the bonus of an amount in cents."""
     o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                    "o_orderpriority")
-    actual = to_units("o_totalprice", 2)
-    back = F.when(F.col("o_orderstatus") == RECHARGE_BACK_STATUS, actual)  # cents * 0.1 = actual in 1/1000
+    cents, fine, paid = quick_units("o_totalprice", 2), is_finer("o_totalprice", 2), exact("o_totalprice")
+    has_back = F.col("o_orderstatus") == RECHARGE_BACK_STATUS
+    tenth = F.expr("CAST(0.1 AS DECIMAL(1,1))")
+    back = limbs("back", 3, F.when(has_back, cents), fine & has_back, paid * tenth)  # cents * 0.1 = cents in 1/1000
     return o.select(fact_tenant("o_custkey", "o_orderkey").alias("tenant_id"), F.col("o_custkey").alias("member_id"),
                     fact_member_no("o_custkey").alias("member_no"), F.to_date("o_orderdate").alias("ds_dt"),
                     (F.col("o_orderpriority") == RECHARGE_PRIORITY).alias("is_recharge"),
-                    (actual * F.lit(10)).alias("actual_u3"), back.alias("back_u3"))
+                    *limbs("actual", 3, cents * F.lit(10), fine, paid), *back)
 
 
 def message_rows(spark: SparkSession, d: str) -> DataFrame:
