@@ -110,11 +110,11 @@ def test_amounts_of_any_scale_sum_exactly(spark, tmp_path):
 
     from pyspark.sql import functions as F
 
-    from wideloom.functions.numeric import Amount, exact, is_finer, limbs, quick_units
+    from wideloom.functions.numeric import Amount, exact, is_finer, quick_units, with_limbs
     from wideloom.operators import aggregates as A
     values = [0.004, 0.004, 12.34, -0.005, 1e-10, 123456789.12]
     df = spark.createDataFrame([(1, v) for v in values[:2]] + [(2, v) for v in values] + [(3, None), (4, -0.005)], "k int, x double")
-    df = df.select("k", *limbs("x", 2, quick_units("x", 2), is_finer("x", 2), exact("x")))
+    df = with_limbs(df, 2, is_finer("x", 2), {"x": (quick_units("x", 2), exact("x"))})
     a = Amount.of("x", 2)
     out = A.sectioned_aggregate(df, ["k"], {"s": A.Section((A.amount_sum("t", a), A.amount_pair("p", a, a),
                                                             A.amount_row_sum("r", a, a), A.count_rows("n")))})
@@ -130,10 +130,10 @@ def test_amounts_of_any_scale_sum_exactly(spark, tmp_path):
 
 @pytest.mark.parametrize("text", ["0.00000000001D", "double('NaN')", "double('Infinity')"])
 def test_amounts_finer_than_the_last_limb_are_refused(spark, text):
-    from wideloom.functions.numeric import exact, is_finer, limbs, quick_units
+    from wideloom.functions.numeric import exact, is_finer, quick_units, with_limbs
     df = spark.sql(f"SELECT {text} AS x")
     with pytest.raises(Exception, match="more than 10 decimals"):
-        df.select(*limbs("x", 2, quick_units("x", 2), is_finer("x", 2), exact("x"))).collect()
+        with_limbs(df, 2, is_finer("x", 2), {"x": (quick_units("x", 2), exact("x"))}).collect()
 
 
 def test_fine_amounts_through_the_profile_and_its_cells(spark, tmp_path):

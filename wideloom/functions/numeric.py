@@ -40,7 +40,7 @@ class Amount:
 
     @staticmethod
     def of(name: str, scale: int) -> Amount:
-        """The amount that ``limbs`` has stored under ``name``."""
+        """The amount that ``with_limbs`` has stored under ``name``."""
         return Amount(F.col(f"{name}_u{scale}"), F.col(f"{name}_lo"), scale)
 
     def where(self, condition: Column, otherwise: int | None = None) -> Amount:
@@ -76,18 +76,30 @@ def exact(c: Column | str, precision: int = 22) -> Column:
     return F.when(c.isNotNull(), F.when(d == kept, kept).otherwise(refused.cast(f"decimal({precision},{LO_SCALE})")))
 
 
-def limbs(name: str, scale: int, quick: Column, fine: Column, value: Column) -> list[Column]:
-    """Columns ``<name>_u<scale>`` and ``<name>_lo`` of an amount: ``quick`` units where not
-    ``fine``, else the limbs of the exact decimal ``value`` (evaluated for such rows only)."""
+def _split(value: Column, scale: int) -> Column:
+    """Exact decimal -> struct (hi, lo)."""
     v = value.cast("decimal(28,10)")
     refused = F.raise_error(F.concat(F.lit(f"amount with more than {LO_SCALE} decimals: "), value.cast("string")))
-    v = F.when(v == value, v).otherwise(refused.cast("decimal(28,10)"))
+    v = F.when(v == value, v).when(value.isNotNull(), refused.cast("decimal(28,10)"))
     whole = F.floor(v, F.lit(scale)).cast(f"decimal({18 + scale},{scale})")
 
     def units(d: Column, places: int) -> Column:
         return (d * F.expr(f"CAST({10 ** places} AS DECIMAL({places + 1},0))")).cast("long")
-    return [F.when(fine, units(whole, scale)).otherwise(quick).alias(f"{name}_u{scale}"),
-            F.when(fine, units(v - whole, LO_SCALE)).alias(f"{name}_lo")]
+    return F.struct(units(whole, scale).alias("hi"), units(v - whole, LO_SCALE).alias("lo"))
+
+
+def with_limbs(df: DataFrame, scale: int, fine: Column, amounts: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """``df`` with columns ``<name>_u<scale>`` and ``<name>_lo`` per amount, given as its quick units
+    and its exact decimal value.  The value counts on ``fine`` rows only; it is split by a
+    higher-order function, which keeps the rare path out of the generated code."""
+    values = F.array(*[v.cast("decimal(38,20)") for _, v in amounts.values()])
+    x = F.col("__limbs")
+    out = df.withColumn("__limbs", F.when(fine, F.transform(values, lambda v: _split(v, scale))))
+    columns = {}
+    for i, (name, (quick, _)) in enumerate(amounts.items()):
+        columns[f"{name}_u{scale}"] = F.coalesce(x[i]["hi"], quick)
+        columns[f"{name}_lo"] = x[i]["lo"]
+    return out.withColumns(columns).drop("__limbs")
 
 
 def from_limbs(hi: Column, lo: Column, scale: int) -> Column:

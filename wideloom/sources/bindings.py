@@ -19,7 +19,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact, is_finer, limbs, quick_units
+from ..functions.numeric import exact, is_finer, quick_units, with_limbs
 from .tables import read_table
 
 # Fixed values of the bindings.
@@ -103,16 +103,18 @@ def order_lines(spark: SparkSession, d: str) -> DataFrame:
     fine = is_finer("l_extendedprice", 2) | is_finer("l_discount", 2) | is_finer("l_tax", 2)
     full, rate, tax_rate = exact("l_extendedprice"), exact("l_discount", 14), exact("l_tax", 14)
     one = F.lit(1).cast("decimal(1,0)")
+    j = with_limbs(j, 4, fine, {
+        "total": (total * F.lit(100), full),
+        "pay": (total * (F.lit(100) - disc), full * (one - rate).cast("decimal(14,10)")),
+        "platform_discount": (total * disc, full * rate),
+        "shop_discount": (total * tax, full * tax_rate)})
     return j.select(
         fact_tenant("o_custkey", "o_orderkey").alias("tenant_id"),
         F.col("o_custkey").alias("member_id"),
         fact_member_no("o_custkey").alias("member_no"),
         F.to_date("o_orderdate").alias("orderdate"),
         F.lit(1).cast("long").alias("order_num"),
-        *limbs("total", 4, total * F.lit(100), fine, full),
-        *limbs("pay", 4, total * (F.lit(100) - disc), fine, full * (one - rate).cast("decimal(14,10)")),
-        *limbs("platform_discount", 4, total * disc, fine, full * rate),
-        *limbs("shop_discount", 4, total * tax, fine, full * tax_rate),
+        *(f"{n}_{limb}" for n in ("total", "pay", "platform_discount", "shop_discount") for limb in ("u4", "lo")),
         F.col("l_suppkey").alias("shop_id"),
         F.col("l_partkey").alias("item_code"),
         F.col("l_quantity").alias("item_num"),
@@ -147,13 +149,14 @@ def event_facts(spark: SparkSession, d: str) -> DataFrame:
     its first limb in cents.
     """
     e = _events(spark, d, "event_id", "user_id", "event_type", "value", "ts")
+    e = with_limbs(e, 2, is_finer("value", 2), {"amount": (quick_units("value", 2), exact("value"))})
     t = F.col("event_type")
     return e.select(
         fact_tenant("user_id", "event_id").alias("tenant_id"),
         F.col("user_id").alias("member_id"),
         fact_member_no("user_id").alias("member_no"),
         t.alias("event_type"),
-        *limbs("amount", 2, quick_units("value", 2), is_finer("value", 2), exact("value")),
+        "amount_u2", "amount_lo",
         F.to_date("ts").alias("ds_dt"),
         F.col("ts").alias("create_time"),
         F.when(t == "view", F.lit(1)).otherwise(F.lit(0)).cast("long").alias("received_coupon_cnt"),
@@ -172,11 +175,13 @@ def order_facts(spark: SparkSession, d: str) -> DataFrame:
     cents, fine, paid = quick_units("o_totalprice", 2), is_finer("o_totalprice", 2), exact("o_totalprice")
     has_back = F.col("o_orderstatus") == RECHARGE_BACK_STATUS
     tenth = F.expr("CAST(0.1 AS DECIMAL(1,1))")
-    back = limbs("back", 3, F.when(has_back, cents), fine & has_back, paid * tenth)  # cents * 0.1 = cents in 1/1000
+    o = with_limbs(o, 3, fine, {"actual": (cents * F.lit(10), paid),
+                                # cents * 0.1 = cents in 1/1000
+                                "back": (F.when(has_back, cents), F.when(has_back, paid * tenth))})
     return o.select(fact_tenant("o_custkey", "o_orderkey").alias("tenant_id"), F.col("o_custkey").alias("member_id"),
                     fact_member_no("o_custkey").alias("member_no"), F.to_date("o_orderdate").alias("ds_dt"),
                     (F.col("o_orderpriority") == RECHARGE_PRIORITY).alias("is_recharge"),
-                    *limbs("actual", 3, cents * F.lit(10), fine, paid), *back)
+                    "actual_u3", "actual_lo", "back_u3", "back_lo")
 
 
 def message_rows(spark: SparkSession, d: str) -> DataFrame:
