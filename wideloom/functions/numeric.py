@@ -32,81 +32,74 @@ class Amount:
 
     Amounts of up to ``scale`` decimals are in ``hi`` alone and have a null ``lo``, so their sums
     cost what one LONG sum costs; finer ones carry the rest (0 to one unit of ``hi``) in
-    ``lo``.  Limbs are summed apart and put together once per output row."""
+    ``lo``.  Limbs are summed apart and put together once per output row.  The limbs are SQL
+    text: a plan with dozens of totals is written as a few texts (see ``sqltext``)."""
 
-    hi: Column
-    lo: Column
+    hi: str
+    lo: str
     scale: int
 
     @staticmethod
     def of(name: str, scale: int) -> Amount:
         """The amount that ``with_limbs`` has stored under ``name``."""
-        return Amount(F.col(f"{name}_u{scale}"), F.col(f"{name}_lo"), scale)
+        return Amount(f"{name}_u{scale}", f"{name}_lo", scale)
 
-    def where(self, condition: Column, otherwise: int | None = None) -> Amount:
-        hi = F.when(condition, self.hi)
-        return Amount(hi if otherwise is None else hi.otherwise(F.lit(otherwise).cast("long")),
-                      F.when(condition, self.lo), self.scale)
+    def where(self, condition: str) -> Amount:
+        """The amount where the condition holds, else 0."""
+        return Amount(f"CASE WHEN {condition} THEN {self.hi} ELSE 0L END", f"CASE WHEN {condition} THEN {self.lo} END", self.scale)
 
-    def less(self, other: Amount) -> Column:
-        zero = F.lit(0).cast("long")
-        return (self.hi < other.hi) | ((self.hi == other.hi) & (F.coalesce(self.lo, zero) < F.coalesce(other.lo, zero)))
+    def less(self, other: Amount) -> str:
+        return (f"({self.hi} < {other.hi} OR ({self.hi} = {other.hi} "
+                f"AND coalesce({self.lo}, 0L) < coalesce({other.lo}, 0L)))")
 
 
-def is_finer(c: Column | str, scale: int) -> Column:
-    """The amount has more than ``scale`` decimals (or is no number); false for null."""
-    c = F.col(c) if isinstance(c, str) else c
-    # the quotient is the double next to the rounded amount, so any other double was finer
-    return F.coalesce(quick_units(c, scale).cast("double") / F.lit(float(10 ** scale)) != c.cast("double"), F.lit(False))
+def is_finer(c: str, scale: int) -> str:
+    """SQL: the amount has more than ``scale`` decimals (or is no number); false for null.
+    The quotient is the double next to the rounded amount, so any other double was finer."""
+    return f"coalesce(CAST({quick_units(c, scale)} AS DOUBLE) / {10 ** scale}D <> CAST({c} AS DOUBLE), false)"
 
 
-def quick_units(c: Column | str, scale: int) -> Column:
-    """Units of an amount that is not finer than ``scale``."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.floor(c.cast("double") * F.lit(float(10 ** scale)) + F.lit(0.5)).cast("long")
+def quick_units(c: str, scale: int) -> str:
+    """SQL: units of an amount that is not finer than ``scale``."""
+    return f"CAST(floor(CAST({c} AS DOUBLE) * {10 ** scale}D + 0.5D) AS BIGINT)"
 
 
-def exact(c: Column | str, precision: int = 22) -> Column:
-    """The decimal that the amount is written as, of up to ``LO_SCALE`` decimals."""
-    c = F.col(c) if isinstance(c, str) else c
-    text = c.cast("string")
-    d = text.try_cast("decimal(38,18)")
-    refused = F.raise_error(F.concat(F.lit(f"amount with more than {LO_SCALE} decimals: "), text))
-    kept = d.cast(f"decimal({precision},{LO_SCALE})")
-    return F.when(c.isNotNull(), F.when(d == kept, kept).otherwise(refused.cast(f"decimal({precision},{LO_SCALE})")))
-
-
-def _split(value: Column, scale: int) -> Column:
-    """Exact decimal -> struct (hi, lo)."""
-    v = value.cast("decimal(28,10)")
-    refused = F.raise_error(F.concat(F.lit(f"amount with more than {LO_SCALE} decimals: "), value.cast("string")))
-    v = F.when(v == value, v).when(value.isNotNull(), refused.cast("decimal(28,10)"))
-    whole = F.floor(v, F.lit(scale)).cast(f"decimal({18 + scale},{scale})")
-
-    def units(d: Column, places: int) -> Column:
-        return (d * F.expr(f"CAST({10 ** places} AS DECIMAL({places + 1},0))")).cast("long")
-    return F.struct(units(whole, scale).alias("hi"), units(v - whole, LO_SCALE).alias("lo"))
-
-
-def with_limbs(df: DataFrame, scale: int, fine: Column, amounts: dict[str, tuple[Column, Column]]) -> DataFrame:
-    """``df`` with columns ``<name>_u<scale>`` and ``<name>_lo`` per amount, given as its quick units
-    and its exact decimal value.  The value counts on ``fine`` rows only; it is split by a
-    higher-order function, which keeps the rare path out of the generated code."""
-    values = F.array(*[v.cast("decimal(38,20)") for _, v in amounts.values()])
-    x = F.col("__limbs")
-    out = df.withColumn("__limbs", F.when(fine, F.transform(values, lambda v: _split(v, scale))))
-    columns = {}
+def exact(c: str, precision: int = 22) -> str:
+    """SQL: the decimal that the amount is written as, of up to ``LO_SCALE`` decimals."""
+    text, kind = f"CAST({c} AS STRING)", f"DECIMAL({precision},{LO_SCALE})"
+    d = f"try_cast({text} AS DECIMAL(38,18))"
+    return (f"CASE WHEN {c} IS NULL THEN NULL WHEN {d} = CAST({d} AS {kind}) THEN CAST({d} AS {kind}) "
+            f"ELSE CAST(raise_error(concat('amount with more than {LO_SCALE} decimals: ', {text})) AS {kind}) END")
+
+
+def _split(v: str, scale: int) -> str:
+    """SQL: exact decimal -> struct (hi, lo)."""
+    kept = f"CAST({v} AS DECIMAL(28,10))"
+    whole = f"CAST(floor({kept}, {scale}) AS DECIMAL({18 + scale},{scale}))"
+    hi = f"CAST({whole} * CAST({10 ** scale} AS DECIMAL({scale + 1},0)) AS BIGINT)"
+    lo = f"CAST(({kept} - {whole}) * CAST({10 ** LO_SCALE} AS DECIMAL({LO_SCALE + 1},0)) AS BIGINT)"
+    return (f"CASE WHEN {kept} = {v} THEN named_struct('hi', {hi}, 'lo', {lo}) WHEN {v} IS NOT NULL THEN "
+            f"raise_error(concat('amount with more than {LO_SCALE} decimals: ', CAST({v} AS STRING))) END")
+
+
+def with_limbs(df: DataFrame, scale: int, fine: str, amounts: dict[str, tuple[str, str]]) -> DataFrame:
+    """``df`` with columns ``<name>_u<scale>`` and ``<name>_lo`` per amount, given as SQL of its quick
+    units and of its exact decimal value.  The value counts on ``fine`` rows only; it is split by
+    a higher-order function, which keeps the rare path out of the generated code."""
+    values = ", ".join(f"CAST({v} AS DECIMAL(38,20))" for _, v in amounts.values())
+    out = df.selectExpr("*", f"CASE WHEN {fine} THEN transform(array({values}), v -> {_split('v', scale)}) END AS __limbs")
+    columns = []
     for i, (name, (quick, _)) in enumerate(amounts.items()):
-        columns[f"{name}_u{scale}"] = F.coalesce(x[i]["hi"], quick)
-        columns[f"{name}_lo"] = x[i]["lo"]
-    return out.withColumns(columns).drop("__limbs")
+        columns += [f"coalesce(__limbs[{i}].hi, {quick}) AS {name}_u{scale}", f"__limbs[{i}].lo AS {name}_lo"]
+    return out.selectExpr("*", *columns).drop("__limbs")
 
 
-def from_limbs(hi: Column, lo: Column, scale: int) -> Column:
-    """Summed limbs -> exact DECIMAL(38, LO_SCALE); null where ``hi`` is."""
-    wide = f"decimal(37,{LO_SCALE})"  # a sum of two has 38 digits
-    rest = F.coalesce(from_units(lo, LO_SCALE).cast(wide), F.lit(0).cast(wide))
-    return (from_units(hi, scale).cast(wide) + rest).cast(f"decimal(38,{LO_SCALE})")
+def from_limbs(hi: str, lo: str, scale: int) -> str:
+    """SQL: summed limbs -> exact DECIMAL(38, LO_SCALE); null where ``hi`` is."""
+    def part(units: str, places: int) -> str:  # a sum of two such has 38 digits
+        step = f"CAST('0.{'1'.rjust(places, '0')}' AS DECIMAL({places + 1},{places}))"
+        return f"CAST(CAST({units} AS DECIMAL(20,0)) * {step} AS DECIMAL(37,{LO_SCALE}))"
+    return f"CAST({part(hi, scale)} + coalesce({part(lo, LO_SCALE)}, 0) AS DECIMAL(38,{LO_SCALE}))"
 
 
 def to_units(c: Column | str, scale: int) -> Column:
@@ -117,8 +110,12 @@ def to_units(c: Column | str, scale: int) -> Column:
     held as BigDecimal.  Convert back once per output row (``from_units``).
     An amount with more than ``scale`` decimals is an error, never rounded."""
     c = F.col(c) if isinstance(c, str) else c
+    scaled = c.cast("double") * F.lit(float(10 ** scale))
+    units = F.floor(scaled + F.lit(0.5))
+    # beyond what a double's own error explains (NaN and infinity too)
+    finer = F.abs(scaled - units) > F.abs(units) * F.lit(1e-15) + F.lit(1e-9)
     refused = F.raise_error(F.concat(F.lit(f"amount with more than {scale} decimals: "), c.cast("string")))
-    return F.when(is_finer(c, scale), refused.cast("long")).otherwise(quick_units(c, scale))
+    return F.when(finer, refused.cast("long")).otherwise(units.cast("long"))
 
 
 def from_units(units: Column, scale: int) -> Column:

@@ -26,8 +26,15 @@ MeasureFn = Callable[[Column], Column]
 
 @dataclass(frozen=True)
 class Measure:
+    """``build`` makes the aggregate from the condition column, or ``sql`` its text from the
+    condition's text."""
+
     name: str
-    build: MeasureFn
+    build: MeasureFn | None
+    sql: Callable[[str], str] | None = None
+
+    def column(self, inside: str) -> Column:
+        return F.expr(self.sql(inside)) if self.sql else self.build(F.expr(inside))
 
 
 def sum_of(name: str, expr: Column) -> Measure:
@@ -56,26 +63,34 @@ def row_sum_coalesced(name: str, a: Column, b: Column, scale: int | None = None)
     return Measure(name, build)
 
 
+def _of_sql(name: str, sql: Callable[[str], str]) -> Measure:
+    return Measure(name, None, sql)
+
+
 def amount_sum(name: str, a: Amount) -> Measure:
     """Exact sum of an amount, limb by limb."""
-    return Measure(name, lambda inside: from_limbs(F.sum(F.when(inside, a.hi)), F.sum(F.when(inside, a.lo)), a.scale))
+    return _of_sql(name, lambda inside: from_limbs(f"sum(CASE WHEN {inside} THEN {a.hi} END)",
+                                                   f"sum(CASE WHEN {inside} THEN {a.lo} END)", a.scale))
+
+
+def _pair(inside: str, x: str, y: str) -> str:
+    return f"coalesce(sum(CASE WHEN {inside} THEN {x} END), 0L) + coalesce(sum(CASE WHEN {inside} THEN {y} END), 0L)"
 
 
 def amount_pair(name: str, a: Amount, b: Amount) -> Measure:
     """``sum_pair`` of two amounts of one scale."""
-    hi, lo = sum_pair(name, a.hi, b.hi), sum_pair(name, a.lo, b.lo)
-    return Measure(name, lambda inside: from_limbs(hi.build(inside), lo.build(inside), a.scale))
+    return _of_sql(name, lambda inside: from_limbs(_pair(inside, a.hi, b.hi), _pair(inside, a.lo, b.lo), a.scale))
 
 
 def amount_row_sum(name: str, a: Amount, b: Amount) -> Measure:
     """``row_sum_coalesced`` of two amounts of one scale."""
-    hi, lo = row_sum_coalesced(name, a.hi, b.hi), sum_pair(name, a.lo, b.lo)
-    return Measure(name, lambda inside: from_limbs(hi.build(inside), lo.build(inside), a.scale))
+    return _of_sql(name, lambda inside: from_limbs(
+        f"sum(CASE WHEN {inside} THEN coalesce({a.hi}, 0L) + coalesce({b.hi}, 0L) END)", _pair(inside, a.lo, b.lo), a.scale))
 
 
-def is_full_price(pay: Column | Amount, total: Column | Amount) -> Column:
-    """Not known to be paid below the total."""
-    return ~F.coalesce(pay.less(total) if isinstance(pay, Amount) else pay < total, F.lit(False))
+def is_full_price(pay: Amount, total: Amount) -> str:
+    """SQL: not known to be paid below the total."""
+    return f"NOT coalesce({pay.less(total)}, false)"
 
 
 def full_price_average(name: str, pay: Column | Amount, total: Column | Amount) -> Measure:
@@ -85,14 +100,21 @@ def full_price_average(name: str, pay: Column | Amount, total: Column | Amount)
     denominator but adds nothing to the numerator; 0 when there is no
     full-price row.
     """
-    full = is_full_price(pay, total)
+    if isinstance(pay, Amount):
+        full = is_full_price(pay, total)
+
+        def sql(inside: str) -> str:
+            sel = f"({inside} AND {full})"
+            hi, lo = (f"coalesce(sum(CASE WHEN {sel} THEN {x} END), 0L)" for x in (pay.hi, pay.lo))
+            cnt = f"count(CASE WHEN {sel} THEN 1 END)"
+            num = from_limbs(hi, lo, pay.scale)
+            return f"CASE WHEN {cnt} > 0 THEN CAST({num} AS DOUBLE) / CAST({cnt} AS DOUBLE) ELSE 0D END"
+        return _of_sql(name, sql)
+    full = ~F.coalesce(pay < total, F.lit(False))
 
     def build(inside: Column) -> Column:
         sel = inside & full
-        if isinstance(pay, Amount):
-            num = F.coalesce(amount_sum(name, pay).build(sel), F.lit(0))
-        else:
-            num = F.coalesce(F.sum(F.when(sel, pay)), F.lit(0))
+        num = F.coalesce(F.sum(F.when(sel, pay)), F.lit(0))
         cnt = F.count(F.when(sel, F.lit(1)))
         return F.when(cnt > 0, num.cast("double") / cnt.cast("double")).otherwise(F.lit(0.0))
     return Measure(name, build)
@@ -120,14 +142,15 @@ def sectioned_aggregate(df: DataFrame, keys: Sequence[str], sections: dict[str,
     """
     rows = df.filter(prefilter) if prefilter is not None else df
     aggs, finals = [], [(k, q(k)) for k in keys]
-    one = F.lit(1)
+    # each predicate is computed once per row, whatever the number of its measures
+    rows = rows.withColumns({f"__in_{n}": s.predicate for n, s in sections.items() if s.predicate is not None})
     for name, sec in sections.items():
-        inside = sec.predicate if sec.predicate is not None else F.lit(True)
+        inside = q(f"__in_{name}") if sec.predicate is not None else "true"
         n = f"__n_{name}"
-        aggs.append(F.count(F.when(inside, one)).alias(n))
+        aggs.append(F.expr(f"count(CASE WHEN {inside} THEN 1 END) AS {q(n)}"))
         finals.append((f"has_{name}", f"{q(n)} > 0"))
         for m in sec.measures:
-            aggs.append(m.build(inside).alias(m.name))
+            aggs.append(m.column(inside).alias(m.name))
             finals.append((m.name, f"CASE WHEN {q(n)} > 0 THEN {q(m.name)} END"))
     return project(rows.groupBy(*keys).agg(*aggs), finals)
 
@@ -236,6 +259,8 @@ def flag_of(name: str, expr: Column, yes: str = "Y", no: str = "N") -> Measure:
 
 
 def rounded(m: Measure, scale: int) -> Measure:
+    if m.sql:
+        return Measure(m.name, None, lambda inside: f"round({m.sql(inside)}, {scale})")
     return Measure(m.name, lambda inside: F.round(m.build(inside), scale))
 
 

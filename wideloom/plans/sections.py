@@ -131,7 +131,7 @@ def event_sections(asof: AsOf) -> dict[str, Section]:
     recv, used = F.col("received_coupon_cnt"), F.col("used_coupon_cnt")
 
     def points(name: str, kind: str) -> A.Measure:
-        return A.amount_sum(name, amt.where(t == kind, 0))
+        return A.amount_sum(name, amt.where(f"event_type = '{kind}'"))
 
     def ones(kind: str) -> Column:
         return F.when(t == kind, F.lit(1)).otherwise(F.lit(0)).cast("long")
@@ -288,7 +288,7 @@ def order_windows(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataF
 def full_price_average(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFrame:
     """All-time full-price average per member, with the count of full-price lines."""
     pay, total = Amount.of("pay", 4), Amount.of("total", 4)
-    full = A.is_full_price(pay, total)
+    full = F.expr(A.is_full_price(pay, total))
     sec = Section((A.Measure("FULL_PRICE_LINES", lambda inside: F.count(F.when(inside & full, F.lit(1)))),
                    A.full_price_average("FULL_AVERAGE_PRICE", pay, total)))
     return single_section(slot_lines(spark, d, asof), "fpa", sec)

@@ -100,14 +100,13 @@ def order_lines(spark: SparkSession, d: str) -> DataFrame:
     o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     j = l.join(o, l.l_orderkey == o.o_orderkey, "inner")
     total, disc, tax = (quick_units(c, 2) for c in ("l_extendedprice", "l_discount", "l_tax"))
-    fine = is_finer("l_extendedprice", 2) | is_finer("l_discount", 2) | is_finer("l_tax", 2)
+    fine = " OR ".join(is_finer(c, 2) for c in ("l_extendedprice", "l_discount", "l_tax"))
     full, rate, tax_rate = exact("l_extendedprice"), exact("l_discount", 14), exact("l_tax", 14)
-    one = F.lit(1).cast("decimal(1,0)")
     j = with_limbs(j, 4, fine, {
-        "total": (total * F.lit(100), full),
-        "pay": (total * (F.lit(100) - disc), full * (one - rate).cast("decimal(14,10)")),
-        "platform_discount": (total * disc, full * rate),
-        "shop_discount": (total * tax, full * tax_rate)})
+        "total": (f"{total} * 100L", full),
+        "pay": (f"{total} * (100L - {disc})", f"({full}) * CAST(1 - ({rate}) AS DECIMAL(14,10))"),
+        "platform_discount": (f"{total} * {disc}", f"({full}) * ({rate})"),
+        "shop_discount": (f"{total} * {tax}", f"({full}) * ({tax_rate})")})
     return j.select(
         fact_tenant("o_custkey", "o_orderkey").alias("tenant_id"),
         F.col("o_custkey").alias("member_id"),
@@ -173,11 +172,11 @@ def order_facts(spark: SparkSession, d: str) -> DataFrame:
     o = read_table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                    "o_orderpriority")
     cents, fine, paid = quick_units("o_totalprice", 2), is_finer("o_totalprice", 2), exact("o_totalprice")
-    has_back = F.col("o_orderstatus") == RECHARGE_BACK_STATUS
-    tenth = F.expr("CAST(0.1 AS DECIMAL(1,1))")
-    o = with_limbs(o, 3, fine, {"actual": (cents * F.lit(10), paid),
+    has_back = f"o_orderstatus = '{RECHARGE_BACK_STATUS}'"
+    o = with_limbs(o, 3, fine, {"actual": (f"{cents} * 10L", paid),
                                 # cents * 0.1 = cents in 1/1000
-                                "back": (F.when(has_back, cents), F.when(has_back, paid * tenth))})
+                                "back": (f"CASE WHEN {has_back} THEN {cents} END",
+                                         f"CASE WHEN {has_back} THEN ({paid}) * 0.1BD END")})
     return o.select(fact_tenant("o_custkey", "o_orderkey").alias("tenant_id"), F.col("o_custkey").alias("member_id"),
                     fact_member_no("o_custkey").alias("member_no"), F.to_date("o_orderdate").alias("ds_dt"),
                     (F.col("o_orderpriority") == RECHARGE_PRIORITY).alias("is_recharge"),
