@@ -475,3 +475,43 @@ def test_clashing_columns_pass_through_the_stages(spark, docs):
     for stage in (op7_quality.stage, op8_line_runs.stage, op5_superminhash.stage, op3_spans.stage):
         out = stage(spark, wide, "")
         assert out.columns == wide.columns and 0 < out.count() <= wide.count()
+
+
+def test_private_names_are_drawn_free_of_clashes(spark, docs):
+    names = ("_starts", "_windows", "_marked", "_at", "_WHOLE", "_dropped", "line_quality", "line_dedup", "span_dedup")
+    wide = docs.select("*", *[F.lit(n).alias(c) for n, c in enumerate(names)])
+    for stage in (op7_quality.stage, op8_line_runs.stage, op5_superminhash.stage, op3_spans.stage):
+        out = stage(spark, wide, "")
+        assert out.columns == wide.columns and out.count() == stage(spark, docs, "").count() > 0
+        assert [tuple(r) for r in out.select(*names).distinct().collect()] == [tuple(range(len(names)))]
+
+
+def test_phrases_count_as_whole_words_of_short_lines_only():
+    clean = "He would design in stone, and they assign in turn. "
+    assert op7_quality.assess(clean * 300)[6:9] == (0, 0, False)  # one repeated line: base rules only
+    prose = " ".join(f"w{i}, x{i * 7}." for i in range(1000))
+    one_line = f"{prose} They design in wood; please sign in at the desk; copyright law is old. {prose.replace('w', 'y').replace('x', 'z')}"
+    assert op7_quality.assess(one_line)[6:9] == (0, 0, True)
+    for line, failed in [("Please sign in here.", True), ("They design in wood.", False), ("Resign in time, please.", False),
+                         ("Sign in.", True), ("Copyright 2020 by them.", True), ("Copyrighted, all of it.", False), ("All of it © 2020.", True),
+                         ("É-mail: please click here!", True), ("Nous désign in, oui.", False)]:
+        assert (op7_quality.line_failure(line, len(line.split())) == "boilerplate") is failed, line
+
+
+@pytest.mark.parametrize("rows", [10_000, 4096])
+def test_examples_without_tokens_are_packed(spark, rows):
+    df = spark.range(rows, numPartitions=1).selectExpr("id", "CAST(NULL AS LONG) AS n_tokens", "CAST(0 AS LONG) AS n_loss")
+    out = op2_packing.pack_examples(df, "id")
+    most = int(op2_packing.Limits().vector()[1])
+    assert out.count() == out.select("id").distinct().count() == rows
+    assert out.groupBy("sequence_id").count().agg(F.max("count")).first()[0] <= most
+
+
+def test_null_ids(spark):
+    df = spark.createDataFrame([(None, "a b c.\nd e f.\ng h i."), (None, None), (4, "a b c.\nd e f.\ng h i.")], "doc_id long, text string")
+    assert op7_quality.line_first_quality(df).count() == 3
+    assert op8_line_runs.remove_repeated_lines(df).count() == 3
+    assert op3_spans.remove_repeated_spans(df).count() == 3
+    assert op5_superminhash.near_duplicates(df).filter("doc_id IS NULL").count() == 2
+    pieces = op2_packing.pack_texts(df, "doc_id", "text", P.path("byte_bpe_50k.json"))
+    assert pieces.filter("doc_id IS NULL").count() >= 2

@@ -29,6 +29,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one where ``df`` has such a column (letter case aside)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_batches(df: DataFrame, schema: str | StructType,
                 fn: Callable[[Iterator[tuple[list, ...]]], Iterator[tuple]]) -> DataFrame:
     """``mapInArrow`` on plain column lists.

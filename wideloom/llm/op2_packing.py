@@ -114,8 +114,8 @@ def pack_block(tokens: np.ndarray, loss: np.ndarray, limits: Limits, cut: bool,
                 break
             whole = 1 << (int(block.left).bit_length() - 1)  # largest power of two
             done.append(block.fill(np.array([whole, cap[1], min(whole, cap[2])], dtype=np.float64)))
-        elif not last and block.left < 2 * cap[0]:
-            break
+        elif not last and block.left < 2 * cap[0] and (cut or block.alive.sum() <= min(2 * cap[1], BLOCK // 2)):
+            break  # whole examples go on as long as they are too many to wait, also if they hold no tokens
         else:
             done.append(block.fill(cap))
     return done, block

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chain64, map_batches, materialize, mix64, read_table, small_batches, struct_rows
+from .common import chain64, free_name, map_batches, materialize, mix64, read_table, small_batches, struct_rows
 
 RUN = 3
 MIN_RUN_WORDS = 12
@@ -230,14 +230,14 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "
     mid-sentence leaves the rest of its sentences).  A column named ``out`` is
     replaced."""
     at = F.col("at")
-    marks = (repeated_places(docs, id_col, text).groupBy("id")
-             .agg(F.collect_set(F.when(~F.col("word"), at)).alias("_starts"),
-                  F.collect_set(F.when(F.col("word"), at)).alias("_windows"))
-             .withColumnRenamed("id", "_marked"))
-    joined = docs.join(marks, docs[id_col].cast("long") == marks["_marked"], "left")
+    marked, starts, windows = (free_name(docs, n) for n in ("_marked", "_starts", "_windows"))
+    marks = (repeated_places(docs, id_col, text).groupBy(F.col("id").alias(marked))
+             .agg(F.collect_set(F.when(~F.col("word"), at)).alias(starts),
+                  F.collect_set(F.when(F.col("word"), at)).alias(windows)))
+    joined = docs.join(marks, docs[id_col].cast("long") == marks[marked], "left")
     small_batches(docs.sparkSession)
     cut = F.arrow_udf(_cut_all, "text string, n_removed long").asNondeterministic()  # evaluated once
-    return joined.withColumn(out, cut(F.col(text), "_starts", "_windows")).drop("_marked", "_starts", "_windows")
+    return joined.withColumn(out, cut(F.col(text), starts, windows)).drop(marked, starts, windows)
 
 
 def op3_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,9 +250,10 @@ def op3_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: repeated spans go; so does a document that had words and
     lost all of them."""
-    q = remove_repeated_spans(docs)
-    left = F.col("span_dedup.text")
-    return (q.filter("span_dedup.n_removed = 0 OR trim(span_dedup.text) <> ''")
+    out = free_name(docs, "span_dedup")
+    q = remove_repeated_spans(docs, out=out)
+    left = F.col(f"{out}.text")
+    return (q.filter(f"{out}.n_removed = 0 OR trim({out}.text) <> ''")
             .withColumns({"text": left, "n_chars": F.when(left != F.col("text"), F.length(left).cast("long"))
                           .otherwise(F.col("n_chars"))})
             .select(*docs.columns))

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chain64, map_batches, materialize, read_table
+from .common import chain64, free_name, map_batches, materialize, read_table
 from .components import components
 from .shingles import band_keys, blocks, overlap, shingle_set, super_minhash
 
@@ -243,5 +243,6 @@ def op5_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document (the least doc_id) of each group stays."""
-    marks = near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(marks, docs["doc_id"] == marks["_dropped"], "left_anti")
+    dropped = free_name(docs, "_dropped")
+    marks = near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias(dropped)).distinct()
+    return docs.join(marks, docs["doc_id"] == marks[dropped], "left_anti")

@@ -11,22 +11,25 @@ Line rules (a line without a word is neutral: it never fails and holds no words)
 ``navigation``   three separators ``|`` or more, or at most 3 words without a closing mark
 ``punctuation``  no mark ``.,;:!?`` anywhere in a line of 4 words or more
 ``shouting``     ``!!`` as often as every second word, or oftener
-``boilerplate``  holds a phrase of ``BOILERPLATE`` (A-Z lower-cased)
+``boilerplate``  at most 20 words, and one of the phrases of ``BOILERPLATE`` among them as whole
+                 words (A-Z lower-cased): in a longer line the phrase is part of its prose
 
 Edge cases: a null text has no words and counts 0 everywhere (``base_failed``,
 not kept, cleaned text null); an empty text likewise (cleaned text empty);
-repeated rows are judged alike; other columns pass through untouched.
+repeated rows and rows with a null id are judged alike; no rows give no rows; other
+columns pass through untouched, whatever their names.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, small_batches, struct_rows
+from .common import free_name, read_table, small_batches, struct_rows
 
 # ASCII white space (bytes 0x20 and 0x09-0x0D), symbols, marks.
 BLANKS = " \t\n\v\f\r"
@@ -36,12 +39,17 @@ CLOSING = (".", "!", "?", ":", ";", '"', ")", "”", "…")
 BOILERPLATE = (
     "all rights reserved", "licensed under", "released under the", "terms of use", "terms of service",
     "privacy policy", "cookie policy", "enable javascript", "click here", "sign in", "log in to",
-    "subscribe to our", "copyright ", "©", "lorem ipsum",
+    "subscribe to our", "copyright", "lorem ipsum",
 )
+SIGN = "©"              # counts wherever it stands
+BOILERPLATE_WORDS = 20  # a longer line is not boilerplate as a whole
 MIN_WORDS = 50          # base: fewer words fail
 MAX_REPEAT_PCT = 50     # base: a larger share of words in repeated 3-word windows fails
 MAX_LOST_PCT = 50       # a document that loses a larger share of its words is rejected
 
+_INSIDE = "0-9a-z\\x80-\U0010ffff"  # characters that go on with a word
+_PHRASE = re.compile(f"(?<![{_INSIDE}])(?:{'|'.join(BOILERPLATE)})(?![{_INSIDE}])|{SIGN}")
+
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 FIELDS = pa.struct([
@@ -79,8 +87,9 @@ def line_failure(line: str, n_words: int) -> str | None:
         return "punctuation"
     if 2 * line.count("!!") >= n_words:
         return "shouting"
-    low = line.translate(_LOWER)
-    return "boilerplate" if any(p in low for p in BOILERPLATE) else None
+    if n_words <= BOILERPLATE_WORDS and _PHRASE.search(line.translate(_LOWER)):
+        return "boilerplate"
+    return None
 
 
 def assess(text: str | None) -> tuple:
@@ -129,10 +138,12 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: rejected documents go, failing lines of the others go."""
-    q = line_first_quality(docs)
-    cleaned = F.col("line_quality.text")
-    return (q.filter("line_quality.kept")
+    """Pipeline stage: rejected documents go, failing lines of the others go.  Without documents
+    none stay; null texts are rejected; columns of any name pass through."""
+    out = free_name(docs, "line_quality")
+    q = line_first_quality(docs, out=out)
+    cleaned = F.col(f"{out}.text")
+    return (q.filter(F.col(f"{out}.kept"))
             .withColumns({"text": cleaned, "n_chars": F.length(cleaned).cast("long")})
             .select(*docs.columns))
 
@@ -141,7 +152,9 @@ _WORDS = "list_filter(regexp_split_to_array({0}, '[\\x20\\x09-\\x0D]+'), lambda
 
 
 def _phrases() -> str:
-    return " OR ".join(f"contains(low, '{p}')" for p in BOILERPLATE)
+    border = r"[^0-9a-z\x{80}-\x{10FFFF}]"
+    return (f"(n <= {BOILERPLATE_WORDS} AND (contains(low, '{SIGN}') "
+            f"OR regexp_matches(low, '(^|{border})({'|'.join(BOILERPLATE)})($|{border})')))")
 
 
 ORACLE = rf"""

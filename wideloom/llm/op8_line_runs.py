@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialize, read_table, small_batches, struct_rows
+from .common import free_name, map_batches, materialize, read_table, small_batches, struct_rows
 
 BLANKS = " \t\v\f\r"  # fixed values: ASCII white space but the line feed
 MIN_LINES = 3
@@ -130,16 +130,17 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "
     lines = (named.filter("id = first").dropDuplicates(["id", "digest"])
              .select("id", F.posexplode("lines").alias("at", "line")))
     runs = repeated_line_runs(lines, min_lines).select("id", F.lit(False).alias("whole"), "at")
-    marks = (copies.unionByName(runs).groupBy("id").agg(F.max("whole").alias("_whole"), F.collect_set("at").alias("_at"))
-             .withColumnRenamed("id", "_marked"))
-    joined = docs.join(marks, docs[id_col].cast("long") == marks["_marked"], "left")
+    marked, whole, at = (free_name(docs, n) for n in ("_marked", "_whole", "_at"))
+    marks = (copies.unionByName(runs).groupBy(F.col("id").alias(marked))
+             .agg(F.max("whole").alias(whole), F.collect_set("at").alias(at)))
+    joined = docs.join(marks, docs[id_col].cast("long") == marks[marked], "left")
 
     def drop_all(texts: pa.Array, whole: pa.Array, starts: pa.Array) -> pa.Array:
         return struct_rows(_LEFT, lambda *row: _drop_lines(*row, min_lines), texts, whole, starts)
 
     small_batches(docs.sparkSession)
     drop = F.arrow_udf(drop_all, "text string, n_removed long").asNondeterministic()  # evaluated once
-    return joined.withColumn(out, drop(F.col(text), "_whole", "_at")).drop("_marked", "_whole", "_at")
+    return joined.withColumn(out, drop(F.col(text), whole, at)).drop(marked, whole, at)
 
 
 def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,10 +151,11 @@ def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: repeated runs go; so does a document that had lines and
     lost all of them."""
-    q = remove_repeated_lines(docs)
-    left = F.col("line_dedup.text")
-    return (q.filter("line_dedup.n_removed = 0 OR trim(line_dedup.text) <> ''")
-            .withColumns({"text": left, "n_chars": F.when(F.col("line_dedup.n_removed") > 0, F.length(left).cast("long"))
+    out = free_name(docs, "line_dedup")
+    q = remove_repeated_lines(docs, out=out)
+    left = F.col(f"{out}.text")
+    return (q.filter(f"{out}.n_removed = 0 OR trim({out}.text) <> ''")
+            .withColumns({"text": left, "n_chars": F.when(F.col(f"{out}.n_removed") > 0, F.length(left).cast("long"))
                           .otherwise(F.col("n_chars"))})
             .select(*docs.columns))
 
