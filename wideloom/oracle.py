@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 
 from .plans.catalog import CATALOG
+from .sources.bindings import MEMBER_ATTRIBUTES
 
 ORDER_DAY = dt.date(2001, 6, 15)
 EVENT_DAY = dt.date(2024, 1, 25)
@@ -34,7 +35,8 @@ members AS (
          CASE WHEN c_acctbal < 0 THEN '' ELSE substr(c_name, 10) END AS phone,
          CASE WHEN c_custkey % 11 = 0 THEN NULL
               ELSE DATE '1950-01-01' + CAST((c_custkey * 37) % 18000 AS INTEGER) END AS birthday,
-         c_nationkey % 2 AS self_regist_flag, c_mktsegment AS member_flg
+         c_nationkey % 2 AS self_regist_flag, c_mktsegment AS member_flg,
+         """ + ", ".join(f"{sql} AS {source}" for _, source, _, sql in MEMBER_ATTRIBUTES) + """
   FROM customer),
 orders_at AS (
   SELECT *, (o_custkey // 10 + CASE WHEN o_orderkey % 8 = 3 THEN 1 ELSE 0 END) % 25 AS tenant_id, o_custkey AS member_id,
@@ -132,7 +134,8 @@ def section_sql(order_day: dt.date = ORDER_DAY, event_day: dt.date = EVENT_DAY)
              CASE WHEN EXISTS (SELECT 1 FROM ev e WHERE e.tenant_id = m.tenant_id AND e.member_id = m.member_id
                                AND e.event_type = 'signup')
                   THEN 'Y' ELSE 'N' END AS IS_ENTER_WECHAT,
-             sh.org_id AS STORE_ORG_ID, sh.org_name AS STORE_ORG_NAME
+             sh.org_id AS STORE_ORG_ID, sh.org_name AS STORE_ORG_NAME,
+             {", ".join(f"m.{source} AS {n}" for n, source, _, _ in MEMBER_ATTRIBUTES)}
       FROM members m
       LEFT JOIN (SELECT tenant_id, member_id, min(CAST(o_orderdate AS DATE)) AS reg FROM orders_at GROUP BY tenant_id, member_id) r
         ON r.member_id = m.member_id AND r.tenant_id = m.tenant_id
@@ -226,7 +229,7 @@ SECTION_COLUMNS: dict[str, list[tuple[str, str]]] = {
                     ("PHONE_SEGMENT", "str"), ("PHONE_FLG", "str"), ("BIRTHDAY", "date"),
                     ("REGISTER_TIME", "date"), ("REGISTER_DAYS", "int"), ("MEMBER_NO", "str"),
                     ("STORE_CODE", "int"), ("IS_ENTER_WECHAT", "str"), ("STORE_ORG_ID", "int"),
-                    ("STORE_ORG_NAME", "str")],
+                    ("STORE_ORG_NAME", "str"), *((n, kind) for n, _, kind, _ in MEMBER_ATTRIBUTES)],
     "member_flag": [("MEMBER_FLG", "str")],
     "order_lifecycle": [("FIRST_ORDER_TIME", "ymd"), ("LST_ORDER_TIME", "ymd"), ("ORDER_NUM", "int"),
                         ("ORDER_AMOUNT", "dec"), ("ORDER_DISCOUNT", "dec"), ("FIRST_ORDER_SHOPID", "int"),

@@ -239,6 +239,9 @@ MEMBER_BASE_COLUMNS = ["USER_NAME", "MEMBER_STATUS", "AGE", "PHONE_NUMBER", "PHO
                        "IS_ENTER_WECHAT", "STORE_ORG_ID", "STORE_ORG_NAME"]
 
 
+#: attributes that member_base passes through: output column, column of the member frame
+ATTRIBUTES = [(n, source) for n, source, _, _ in B.MEMBER_ATTRIBUTES]
+
 #: sections whose rows are the member table's
 MEMBER_SECTIONS = {"member_base", "member_flag", "active_flag"}
 
@@ -256,7 +259,7 @@ def member_base(spark: SparkSession, d: str, asof: AsOf = ORDER_ASOF) -> DataFra
     signup = keyed(B.channels(spark, d)).filter(F.col("channel_no") == B.CHANNEL_WANTED)
     m = existence_flag(m.join(reg, on=KEYS, how="left"), signup, KEYS, "__signup")
     m = m.withColumn("has_channel_signup", F.col("__signup") == "Y")
-    return m.select(*KEYS, *member_base_columns(asof))
+    return m.select(*KEYS, *member_base_columns(asof), *(F.col(source).alias(n) for n, source in ATTRIBUTES))
 
 
 def member_flag(spark: SparkSession, d: str) -> DataFrame:

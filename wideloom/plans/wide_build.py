@@ -87,7 +87,7 @@ def wide_sections(spark: SparkSession, d: str, order_asof: AsOf = ORDER_ASOF,
                      "active_flag": S.active_flag_pred()}
         derived |= {f"__mb_{n}": c for n, c in zip(S.MEMBER_BASE_COLUMNS, S.member_base_columns(order_asof))}
         derived |= {"__mf": F.col("member_flg"), "__af": S.active_flag_column()}
-        section_cols |= {"member_base": [(n, f"__mb_{n}") for n in S.MEMBER_BASE_COLUMNS],
+        section_cols |= {"member_base": [(n, f"__mb_{n}") for n in S.MEMBER_BASE_COLUMNS] + S.ATTRIBUTES,
                          "member_flag": [("MEMBER_FLG", "__mf")],
                          "active_flag": [("IS_MP_ACITIVE_USER", "__af")]}
     for _, secs in passes.values():

@@ -36,6 +36,46 @@ EARLIER_ITEMS_DAY = dt.date(2001, 3, 15)    # snapshots of the item dimension
 ITEMS_DAY = dt.date(2001, 6, 15)
 
 
+# Attributes that the profile passes through as they are: output column, source column, kind,
+# and the SQL that stands for the source column here (the test tables have no such columns).
+MEMBER_ATTRIBUTES: list[tuple[str, str, str, str]] = [
+    ("APP_INSTANCE_ID", "instance_id", "int", "c_custkey % 3"),
+    ("MEMBER_TYPE", "member_type", "int", "c_custkey % 4"),
+    ("CHANNEL_CODE", "channel_code", "str", "'CH' || c_nationkey"),
+    ("NICK_NAME", "nick_name", "str", "lower(c_name)"),
+    ("REAL_NAME", "real_name", "str", "c_name"),
+    ("AVATAR", "avatar", "str", "'img/' || c_custkey || '.png'"),
+    ("INVITE_CODE", "invite_code", "str", "CASE WHEN c_custkey % 5 = 0 THEN 'INV' || c_custkey END"),
+    ("INVITE_NAME", "invite_name", "str", "CASE WHEN c_custkey % 5 = 0 THEN 'Friend ' || c_nationkey ELSE '' END"),
+    ("POSITION", "position", "str", "substr(c_mktsegment, 1, 4)"),
+    ("COMPANY", "company", "str", "'Company ' || (c_custkey % 50)"),
+    ("CONTACT_ADDR", "address", "str", "'Street ' || (c_custkey % 200)"),
+    ("PROVINCE", "province", "str", "'Province ' || c_nationkey"),
+    ("CITY", "city", "str", "'City ' || (c_nationkey * 10 + c_custkey % 10)"),
+    ("DISTRICT", "district", "str", "'District ' || (c_custkey % 7)"),
+    ("EMAIL", "email", "str", "CASE WHEN c_custkey % 6 <> 0 THEN lower(c_name) || '@example.com' END"),
+    ("GENDER", "sex", "int", "c_custkey % 3"),
+    ("INDUSTRY", "industry", "str", "c_mktsegment"),
+    ("EDUCATION_LEVEL", "education_level", "int", "c_custkey % 6"),
+    ("MARITAL_STATUS", "marital_status", "int", "c_custkey % 2"),
+    ("LEVEL", "member_level_define_id", "int", "c_custkey % 5"),
+    ("LEVEL_NAME", "level_name", "str", "'L' || (c_custkey % 5)"),
+    ("MODEL_NAME", "model_name", "str", "'Model ' || (c_custkey % 2)"),
+    ("CUSTOMER_NO", "customer_no", "str", "'C' || c_custkey"),
+    ("IS_PAY_MEMBER", "is_pay_member", "int", "CASE WHEN c_acctbal > 5000 THEN 1 ELSE 0 END"),
+    ("IS_GROUP_BUYING", "is_group_buying", "int", "CASE WHEN c_custkey % 4 > 1 THEN 1 END"),
+    ("MEMBER_CARD_NO", "member_card_no", "str", "'62' || (1000000 + c_custkey)"),
+    ("REFRESH_LEVEL_TIME", "refresh_level_time", "date", "DATE '2020-01-01' + CAST(c_custkey % 500 AS INTEGER)"),
+    ("LEVEL_EXPIRATION_TIME", "level_expiration_time", "date", "DATE '2022-01-01' + CAST(c_custkey % 500 AS INTEGER)"),
+    ("IS_PREMIUM_MEMBERSHIP", "is_premium_membership", "int", "CASE WHEN c_custkey % 9 = 0 THEN 1 ELSE 0 END"),
+    ("STORE_ID", "store_id", "int", "c_custkey % 10 + 100"),
+    ("STORE_NAME", "store_name", "str", "'Store ' || (c_custkey % 10)"),
+    ("GROWTH_VALUE", "growth_value", "int", "(c_custkey * 13) % 1000"),
+    ("MEMBER_ORG_ID", "member_org_id", "int", "c_nationkey"),
+    ("MEMBER_ORG_NAME", "member_org_name", "str", "'Org ' || c_nationkey"),
+]
+
+
 def home_tenant(member: str) -> Column:
     """Tenant that a member belongs to."""
     return F.expr(f"CAST(pmod(floor({member} / 10), {TENANTS}) AS INT)")
@@ -71,6 +111,7 @@ def members(spark: SparkSession, d: str) -> DataFrame:
         birthday.alias("birthday"),
         (F.col("c_nationkey") % 2).alias("self_regist_flag"),
         F.col("c_mktsegment").alias("member_flg"),
+        *(F.expr(f"{sql} AS {source}") for _, source, _, sql in MEMBER_ATTRIBUTES),
     )
 
 
