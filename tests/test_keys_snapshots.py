@@ -121,7 +121,7 @@ def test_amounts_of_any_scale_sum_exactly(spark, tmp_path):
     got = {r.k: (r.t, r.p, r.r) for r in out.collect()}
     total = sum(Decimal(repr(v)) for v in values)
     large = spark.createDataFrame([(99999999.9999999,), (20071992547409.91,), (0.07,)], "x double")
-    assert [r[0] for r in large.select(is_finer("x", 2)).collect()] == [True, False, False]
+    assert [r[0] for r in large.selectExpr(is_finer("x", 2)).collect()] == [True, False, False]
     assert got[1] == (Decimal("0.008"), Decimal("0.016"), Decimal("0.016"))
     assert got[2] == (total, 2 * total, 2 * total) and got[4][0] == Decimal("-0.005")
     assert got[3] == (None, 0, 0)
