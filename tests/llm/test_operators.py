@@ -515,3 +515,18 @@ def test_null_ids(spark):
     assert op5_superminhash.near_duplicates(df).filter("doc_id IS NULL").count() == 2
     pieces = op2_packing.pack_texts(df, "doc_id", "text", P.path("byte_bpe_50k.json"))
     assert pieces.filter("doc_id IS NULL").count() >= 2
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_page_ids_of_any_size_keep_their_order(spark, tmp_path, zone):
+    ids = [1, 10 ** 12, 9 * 10 ** 18, 5, 249_999_999_999, 250_000_000_001, -7, -10 ** 15, 0]
+    spark.createDataFrame([(i, "http://a.b/c", f"page {i}") for i in ids], "page_id long, url string, html string") \
+        .write.parquet(f"{tmp_path}/pages.parquet")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = op9_warc.op9_warc(spark, str(tmp_path)).orderBy("index_position").collect()
+        first = op9_warc.records(op9_warc.describe(spark.read.parquet(f"{tmp_path}/pages.parquet"), 1)).filter("page_id = 0").first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r["page_id"] for r in rows] == sorted(ids)
+    assert "WARC-Date: 2024-01-01T00:00:00Z\r\n" in first["value"]

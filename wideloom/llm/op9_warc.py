@@ -18,7 +18,8 @@ ranges in order are the global index; running counts number it.
 Edge cases: null html is an empty payload; a null url has the empty key; a null
 page_id is always a response, and never one that others refer to; rows with
 one page_id and equal payload are alike (both response, or both revisit); empty
-input gives no rows; records may hold blank lines and separators in their payload.
+input gives no rows; page_ids beyond ``SECONDS`` share a capture time and stand in order
+of their ids; records may hold blank lines and separators in their payload.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ from .common import map_batches, materialize, read_table
 MIN_REVISIT = 100            # bytes below which a payload is always stored
 ARCHIVE_BYTES = 32 << 20     # payload bytes per archive
 EPOCH = 1_704_067_200        # 2024-01-01: capture time of page 0, one second per page_id
+SECONDS = (-60_000_000_000, 250_000_000_000)  # page_ids beyond get these times: years of four digits, still in order
 CRLF = "\r\n"
 
 
@@ -63,7 +65,9 @@ def records(described: DataFrame) -> DataFrame:
     """One text per record, without the two line ends that close it."""
     revisit = F.col("refers_to").isNotNull()
     text_id = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
-    date = F.date_format(F.timestamp_seconds(F.lit(EPOCH) + F.coalesce("page_id", F.lit(0))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    second = F.greatest(F.least(F.coalesce("page_id", F.lit(0)), F.lit(SECONDS[1])), F.lit(SECONDS[0])) + F.lit(EPOCH)
+    utc = F.timestamp_add("SECOND", second, F.expr("timestamp_ntz'1970-01-01 00:00:00'"))  # whatever the session's zone
+    date = F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
     def field(name: str, value) -> list:
         return [F.lit(f"{name}: "), value, F.lit(CRLF)]
