@@ -19,7 +19,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def _norm(v):
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 6)
+        return None if math.isnan(v) else v
     return v if v is None or isinstance(v, (int, bool, str)) else str(v)
 
 

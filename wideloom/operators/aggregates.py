@@ -264,38 +264,6 @@ def rounded(m: Measure, scale: int) -> Measure:
     return Measure(m.name, lambda inside: F.round(m.build(inside), scale))
 
 
-def lifecycle(df: DataFrame, keys: Sequence[str], date_col: str,
-              measures: Sequence[Measure] = (),
-              first_last: tuple[str, str, str] | None = None,
-              first_name: str = "FIRST_TIME", last_name: str = "LAST_TIME",
-              asof: AsOf | None = None,
-              interval_names: tuple[str | None, str | None] = (None, None)) -> DataFrame:
-    """First/last date per key, totals, attribute at first/last date, day counts.
-
-    ``first_last = (attr, first_attr_name, last_attr_name)`` picks the attribute
-    on the first and last date with min/max over ``struct(date, attr)``: ties on
-    the date go to the smallest attribute for "first" and the largest for
-    "last", and no self-join (and no fan-out) is needed.
-    """
-    d = F.col(date_col)
-    aggs = [F.min(d).alias(first_name), F.max(d).alias(last_name)]
-    everything = F.lit(True)
-    aggs += [m.build(everything).alias(m.name) for m in measures]
-    if first_last:
-        attr, first_attr, last_attr = first_last
-        aggs.append(F.min(F.struct(d.alias("d"), F.col(attr).alias("a")))["a"].alias(first_attr))
-        aggs.append(F.max(F.struct(d.alias("d"), F.col(attr).alias("a")))["a"].alias(last_attr))
-    out = df.groupBy(*keys).agg(*aggs)
-    if asof is not None:
-        first_iv, last_iv = interval_names
-        day = F.lit(asof.day)
-        if first_iv:
-            out = out.withColumn(first_iv, F.datediff(day, F.col(first_name)))
-        if last_iv:
-            out = out.withColumn(last_iv, F.datediff(day, F.col(last_name)))
-    return out
-
-
 def totals_with_ratio(df: DataFrame, keys: Sequence[str], num: Column, den: Column,
                       num_name: str, den_name: str, pct_name: str,
                       flags: dict[str, str] | None = None) -> DataFrame:

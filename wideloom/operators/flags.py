@@ -1,10 +1,10 @@
-"""Existence and threshold flags."""
+"""Existence flags."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -20,8 +20,3 @@ def existence_flag(left: DataFrame, right: DataFrame, keys: Sequence[str], name:
     present = right.select(*keys).dropDuplicates(list(keys)).withColumn(marker, F.lit(True))
     joined = left.join(present, on=list(keys), how="left")
     return joined.withColumn(name, F.when(F.col(marker), F.lit(yes)).otherwise(F.lit(no))).drop(marker)
-
-
-def threshold_flag(c: Column, threshold: float = 0, yes: str = "Y", no: str = "N") -> Column:
-    """yes when c > threshold, else no (null -> no)."""
-    return F.when(c > F.lit(threshold), F.lit(yes)).otherwise(F.lit(no))
