@@ -26,6 +26,18 @@ def test_files_added_in_a_session_are_read(spark, tmp_path):
     assert read_table(spark, str(tmp_path), "t").count() == 12
 
 
+def test_schemas_are_kept_for_one_plan_only(spark, tmp_path):
+    from wideloom.sources.tables import one_plan
+    spark.range(5).write.parquet(f"{tmp_path}/t.parquet")
+    with one_plan():
+        assert read_table(spark, str(tmp_path), "t").columns == ["id"]
+        spark.range(3).write.mode("append").parquet(f"{tmp_path}/t.parquet")
+        assert read_table(spark, str(tmp_path), "t").count() == 8
+    spark.range(2).selectExpr("id AS other").write.mode("overwrite").parquet(f"{tmp_path}/t.parquet")
+    with one_plan():
+        assert read_table(spark, str(tmp_path), "t").columns == ["other"]
+
+
 def test_asof_with_other_windows_is_another_asof():
     day = dt.date(2001, 6, 15)
     assert AsOf(day) == AsOf(day) and AsOf(day) != AsOf(day, windows={"30D": ("month", 2)})

@@ -16,7 +16,7 @@ from ..operators import calendar as CAL
 from ..operators import cells as C
 from ..operators.export import typed_cells
 from ..sources.cell_store import CellStore
-from ..sources.tables import read_table
+from ..sources.tables import one_plan, read_table
 from . import documents_job as D
 from . import jobs
 from . import sections as S
@@ -28,7 +28,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _plain(fn) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return to_plain(fn(spark, d))
+        with one_plan():
+            return to_plain(fn(spark, d))
     run.__name__ = getattr(fn, "__name__", "query")
     return run
 
