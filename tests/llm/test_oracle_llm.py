@@ -10,7 +10,7 @@ from wideloom.llm.queries import ORACLES, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     res = con.execute(ORACLES[name])
     names = [c[0] for c in res.description]
