@@ -95,12 +95,12 @@ def _struct(ddl: str) -> StructType:
     return StructType.fromDDL(ddl)
 
 
-def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), codec: str = "snappy") -> DataFrame:
     """Write ``df`` once below the shared folder and read it back: the lineage
     ends there, and every later reader sees the same rows."""
     spark = df.sparkSession
     path = shared_path(spark, "wideloom-llm", f"{name}-{uuid.uuid4().hex}")
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.partitionBy(*partition_by).option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

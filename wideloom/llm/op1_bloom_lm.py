@@ -1,8 +1,11 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-Training counts word n-grams (orders 1 and 2) exactly: every block of texts is
-aggregated in its task, the pieces go to reducers by n-gram hash, and reducer p
-builds slice p of the filter.  An n-gram of count c enters the filter once for
+Training counts word n-grams (orders 1 and 2) exactly.  The texts are read once:
+every task turns its texts into blocks (``BLOCK_TEXT`` characters), a block's
+tokens being numbers into its distinct tokens.  Each block deals its distinct
+n-grams with their counts to reducers by n-gram hash, so a token that every
+document holds is one row per block, and reducer p builds slice p of the
+filter.  An n-gram of count c enters the filter once for
 each level up to the highest threshold of ``thresholds()`` that c reaches; the
 thresholds are whole numbers that grow by ``UNI_RATIO`` or ``PAIR_RATIO``.  A count is
 read back by repeated membership probes, level after level until one misses.
@@ -19,21 +22,23 @@ bound, so the probabilities add up to at most 1 but for false positives
 never seen.  Every word pair enters the filter, from count 1 on.
 
 The filter is broadcast.  Its size follows the training data, so it is sent in
-shards of at most ``MAX_BROADCAST`` bytes; with more than one shard every pass
-reads the levels that its shard holds, and the passes are put together per
-document by the largest level, which is the same result.
+shards of at most ``MAX_BROADCAST`` bytes, one after the other.  With more than one,
+the blocks' distinct n-grams are written once, by shard; the pass of a shard reads
+its own n-grams only, so all passes together cost one look-up per n-gram of a block.
+The levels then meet their block, where every token takes its own.
 
-The base score needs exact counts of every token.  Reducers hold them already:
-they get, with each block's tokens, which of the block's documents hold them how
-often, and return each document's sum, so nothing is joined back to the texts.
+The base score needs exact counts of every token: reducers send each block the
+counts of its tokens back, a row per block and slice.
 
 Edge cases: a null or empty text is its end token alone; a null id is a training
-row (it has no crc32); repeated rows count and are scored each; empty input
+row (it has no crc32); repeated rows count and are scored each; a very long text is
+a block alone; other columns are not read; empty input
 gives no rows; without any training row N = V = 0 and every c is 0.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -44,6 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_path
 from .common import chain64, map_batches, materialize, mix64, read_table
 from .shingles import word_hashes
 
@@ -52,8 +58,7 @@ UNI_RATIO = 1.05             # growth of the count levels of tokens
 PAIR_RATIO = 1.05            # and of word pairs
 SHARE = 0.15                 # weight of the pair order
 MAX_BROADCAST = 64 << 20     # bytes of filter in one broadcast
-BLOCK_TEXT = 4 << 20         # characters aggregated at once in a task
-SCORE_TEXT = 2 << 20         # characters scored at once
+BLOCK_TEXT = 8 << 20         # characters of a block
 REDUCER_TEXT = 16 << 20      # bytes of text per reducer
 
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word holds a line feed
@@ -93,69 +98,118 @@ def slice_of(keys: np.ndarray, slices: int) -> np.ndarray:
     return ((keys >> np.uint64(24)) % np.uint64(slices)).astype(np.int64)
 
 
-# --- counting -------------------------------------------------------------------------------
-
-HEADER, TOKENS, PAIRS = range(3)
-PIECES = "p int, kind tinyint, chunk long, a binary, b binary, c binary, d binary"
-
+# --- blocks ---------------------------------------------------------------------------------
 
-def _blocks(batches: Iterator[tuple[list, ...]], most: int) -> Iterator[list[tuple]]:
-    block, size = [], 0
-    for ids, texts in batches:
-        for row in zip(ids, texts):
-            block.append(row)
-            size += len(row[1] or "")
-            if size >= most:
-                yield block
-                block, size = [], 0
-    if block:
-        yield block
+#: per document: id, number of tokens, hash of the text, flags (1 held out, 2 null id);
+#: the distinct tokens (``words``, by their unigram key) and every token's number among them (``at``)
+BLOCKS = "chunk long, ids binary, sizes binary, hashes binary, flags binary, words binary, at binary"
 
 
 def _text_hash(text: str | None) -> int:
     return xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass"))
 
 
+def _block_row(chunk: int, block: list[tuple]) -> tuple:
+    docs = [tokens_of(t) for _, t in block]
+    words, at = np.unique(np.concatenate(docs), return_inverse=True)
+    order = np.argsort(unigram_keys(words))
+    place = np.empty(len(order), dtype="<u4")
+    place[order] = np.arange(len(order), dtype="<u4")
+    return (chunk, np.array([i or 0 for i, _ in block], dtype=np.int64).tobytes(),
+            np.fromiter(map(len, docs), dtype="<u4", count=len(docs)).tobytes(),
+            np.array([_text_hash(t) for _, t in block], dtype=np.uint64).tobytes(),
+            np.array([2 * (i is None) + is_held_out(i) for i, _ in block], dtype=np.uint8).tobytes(),
+            words[order].tobytes(), place[at].tobytes())
+
+
+def block_table(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """The texts as written ``BLOCKS``."""
+    def run(batches: Iterator[tuple[list, ...]]) -> Iterator[tuple]:
+        base, no, block, size = TaskContext.get().partitionId() << 32, 0, [], 0
+        for ids, texts in batches:
+            for row in zip(ids, texts):
+                block.append(row)
+                size += len(row[1] or "")
+                if size >= BLOCK_TEXT:
+                    yield tuple([x] for x in _block_row(base + no, block))
+                    no, block, size = no + 1, [], 0
+        if block:
+            yield tuple([x] for x in _block_row(base + no, block))
+
+    return materialize(map_batches(docs.select(F.col(id_col).cast("long"), text), BLOCKS, run), "blocks", codec="zstd")
+
+
+class Block:
+    """A row of ``BLOCKS``, read."""
+
+    def __init__(self, sizes: bytes, flags: bytes, words: bytes, at: bytes):
+        self.sizes = np.frombuffer(sizes, dtype="<u4").astype(np.int64)
+        self.flags = np.frombuffer(flags, dtype=np.uint8)
+        self.words = np.frombuffer(words, dtype=np.uint64)
+        self.at = np.frombuffer(at, dtype="<u4")
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.before = np.concatenate([self.at[:1], self.at[:-1]])  # the token before each
+        self.before[self.starts] = self.at[self.starts + self.sizes - 1]  # the end, before the first
+
+    def learned(self) -> np.ndarray:
+        """Which tokens belong to training rows."""
+        return np.repeat(self.flags & 1 == 0, self.sizes)
+
+    def tokens(self) -> np.ndarray:
+        """Keys of the distinct tokens, ascending."""
+        return unigram_keys(self.words)
+
+    def pairs(self) -> np.ndarray:
+        """Key of every token with the one before it."""
+        return chain64(self.words[self.before], self.words[self.at])
+
+
+def _read_blocks(batches: Iterator[tuple[list, ...]]) -> Iterator[tuple[int, Block]]:
+    """Of columns chunk, sizes, flags, words, at."""
+    for columns in batches:
+        for chunk, *parts in zip(*columns):
+            yield chunk, Block(*parts)
+
+
+_BLOCK = ("chunk", "sizes", "flags", "words", "at")
+
+
+def _deal(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of the equal values of ``part``, in order."""
+    order = np.argsort(part, kind="stable")
+    cuts = np.nonzero(np.diff(part[order], prepend=-1))[0]
+    for a, b in zip(cuts, [*cuts[1:], len(part)]):
+        yield int(part[order[a]]), order[a:b]
+
+
+def _shrunk(keys: np.ndarray) -> bytes:
+    """Ascending keys as differences, byte by byte (the leading bytes are zeros)."""
+    return np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _grown(raw: bytes | None) -> np.ndarray:
+    planes = np.frombuffer(raw or b"", dtype=np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).reshape(-1), dtype=np.uint64)
+
+
+# --- counting -------------------------------------------------------------------------------
+
+PIECES = "p int, chunk long, tokens binary, n_tokens binary, pairs binary, n_pairs binary"
+
+
 def _pieces(slices: int):
-    """Aggregate each block and deal its n-grams out to the reducers."""
+    """Deal each block's n-grams, with their counts in training rows, to the reducers."""
     def run(batches: Iterator[tuple[list, ...]]) -> Iterator[tuple]:
-        base, no = TaskContext.get().partitionId() << 32, 0
-        for block in _blocks(batches, BLOCK_TEXT):
-            chunk, no = base + no, no + 1
-            docs = [tokens_of(t) for _, t in block]
-            train = np.array([not is_held_out(i) for i, _ in block])
-            sizes = np.fromiter(map(len, docs), dtype=np.int64, count=len(docs))
-            owner = np.repeat(np.arange(len(docs)), sizes)
-            keys, at = np.unique(unigram_keys(np.concatenate(docs)), return_inverse=True)
-            code, n = np.unique(at * len(docs) + owner, return_counts=True)
-            token, doc = code // len(docs), code % len(docs)
-            many = n * 2 + train[doc]
-            first = np.searchsorted(token, np.arange(len(keys) + 1))
-            out: list[tuple] = [(chunk % slices, HEADER, chunk,
-                                 np.array([i or 0 for i, _ in block], dtype=np.int64).tobytes(),
-                                 sizes.astype("<u4").tobytes(),
-                                 np.array([_text_hash(t) for _, t in block], dtype=np.uint64).tobytes(),
-                                 np.array([2 * (i is None) + is_held_out(i) for i, _ in block], dtype=np.uint8).tobytes())]
-            part = slice_of(keys, slices)
-            order = np.argsort(part, kind="stable")
-            cuts = np.searchsorted(part[order], np.arange(slices + 1))
-            length = np.diff(first)
-            for p in np.nonzero(np.diff(cuts))[0]:
-                mine = order[cuts[p]:cuts[p + 1]]
-                rows = np.concatenate([np.arange(first[k], first[k + 1]) for k in mine]) if len(mine) < 64 else \
-                    np.repeat(first[mine] - np.concatenate([[0], np.cumsum(length[mine])[:-1]]), length[mine]) \
-                    + np.arange(length[mine].sum())
-                out.append((int(p), TOKENS, chunk, keys[mine].tobytes(), length[mine].astype("<u4").tobytes(),
-                            doc[rows].astype("<u4").tobytes(), many[rows].astype("<u4").tobytes()))
-            learn = [d for d, t in zip(docs, train) if t]
-            if learn:
-                keys, n = np.unique(np.concatenate([pair_keys(d) for d in learn]), return_counts=True)
-                part = slice_of(keys, slices)
-                order = np.argsort(part, kind="stable")
-                cuts = np.searchsorted(part[order], np.arange(slices + 1))
-                for p in np.nonzero(np.diff(cuts))[0]:
-                    mine = order[cuts[p]:cuts[p + 1]]
-                    out.append((int(p), PAIRS, chunk, keys[mine].tobytes(), n[mine].astype("<u4").tobytes(), None, None))
+        for chunk, block in _read_blocks(batches):
+            learned, tokens = block.learned(), block.tokens()
+            n = np.bincount(block.at[learned], minlength=len(tokens)).astype("<u4")
+            rows = {p: [p, chunk, _shrunk(tokens[mine]), n[mine].tobytes(), None, None]
+                    for p, mine in _deal(slice_of(tokens, slices))}
+            pairs, n = np.unique(block.pairs()[learned], return_counts=True)
+            n = n.astype("<u4")
+            for p, mine in _deal(slice_of(pairs, slices)):
+                rows.setdefault(p, [p, chunk, None, None, None, None])[4:] = [_shrunk(pairs[mine]), n[mine].tobytes()]
+            out = list(rows.values())
             for i in range(0, len(out), 16):
                 yield tuple(zip(*out[i:i + 16]))
 
@@ -221,102 +275,101 @@ class Shard:
         return top
 
 
-REDUCED = "kind tinyint, chunk long, p int, a binary, b binary, c binary, d binary"
-SUMS, SLICE = 3, 4
+REDUCED = "p int, chunk long, counts binary, bits binary, n long, v long"
 
 
 def _reduce(table: pa.Table) -> pa.Table:
-    """Counts of one reducer's n-grams: sums per document, and its slice."""
-    kinds = table["kind"].to_pylist()
+    """One reducer's slice, and the counts of every block's tokens in it."""
     p = table["p"][0].as_py()
-    rows = list(zip(kinds, table["chunk"].to_pylist(), *(table[c].to_pylist() for c in "abcd")))
-    out = [(HEADER, chunk, p, a, b, c, d) for k, chunk, a, b, c, d in rows if k == HEADER]
-    tokens = sorted((r for r in rows if r[0] == TOKENS), key=lambda r: r[1])
-    parts, n_train, n_known = [], 0, 0
-    if tokens:
-        keys = [np.frombuffer(r[2], dtype=np.uint64) for r in tokens]
-        uniq, at = np.unique(np.concatenate(keys), return_inverse=True)
-        per = []
-        for r in tokens:
-            length, many = np.frombuffer(r[3], dtype="<u4"), np.frombuffer(r[5], dtype="<u4")
-            ends = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])
-            total = np.concatenate([[0], np.cumsum((many >> 1) * (many & 1), dtype=np.int64)])
-            per.append(total[ends[1:]] - total[ends[:-1]])
-        count = np.bincount(at, weights=np.concatenate(per), minlength=len(uniq)).astype(np.int64)
-        n_train, n_known = int(count.sum()), int((count > 0).sum())
-        parts.append((uniq[count > 0], count[count > 0], UNI_LEVELS))
-        gain, at_row = np.log10(count + 1.0), 0
-        for r in tokens:
-            length, doc, n = (np.frombuffer(x, dtype="<u4") for x in r[3:6])
-            mine = np.repeat(at[at_row:at_row + len(length)], length)
-            at_row += len(length)
-            n = (n >> 1).astype(np.int64)
-            docs = int(doc.max()) + 1
-            out.append((SUMS, r[1], p, np.bincount(doc, weights=n * gain[mine], minlength=docs).tobytes(),
-                        np.bincount(doc, weights=n * (count[mine] > 0), minlength=docs).astype("<u4").tobytes(), None, None))
-    pairs = [r for r in rows if r[0] == PAIRS]
-    if pairs:
-        uniq, at = np.unique(np.concatenate([np.frombuffer(r[2], dtype=np.uint64) for r in pairs]), return_inverse=True)
-        count = np.bincount(at, weights=np.concatenate([np.frombuffer(r[3], dtype="<u4") for r in pairs])).astype(np.int64)
-        parts.append((uniq, count, PAIR_LEVELS))
-    out.append((SLICE, p, p, build_slice(parts).tobytes(), np.array([n_train, n_known], dtype="<i8").tobytes(), None, None))
-    types = [pa.int8(), pa.int64(), pa.int32()] + [pa.binary()] * 4
+    chunks, tokens, n_tokens, pairs, n_pairs = (table[c].to_pylist() for c in
+                                                ("chunk", "tokens", "n_tokens", "pairs", "n_pairs"))
+
+    def summed(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        uniq, at = np.unique(np.concatenate([_grown(k) for k in keys]), return_inverse=True)
+        n = np.concatenate([np.frombuffer(c or b"", dtype="<u4") for c in counts]).astype(np.int64)
+        count = np.zeros(len(uniq), dtype=np.int64)
+        np.add.at(count, at, n)
+        return uniq, at, count
+
+    keys, at, count = summed(tokens, n_tokens)
+    some = count > 0
+    parts = [(keys[some], count[some], UNI_LEVELS)]
+    pair_list, _, pair_count = summed(pairs, n_pairs)
+    parts.append((pair_list, pair_count, PAIR_LEVELS))
+    out, start = [], 0
+    for chunk, raw in zip(chunks, tokens):
+        size = len(raw or b"") // 8
+        out.append((p, chunk, count[at[start:start + size]].astype("<i8").tobytes(), None, None, None))
+        start += size
+    out.append((p, None, None, build_slice(parts).tobytes(), int(count.sum()), int(some.sum())))
+    types = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
     return pa.Table.from_arrays([pa.array(v, type=t) for v, t in zip(zip(*out), types)],
-                                names=["kind", "chunk", "p", "a", "b", "c", "d"])
-
-
-BASE = "id long, text_hash long, held_out boolean, n_tokens long, n_known long, gain double"
-
-
-def _sums(table: pa.Table) -> pa.Table:
-    """One block's documents with their sums over all reducers."""
-    rows = sorted(zip(*(table[c].to_pylist() for c in ("kind", "p", "a", "b", "c", "d"))), key=lambda r: r[:2])
-    head = next(r for r in rows if r[0] == HEADER)
-    ids, sizes = np.frombuffer(head[2], dtype=np.int64), np.frombuffer(head[3], dtype="<u4")
-    flags = np.frombuffer(head[5], dtype=np.uint8)
-    gain, known = np.zeros(len(ids)), np.zeros(len(ids), dtype=np.int64)
-    for r in rows:
-        if r[0] == SUMS:
-            g, k = np.frombuffer(r[2], dtype=np.float64), np.frombuffer(r[3], dtype="<u4")
-            gain[:len(g)] += g
-            known[:len(k)] += k
-    return pa.table({"id": pa.array(ids, mask=flags >= 2), "text_hash": np.frombuffer(head[4], dtype=np.int64),
-                     "held_out": (flags & 1).astype(bool), "n_tokens": sizes.astype(np.int64), "n_known": known,
-                     "gain": gain})
+                                names=["p", "chunk", "counts", "bits", "n", "v"])
 
 
 # --- scoring --------------------------------------------------------------------------------
 
-def log10_score(uni: np.ndarray, pair: np.ndarray, n: int, v: int) -> float:
-    """Model log10 probability from the levels of a document's tokens and pairs."""
+def log10_tokens(uni: np.ndarray, before: np.ndarray, pair: np.ndarray, n: int, v: int) -> np.ndarray:
+    """Model log10 probability of tokens from the levels of the token, of the one
+    before it and of the pair."""
     low = np.where(uni > 0, UNI_LEVELS[np.maximum(uni, 1) - 1], 0)
-    high = np.where(uni > 0, UNI_LEVELS[uni] - 1, 0)  # largest count of the level
     base = (low + 1) / (n + v + 1)
-    before = np.concatenate([high[-1:], high[:-1]])  # the end stands before the first word
+    high = np.where(before > 0, UNI_LEVELS[before] - 1, 0)  # largest count of the level
     c = np.where(pair > 0, PAIR_LEVELS[np.maximum(pair, 1) - 1], 0)
-    share = np.where(before > 0, SHARE, 0.0)
-    seen = np.minimum(c / np.maximum(before, 1), 1.0)
-    return float(np.log10(share * seen + (1 - share) * base).sum())
-
+    share = np.where(high > 0, SHARE, 0.0)
+    seen = np.minimum(c / np.maximum(high, 1), 1.0)
+    return np.log10(share * seen + (1 - share) * base)
+
+
+#: the counts (by slice) and levels (by shard) of a block's distinct n-grams
+ANSWERS = "chunk long, p int, counts binary, k int, tokens binary, pairs binary"
+SCORED = ("id long, text_hash long, held_out boolean, n_tokens long, n_known long, gain double, score double")
+
+
+def _scores(slices: int, shard_of: np.ndarray, n: int, v: int):
+    """One block's documents from the block and its answers."""
+    def run(key, blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        row = {c: blocks[c][0].as_py() for c in blocks.column_names}
+        block = Block(row["sizes"], row["flags"], row["words"], row["at"])
+        tokens = block.tokens()
+        pairs, pair_at = np.unique(block.pairs(), return_inverse=True)
+        part = slice_of(tokens, slices)
+        held = {"token": dict(_deal(shard_of[part])), "pair": dict(_deal(shard_of[slice_of(pairs, slices)]))}
+        by_slice = dict(_deal(part))
+        count = np.zeros(len(tokens), dtype=np.int64)
+        uni, pair = np.zeros(len(tokens), dtype=np.uint16), np.zeros(len(pairs), dtype=np.uint16)
+        for p, counts, k, a, b in zip(*(answers[c].to_pylist() for c in ("p", "counts", "k", "tokens", "pairs"))):
+            if k is None:
+                if counts:
+                    count[by_slice[p]] = np.frombuffer(counts, dtype="<i8")
+                continue
+            if a:
+                uni[held["token"][k]] = np.frombuffer(a, dtype="<u2")
+            if b:
+                pair[held["pair"][k]] = np.frombuffer(b, dtype="<u2")
+        per_token = log10_tokens(uni[block.at], uni[block.before], pair[pair_at], n, v)
+        flags = block.flags
+
+        def total(x: np.ndarray) -> np.ndarray:
+            return np.add.reduceat(x, block.starts)
+
+        return pa.table({
+            "id": pa.array(np.frombuffer(row["ids"], dtype=np.int64), mask=flags >= 2),
+            "text_hash": np.frombuffer(row["hashes"], dtype=np.int64), "held_out": (flags & 1).astype(bool),
+            "n_tokens": block.sizes, "n_known": total((count > 0).astype(np.int64)[block.at]),
+            "gain": total(np.log10(count + 1.0)[block.at]), "score": total(per_token)})
 
-def _levels(shard: Shard, block: list[tuple]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    docs = [tokens_of(t) for _, t in block]
-    cuts = np.cumsum([len(d) for d in docs])[:-1]
-    both = []
-    for keys in (unigram_keys(np.concatenate(docs)), np.concatenate([pair_keys(d) for d in docs])):
-        uniq, at = np.unique(keys, return_inverse=True)
-        both.append(np.split(shard.levels(uniq)[at], cuts))
-    return both[0], both[1]
+    return run
 
 
 class BloomModel:
     """A trained filter: its slices as a table, N and V."""
 
     def __init__(self, reduced: DataFrame, slices: int):
-        stats = reduced.filter(F.col("kind") == SLICE).select("p", F.octet_length("a").alias("bytes"), "b").collect()
         self.reduced, self.slices = reduced, slices
-        self.n, self.v = (int(sum(np.frombuffer(r["b"], dtype="<i8")[i] for r in stats)) for i in (0, 1))
-        self.bytes = {r["p"]: r["bytes"] for r in stats}
+        stats = reduced.filter("bits IS NOT NULL")
+        self.n, self.v = (int(x or 0) for x in stats.agg(F.sum("n"), F.sum("v")).first())
+        self.bytes = {r["p"]: r["bytes"] for r in stats.select("p", F.octet_length("bits").alias("bytes")).collect()}
 
     def shards(self, limit: int) -> list[list[int]]:
         """Slices in groups of at most ``limit`` bytes (a larger slice is a group alone)."""
@@ -331,80 +384,85 @@ class BloomModel:
         return groups if groups[-1] else []
 
     def load(self, group: list[int]) -> Shard:
-        rows = self.reduced.filter((F.col("kind") == SLICE) & F.col("p").isin(group)).select("p", "a").collect()
-        return Shard(self.slices, [(r["p"], bytes(r["a"])) for r in rows])
-
-    def score(self, docs: DataFrame, id_col: str, text: str, limit: int = MAX_BROADCAST) -> DataFrame:
-        """``(id, text_hash, score)`` for every row."""
-        source = docs.select(F.col(id_col).cast("long"), text)
-        spark, groups = docs.sparkSession, self.shards(limit)
-        if not groups:  # an empty table
-            return spark.createDataFrame([], "id long, text_hash long, score double")
-        n, v = self.n, self.v
-        shared = [spark.sparkContext.broadcast(self.load(g)) for g in groups[:1]]
-        if len(groups) == 1:
-            def whole(batches: Iterator[tuple[list, ...]]) -> Iterator[tuple]:
-                for block in _blocks(batches, SCORE_TEXT):
-                    uni, pair = _levels(shared[0].value, block)
-                    yield ([i for i, _ in block], [_signed(_text_hash(t)) for _, t in block],
-                           [log10_score(u, p, n, v) for u, p in zip(uni, pair)])
-
-            return map_batches(source, "id long, text_hash long, score double", whole)
-
-        passes = []
+        rows = self.reduced.filter(F.col("bits").isNotNull() & F.col("p").isin(group)).select("p", "bits").collect()
+        return Shard(self.slices, [(r["p"], bytes(r["bits"])) for r in rows])
+
+    def _levels(self, blocks: DataFrame, groups: list[list[int]], shard_of: np.ndarray) -> DataFrame:
+        """(chunk, tokens, pairs, k): levels of the distinct n-grams of each block and shard, in
+        the order of their keys; written shard by shard."""
+        slices, spark = self.slices, blocks.sparkSession
+
+        def by_shard(batches: Iterator[tuple[list, ...]]) -> Iterator[tuple]:
+            for chunk, block in _read_blocks(batches):
+                tokens, pairs = block.tokens(), np.unique(block.pairs())
+                rows: dict[int, list] = {}
+                for place, keys in ((2, tokens), (3, pairs)):
+                    for k, mine in _deal(shard_of[slice_of(keys, slices)]):
+                        rows.setdefault(k, [chunk, k, None, None])[place] = _shrunk(keys[mine])
+                for row in rows.values():
+                    yield tuple([x] for x in row)
+
+        schema = "chunk long, k int, tokens binary, pairs binary"
+        keys = map_batches(blocks.select(*_BLOCK), schema, by_shard)
+        if len(groups) > 1:
+            keys = materialize(keys, "ngrams", ("k",), codec="zstd")
+        path = shared_path(spark, "wideloom-llm", f"levels-{uuid.uuid4().hex}")
         for k, group in enumerate(groups):
-            held = shared[0] if k == 0 else spark.sparkContext.broadcast(self.load(group))
+            held = spark.sparkContext.broadcast(self.load(group))
 
-            def part(batches: Iterator[tuple[list, ...]], held=held) -> Iterator[tuple]:
-                for block in _blocks(batches, SCORE_TEXT):
-                    uni, pair = _levels(held.value, block)
-                    yield ([i for i, _ in block], [_signed(_text_hash(t)) for _, t in block],
-                           [np.concatenate([u, p]).tobytes() for u, p in zip(uni, pair)])
+            def probe(batches: Iterator[tuple[list, ...]], held=held) -> Iterator[tuple]:
+                for chunks, tokens, pairs in batches:
+                    for row in zip(chunks, tokens, pairs):
+                        yield ([row[0]], *([held.value.levels(_grown(x)).astype("<u2").tobytes()] for x in row[1:]))
 
-            passes.append(materialize(map_batches(source, "id long, text_hash long, levels binary", part), "levels")
-                          .withColumn("k", F.lit(k)))
+            mine = keys.filter(F.col("k") == k).select("chunk", "tokens", "pairs")
+            (map_batches(mine, "chunk long, tokens binary, pairs binary", probe)
+             .write.option("compression", "zstd").parquet(f"{path}/k={k}"))
             held.destroy()
-        rows = passes[0]
-        for more in passes[1:]:
-            rows = rows.unionByName(more)
+        return spark.read.schema("chunk long, tokens binary, pairs binary, k int").parquet(path)
 
-        def together(table: pa.Table) -> pa.Table:
-            by_pass: dict[int, list[np.ndarray]] = {}
-            for k, raw in zip(table["k"].to_pylist(), table["levels"].to_pylist()):
-                by_pass.setdefault(k, []).append(np.frombuffer(raw, dtype=np.uint16))
-            copies = len(next(iter(by_pass.values())))  # equal rows: equal levels
-            top = np.max([v[0] for v in by_pass.values()], axis=0)
-            half = len(top) // 2
-            return table.slice(0, 1).select(["id", "text_hash"]).append_column(
-                "score", pa.array([log10_score(top[:half], top[half:], n, v)])).take([0] * copies)
+    def score_blocks(self, blocks: DataFrame, counts: bool, limit: int = MAX_BROADCAST) -> DataFrame:
+        """``SCORED`` for every row of the blocks; the base figures (``n_known``, ``gain``) only
+        with ``counts``, for the blocks that the model was trained from."""
+        spark, groups = blocks.sparkSession, self.shards(limit)
+        if not groups:  # an empty table
+            return spark.createDataFrame([], SCORED)
+        shard_of = np.zeros(self.slices, dtype=np.int64)  # a slice without n-grams is asked nothing
+        for k, group in enumerate(groups):
+            shard_of[group] = k
+        answers = (self._levels(blocks, groups, shard_of)
+                   .selectExpr("chunk", "CAST(NULL AS INT) AS p", "CAST(NULL AS BINARY) AS counts", "k", "tokens", "pairs"))
+        if counts:
+            answers = answers.unionByName(self.reduced.filter("chunk IS NOT NULL").selectExpr(
+                "chunk", "p", "counts", "CAST(NULL AS INT) AS k", "CAST(NULL AS BINARY) AS tokens",
+                "CAST(NULL AS BINARY) AS pairs"))
+        return (blocks.groupBy("chunk").cogroup(answers.groupBy("chunk"))
+                .applyInArrow(_scores(self.slices, shard_of, self.n, self.v), SCORED))
 
-        return rows.groupBy("id", "text_hash").applyInArrow(together, "id long, text_hash long, score double")
+    def score(self, docs: DataFrame, id_col: str, text: str, limit: int = MAX_BROADCAST) -> DataFrame:
+        """``(id, text_hash, score)`` for every row of any documents."""
+        return (self.score_blocks(block_table(docs, id_col, text), False, limit)
+                .select("id", "text_hash", "score"))
 
 
-def _signed(h: int) -> int:
-    return h - (1 << 64) if h >= 1 << 63 else h
+def train_blocks(blocks: DataFrame, text_bytes: int) -> BloomModel:
+    """The model of the training rows of ``blocks``."""
+    slices = max(8, -(-text_bytes // REDUCER_TEXT))
+    pieces = map_batches(blocks.select(*_BLOCK), PIECES, _pieces(slices))
+    return BloomModel(materialize(pieces.groupBy("p").applyInArrow(_reduce, REDUCED), "reduced", codec="zstd"), slices)
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[BloomModel, DataFrame]:
-    """The model of the training rows, and every row's exact base figures
-    (``BASE``; the base score is gain - n_tokens * log10(N + V + 1))."""
-    source = docs.select(F.col(id_col).cast("long"), text)
-    size = source.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    slices = max(8, -(-size // REDUCER_TEXT))
-    pieces = map_batches(source, PIECES, _pieces(slices))
-    reduced = materialize(pieces.groupBy("p").applyInArrow(_reduce, REDUCED), "reduced")
-    base = (reduced.filter(F.col("kind") != SLICE).groupBy("chunk").applyInArrow(_sums, BASE))
-    return BloomModel(reduced, slices), base
+    """The model of the training rows, and the blocks of all rows."""
+    blocks = block_table(docs, id_col, text)
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return train_blocks(blocks, size), blocks
 
 
 def op1_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    model, base = train(docs)
-    scored = model.score(docs, "doc_id", "text")
-    base = base.dropDuplicates(["id", "text_hash"])  # equal rows have equal figures
-    b, s = base.alias("b"), scored.alias("s")
-    return (s.join(b, F.col("s.id").eqNullSafe(F.col("b.id")) & (F.col("s.text_hash") == F.col("b.text_hash")))
-            .select(F.col("s.id").alias("doc_id"), "held_out", "n_tokens", "n_known",
+    model, blocks = train(read_table(spark, sf_dir, "documents"))
+    return (model.score_blocks(blocks, True)
+            .select(F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known",
                     F.lit(model.n).cast("long").alias("train_tokens"),
                     (F.col("gain") - F.col("n_tokens") * F.lit(float(np.log10(model.n + model.v + 1)))).alias("base_score"),
                     "score"))
