@@ -45,6 +45,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +55,8 @@ from .common import chain64, map_batches, materialize, mix64, read_table
 from .shingles import word_hashes
 
 HASHES = 12                  # hash functions per entry: false positives 2**-12 at half load
+SCOUTS = 2                   # of them, asked on the way up; the level found is asked all
+PAIR_BITS = 48               # of a pair's key
 UNI_RATIO = 1.05             # growth of the count levels of tokens
 PAIR_RATIO = 1.05            # and of word pairs
 SHARE = 0.15                 # weight of the pair order
@@ -89,9 +92,15 @@ def unigram_keys(tokens: np.ndarray) -> np.ndarray:
     return mix64(tokens ^ _UNIGRAM)
 
 
+def pair_key(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """``PAIR_BITS`` bits of hash: among 10**11 distinct pairs one key in 3000 is shared, about as
+    many as the filter's false positives.  Token keys, whose counts are exact, have 64."""
+    return chain64(before, tokens) >> np.uint64(64 - PAIR_BITS)
+
+
 def pair_keys(tokens: np.ndarray) -> np.ndarray:
     """Key of each token with the one before it (the end before the first)."""
-    return chain64(np.concatenate([[END], tokens[:-1]]).astype(np.uint64), tokens)
+    return pair_key(np.concatenate([[END], tokens[:-1]]).astype(np.uint64), tokens)
 
 
 def slice_of(keys: np.ndarray, slices: int) -> np.ndarray:
@@ -105,6 +114,18 @@ def slice_of(keys: np.ndarray, slices: int) -> np.ndarray:
 BLOCKS = "chunk long, ids binary, sizes binary, hashes binary, flags binary, words binary, at binary"
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """An array byte by byte (all first bytes, all second bytes, ...), compressed."""
+    return zstandard.ZstdCompressor(1).compress(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes())
+
+
+def _unpacked(raw: bytes | None, dtype: str) -> np.ndarray:
+    if raw is None:
+        return np.empty(0, dtype=dtype)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).reshape(-1)
+
+
 def _text_hash(text: str | None) -> int:
     return xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass"))
 
@@ -119,7 +140,7 @@ def _block_row(chunk: int, block: list[tuple]) -> tuple:
             np.fromiter(map(len, docs), dtype="<u4", count=len(docs)).tobytes(),
             np.array([_text_hash(t) for _, t in block], dtype=np.uint64).tobytes(),
             np.array([2 * (i is None) + is_held_out(i) for i, _ in block], dtype=np.uint8).tobytes(),
-            words[order].tobytes(), place[at].tobytes())
+            words[order].tobytes(), _packed(place[at]))
 
 
 def block_table(docs: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -146,7 +167,7 @@ class Block:
         self.sizes = np.frombuffer(sizes, dtype="<u4").astype(np.int64)
         self.flags = np.frombuffer(flags, dtype=np.uint8)
         self.words = np.frombuffer(words, dtype=np.uint64)
-        self.at = np.frombuffer(at, dtype="<u4")
+        self.at = _unpacked(at, "<u4")
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.before = np.concatenate([self.at[:1], self.at[:-1]])  # the token before each
         self.before[self.starts] = self.at[self.starts + self.sizes - 1]  # the end, before the first
@@ -161,7 +182,7 @@ class Block:
 
     def pairs(self) -> np.ndarray:
         """Key of every token with the one before it."""
-        return chain64(self.words[self.before], self.words[self.at])
+        return pair_key(self.words[self.before], self.words[self.at])
 
 
 def _read_blocks(batches: Iterator[tuple[list, ...]]) -> Iterator[tuple[int, Block]]:
@@ -183,13 +204,12 @@ def _deal(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _shrunk(keys: np.ndarray) -> bytes:
-    """Ascending keys as differences, byte by byte (the leading bytes are zeros)."""
-    return np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Ascending keys as differences, whose leading bytes are zeros."""
+    return _packed(np.diff(keys, prepend=np.uint64(0)))
 
 
 def _grown(raw: bytes | None) -> np.ndarray:
-    planes = np.frombuffer(raw or b"", dtype=np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).reshape(-1), dtype=np.uint64)
+    return np.cumsum(_unpacked(raw, "<u8"), dtype=np.uint64)
 
 
 # --- counting -------------------------------------------------------------------------------
@@ -203,12 +223,12 @@ def _pieces(slices: int):
         for chunk, block in _read_blocks(batches):
             learned, tokens = block.learned(), block.tokens()
             n = np.bincount(block.at[learned], minlength=len(tokens)).astype("<u4")
-            rows = {p: [p, chunk, _shrunk(tokens[mine]), n[mine].tobytes(), None, None]
+            rows = {p: [p, chunk, _shrunk(tokens[mine]), _packed(n[mine]), None, None]
                     for p, mine in _deal(slice_of(tokens, slices))}
             pairs, n = np.unique(block.pairs()[learned], return_counts=True)
             n = n.astype("<u4")
             for p, mine in _deal(slice_of(pairs, slices)):
-                rows.setdefault(p, [p, chunk, None, None, None, None])[4:] = [_shrunk(pairs[mine]), n[mine].tobytes()]
+                rows.setdefault(p, [p, chunk, None, None, None, None])[4:] = [_shrunk(pairs[mine]), _packed(n[mine])]
             out = list(rows.values())
             for i in range(0, len(out), 16):
                 yield tuple(zip(*out[i:i + 16]))
@@ -218,12 +238,17 @@ def _pieces(slices: int):
 
 # --- the filter -----------------------------------------------------------------------------
 
-def _hashes(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """First hash and step of one level's entry (double hashing)."""
-    h = mix64(keys + np.uint64((level + 1) * 0xD1342543DE82EF95 % (1 << 64)))
+def _hashes(keys: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First hash and step of the entries of keys at levels (double hashing)."""
+    h = mix64(keys + (levels.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD1342543DE82EF95))
     return h, mix64(h) | np.uint64(1)
 
 
+def _bit(h: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Place of a hash among ``size`` bits (fewer than 2**32)."""
+    return (((h >> np.uint64(32)) * size) >> np.uint64(32)).astype(np.int64)
+
+
 def build_slice(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
     """Bits (as bytes) of a slice over (keys, counts, thresholds) parts, at half load."""
     levels = [np.searchsorted(t, c, side="right") for _, c, t in parts]
@@ -235,9 +260,9 @@ def build_slice(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.nd
         while len(keys):
             stay = top > level
             keys, top = keys[stay], top[stay]
-            h, step = _hashes(keys, level)
+            h, step = _hashes(keys, np.array([level]))
             for _ in range(HASHES):
-                bits[h % np.uint64(size)] = True
+                bits[_bit(h, np.uint64(size))] = True
                 h = h + step
             level += 1
     return np.packbits(bits)
@@ -256,22 +281,40 @@ class Shard:
             self.start[p], self.size[p] = 8 * at, 8 * len(raw)
             at += len(raw)
 
+    def _hits(self, keys: np.ndarray, p: np.ndarray, levels: np.ndarray, hashes: int) -> np.ndarray:
+        """Places of the keys whose first ``hashes`` probes at their level all hit."""
+        live = np.arange(len(keys))
+        h, step = _hashes(keys, levels)
+        start, size = self.start[p], self.size[p]
+        for _ in range(hashes):
+            at = _bit(h, size) + start
+            hit = (self.bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+            live, h, step, start, size = (x[hit] for x in (live, h, step, start, size))
+            h = h + step
+        return live
+
     def levels(self, keys: np.ndarray) -> np.ndarray:
-        """Highest level whose probes all hit, 0 for none or for a slice held elsewhere."""
+        """Highest level whose probes all hit, 0 for none or for a slice held elsewhere.
+
+        A key climbs while ``SCOUTS`` probes of the next level hit; then all probes of the level
+        it has reached must hit, or it steps down.  No entry is missed: its probes hit at
+        every level up to its own."""
         top = np.zeros(len(keys), dtype=np.uint16)
         p = slice_of(keys, self.slices)
         live = np.nonzero(self.start[p] >= 0)[0]
-        level = 0
-        while len(live):
-            h, step = _hashes(keys[live], level)
-            start, size = self.start[p[live]], self.size[p[live]]
-            for _ in range(HASHES):
-                at = (h % size).astype(np.int64) + start
-                hit = (self.bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-                live, h, step, start, size = (x[hit] for x in (live, h, step, start, size))
-                h = h + step
+        live = live[np.argsort(p[live], kind="stable")]  # one slice after the other: near in memory
+        climbing, level = live, 0
+        while len(climbing):
+            climbing = climbing[self._hits(keys[climbing], p[climbing], np.array([level]), SCOUTS)]
             level += 1
-            top[live] = level
+            top[climbing] = level
+        live = live[top[live] > 0]
+        while len(live):
+            sure = np.zeros(len(live), dtype=bool)
+            sure[self._hits(keys[live], p[live], top[live] - 1, HASHES)] = True
+            live = live[~sure]
+            top[live] -= 1
+            live = live[top[live] > 0]
         return top
 
 
@@ -286,7 +329,7 @@ def _reduce(table: pa.Table) -> pa.Table:
 
     def summed(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         uniq, at = np.unique(np.concatenate([_grown(k) for k in keys]), return_inverse=True)
-        n = np.concatenate([np.frombuffer(c or b"", dtype="<u4") for c in counts]).astype(np.int64)
+        n = np.concatenate([_unpacked(c, "<u4") for c in counts]).astype(np.int64)
         count = np.zeros(len(uniq), dtype=np.int64)
         np.add.at(count, at, n)
         return uniq, at, count
@@ -297,9 +340,9 @@ def _reduce(table: pa.Table) -> pa.Table:
     pair_list, _, pair_count = summed(pairs, n_pairs)
     parts.append((pair_list, pair_count, PAIR_LEVELS))
     out, start = [], 0
-    for chunk, raw in zip(chunks, tokens):
-        size = len(raw or b"") // 8
-        out.append((p, chunk, count[at[start:start + size]].astype("<i8").tobytes(), None, None, None))
+    for chunk, raw in zip(chunks, n_tokens):
+        size = len(_unpacked(raw, "<u4"))
+        out.append((p, chunk, _packed(count[at[start:start + size]]), None, None, None))
         start += size
     out.append((p, None, None, build_slice(parts).tobytes(), int(count.sum()), int(some.sum())))
     types = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
@@ -340,13 +383,13 @@ def _scores(slices: int, shard_of: np.ndarray, n: int, v: int):
         uni, pair = np.zeros(len(tokens), dtype=np.uint16), np.zeros(len(pairs), dtype=np.uint16)
         for p, counts, k, a, b in zip(*(answers[c].to_pylist() for c in ("p", "counts", "k", "tokens", "pairs"))):
             if k is None:
-                if counts:
-                    count[by_slice[p]] = np.frombuffer(counts, dtype="<i8")
+                if p in by_slice:
+                    count[by_slice[p]] = _unpacked(counts, "<i8")
                 continue
-            if a:
-                uni[held["token"][k]] = np.frombuffer(a, dtype="<u2")
-            if b:
-                pair[held["pair"][k]] = np.frombuffer(b, dtype="<u2")
+            if a is not None:
+                uni[held["token"][k]] = _unpacked(a, "<u2")
+            if b is not None:
+                pair[held["pair"][k]] = _unpacked(b, "<u2")
         per_token = log10_tokens(uni[block.at], uni[block.before], pair[pair_at], n, v)
         flags = block.flags
 
@@ -413,7 +456,7 @@ class BloomModel:
             def probe(batches: Iterator[tuple[list, ...]], held=held) -> Iterator[tuple]:
                 for chunks, tokens, pairs in batches:
                     for row in zip(chunks, tokens, pairs):
-                        yield ([row[0]], *([held.value.levels(_grown(x)).astype("<u2").tobytes()] for x in row[1:]))
+                        yield ([row[0]], *([None if x is None else _packed(held.value.levels(_grown(x)))] for x in row[1:]))
 
             mine = keys.filter(F.col("k") == k).select("chunk", "tokens", "pairs")
             (map_batches(mine, "chunk long, tokens binary, pairs binary", probe)
