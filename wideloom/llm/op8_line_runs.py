@@ -18,7 +18,8 @@ Documents with equal sequences are one class beforehand: the copies lose all
 their lines if there are ``min_lines`` of them, and only the first enters the array.
 
 Edge cases: a null text stays null, an empty one empty; a null id is never
-searched and stays; rows with one id are one document; texts shorter than
+searched and stays; rows of one id are one document if their texts are equal (by
+64-bit hash), and different ones, by order of the hash, if not; texts shorter than
 ``min_lines`` lines lose none; empty input, no rows.
 """
 
@@ -43,14 +44,17 @@ def solid_lines(text: str | None) -> list[str]:
 
 
 def _sequences(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``(id, digest, lines)`` of every text; ``id`` holds the row's id and the hash of its text."""
     def run(batches: Iterator[tuple[list, ...]]) -> Iterator[tuple]:
-        for ids, texts in batches:
+        for ids, keys, texts in batches:
             lines = [[s.encode("utf-8", "surrogatepass") for s in solid_lines(t)] for t in texts]
-            yield (ids, [xxhash.xxh3_128_digest(b"\n".join(x)) for x in lines],
+            yield (ids, keys, [xxhash.xxh3_128_digest(b"\n".join(x)) for x in lines],
                    pa.array([[xxhash.xxh3_64_intdigest(s) - (1 << 63) for s in x] for x in lines], pa.list_(pa.int64())))
 
-    kept = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).filter("id IS NOT NULL")
-    return map_batches(kept, "id long, digest binary, lines array<long>", run)
+    kept = (docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("key"), F.col(text).alias("text"))
+            .filter("id IS NOT NULL"))
+    rows = map_batches(kept, "id long, key long, digest binary, lines array<long>", run)
+    return rows.select(F.struct("id", "key").alias("id"), "digest", "lines")
 
 
 def _ranked(pairs: DataFrame) -> DataFrame:
@@ -133,7 +137,8 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "
     marked, whole, at = (free_name(docs, n) for n in ("_marked", "_whole", "_at"))
     marks = (copies.unionByName(runs).groupBy(F.col("id").alias(marked))
              .agg(F.max("whole").alias(whole), F.collect_set("at").alias(at)))
-    joined = docs.join(marks, docs[id_col].cast("long") == marks[marked], "left")
+    joined = docs.join(marks, (docs[id_col].cast("long") == marks[marked]["id"])
+                       & (F.xxhash64(docs[text]) == marks[marked]["key"]), "left")
 
     def drop_all(texts: pa.Array, whole: pa.Array, starts: pa.Array) -> pa.Array:
         return struct_rows(_LEFT, lambda *row: _drop_lines(*row, min_lines), texts, whole, starts)
