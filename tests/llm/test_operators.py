@@ -513,6 +513,21 @@ def test_private_names_are_drawn_free_of_clashes(spark, docs):
         assert [tuple(r) for r in out.select(*names).distinct().collect()] == [tuple(range(len(names)))]
 
 
+def test_texts_of_one_id_are_cut_each_for_itself(spark):
+    words = [f"w{i}" for i in range(400)]
+    passage, other, third = (" ".join(words[a:a + 80]) for a in (0, 100, 200))
+    rows = [(1, f"{passage}.\n{other}."), (2, f"{passage}."), (2, f"{third}."), (2, f"{third}."), (3, None), (3, "a b.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r[0], r[1] or "") for r in op3_spans.remove_repeated_spans(df).select("doc_id", "span_dedup.text").collect())
+    assert got == sorted([(1, rows[0][1]), (2, ""), (2, rows[2][1]), (2, rows[2][1]), (3, ""), (3, "a b.")])
+    lines = ["\n".join(f"line {k} {i}" for i in range(4)) for k in "abc"]
+    rows = [(1, lines[0]), (2, lines[0]), (2, lines[1]), (2, lines[1]), (4, lines[2]), (4, f"x\n{lines[2]}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(tuple(r) for r in op8_line_runs.remove_repeated_lines(df).select("doc_id", "line_dedup.text").collect())
+    assert got[:3] == [(1, lines[0]), (2, ""), (2, lines[1])] and got[3] == (2, lines[1])
+    assert got[4:] in ([(4, ""), (4, f"x\n{lines[2]}")], [(4, lines[2]), (4, "x")])
+
+
 def test_phrases_count_as_whole_words_of_short_lines_only():
     clean = "He would design in stone, and they assign in turn. "
     assert op7_quality.assess(clean * 300)[6:9] == (0, 0, False)  # one repeated line: base rules only

@@ -14,16 +14,18 @@ repeated window of that many words, other than the window's first occurrence, is
 removed too.  Not every window is shuffled: each holds at least one anchor, an
 ``ANCHOR_WORDS``-word piece of least hash among the window's pieces, which depends
 on nothing outside the window.  Equal windows have equal anchors, so only windows
-around a repeated anchor are hashed, and the result is that of all windows.
+whose own least piece is a repeated anchor are hashed, and the result is that of all
+windows.
 
-Only hashes and places are shuffled for the search, but for the texts that hold a
-repeated anchor.  The aggregation combines in the map tasks, so a passage that a
-third of all documents hold is one row per task; the join back is one row against
-many and is split by adaptive execution.  The texts move to meet their repeated
-anchors, and to meet the places removed from them.
+Places are computed and shuffled once.  A task compares ``CHUNK`` places at a time:
+of equal hashes only the least place goes on to the global comparison, any other is
+late for certain and travels as one list per document, so a passage that a third of all
+documents hold is one row per chunk where its hash is compared.  The texts move to
+meet their repeated anchors, and to meet the places removed from them.
 
 Edge cases: a null text stays null, an empty one empty, with no sentences; a null
-id is never searched and stays as it is; rows with one id are one document; a
+id is never searched and stays as it is; rows of one id are one document if their
+texts are equal (by CRC-32), and different ones if not, each cut for itself; a
 very long word is one word; empty input, no rows.
 """
 
@@ -35,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import chain64, free_name, map_batches, materialize, mix64, read_table, small_batches, struct_rows
@@ -45,6 +47,7 @@ MIN_RUN_WORDS = 12
 MAX_WORDS = 16
 COPY_WORDS = 50      # a repeated passage of so many words goes wherever it starts
 ANCHOR_WORDS = 16
+CHUNK = 250_000      # places compared at once in a task
 
 _MORE = rf"(?:[^\S\n]++\S++){{0,{MAX_WORDS - 1}}}"
 _SENTENCE = re.compile(rf"\S++{_MORE}?(?:(?<=[.!?])|(?<=[.!?][\"')\]”]))(?!\S)|\S++{_MORE}")
@@ -118,70 +121,107 @@ def anchor_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def window_hashes(text: str | None, anchors: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word and two 64-bit hashes of every window that holds one of the anchors."""
+    """First word and two 64-bit hashes of every window whose least piece is one of the anchors."""
     x = _word_hashes(text)
     if not len(x):
         return x, x, x
-    near = np.asarray(anchors)[:, None] - np.arange(COPY_WORDS - ANCHOR_WORDS + 1)
-    at = np.unique(near[(near >= 0) & (near <= len(x) - COPY_WORDS)])
+    n = COPY_WORDS - ANCHOR_WORDS + 1  # pieces of a window
+    one = _windows(x, ANCHOR_WORDS, _BASES[0])
+    found = np.full(len(one), np.iinfo(np.uint64).max)
+    found[anchors] = one[anchors]
+    at = np.nonzero(_least(one, n) == _least(found, n))[0]
     return at, *(_windows(x, COPY_WORDS, b)[at] for b in _BASES)
 
 
-def _hashed(rows: Iterator[tuple]) -> Iterator[tuple]:
-    """Columns of ``_PLACES`` from (id, word, at, h, g), some 100,000 rows at once."""
-    def joined(parts: list[tuple]) -> tuple:
-        i, word, at, a, b = (np.concatenate(x) for x in zip(*parts))
-        return (i.astype(np.int64), word.astype(bool), at.astype(np.int32), a.astype(np.uint64).view(np.int64),
-                b.astype(np.uint64).view(np.int64))
+RUNS, ANCHORS, KNOWN = 0, 1, 2  # kinds of rows; known: late runs or windows, or (+ 1) repeated anchors
+_PLACES = "kind tinyint, h long, g long, id long, place long, more array<int>"
+_CRC = (1 << 32) - 1  # a place is the first sentence or word, then the CRC-32 of the text
+
+
+def _compared(parts: list[tuple]) -> Iterator[tuple]:
+    """Columns of ``_PLACES`` from chunks of (id, crc, word, at, h, g): the least place of each hash,
+    and the others as lists per text."""
+    sizes = [len(p[3]) for p in parts]
+    ids = np.repeat(np.array([p[0] for p in parts], dtype=np.int64), sizes)
+    crc = np.repeat(np.array([p[1] for p in parts], dtype=np.int64), sizes)
+    word = np.repeat(np.array([p[2] for p in parts], dtype=np.int8), sizes)
+    at, h, g = (np.concatenate([p[k] for p in parts]) for k in (3, 4, 5))
+    place = at.astype(np.int64) << 32 | crc
+    order = np.lexsort((place, ids, g, h, word))
+    ids, place, word, h, g = (x[order] for x in (ids, place, word, h, g))
+    new = np.ones(len(ids), dtype=bool)
+    new[1:] = (word[1:] != word[:-1]) | (h[1:] != h[:-1]) | (g[1:] != g[:-1])
+    first = np.nonzero(new)[0]
+    least = np.repeat(first, np.diff(np.append(first, len(ids))))
+    late = (ids != ids[least]) | (place != place[least])
+    none = [None] * len(first)
+    yield (word[first], h[first].astype(np.uint64).view(np.int64), g[first].astype(np.uint64).view(np.int64), ids[first],
+           place[first], none)
+    known = late.copy()
+    known[least[late & (word == ANCHORS)]] = True  # the least of several anchors is repeated too
+    k = np.nonzero(known)[0]
+    k = k[np.lexsort((ids[k], place[k] & _CRC, word[k]))]
+    key = np.stack([word[k].astype(np.int64), place[k] & _CRC, ids[k]])
+    cuts = np.nonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))[0] if len(k) else np.empty(0, dtype=int)
+    lists = np.split((place[k] >> 32).astype(np.int32), cuts[1:]) if len(k) else []
+    i, c = ids[k][cuts], place[k][cuts] & _CRC
+    yield word[k][cuts] + np.int8(KNOWN), i, c, i, c, lists  # spread over the tasks by text
+
 
+def _hashed(rows: Iterator[tuple]) -> Iterator[tuple]:
+    """``_compared`` of the rows, ``CHUNK`` places or one longer text at a time."""
     parts: list[tuple] = []
     n = 0
-    for i, word, at, a, b in rows:
-        parts.append((np.full(len(at), i), np.full(len(at), word), at, a, b))
-        n += len(at)
-        if n > 100_000:
-            yield joined(parts)
+    for row in rows:
+        parts.append(row)
+        n += len(row[3])
+        if n > CHUNK:
+            yield from _compared(parts)
             parts, n = [], 0
     if n:
-        yield joined(parts)
-
+        yield from _compared(parts)
 
-_PLACES = "id long, word boolean, at int, h long, g long"
 
+def _texts(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("id"), _crc(F.col(text)).alias("crc"),
+                       F.col(text).alias("text")).filter("id IS NOT NULL AND text IS NOT NULL")
 
-def _runs(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """Hashes of the runs of sentences, and (``word``) of the anchors."""
-    def run(batches: Iterator[tuple[list, ...]]) -> Iterator[tuple]:
-        for ids, texts in batches:
-            yield from _hashed((i, word, *f(t)) for i, t in zip(ids, texts)
-                               for word, f in ((False, run_hashes), (True, anchor_hashes)))
 
-    kept = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).filter("id IS NOT NULL")
-    return map_batches(kept, _PLACES, run)
+def _crc(text: Column) -> Column:
+    return F.crc32(text.cast("binary"))
 
 
 def _repeated(places: DataFrame) -> DataFrame:
-    """``places`` whose hash occurs again, with its first place."""
-    key = ["word", "h", "g"]
-    first = (places.groupBy(*key).agg(F.min(F.struct("id", "at")).alias("first"), F.count("*").alias("c"))
-             .filter("c > 1").select(*key, "first"))
-    return places.join(first, key)
+    """``(id, crc, word, at)``: places of runs or windows that have an earlier equal one, and all places of
+    anchors that have an equal one."""
+    equal = Window.partitionBy("kind", "h", "g")
+    here = F.struct("id", "place")
+    seen = (places.withColumns({"first": F.min(here).over(equal), "n": F.count("*").over(equal)})
+            .filter((F.col("kind") >= KNOWN) | ((F.col("kind") == ANCHORS) & (F.col("n") > 1))
+                    | ((F.col("kind") == RUNS) & (F.col("first") != here))))
+    word = (F.col("kind") % KNOWN == ANCHORS).alias("word")
+    own = F.array(F.shiftright("place", 32).cast("int"))
+    return seen.select("id", F.col("place").bitwiseAND(_CRC).alias("crc"), word,
+                       F.explode(F.coalesce("more", own)).alias("at"))
 
 
 def repeated_places(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(id, word, at)``: first sentence of every run, or (``word``) first word of
-    every window, that occurred before."""
-    late = "NOT (id = first.id AND at = first.at)"
-    found = materialize(_repeated(_runs(docs, id_col, text)).filter(f"word OR {late}").select("id", "word", "at"), "runs")
-    anchors = found.filter("word").groupBy("id").agg(F.collect_set("at").alias("anchors"))
-    kept = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
+    """``(id, crc, word, at)``: first sentence of every run, or (``word``) first word of
+    every window, that occurred before; ``crc`` is that of the text."""
+    texts = _texts(docs, id_col, text)
+
+    def runs(batches: Iterator[tuple[list, ...]]) -> Iterator[tuple]:
+        yield from _hashed((i, c, kind, *f(t)) for columns in batches for i, c, t in zip(*columns)
+                           for kind, f in ((RUNS, run_hashes), (ANCHORS, anchor_hashes)))
 
-    def run(batches: Iterator[tuple[list, ...]]) -> Iterator[tuple]:
-        for ids, texts, near in batches:
-            yield from _hashed((i, True, *window_hashes(t, a)) for i, t, a in zip(ids, texts, near))
+    def windows(batches: Iterator[tuple[list, ...]]) -> Iterator[tuple]:
+        yield from _hashed((i, c, RUNS, *window_hashes(t, a)) for columns in batches for i, c, t, a in zip(*columns))
 
-    windows = materialize(map_batches(kept.join(anchors, "id").select("id", "text", "anchors"), _PLACES, run), "windows")
-    return found.filter("NOT word").unionByName(_repeated(windows).filter(late).select("id", "word", "at"))
+    found = materialize(_repeated(map_batches(texts, _PLACES, runs)), "runs")
+    anchors = found.filter("word").groupBy("id", "crc").agg(F.collect_set("at").alias("anchors"))
+    near = texts.join(anchors, ["id", "crc"]).select("id", "crc", "text", "anchors")
+    late = _repeated(map_batches(near, _PLACES, windows)).withColumn("word", F.lit(True))
+    return found.filter("NOT word").unionByName(late)
 
 
 _WORD = re.compile(r"\S+")
@@ -230,14 +270,14 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "
     mid-sentence leaves the rest of its sentences).  A column named ``out`` is
     replaced."""
     at = F.col("at")
-    marked, starts, windows = (free_name(docs, n) for n in ("_marked", "_starts", "_windows"))
-    marks = (repeated_places(docs, id_col, text).groupBy(F.col("id").alias(marked))
+    marked, crc, starts, windows = (free_name(docs, n) for n in ("_marked", "_crc", "_starts", "_windows"))
+    marks = (repeated_places(docs, id_col, text).groupBy(F.col("id").alias(marked), F.col("crc").alias(crc))
              .agg(F.collect_set(F.when(~F.col("word"), at)).alias(starts),
                   F.collect_set(F.when(F.col("word"), at)).alias(windows)))
-    joined = docs.join(marks, docs[id_col].cast("long") == marks[marked], "left")
+    joined = docs.join(marks, (docs[id_col].cast("long") == marks[marked]) & (_crc(docs[text]) == marks[crc]), "left")
     small_batches(docs.sparkSession)
     cut = F.arrow_udf(_cut_all, "text string, n_removed long").asNondeterministic()  # evaluated once
-    return joined.withColumn(out, cut(F.col(text), starts, windows)).drop(marked, starts, windows)
+    return joined.withColumn(out, cut(F.col(text), starts, windows)).drop(marked, crc, starts, windows)
 
 
 def op3_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
