@@ -327,6 +327,30 @@ def test_near_duplicates_match_brute_force(docs, rows, k, pct):
     assert all(r["kept"] == (i == want[i]) for i, r in got.items()) and len(set(want.values())) < len(want)
 
 
+def test_near_copies_that_share_what_their_centre_lacks(spark, monkeypatch):
+    """200 near copies of one text with a passage that the commonest version lacks: linked by a
+    second centre, without their pairs."""
+    rnd = random.Random(3)
+    base, more = ([f"{c}{i}" for i in range(n)] for c, n in (("b", 300), ("m", 90)))
+
+    def copy(words: list[str], salt: int) -> str:
+        words = list(words)
+        for at in rnd.sample(range(len(words)), 3):
+            words[at] = f"x{salt}_{at}"
+        return " ".join(words)
+
+    rows = [(i, copy(base, i)) for i in range(400)] + [(i, copy(base + more, i)) for i in range(400, 600)]
+    rows += [(i, copy(base[:200] + [f"o{j}" for j in range(100)], i)) for i in range(600, 640)]
+    rnd.shuffle(rows)
+    pairs = []
+    plain = op5_superminhash.open_pairs
+    monkeypatch.setattr(op5_superminhash, "open_pairs", lambda *a: pairs.append(plain(*a)) or pairs[-1])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in op5_superminhash.near_duplicates(df).collect()}
+    assert got == brute_components([(i, t) for i, t in rows], 5, 80)
+    assert pairs[0].count() < 5 * len(rows)
+
+
 def test_super_minhash_estimates_similarity():
     rng = np.random.default_rng(2)
     x = np.unique(rng.integers(0, 2**63, 600).astype(np.uint64))

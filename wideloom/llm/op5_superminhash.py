@@ -16,7 +16,11 @@
    left, and joins on those elements find them.  Classes with different centres
    meet in a join on prefix elements (rarest first): two sets at the threshold
    share one of their n - ceil(0.85 n) + 1 first elements in any common order.
-5. Candidates are verified on full sets and the links grouped by union-find.
+5. Classes that are not linked to their centre take a second one among themselves, and so on while a
+   round links a quarter of them (near copies that share a passage which their centre lacks).  The
+   classes found connected so far are one component: step 4 looks only at elements that several
+   components hold, and only at pairs across components.
+6. Candidates are verified on full sets and the links grouped by union-find.
 
 No pair of a bucket is listed for its own sake, no bucket is collected, and no
 candidate is dropped.  ``HINTS`` bounds only the list of frequent elements that
@@ -183,42 +187,83 @@ def _confirm(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
 
 
 def _open_pairs(p: DataFrame, q: DataFrame, keys: list[str], pct: int, more: Column) -> DataFrame:
-    """Unordered pairs of classes that meet on ``keys``, can reach the threshold
-    by their sizes, and do not both hang on one centre."""
+    """Unordered pairs of classes of different components that meet on ``keys`` and can
+    reach the threshold by their sizes."""
     p, q = p.alias("p"), q.alias("q")
     on = reduce(lambda x, y: x & y, [F.col(f"p.{k}") == F.col(f"q.{k}") for k in keys])
     size = ((100 * F.least("p.n", "q.n")) >= (pct * F.greatest("p.n", "q.n")))
-    return (p.join(q, on & size & more)
+    return (p.join(q, on & size & (F.col("p.component") != F.col("q.component")) & more)
             .select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b")))
 
 
-def class_links(docs: DataFrame, id_col: str, text: str, classes: DataFrame, k: int, pct: int) -> DataFrame:
-    """Links (a, b) between classes (id, n, bands) that join up every pair at or
-    above the threshold."""
-    rows = classes.select("id", F.explode("bands").alias("key"))
+def _centres(rows: DataFrame) -> DataFrame:
+    """``(id, centre)`` of the classes that share a bucket, over rows (id, key)."""
     full = rows.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
     member = rows.join(full, "key")
     weight = member.groupBy("id").agg(F.sum("c").alias("weight"))
     member = materialize(member.select("id", "key").join(weight, "id"), "members")
     best = member.groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("neg"))).alias("best"))
-    centres = (member.join(best, "key").groupBy("id").agg(F.max("best").alias("best"))
-               .select("id", (-F.col("best.neg")).alias("centre")))
-    centres = materialize(centres, "centres")
-    sets = materialize(_sets(docs, id_col, text, k, centres.select("id")), "sets")
-    post = materialize(_postings(_with_sets(centres, sets, "id", "centre"), _hints(sets), pct), "postings")
+    return materialize(member.join(best, "key").groupBy("id").agg(F.max("best").alias("best"))
+                       .select("id", (-F.col("best.neg")).alias("centre")), "centres")
+
+
+def _later_centres(rows: DataFrame, loose: DataFrame, sets: DataFrame, pct: int) -> list[DataFrame]:
+    """Links (a, b) of the classes ``loose`` to centres among themselves, round by round.  It may
+    stop anywhere: what is left is looked for pair by pair."""
+    links: list[DataFrame] = []
+    n = loose.count()
+    while n > 1:
+        pairs = _centres(rows.join(loose, "id", "left_semi")).filter("id <> centre")
+        found = materialize(_confirm(pairs.select(F.col("centre").alias("a"), F.col("id").alias("b")), sets, pct), "later")
+        m = found.count()
+        links.append(found)
+        if 4 * m < n:
+            break
+        linked_ids = found.select(F.col("a").alias("id")).unionByName(found.select(F.col("b").alias("id")))
+        loose = materialize(loose.join(linked_ids, "id", "left_anti"), "loose")
+        n = loose.count()
+    return links
+
+
+def open_pairs(post: DataFrame, links: DataFrame, pct: int) -> DataFrame:
+    """Candidate pairs (a, b) across the components of ``links``, from the postings."""
+    groups = components(links, "a", "b").select("id", F.col("component_id").alias("component"))
+    # a prefix element is looked up alone, the others below their centre
+    place = F.when(F.col("kind") != PREFIX, F.col("centre"))
+    join = F.when(F.col("kind") == PROBE, LACK).otherwise(F.col("kind"))
+    rows = materialize(post.filter(F.col("kind") != STAR).join(groups, "id", "left")
+                       .withColumns({"component": F.coalesce("component", "id"), "join": join, "place": place}), "open")
+    key = ["join", "place", "element"]
+    several = (rows.groupBy(*key).agg(F.min("component").alias("least"), F.max("component").alias("most"))
+               .filter("least <> most").select(*(F.col(c).alias(f"{c}_") for c in key)))
+    same = (F.col("join") == F.col("join_")) & F.col("place").eqNullSafe(F.col("place_")) & \
+        (F.col("element") == F.col("element_"))
+    rows = materialize(rows.join(several, same, "left_semi").drop("join", "place"), "across")
 
     def kind(x: int) -> DataFrame:
-        return post.filter(F.col("kind") == x).drop("kind")
+        return rows.filter(F.col("kind") == x).drop("kind")
 
     apart = ~(F.col("p.on_centre") & F.col("q.on_centre"))
     ordered = F.col("p.id") < F.col("q.id")
-    pairs = (_open_pairs(kind(PREFIX), kind(PREFIX), ["element"], pct, ordered & (F.col("p.centre") != F.col("q.centre")))
-             .unionByName(_open_pairs(kind(BEYOND), kind(BEYOND), ["centre", "element"], pct, ordered & apart))
-             .unionByName(_open_pairs(kind(PROBE), kind(LACK), ["centre", "element"], pct,
-                                      apart & (F.col("p.id") != F.col("q.id"))))
-             .distinct())
-    star = kind(STAR).filter("on_centre AND id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b"))
-    return star.unionByName(_confirm(pairs, sets, pct))
+    return (_open_pairs(kind(PREFIX), kind(PREFIX), ["element"], pct, ordered & (F.col("p.centre") != F.col("q.centre")))
+            .unionByName(_open_pairs(kind(BEYOND), kind(BEYOND), ["centre", "element"], pct, ordered & apart))
+            .unionByName(_open_pairs(kind(PROBE), kind(LACK), ["centre", "element"], pct, apart))
+            .distinct())
+
+
+def class_links(docs: DataFrame, id_col: str, text: str, classes: DataFrame, k: int, pct: int) -> DataFrame:
+    """Links (a, b) between classes (id, n, bands) that join up every pair at or
+    above the threshold."""
+    rows = classes.select("id", F.explode("bands").alias("key"))
+    centres = _centres(rows)
+    sets = materialize(_sets(docs, id_col, text, k, centres.select("id")), "sets")
+    post = materialize(_postings(_with_sets(centres, sets, "id", "centre"), _hints(sets), pct), "postings")
+    star = post.filter(F.col("kind") == STAR)
+    links = star.filter("on_centre AND id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b"))
+    loose = materialize(star.filter("NOT on_centre").select("id"), "loose")
+    for later in _later_centres(rows, loose, sets, pct):
+        links = links.unionByName(later)
+    return links.unionByName(_confirm(open_pairs(post, links, pct), sets, pct))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 5, pct: int = 80) -> DataFrame:
