@@ -195,9 +195,14 @@ def _read_blocks(batches: Iterator[tuple[list, ...]]) -> Iterator[tuple[int, Blo
 _BLOCK = ("chunk", "sizes", "flags", "words", "at")
 
 
+def _grouped(part: np.ndarray) -> np.ndarray:
+    """Stable order of small whole numbers (two bytes are sorted by counting)."""
+    return np.argsort(part.astype(np.uint16) if len(part) and part.max() < 1 << 16 else part, kind="stable")
+
+
 def _deal(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Places of the equal values of ``part``, in order."""
-    order = np.argsort(part, kind="stable")
+    order = _grouped(part)
     cuts = np.nonzero(np.diff(part[order], prepend=-1))[0]
     for a, b in zip(cuts, [*cuts[1:], len(part)]):
         yield int(part[order[a]]), order[a:b]
@@ -286,11 +291,13 @@ class Shard:
         live = np.arange(len(keys))
         h, step = _hashes(keys, levels)
         start, size = self.start[p], self.size[p]
-        for _ in range(hashes):
+        for left in reversed(range(hashes)):
             at = _bit(h, size) + start
             hit = (self.bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-            live, h, step, start, size = (x[hit] for x in (live, h, step, start, size))
-            h = h + step
+            live = live[hit]
+            if left:
+                h, step, start, size = (x[hit] for x in (h, step, start, size))
+                h += step
         return live
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
@@ -302,7 +309,7 @@ class Shard:
         top = np.zeros(len(keys), dtype=np.uint16)
         p = slice_of(keys, self.slices)
         live = np.nonzero(self.start[p] >= 0)[0]
-        live = live[np.argsort(p[live], kind="stable")]  # one slice after the other: near in memory
+        live = live[_grouped(p[live])]  # one slice after the other: near in memory
         climbing, level = live, 0
         while len(climbing):
             climbing = climbing[self._hits(keys[climbing], p[climbing], np.array([level]), SCOUTS)]
