@@ -4,8 +4,8 @@ Every stage takes the documents that the one before has left, written as Parquet
 below the shared folder, so a lost executor never costs more than one stage.
 
 Edge cases: documents without text (null, empty, white space) fail the quality rules;
-rows of one doc_id are one document from line dedup on; a null doc_id is searched for
-nothing and stays; of equal or near texts the least doc_id stays; a document that loses
+rows of one doc_id and equal texts are one document, in near-dedup also if their texts
+differ; a null doc_id is searched for nothing and stays; of equal or near texts the least doc_id stays; a document that loses
 its last line or sentence to an earlier copy goes; extra columns, whatever their names,
 pass through every stage but packing, which returns pieces; no documents give no pieces.
 """
