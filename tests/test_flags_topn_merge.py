@@ -78,3 +78,21 @@ def test_salted_lookup_join_equals_plain_join(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert spread > 1
+
+
+def test_a_generated_dimension_is_never_broadcast(spark, tmp_path):
+    """Its estimate is that of the small file below it, so a plan by estimate sent it through the driver."""
+    from wideloom.operators.joins import salted_keys_join
+    spark.range(40).selectExpr("id AS code").write.parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim")).selectExpr(
+        "CASE WHEN code = 39 THEN 38 ELSE code END AS code", "explode(sequence(0, 24)) AS t",
+        "concat('item ', code) AS name")
+    big = spark.createDataFrame([(i, None if i % 50 == 1 else 38 if i % 3 else i % 60, i % 26) for i in range(2000)],
+                                "member_id long, code long, t int")
+    plain = sorted(map(str, big.join(dim, ["code", "t"], "left").select("member_id", "code", "t", "name").collect()))
+    joined = salted_keys_join(big, dim, ["code", "t"], ["member_id"], buckets=8)
+    assert sorted(map(str, joined.select("member_id", "code", "t", "name").collect())) == plain
+    top = top_n_pivot(big.withColumn("n", F.lit(1)), ["t", "member_id"], "code", "n", 1, ["C1"], dim=dim, dim_on=["t"],
+                      value_names=["N1"])
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan and "Broadcast" not in plan

@@ -33,6 +33,21 @@ def salted_lookup_join(large: DataFrame, small: DataFrame, on: Sequence[str], sa
     return big.join(reps, on=[*on, salt], how=how).drop(salt)
 
 
+def salted_keys_join(large: DataFrame, small: DataFrame, on: Sequence[str], salt_by: Sequence[str],
+                     buckets: int = 16) -> DataFrame:
+    """The left join of ``salted_lookup_join`` for a dimension that grows with the data.
+
+    The dimension is not replicated: the distinct (key, salt) pairs of ``large``, at most ``buckets``
+    per key, fetch their dimension rows, and ``large`` is joined to those on key and salt.
+    ``large`` is planned twice, so it should be cheap or end in an exchange, which is reused.
+    Both joins merge sorted sides: the planner takes a dimension made by ``explode`` for as
+    small as the file below it, and would send it whole through the driver."""
+    salt = "__salt"
+    big = large.withColumn(salt, F.pmod(F.xxhash64(*[F.col(c) for c in salt_by]), F.lit(buckets)).cast("int"))
+    found = big.select(*on, salt).distinct().join(small.hint("merge"), on=list(on), how="inner")
+    return big.join(found.hint("merge"), on=[*on, salt], how="left").drop(salt)
+
+
 def snapshot(dim: DataFrame, day_col: str, day: dt.date) -> DataFrame:
     """Rows of a dimension kept as one full snapshot a day, as they were on ``day``.  A key that
     snapshot lacks was not listed that day: an older snapshot never stands in for it.  The

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import salted_lookup_join
+from .joins import salted_keys_join
 
 
 def top_n_pivot(df: DataFrame, keys: Sequence[str], item: str, measure: str, n: int,
@@ -21,9 +21,8 @@ def top_n_pivot(df: DataFrame, keys: Sequence[str], item: str, measure: str, n:
     ``row_number() <= n`` (Spark plans a partial ``WindowGroupLimit`` before the
     exchange, so a key with millions of items ships at most n rows per map
     task) -> join the item dimension only for the n survivors -> conditional
-    max per rank.  ``dim`` is joined without a broadcast hint: its size grows
-    with the data, and AQE broadcasts it only when runtime statistics show it
-    is small.  ``dim_on``: keys that the dimension shares with ``keys`` (a tenant), matched
+    max per rank.  ``dim`` is never broadcast: its size grows with the data, and
+    the estimate of a generated dimension is that of the file below it.  ``dim_on``: keys that the dimension shares with ``keys`` (a tenant), matched
     together with the item.
     """
     assert len(code_names) == n and (not value_names or len(value_names) == n)
@@ -34,7 +33,7 @@ def top_n_pivot(df: DataFrame, keys: Sequence[str], item: str, measure: str, n:
     if dim is not None and value_names:
         d = dim.select(*dim_on, F.col(dim_key).alias(item), F.col(dim_value).alias("__name"))
         # a best-seller ranks for a large share of the keys: spread it by key
-        ranked = salted_lookup_join(ranked, d, [*dim_on, item], salt_by=list(keys))
+        ranked = salted_keys_join(ranked, d, [*dim_on, item], salt_by=list(keys))
     aggs = []
     for i in range(n):
         aggs.append(F.max(F.when(F.col("__rn") == i + 1, F.col(item))).alias(code_names[i]))

@@ -27,7 +27,7 @@ from ..functions.text import not_empty
 from ..operators import aggregates as A
 from ..operators.aggregates import Section
 from ..operators.flags import existence_flag
-from ..operators.joins import salted_lookup_join, snapshot
+from ..operators.joins import salted_keys_join, snapshot
 from ..operators.topn import top_n_pivot
 from ..params import EVENT_ASOF, ORDER_ASOF, AsOf
 from ..sources import bindings as B
@@ -185,12 +185,12 @@ def member_frame(spark: SparkSession, d: str, with_shop: bool = True) -> DataFra
 
     The store code has few distinct values per tenant, so one store can hold a
     large share of all members: the join is salted over the member id
-    (``salted_lookup_join``) and the shop side is replicated per salt."""
+    (``salted_keys_join``) and each salt fetches its shops."""
     m = B.members(spark, d)
     if not with_shop:
         return m.withColumn("org_id", F.lit(None).cast("int")).withColumn("org_name", F.lit(None).cast("string"))
     shop = B.shops(spark, d).withColumnRenamed("code", "store_code")
-    return salted_lookup_join(m, shop, ["store_code", "tenant_id"], ["member_id"], SHOP_SALT_BUCKETS)
+    return salted_keys_join(m, shop, ["store_code", "tenant_id"], ["member_id"], SHOP_SALT_BUCKETS)
 
 
 def member_base_pred() -> Column:
