@@ -317,6 +317,22 @@ def test_unigram_model_is_rebuilt():
     assert [np.frombuffer(g[0], dtype="<u4").tolist() for g in got] == [sp.encode(t) for t in texts]
 
 
+def test_sentencepiece_verdicts_are_of_whole_raw_texts(spark):
+    import sentencepiece
+    path = P.path("piece_bpe_32k.model")
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = ["a b", "a▁b", "a  b ", "▁", "", None, "a▁b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    coded = op4_sentencepiece.encode(df, "doc_id", "text", path)
+    got = {r["doc_id"]: r for r in coded.collect()}
+    back = {r["doc_id"]: r["text"] for r in op4_sentencepiece.decode(coded, "doc_id", "ids", path).collect()}
+    for i, t in enumerate(texts):
+        same = None if t is None else np.frombuffer(got[i]["ids"], dtype="<u4").tolist() == sp.encode(t)
+        assert got[i]["parity"] == same and got[i]["round_trip"] == (None if t is None else back[i] == t)
+    assert [got[i]["round_trip"] for i in range(7)] == [True, False, True, False, True, None, False]
+    assert op4_sentencepiece.threads_of(df) >= 2
+
+
 # --- 5: near-duplicates
 
 @pytest.mark.parametrize("k,pct", [(3, 85), (5, 80)])

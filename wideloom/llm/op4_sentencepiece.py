@@ -8,9 +8,10 @@ ordered by score) and byte fallback; and the decoder that undoes them.
 A BPE or unigram piece never joins a solid character to a following marker
 unless the vocabulary has such a piece, so where it has none, a normalised text
 is cut before every marker that follows a solid character, and each part is
-encoded once per worker, in batches that the library encodes on ``THREADS``
-threads.  Each part is verified when it is first met: the ids must be those of
-the ``sentencepiece`` library, and decoding them must give the part back.
+encoded once per worker, in batches that the library encodes on several threads
+(``threads_of``).  Every document is verified as a whole: ``parity`` says that its ids
+are those which the ``sentencepiece`` library gives for the raw text, ``round_trip`` that
+decoding them gives the raw text back.
 
 Edge cases: a null text has null ids, no verdicts and 0 counts; an empty text has no
 ids and is at par; repeated rows are alike; empty input, no rows.
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, read_table
 
-THREADS = 1       # per task: as many as spark.task.cpus
+THREADS = 2       # per task at least, or as many as spark.task.cpus
 CACHE = 500_000   # parts a worker remembers
 MARK = "▁"
 
@@ -82,26 +83,29 @@ def rebuild(raw: bytes):
     return tokenizer, normalizer, bool(norm.add_dummy_prefix), cuttable
 
 
+def threads_of(df: DataFrame) -> int:
+    return max(THREADS, int(df.sparkSession.conf.get("spark.task.cpus", "1")))
+
+
 class Rebuilt:
     _open: dict[str, "Rebuilt"] = {}
 
     @classmethod
-    def open(cls, path: str) -> "Rebuilt":
+    def open(cls, path: str, threads: int = THREADS) -> "Rebuilt":
         if path not in cls._open:
             with open(path, "rb") as f:
-                cls._open[path] = cls(f.read())
+                cls._open[path] = cls(f.read(), threads)
         return cls._open[path]
 
-    def __init__(self, raw: bytes):
-        os.environ["RAYON_NUM_THREADS"] = str(THREADS)
-        os.environ["TOKENIZERS_PARALLELISM"] = "true" if THREADS > 1 else "false"
+    def __init__(self, raw: bytes, threads: int = THREADS):
+        os.environ["RAYON_NUM_THREADS"] = str(threads)
+        os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         import sentencepiece
+        self.threads = threads
         self.tokenizer, self.normalizer, self.prefix, self.cuttable = rebuild(raw)
         self.original = sentencepiece.SentencePieceProcessor(model_proto=raw)
         self.parts = re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+")
         self.cache: dict[str, bytes] = {}
-        self.unlike: set[str] = set()    # parts of the cache that are not at par
-        self.one_way: set[str] = set()   # parts of the cache that don't decode to themselves
 
     def normalise(self, text: str) -> str:
         text = self.normalizer.normalize_str(text)
@@ -111,37 +115,28 @@ class Rebuilt:
 
     def encode_many(self, texts: list[str | None]) -> list[tuple[bytes | None, bool | None, bool | None]]:
         """Ids (little-endian 32-bit), parity and round trip of each text."""
+        coded = self.ids_many(texts)
+        known = [(t, x) for t, x in zip(texts, coded) if t is not None]
+        want = self.original.encode([t for t, _ in known], num_threads=self.threads) if known else []
+        par = [np.array(w, dtype="<u4").tobytes() == x for w, (_, x) in zip(want, known)]
+        rows = [w if p else np.frombuffer(x, dtype="<u4").tolist() for w, p, (_, x) in zip(want, par, known)]
+        back = self.tokenizer.decode_batch(rows, skip_special_tokens=False)
+        checked = iter([(x, p, b == t) for (t, x), p, b in zip(known, par, back)])
+        return [(None, None, None) if t is None else next(checked) for t in texts]
+
+    def ids_many(self, texts: list[str | None]) -> list[bytes | None]:
         normal = [None if t is None else self.normalise(t) for t in texts]
         cut = [[] if not n else self.parts.findall(n) if self.cuttable else [n] for n in normal]
         met = set().union(*cut)
         new = met.difference(self.cache)
         if len(self.cache) + len(new) > CACHE:  # only the parts of this batch stay
             self.cache = {p: self.cache[p] for p in met.intersection(self.cache)}
-            self.unlike &= met
-            self.one_way &= met
-        order = sorted(new)
+        order = list(new)
         for i in range(0, len(order), 4096):
-            self._learn(order[i:i + 4096])
-        out: list[tuple[bytes | None, bool | None, bool | None]] = []
-        for n, x in zip(normal, cut):
-            if n is None:
-                out.append((None, None, None))
-                continue
-            out.append((b"".join(map(self.cache.__getitem__, x)), self.unlike.isdisjoint(x), self.one_way.isdisjoint(x)))
-        return out
-
-    def _learn(self, parts: list[str]) -> None:
-        """Encode and verify parts; the original library puts the first marker itself."""
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-        texts = [(p[1:] if self.prefix else p).replace(MARK, " ") for p in parts]
-        want = self.original.encode(texts)
-        back = self.tokenizer.decode_batch(got, skip_special_tokens=False)
-        for p, ids, t, w, b in zip(parts, got, texts, want, back):
-            self.cache[p] = struct.pack(f"<{len(ids)}I", *ids)
-            if ids != w:
-                self.unlike.add(p)
-            if b != t:
-                self.one_way.add(p)
+            some = order[i:i + 4096]
+            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self.cache[p] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+        return [None if n is None else b"".join(map(self.cache.__getitem__, x)) for n, x in zip(normal, cut)]
 
     def decode_many(self, ids: list[bytes | None]) -> list[str | None]:
         rows = [[] if x is None else np.frombuffer(x, dtype="<u4").tolist() for x in ids]
@@ -152,8 +147,10 @@ class Rebuilt:
 def encode(df: DataFrame, id_col: str, text: str, model: str) -> DataFrame:
     """``(id_col, ids, parity, round_trip)``; ``ids`` as little-endian 32-bit
     bytes (``decode`` takes them)."""
+    threads = threads_of(df)
+
     def run(batches: Iterator[tuple[list, ...]]) -> Iterator[tuple]:
-        rebuilt = Rebuilt.open(model)
+        rebuilt = Rebuilt.open(model, threads)
         for ids, texts in batches:
             for s in range(0, len(ids), 512):
                 yield (ids[s:s + 512], *zip(*rebuilt.encode_many(texts[s:s + 512])))
@@ -164,8 +161,10 @@ def encode(df: DataFrame, id_col: str, text: str, model: str) -> DataFrame:
 
 def decode(df: DataFrame, id_col: str, ids: str, model: str) -> DataFrame:
     """``(id_col, text)`` of encoded ids."""
+    threads = threads_of(df)
+
     def run(batches: Iterator[tuple[list, ...]]) -> Iterator[tuple]:
-        rebuilt = Rebuilt.open(model)
+        rebuilt = Rebuilt.open(model, threads)
         for keys, raws in batches:
             for s in range(0, len(keys), 512):
                 yield keys[s:s + 512], rebuilt.decode_many(raws[s:s + 512])
