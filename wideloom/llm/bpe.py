@@ -11,6 +11,7 @@ encoded whole.  The cache is a worker's own, is emptied when it holds
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 import numpy as np
 
@@ -31,6 +32,21 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in set(visible) else chr(next(hidden)) for b in range(256)]
 
 
+class Parts(dict):
+    """Ids by part; a part that is lacking is encoded when asked for."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.encode(part)
+        if len(self) >= CACHE:
+            self.clear()
+        self[part] = ids
+        return ids
+
+
 class ByteBpe:
     _open: dict[str, "ByteBpe"] = {}
 
@@ -47,30 +63,24 @@ class ByteBpe:
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.alphabet = byte_alphabet()
-        self.cache: dict[str, bytes] = {}
+        self.raw = [i.to_bytes(4, "little") for i in range(1 + max(self.tokenizer.get_vocab().values()))]
+        self.cache = Parts(self.part)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def part(self, part: str) -> bytes:
         """Ids of a part that the cache lacks."""
-        stem = part.rstrip(_MARKS)
-        if stem and stem != part and stem[-1].isalpha():
-            ids = self.lookup(stem) + self.lookup(part[len(stem):])
-        elif part.isalpha() or (part[:1] == " " and part[1:].isalpha()):
+        if part.isalpha() or (part[:1] == " " and part[1:].isalpha()):
             letters = "Ġ" + part[1:] if part[0] == " " else part
             if not part.isascii():
                 letters = "".join(map(self.alphabet.__getitem__, part.encode()))
-            ids = np.array([t.id for t in self.model.tokenize(letters)], dtype="<u4").tobytes()
         else:
-            ids = self.whole(part)
-        if len(self.cache) >= CACHE:
-            self.cache.clear()
-        self.cache[part] = ids
-        return ids
-
-    def lookup(self, part: str) -> bytes:
-        return self.cache.get(part) or self.part(part)
+            stem = part.rstrip(_MARKS)
+            if stem and stem != part and stem[-1].isalpha():
+                return self.cache[stem] + self.cache[part[len(stem):]]
+            return self.whole(part)
+        return b"".join([self.raw[t.id] for t in self.model.tokenize(letters)])
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian 32-bit ids; none for a null or empty text."""
@@ -81,10 +91,7 @@ class ByteBpe:
         parts = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
         if not parts[0]:
             del parts[0]
-        try:
-            return b"".join(map(self.cache.__getitem__, parts))
-        except KeyError:
-            return b"".join(map(self.lookup, parts))
+        return b"".join(map(self.cache.__getitem__, parts))
 
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
         return [self.encode(t) for t in texts]

@@ -58,30 +58,41 @@ class Sequence:
 
 
 class Block:
-    """Examples that wait to be placed: demand rows [tokens, 1, loss]."""
+    """Examples that wait to be placed: demands (tokens, 1, loss), a column per limit."""
 
     def __init__(self, tokens: np.ndarray, loss: np.ndarray, limits: Limits, cut: bool):
-        self.demand = np.stack([tokens, np.ones_like(tokens), loss], axis=1).astype(np.float64)
+        self.demand = [v.astype(np.float64) for v in (tokens, np.ones_like(tokens), loss)]
+        self.cap, self.cut = limits.vector(), cut
+        self.share = [d / c for d, c in zip(self.demand, self.cap)]
         self.start = np.zeros(len(tokens), dtype=np.int64)
         self.alive = np.ones(len(tokens), dtype=bool)
-        self.cap, self.cut = limits.vector(), cut
-        self.left = float(self.demand[:, 0].sum())
+        self.left = float(self.demand[0].sum())
 
     def best(self, room: np.ndarray, fitting: bool = True) -> int:
         """Index of the largest dot product with ``room``, or -1; ties go to
         the first example."""
-        score = (self.demand / self.cap) @ (room / self.cap)
-        ok = self.alive & (self.demand <= room).all(axis=1) if fitting else self.alive
+        if not len(self.alive):
+            return -1
+        x, y, z = (room / self.cap).tolist()
+        score = self.share[0] * x
+        score += self.share[1] * y
+        score += self.share[2] * z
+        ok = self.alive
+        if fitting:
+            for d, r in zip(self.demand, room.tolist()):
+                ok = ok & (d <= r)
         score[~ok] = -1.0
-        k = int(score.argmax()) if len(score) else -1
-        return k if k >= 0 and score[k] >= 0 else -1
+        k = int(score.argmax())
+        return k if score[k] >= 0 else -1
 
     def place(self, seq: Sequence, k: int, tokens: int) -> None:
         seq.members.append((k, int(self.start[k]), tokens))
-        part = self.demand[k].copy()
+        part = np.array([d[k] for d in self.demand])
         if tokens < part[0]:
             part = np.array([tokens, 1, tokens], dtype=np.float64)
-            self.demand[k] -= [tokens, 0, tokens]
+            for i in (0, 2):
+                self.demand[i][k] -= tokens
+                self.share[i][k] = self.demand[i][k] / self.cap[i]
             self.start[k] += tokens
         else:
             self.alive[k] = False
@@ -93,12 +104,12 @@ class Block:
         becomes a sequence alone."""
         seq = Sequence(capacity.copy())
         while (k := self.best(seq.capacity)) >= 0:
-            self.place(seq, k, int(self.demand[k, 0]))
+            self.place(seq, k, int(self.demand[0][k]))
         room = int(min(seq.capacity[0], seq.capacity[2]))
         if self.cut and room > 0 and seq.capacity[1] >= 1 and (k := self.best(seq.capacity, fitting=False)) >= 0:
-            self.place(seq, k, min(room, int(self.demand[k, 0])))
+            self.place(seq, k, min(room, int(self.demand[0][k])))
         elif not seq.members and (k := self.best(seq.capacity, fitting=False)) >= 0:
-            self.place(seq, k, int(self.demand[k, 0]))
+            self.place(seq, k, int(self.demand[0][k]))
         return seq
 
 
