@@ -35,13 +35,13 @@ def byte_alphabet() -> list[str]:
 class Parts(dict):
     """Ids by part; a part that is lacking is encoded when asked for."""
 
-    def __init__(self, encode: Callable[[str], bytes]):
+    def __init__(self, encode: Callable[[str], bytes], most: int = CACHE):
         super().__init__()
-        self.encode = encode
+        self.encode, self.most = encode, most
 
     def __missing__(self, part: str) -> bytes:
         ids = self.encode(part)
-        if len(self) >= CACHE:
+        if len(self) >= self.most:
             self.clear()
         self[part] = ids
         return ids

@@ -8,8 +8,7 @@ ordered by score) and byte fallback; and the decoder that undoes them.
 A BPE or unigram piece never joins a solid character to a following marker
 unless the vocabulary has such a piece, so where it has none, a normalised text
 is cut before every marker that follows a solid character, and each part is
-encoded once per worker, in batches that the library encodes on several threads
-(``threads_of``).  Every document is verified as a whole: ``parity`` says that its ids
+encoded once per worker.  Checks and decoding run on several threads (``threads_of``).  Every document is verified as a whole: ``parity`` says that its ids
 are those which the ``sentencepiece`` library gives for the raw text, ``round_trip`` that
 decoding them gives the raw text back.
 
@@ -21,13 +20,13 @@ from __future__ import annotations
 
 import os
 import re
-import struct
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import Parts
 from .common import map_batches, read_table
 
 THREADS = 2       # per task at least, or as many as spark.task.cpus
@@ -55,7 +54,8 @@ def merges_of(pieces: list[tuple[str, float]], vocab: dict[str, int]) -> list[tu
 
 
 def rebuild(raw: bytes):
-    """The tokenizer of a serialised model, with its normaliser apart."""
+    """The tokenizer of a serialised model, one that decodes ids without byte pieces
+    with fewer steps, and the normaliser apart."""
     from tokenizers import Regex, Tokenizer, decoders, models, normalizers
     m = read_model(raw)
     spec, norm = m.trainer_spec, m.normalizer_spec
@@ -80,7 +80,9 @@ def rebuild(raw: bytes):
     strip = [decoders.Strip(" ", 1, 0)] if norm.add_dummy_prefix else []
     tokenizer.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), *strip])
     cuttable = not any(re.search(rf"[^{MARK}]{MARK}", p) for p, _ in plain)
-    return tokenizer, normalizer, bool(norm.add_dummy_prefix), cuttable
+    plain = Tokenizer(model)
+    plain.decoder = decoders.Sequence([decoders.Fuse(), decoders.Replace(MARK, " "), *strip])
+    return tokenizer, plain, normalizer, bool(norm.add_dummy_prefix), cuttable
 
 
 def threads_of(df: DataFrame) -> int:
@@ -102,10 +104,14 @@ class Rebuilt:
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         import sentencepiece
         self.threads = threads
-        self.tokenizer, self.normalizer, self.prefix, self.cuttable = rebuild(raw)
+        self.tokenizer, self.plain, self.normalizer, self.prefix, self.cuttable = rebuild(raw)
         self.original = sentencepiece.SentencePieceProcessor(model_proto=raw)
+        self.model = self.tokenizer.model
+        pieces = [p.piece for p in read_model(raw).pieces]
+        self.raw = [i.to_bytes(4, "little") for i in range(len(pieces))]
+        self.byte_ids = frozenset(i for i, p in enumerate(pieces) if re.fullmatch("<0x[0-9A-Fa-f]{2}>", p))
         self.parts = re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+")
-        self.cache: dict[str, bytes] = {}
+        self.cache = Parts(self.part, CACHE)
 
     def normalise(self, text: str) -> str:
         text = self.normalizer.normalize_str(text)
@@ -120,28 +126,36 @@ class Rebuilt:
         want = self.original.encode([t for t, _ in known], num_threads=self.threads) if known else []
         par = [np.array(w, dtype="<u4").tobytes() == x for w, (_, x) in zip(want, known)]
         rows = [w if p else np.frombuffer(x, dtype="<u4").tolist() for w, p, (_, x) in zip(want, par, known)]
-        back = self.tokenizer.decode_batch(rows, skip_special_tokens=False)
+        back = self.decode_ids(rows)
         checked = iter([(x, p, b == t) for (t, x), p, b in zip(known, par, back)])
         return [(None, None, None) if t is None else next(checked) for t in texts]
 
+    def part(self, part: str) -> bytes:
+        """Ids of a part that the cache lacks; the tokenizer has no step before its model."""
+        return b"".join([self.raw[t.id] for t in self.model.tokenize(part)])
+
+    def cut(self, normal: str) -> list[str]:
+        if not normal or not self.cuttable:
+            return [normal] if normal else []
+        if MARK + MARK in normal or "\0" in normal:
+            return self.parts.findall(normal)
+        parts = normal.replace(MARK, "\0" + MARK).split("\0")
+        return parts if parts[0] else parts[1:]
+
     def ids_many(self, texts: list[str | None]) -> list[bytes | None]:
-        normal = [None if t is None else self.normalise(t) for t in texts]
-        cut = [[] if not n else self.parts.findall(n) if self.cuttable else [n] for n in normal]
-        met = set().union(*cut)
-        new = met.difference(self.cache)
-        if len(self.cache) + len(new) > CACHE:  # only the parts of this batch stay
-            self.cache = {p: self.cache[p] for p in met.intersection(self.cache)}
-        order = list(new)
-        for i in range(0, len(order), 4096):
-            some = order[i:i + 4096]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.cache[p] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        return [None if n is None else b"".join(map(self.cache.__getitem__, x)) for n, x in zip(normal, cut)]
+        return [None if t is None else b"".join(map(self.cache.__getitem__, self.cut(self.normalise(t)))) for t in texts]
+
+    def decode_ids(self, rows: list[list[int]]) -> list[str]:
+        """Texts of id lists; byte pieces, which the plain decoder leaves as they are, are looked for in each."""
+        plain = [self.byte_ids.isdisjoint(r) for r in rows]
+        some = iter(self.plain.decode_batch([r for r, p in zip(rows, plain) if p], skip_special_tokens=False))
+        rest = iter(self.tokenizer.decode_batch([r for r, p in zip(rows, plain) if not p], skip_special_tokens=False))
+        return [next(some if p else rest) for p in plain]
 
     def decode_many(self, ids: list[bytes | None]) -> list[str | None]:
         rows = [[] if x is None else np.frombuffer(x, dtype="<u4").tolist() for x in ids]
         return [None if x is None else t
-                for x, t in zip(ids, self.tokenizer.decode_batch(rows, skip_special_tokens=False))]
+                for x, t in zip(ids, self.decode_ids(rows))]
 
 
 def encode(df: DataFrame, id_col: str, text: str, model: str) -> DataFrame:
