@@ -13,9 +13,11 @@ of ``COPY_WORDS`` words are looked for wherever they start: every word of a
 repeated window of that many words, other than the window's first occurrence, is
 removed too.  Not every window is shuffled: each holds at least one anchor, an
 ``ANCHOR_WORDS``-word piece of least hash among the window's pieces, which depends
-on nothing outside the window.  Equal windows have equal anchors, so only windows
-whose own least piece is a repeated anchor are hashed, and the result is that of all
-windows.
+on nothing outside the window.  Equal windows have equal anchors at the same place in
+them.  The windows of one anchor start one after the other, and the words they span, its
+stretch, are hashed with the anchor.  Of equal stretches all windows but those of the first
+are late at once.  A window is hashed by itself only if its anchor is met with different
+stretches and its stretch is the first of its kind, so the result is that of all windows.
 
 Places are computed and shuffled once.  A task compares ``CHUNK`` places at a time:
 of equal hashes only the least place goes on to the global comparison, any other is
@@ -33,6 +35,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -85,8 +89,8 @@ def _word_hashes(text: str | None) -> np.ndarray:
 _BASES = (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93)  # odd
 
 
-def _windows(x: np.ndarray, n: int, base: int) -> np.ndarray:
-    """Hash of every ``n`` consecutive word hashes: a polynomial modulo 2**64."""
+def _prefixes(x: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of a polynomial modulo 2**64 over word hashes, and the powers that shift it."""
     def powers(b: int) -> np.ndarray:
         p = np.full(len(x) + 1, b, dtype=np.uint64)
         p[0] = 1
@@ -94,7 +98,13 @@ def _windows(x: np.ndarray, n: int, base: int) -> np.ndarray:
 
     y = mix64(x ^ np.uint64(base))
     total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(y * powers(pow(base, -1, 1 << 64))[:-1], dtype=np.uint64)])
-    return mix64((total[n:] - total[:-n]) * powers(base)[:len(x) - n + 1])
+    return total, powers(base)
+
+
+def _windows(x: np.ndarray, n: int, base: int) -> np.ndarray:
+    """Hash of every ``n`` consecutive word hashes."""
+    total, shift = _prefixes(x, base)
+    return mix64((total[n:] - total[:-n]) * shift[:len(x) - n + 1])
 
 
 def _least(h: np.ndarray, n: int) -> np.ndarray:
@@ -106,6 +116,17 @@ def _least(h: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(h[:len(h) - (n - k)], h[n - k:]) if n > k else h
 
 
+_PIECES = COPY_WORDS - ANCHOR_WORDS + 1  # of a window
+
+
+def _anchors(one: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pieces that are the least of a window's, and the least value of every window."""
+    least = _least(one, _PIECES)
+    edge = np.zeros(_PIECES - 1, dtype=np.uint64)
+    largest = ~_least(~np.concatenate([edge, least, edge]), _PIECES)  # of the least values of a piece's windows
+    return np.nonzero(largest == one)[0], least
+
+
 def anchor_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First word and two 64-bit hashes of every piece that is the least of a
     window's pieces."""
@@ -113,59 +134,90 @@ def anchor_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     if not len(x):
         return x, x, x
     one, two = (_windows(x, ANCHOR_WORDS, b) for b in _BASES)
-    n = COPY_WORDS - ANCHOR_WORDS + 1  # pieces of a window
-    edge = np.zeros(n - 1, dtype=np.uint64)
-    largest = ~_least(~np.concatenate([edge, _least(one, n), edge]), n)  # of the least values of a piece's windows
-    at = np.nonzero(largest == one)[0]
+    at, _ = _anchors(one)
     return at, one[at], two[at]
 
 
+_SIDE = 6  # bits for the windows of an anchor that start before it, and for its piece's place in the last
+
+
+def anchor_stretches(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First word and 64-bit hash of every anchor, and two hashes of its stretch.  The lowest bits of the
+    last are how many words before the anchor its first window starts, and how many its last (``_ends``)."""
+    x = _word_hashes(text)
+    if not len(x):
+        return x, x, x, x
+    one = _windows(x, ANCHOR_WORDS, _BASES[0])
+    at, least = _anchors(one)
+    starts = at[:, None] - np.arange(_PIECES)  # of the windows that hold the piece, last first
+    own = (starts >= 0) & (starts < len(least))
+    own &= least[np.clip(starts, 0, len(least) - 1)] == one[at][:, None]
+    last, first = own.argmax(axis=1), _PIECES - 1 - own[:, ::-1].argmax(axis=1)
+    hashes = []
+    for base in _BASES:
+        total, shift = _prefixes(x, base)
+        hashes.append(mix64((total[at - last + COPY_WORDS] - total[at - first]) * shift[at - first]))
+    sides = (first << _SIDE | last).astype(np.uint64)
+    low = np.uint64((1 << 2 * _SIDE) - 1)
+    return at, one[at], hashes[0] ^ mix64(sides), (hashes[1] & ~low) | sides
+
+
+def _ends(at: np.ndarray, stretch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words of the first and of the last window of an anchor; runs have no stretch and are their own."""
+    sides = (stretch & np.uint64((1 << 2 * _SIDE) - 1)).astype(np.int64)
+    return at - (sides >> _SIDE), at - (sides & ((1 << _SIDE) - 1))
+
+
 def window_hashes(text: str | None, anchors: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First word and two 64-bit hashes of every window whose least piece is one of the anchors."""
     x = _word_hashes(text)
     if not len(x):
         return x, x, x
-    n = COPY_WORDS - ANCHOR_WORDS + 1  # pieces of a window
     one = _windows(x, ANCHOR_WORDS, _BASES[0])
     found = np.full(len(one), np.iinfo(np.uint64).max)
     found[anchors] = one[anchors]
-    at = np.nonzero(_least(one, n) == _least(found, n))[0]
+    at = np.nonzero(_least(one, _PIECES) == _least(found, _PIECES))[0]
     return at, *(_windows(x, COPY_WORDS, b)[at] for b in _BASES)
 
 
-RUNS, ANCHORS, KNOWN = 0, 1, 2  # kinds of rows; known: late runs or windows, or (+ 1) repeated anchors
-_PLACES = "kind tinyint, h long, g long, id long, place long, more array<int>"
+RUNS, ANCHORS, KNOWN = 0, 1, 2  # kinds of rows; known: late runs or windows, or (+ 1) windows of late anchors
+_PLACES = "kind tinyint, h long, g long, stretch long, id long, place long, more array<int>"
 _CRC = (1 << 32) - 1  # a place is the first sentence or word, then the CRC-32 of the text
 
 
 def _compared(parts: list[tuple]) -> Iterator[tuple]:
-    """Columns of ``_PLACES`` from chunks of (id, crc, word, at, h, g): the least place of each hash,
-    and the others as lists per text."""
+    """Columns of ``_PLACES`` from chunks of (id, crc, word, at, h, g, stretch): the least place of each
+    hash, and of the others, lists per text of where they or the ends of their stretches start."""
     sizes = [len(p[3]) for p in parts]
     ids = np.repeat(np.array([p[0] for p in parts], dtype=np.int64), sizes)
     crc = np.repeat(np.array([p[1] for p in parts], dtype=np.int64), sizes)
     word = np.repeat(np.array([p[2] for p in parts], dtype=np.int8), sizes)
-    at, h, g = (np.concatenate([p[k] for p in parts]) for k in (3, 4, 5))
+    at, h, g, stretch = (np.concatenate([p[k] for p in parts]) for k in (3, 4, 5, 6))
     place = at.astype(np.int64) << 32 | crc
-    order = np.lexsort((place, ids, g, h, word))
-    ids, place, word, h, g = (x[order] for x in (ids, place, word, h, g))
+    order = np.lexsort((place, ids, stretch, g, h, word))
+    ids, place, word, h, g, stretch = (x[order] for x in (ids, place, word, h, g, stretch))
     new = np.ones(len(ids), dtype=bool)
-    new[1:] = (word[1:] != word[:-1]) | (h[1:] != h[:-1]) | (g[1:] != g[:-1])
+    new[1:] = (word[1:] != word[:-1]) | (h[1:] != h[:-1]) | (g[1:] != g[:-1]) | (stretch[1:] != stretch[:-1])
     first = np.nonzero(new)[0]
     least = np.repeat(first, np.diff(np.append(first, len(ids))))
     late = (ids != ids[least]) | (place != place[least])
     none = [None] * len(first)
-    yield (word[first], h[first].astype(np.uint64).view(np.int64), g[first].astype(np.uint64).view(np.int64), ids[first],
-           place[first], none)
-    known = late.copy()
-    known[least[late & (word == ANCHORS)]] = True  # the least of several anchors is repeated too
-    k = np.nonzero(known)[0]
-    k = k[np.lexsort((ids[k], place[k] & _CRC, word[k]))]
+    yield (word[first], *(x[first].astype(np.uint64).view(np.int64) for x in (h, g, stretch)), ids[first], place[first], none)
+    k = np.nonzero(late)[0]
+    start, last = _ends(place[k] >> 32, stretch[k].astype(np.uint64))
+    k, start = np.concatenate([k, k[last > start]]), np.concatenate([start, last[last > start]])
+    order = np.lexsort((ids[k], place[k] & _CRC, word[k]))
+    k, start = k[order], start[order]
     key = np.stack([word[k].astype(np.int64), place[k] & _CRC, ids[k]])
     cuts = np.nonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))[0] if len(k) else np.empty(0, dtype=int)
-    lists = np.split((place[k] >> 32).astype(np.int32), cuts[1:]) if len(k) else []
+    lists = [np.unique(x) for x in np.split(start.astype(np.int32), cuts[1:])] if len(k) else []
     i, c = ids[k][cuts], place[k][cuts] & _CRC
-    yield word[k][cuts] + np.int8(KNOWN), i, c, i, c, lists  # spread over the tasks by text
+    yield word[k][cuts] + np.int8(KNOWN), i, c, np.zeros(len(i), dtype=np.int64), i, c, lists  # spread over the tasks by text
+
+
+def _plain(at: np.ndarray, h: np.ndarray, g: np.ndarray) -> tuple:
+    """Places without stretches."""
+    return at, h, g, np.zeros(len(at), dtype=np.uint64)
 
 
 def _hashed(rows: Iterator[tuple]) -> Iterator[tuple]:
@@ -192,36 +244,43 @@ def _crc(text: Column) -> Column:
 
 
 def _repeated(places: DataFrame) -> DataFrame:
-    """``(id, crc, word, at)``: places of runs or windows that have an earlier equal one, and all places of
-    anchors that have an equal one."""
-    equal = Window.partitionBy("kind", "h", "g")
+    """``(id, crc, word, open, at)``: places of runs or windows that have an earlier equal one, the ends of
+    stretches that do, and (``open``) anchors with the first of several stretches, whose windows are unknown."""
+    same = Window.partitionBy("kind", "h")
+    equal = Window.partitionBy("kind", "h", "g", "stretch")
     here = F.struct("id", "place")
-    seen = (places.withColumns({"first": F.min(here).over(equal), "n": F.count("*").over(equal)})
-            .filter((F.col("kind") >= KNOWN) | ((F.col("kind") == ANCHORS) & (F.col("n") > 1))
-                    | ((F.col("kind") == RUNS) & (F.col("first") != here))))
+    several = reduce(or_, (F.min(c).over(same) != F.max(c).over(same) for c in ("g", "stretch")))
+    late = (F.col("kind") >= KNOWN) | (F.col("first") != here)
+    open_ = (F.col("kind") == ANCHORS) & F.col("several") & ~late
+    seen = (places.withColumn("several", several).withColumn("first", F.min(here).over(equal))
+            .withColumns({"late": late, "open": open_}).filter("late OR open"))
     word = (F.col("kind") % KNOWN == ANCHORS).alias("word")
-    own = F.array(F.shiftright("place", 32).cast("int"))
-    return seen.select("id", F.col("place").bitwiseAND(_CRC).alias("crc"), word,
+    at, sides = F.shiftright("place", 32).cast("int"), F.col("stretch").bitwiseAND((1 << 2 * _SIDE) - 1).cast("int")
+    start, last = at - F.shiftright(sides, _SIDE), at - sides.bitwiseAND((1 << _SIDE) - 1)
+    own = F.when(F.col("open"), F.array(at)).when(start == last, F.array(start)).otherwise(F.array(start, last))
+    return seen.select("id", F.col("place").bitwiseAND(_CRC).alias("crc"), word, "open",
                        F.explode(F.coalesce("more", own)).alias("at"))
 
 
 def repeated_places(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(id, crc, word, at)``: first sentence of every run, or (``word``) first word of
-    every window, that occurred before; ``crc`` is that of the text."""
+    """``(id, crc, word, at)``: first sentence of every run, or (``word``) first word of windows, that
+    occurred before; ``crc`` is that of the text.  Of windows that follow each other it may be the first and
+    the last alone, which overlap and hold the same words."""
     texts = _texts(docs, id_col, text)
 
     def runs(batches: Iterator[tuple[list, ...]]) -> Iterator[tuple]:
-        yield from _hashed((i, c, kind, *f(t)) for columns in batches for i, c, t in zip(*columns)
-                           for kind, f in ((RUNS, run_hashes), (ANCHORS, anchor_hashes)))
+        yield from _hashed((i, c, *row) for columns in batches for i, c, t in zip(*columns)
+                           for row in ((RUNS, *_plain(*run_hashes(t))), (ANCHORS, *anchor_stretches(t))))
 
     def windows(batches: Iterator[tuple[list, ...]]) -> Iterator[tuple]:
-        yield from _hashed((i, c, RUNS, *window_hashes(t, a)) for columns in batches for i, c, t, a in zip(*columns))
+        yield from _hashed((i, c, RUNS, *_plain(*window_hashes(t, a))) for columns in batches
+                           for i, c, t, a in zip(*columns))
 
     found = materialize(_repeated(map_batches(texts, _PLACES, runs)), "runs")
-    anchors = found.filter("word").groupBy("id", "crc").agg(F.collect_set("at").alias("anchors"))
+    anchors = found.filter("open").groupBy("id", "crc").agg(F.collect_set("at").alias("anchors"))
     near = texts.join(anchors, ["id", "crc"]).select("id", "crc", "text", "anchors")
     late = _repeated(map_batches(near, _PLACES, windows)).withColumn("word", F.lit(True))
-    return found.filter("NOT word").unionByName(late)
+    return found.filter("NOT open").unionByName(late).drop("open")
 
 
 _WORD = re.compile(r"\S+")
