@@ -181,6 +181,7 @@ def window_hashes(text: str | None, anchors: list[int]) -> tuple[np.ndarray, np.
 
 
 RUNS, ANCHORS, KNOWN = 0, 1, 2  # kinds of rows; known: late runs or windows, or (+ 1) windows of late anchors
+SPREAD = 5  # anchors with further stretches, dealt by the stretch
 _PLACES = "kind tinyint, h long, g long, stretch long, id long, place long, more array<int>"
 _CRC = (1 << 32) - 1  # a place is the first sentence or word, then the CRC-32 of the text
 
@@ -202,7 +203,14 @@ def _compared(parts: list[tuple]) -> Iterator[tuple]:
     least = np.repeat(first, np.diff(np.append(first, len(ids))))
     late = (ids != ids[least]) | (place != place[least])
     none = [None] * len(first)
-    yield (word[first], *(x[first].astype(np.uint64).view(np.int64) for x in (h, g, stretch)), ids[first], place[first], none)
+    # two stretches tell that an anchor has several; more of them need not meet at the anchor, which may be
+    # in a third of all texts, each with a stretch of its own
+    count = np.arange(len(first))
+    other = np.append(True, (word[first][1:] != word[first][:-1]) | (h[first][1:] != h[first][:-1]))
+    spread = (word[first] == ANCHORS) & (count - np.maximum.accumulate(np.where(other, count, 0)) > 1)
+    one, two, three = (x[first].astype(np.uint64).view(np.int64) for x in (h, g, stretch))
+    yield (np.where(spread, np.int8(SPREAD), word[first]), np.where(spread, two, one), np.where(spread, one, two), three,
+           ids[first], place[first], none)
     k = np.nonzero(late)[0]
     start, last = _ends(place[k] >> 32, stretch[k].astype(np.uint64))
     k, start = np.concatenate([k, k[last > start]]), np.concatenate([start, last[last > start]])
@@ -250,8 +258,8 @@ def _repeated(places: DataFrame) -> DataFrame:
     equal = Window.partitionBy("kind", "h", "g", "stretch")
     here = F.struct("id", "place")
     several = reduce(or_, (F.min(c).over(same) != F.max(c).over(same) for c in ("g", "stretch")))
-    late = (F.col("kind") >= KNOWN) | (F.col("first") != here)
-    open_ = (F.col("kind") == ANCHORS) & F.col("several") & ~late
+    late = F.col("kind").isin(KNOWN, KNOWN + 1) | (F.col("first") != here)
+    open_ = ((F.col("kind") == SPREAD) | ((F.col("kind") == ANCHORS) & F.col("several"))) & ~late
     seen = (places.withColumn("several", several).withColumn("first", F.min(here).over(equal))
             .withColumns({"late": late, "open": open_}).filter("late OR open"))
     word = (F.col("kind") % KNOWN == ANCHORS).alias("word")
