@@ -20,7 +20,11 @@
    round links a quarter of them (near copies that share a passage which their centre lacks).  The
    classes found connected so far are one component: step 4 looks only at elements that several
    components hold, and only at pairs across components.
-6. Candidates are verified on full sets and the links grouped by union-find.
+6. Sets that share a passage meet on its elements, as many pairs as the group has.  So each class has a
+   sketch: for each of ``SKETCH`` parts of the hash space, whether its elements there are odd or even in
+   number.  Sets differ by at least as many elements as their sketches have unlike parts, so a pair whose
+   sketches differ by more than the threshold allows leaves the join at once; none that is linked does.
+7. Candidates are verified on full sets and the links grouped by union-find.
 
 No pair of a bucket is listed for its own sake, no bucket is collected, and no
 candidate is dropped.  ``HINTS`` bounds only the list of frequent elements that
@@ -50,6 +54,8 @@ PLACES = 64   # values of a signature
 BANDS = 16    # bands of 4 values
 HINTS = 200_000  # frequent elements that order the prefixes (broadcast: 16 bytes each)
 
+SKETCH = 1024  # parts of a sketch, 64 to a column
+
 SIGNED = "id long, n long, digest binary, bands array<long>"
 
 
@@ -113,11 +119,18 @@ def _hints(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 STAR, PREFIX, BEYOND, LACK, PROBE = range(5)  # kinds of rows of a class
-POSTINGS = "kind tinyint, element long, id long, centre long, on_centre boolean, n long"
+SKETCH_COLUMNS = [f"s{i}" for i in range(SKETCH // 64)]
+POSTINGS = "kind tinyint, element long, id long, centre long, on_centre boolean, n long, sketch array<long>"
+
+
+def sketch(elements: np.ndarray) -> np.ndarray:
+    """One bit per part of the hash space: are the elements there odd in number?"""
+    odd = np.bincount((elements >> np.uint64(20)).astype(np.int64) % SKETCH, minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def _postings(pairs: DataFrame, hints: tuple[np.ndarray, np.ndarray], pct: int) -> DataFrame:
-    """Rows of every class against its centre: the verdict (``STAR``), and the
+    """Rows of every class against its centre: the verdict and the sketch (``STAR``), and the
     elements by which step 4 joins."""
     spark = pairs.sparkSession
     shared = spark.sparkContext.broadcast(hints)
@@ -140,14 +153,17 @@ def _postings(pairs: DataFrame, hints: tuple[np.ndarray, np.ndarray], pct: int)
         prefix = n - -(-pct * n // 100) + 1
         out = [(PREFIX, rare_first(x)[:prefix]), (BEYOND, rare_first(beyond)[:prefix])]
         if 100 * len(beyond) <= (100 - pct) * n:  # nearly inside the centre
-            out.append((LACK, lack))
+            # a linked set holds at most n (100 - pct) / pct elements that x has not, so of the elements
+            # that both lack the first in order is among so many and one more
+            lack = rare_first(lack)
+            out.append((LACK, lack[:(100 - pct) * n // pct + 1]))
             if len(lack) > len(beyond):
-                out.append((PROBE, rare_first(lack)[:len(lack) - len(beyond)]))
+                out.append((PROBE, out[-1][1][:len(lack) - len(beyond)]))
         return ok, out
 
     def run(batches: Iterator[tuple[list, ...]]) -> Iterator[tuple]:
         for ids, centres, raws, centre_raws in batches:
-            kind, element, id_, centre, on, size = [], [], [], [], [], []
+            kind, element, id_, centre, on, size, parity = [], [], [], [], [], [], []
             for i, c, raw, craw in zip(ids, centres, raws, centre_raws):
                 x = _as_set(raw)
                 ok, parts = rows_of(x, _as_set(craw))
@@ -160,10 +176,11 @@ def _postings(pairs: DataFrame, hints: tuple[np.ndarray, np.ndarray], pct: int)
                 centre += [c] * m
                 on += [ok] * m
                 size += [len(x)] * m
+                parity += [None] * (m - 1) + [sketch(x).tolist()]
                 if len(kind) > 200_000:
-                    yield kind, element, id_, centre, on, size
-                    kind, element, id_, centre, on, size = [], [], [], [], [], []
-            yield kind, element, id_, centre, on, size
+                    yield kind, element, id_, centre, on, size, parity
+                    kind, element, id_, centre, on, size, parity = [], [], [], [], [], [], []
+            yield kind, element, id_, centre, on, size, parity
 
     return map_batches(pairs.select("id", "centre", "elements", "centre_elements"), POSTINGS, run)
 
@@ -188,10 +205,13 @@ def _confirm(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
 
 def _open_pairs(p: DataFrame, q: DataFrame, keys: list[str], pct: int, more: Column) -> DataFrame:
     """Unordered pairs of classes of different components that meet on ``keys`` and can
-    reach the threshold by their sizes."""
+    reach the threshold by their sizes and sketches."""
     p, q = p.alias("p"), q.alias("q")
     on = reduce(lambda x, y: x & y, [F.col(f"p.{k}") == F.col(f"q.{k}") for k in keys])
     size = ((100 * F.least("p.n", "q.n")) >= (pct * F.greatest("p.n", "q.n")))
+    unlike = reduce(lambda x, y: x + y, [F.bit_count(F.col(f"p.{c}").bitwiseXOR(F.col(f"q.{c}"))) for c in SKETCH_COLUMNS])
+    # linked sets differ by at most (a + b) (100 - pct) / (100 + pct) elements
+    size &= (100 + pct) * unlike <= (100 - pct) * (F.col("p.n") + F.col("q.n"))
     return (p.join(q, on & size & (F.col("p.component") != F.col("q.component")) & more)
             .select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b")))
 
@@ -231,14 +251,15 @@ def open_pairs(post: DataFrame, links: DataFrame, pct: int) -> DataFrame:
     # a prefix element is looked up alone, the others below their centre
     place = F.when(F.col("kind") != PREFIX, F.col("centre"))
     join = F.when(F.col("kind") == PROBE, LACK).otherwise(F.col("kind"))
-    rows = materialize(post.filter(F.col("kind") != STAR).join(groups, "id", "left")
+    rows = materialize(post.filter(F.col("kind") != STAR).drop("sketch").join(groups, "id", "left")
                        .withColumns({"component": F.coalesce("component", "id"), "join": join, "place": place}), "open")
     key = ["join", "place", "element"]
     several = (rows.groupBy(*key).agg(F.min("component").alias("least"), F.max("component").alias("most"))
                .filter("least <> most").select(*(F.col(c).alias(f"{c}_") for c in key)))
     same = (F.col("join") == F.col("join_")) & F.col("place").eqNullSafe(F.col("place_")) & \
         (F.col("element") == F.col("element_"))
-    rows = materialize(rows.join(several, same, "left_semi").drop("join", "place"), "across")
+    sketches = post.filter(F.col("kind") == STAR).select("id", *(F.col("sketch")[i].alias(c) for i, c in enumerate(SKETCH_COLUMNS)))
+    rows = materialize(rows.join(several, same, "left_semi").drop("join", "place").join(sketches, "id"), "across")
 
     def kind(x: int) -> DataFrame:
         return rows.filter(F.col("kind") == x).drop("kind")
