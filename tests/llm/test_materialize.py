@@ -4,7 +4,8 @@ import time
 
 from pyspark.sql import functions as F
 
-from wideloom.llm.common import CLEANUP_KEY, materialize
+from wideloom.llm.common import materialize
+from wideloom.session import CLEANUP_KEY
 
 
 def _shuffle_files(spark) -> set[str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Iterable
 from functools import reduce
 from operator import or_
@@ -17,6 +18,7 @@ from ..operators.aggregates import Section
 from ..operators.export import typed_export
 from ..operators.merge import merge_sections
 from ..params import EVENT_ASOF, ORDER_ASOF, AsOf
+from ..session import dropping_shuffles, shared_path
 from ..sources import bindings as B
 from . import sections as S
 from .catalog import BY_NAME, CATALOG, ROW_KEY, VALUE_COLUMNS
@@ -138,10 +140,21 @@ CORRECTED = ["coupon_recent", "order_30D", "member_flag"]
 TS_FIRST, TS_SECOND = 1_000, 2_000
 
 
+def staged_load(spark: SparkSession, cells: DataFrame) -> DataFrame:
+    """The cells of one load, written below the shared folder and read back.
+
+    Each load is a whole wide build: planned and run by itself, its shuffle files are gone before
+    the next one starts, where one plan of all loads holds the files of every build at once."""
+    path = shared_path(spark, "tables", f"cell_load_{uuid.uuid4().hex}")
+    with dropping_shuffles(spark):
+        cells.write.parquet(path)
+    return spark.read.schema(C.CELL_SCHEMA).parquet(path)
+
+
 def upserted_cells(spark: SparkSession, d: str) -> DataFrame:
     first = profile_cells(*wide_sections(spark, d, EARLIER_ORDER_ASOF, EARLIER_EVENT_ASOF), TS_FIRST)
     second = profile_cells(*wide_sections(spark, d, names=REFRESHED), TS_SECOND)
-    return C.upsert_latest([first, second])
+    return C.upsert_latest([staged_load(spark, first), staged_load(spark, second)])
 
 
 def declared_columns() -> list[tuple[str, str]]:
