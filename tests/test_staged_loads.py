@@ -1,10 +1,15 @@
 """Shuffle files of one load are gone before the next one is built."""
 
+import os
+import tempfile
 import time
 
 from pyspark.sql import functions as F
 
+from wideloom.operators.cells import CELL_SCHEMA
 from wideloom.plans import wide_build as W
+from wideloom.session import shared_path
+from wideloom.sources.cell_store import CellStore
 
 
 def _shuffle_files(spark) -> set[str]:
@@ -38,3 +43,20 @@ def test_upsert_holds_no_shuffle_files_of_its_loads(spark, monkeypatch):
     assert {(r.row_key, r.col, r.ts, r.value) for r in cells.collect()} == {
         ("1_0", "MEMBER_FLG", W.TS_SECOND, "new"), ("1_1", "MEMBER_FLG", W.TS_FIRST, "old"),
         ("1_2", "MEMBER_FLG", W.TS_SECOND, "only")}
+
+
+def test_cell_store_holds_no_shuffle_files_of_its_writes(spark):
+    base = shared_path(spark, "job-tests")
+    os.makedirs(base, exist_ok=True)
+    store = CellStore(spark, os.path.join(tempfile.mkdtemp(prefix="staged-", dir=base), "cells"))
+    before = _shuffle_files(spark)
+    for ts, n in ((1, 300), (2, 100)):
+        ids = spark.range(n * 2).groupBy((F.col("id") % n).alias("k")).count()
+        cells = ids.select(F.col("k").cast("string").alias("row_key"), F.lit("A").alias("cf"), F.lit("X").alias("col"),
+                           F.lit(ts).cast("long").alias("ts"), F.lit(str(ts)).alias("value"))
+        assert cells.schema.simpleString() == spark.createDataFrame([], CELL_SCHEMA).schema.simpleString()
+        store.append(cells, f"load-{ts}")
+        assert not _left(spark, before)
+    store.compact()
+    assert not _left(spark, before)
+    assert sorted((r.value, r["count"]) for r in store.cells().groupBy("value").count().collect()) == [("1", 200), ("2", 100)]

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cells import CELL_COLUMNS, CELL_SCHEMA
+from ..session import dropping_shuffles
 from .files import delete, exists
 
 MANIFEST_SCHEMA = "number long, kind string, load_key string, folder string"
@@ -80,7 +81,8 @@ class CellStore:
                 return e.number
         number = max((e.number for e in found), default=0) + 1
         folder = f"load-{number:06d}-{uuid.uuid4().hex[:8]}"
-        cells.select(*CELL_COLUMNS).write.parquet(f"{self.path}/{folder}")
+        with dropping_shuffles(self.spark):
+            cells.select(*CELL_COLUMNS).write.parquet(f"{self.path}/{folder}")
         self._commit(Entry(number, "load", load_key, folder))
         return number
 
@@ -112,7 +114,8 @@ class CellStore:
             return base.number if base else 0
         number = loads[-1].number
         folder = f"base-{number:06d}-{uuid.uuid4().hex[:8]}"
-        self.cells().sortWithinPartitions("row_key", "cf", "col").write.parquet(f"{self.path}/{folder}")
+        with dropping_shuffles(self.spark):
+            self.cells().sortWithinPartitions("row_key", "cf", "col").write.parquet(f"{self.path}/{folder}")
         self._commit(Entry(number, "base", None, folder))
         return number
 
